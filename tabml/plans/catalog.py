@@ -392,3 +392,164 @@ def q_xy_shape(spark, sf):
 def q_align_columns(spark, sf):
     p = fx.table(spark, sf, "part")
     return roles.align(p, ["p_type", "p_size", "p_retailprice"], keep=["p_partkey"])
+
+
+# ----------------------------------------------------------------- curves (P8: yb, score)
+
+from tabml.operators import curves, diagnostics, trees  # noqa: E402
+
+_CUM = f"""p AS ({fx.P8}),
+_a AS (SELECT CAST(score AS DOUBLE) AS threshold, sum(yb) AS tp, sum(1 - yb) AS fp FROM p GROUP BY 1),
+_t AS (SELECT CAST(sum(tp) AS DOUBLE) AS P, CAST(sum(fp) AS DOUBLE) AS N FROM _a),
+c AS (SELECT threshold, tp, fp, sum(tp) OVER (ORDER BY threshold DESC) AS cum_tp,
+             sum(fp) OVER (ORDER BY threshold DESC) AS cum_fp, P, N FROM _a, _t)"""
+
+
+@query("roc_curve", f"""WITH {_CUM}
+SELECT threshold, round(cum_fp / N, 6) AS fpr, round(cum_tp / P, 6) AS tpr FROM c
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+def q_roc_curve(spark, sf):
+    return curves.roc_curve(_p8(spark, sf), "yb", "score").select("threshold", r6("fpr"), r6("tpr"))
+
+
+@query("roc_auc", f"""WITH {_CUM}
+SELECT round(sum(fp / N * (2 * cum_tp - tp) / (2 * P)), 6) AS auc FROM c""")
+def q_roc_auc(spark, sf):
+    return curves.roc_auc(_p8(spark, sf), "yb", "score").select(r6("auc"))
+
+
+@query("pr_curve", f"""WITH {_CUM}
+SELECT threshold, round(cum_tp / P, 6) AS recall, round(cum_tp / (cum_tp + cum_fp), 6) AS precision FROM c
+UNION ALL SELECT NULL, 0.0, 1.0""")
+def q_pr_curve(spark, sf):
+    return curves.pr_curve(_p8(spark, sf), "yb", "score").select("threshold", r6("recall"), r6("precision"))
+
+
+@query("pr_auc", f"""WITH {_CUM},
+d AS (SELECT *, cum_tp - tp AS ptp, cum_tp - tp + cum_fp - fp AS pall FROM c)
+SELECT round(sum(tp / P * (cum_tp / (cum_tp + cum_fp) + CASE WHEN pall > 0 THEN ptp / pall ELSE 1.0 END) / 2), 6) AS auc FROM d""")
+def q_pr_auc(spark, sf):
+    return curves.pr_auc(_p8(spark, sf), "yb", "score").select(r6("auc"))
+
+
+def _hist_sql(src: str, grp: str, val: str, bins: int = 30) -> str:
+    """CTE chain ending in relation ``h`` (grp, bin, lo, hi, n)."""
+    return f"""_x AS (SELECT {grp} AS grp, CAST({val} AS DOUBLE) AS v FROM {src}),
+_r AS (SELECT grp, CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo0,
+              CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi0 FROM _x GROUP BY grp),
+_c AS (SELECT _x.grp, least({bins - 1}, CAST(floor((v - lo0) * (CAST({bins} AS DOUBLE) / (hi0 - lo0))) AS INTEGER)) AS bin,
+              count(*) AS n FROM _x JOIN _r USING (grp) GROUP BY 1, 2),
+_g AS (SELECT grp, lo0, hi0, CAST(b.i AS INTEGER) AS bin FROM _r, range({bins}) b(i)),
+h AS (SELECT _g.grp, _g.bin, round(lo0 + bin * ((hi0 - lo0) / CAST({bins} AS DOUBLE)), 6) AS lo,
+             round(CASE WHEN bin = {bins - 1} THEN hi0 ELSE lo0 + (bin + 1) * ((hi0 - lo0) / CAST({bins} AS DOUBLE)) END, 6) AS hi,
+             CAST(coalesce(_c.n, 0) AS BIGINT) AS n FROM _g LEFT JOIN _c USING (grp, bin))"""
+
+
+@query("score_histogram", f"""WITH p AS ({fx.P8}), {_hist_sql('p', 'y', 'score')}
+SELECT grp AS class, bin, lo, hi, n FROM h""")
+def q_score_histogram(spark, sf):
+    h = curves.score_histogram(_p8(spark, sf), "y", "score")
+    return h.select("class", "bin", r6("lo"), r6("hi"), "n")
+
+
+# ----------------------------------------------------------------- residual diagnostics (P9)
+
+@query("residual_stats", f"""WITH p AS ({fx.P9})
+SELECT 'y' AS target, round(avg(y - yhat), 6) AS mean, round(stddev_pop(y - yhat), 6) AS std,
+       round(avg(abs(y - yhat)), 6) AS mae, count(*) AS n FROM p""")
+def q_residual_stats(spark, sf):
+    s = diagnostics.residual_stats(_p9(spark, sf), "y", "yhat")
+    return s.select("target", r6("mean"), r6("std"), r6("mae"), "n")
+
+
+@query("residual_points", f"""WITH p AS ({fx.P9})
+SELECT o_orderkey, round(y, 6) AS y, round(yhat, 6) AS yhat, round(y - yhat, 6) AS residual FROM p
+ORDER BY md5(concat_ws(':', '42', CAST(o_orderkey AS VARCHAR))) LIMIT 5000""")
+def q_residual_points(spark, sf):
+    pts = diagnostics.residual_points(_p9(spark, sf), "y", "yhat", "o_orderkey", 5000, 42)
+    return pts.select("o_orderkey", r6("y"), r6("yhat"), r6("residual"))
+
+
+@query("residual_histogram", f"""WITH p AS ({fx.P9}), _rr AS (SELECT 'all' AS g, y - yhat AS residual FROM p),
+{_hist_sql('_rr', 'g', 'residual')}
+SELECT bin, lo, hi, n FROM h""")
+def q_residual_histogram(spark, sf):
+    h = diagnostics.residual_histogram(_p9(spark, sf), "y", "yhat")
+    return h.select("bin", r6("lo"), r6("hi"), "n")
+
+
+@query("diagonal_bounds", f"""WITH p AS ({fx.P9})
+SELECT round(least(min(y), min(yhat)), 6) AS lo, round(greatest(max(y), max(yhat)), 6) AS hi FROM p""")
+def q_diagonal_bounds(spark, sf):
+    return diagnostics.diagonal_bounds(_p9(spark, sf), "y", "yhat").select(r6("lo"), r6("hi"))
+
+
+# ----------------------------------------------------------------- trees (P7 stumps: exact in SQL)
+
+def _stump(spark, sf, task: str, criterion: str, target_sql: str):
+    p = fx.fixture(spark, sf, fx.P7, "lineitem").select(
+        F.array("l_discount", "l_tax").alias("features"), F.expr(target_sql).cast("double").alias("t"))
+    m = trees.TreeModel("tree", task, criterion=criterion, max_depth=1).fit(p, "t")
+    from tabml.session import checkpoint_dir
+    import uuid
+    nodes = trees.tree_nodes(m.model, f"{checkpoint_dir(spark)}/stump-{uuid.uuid4().hex}", 0, 1)
+    root = nodes.where("depth = 0").select("feature", "threshold", "gain", "left", "right")
+    kids = nodes.where("depth = 1").select("id", "count", "prediction")
+    l, r = kids.alias("l"), kids.alias("r")
+    return (root.join(l, F.col("left") == F.col("l.id")).join(r, F.col("right") == F.col("r.id"))
+                .select("feature", r6("threshold"), r6("gain"),
+                        F.col("l.count").alias("left_n"), F.col("r.count").alias("right_n"),
+                        r6(F.col("l.prediction"), "left_pred"), r6(F.col("r.prediction"), "right_pred")))
+
+
+def _stump_sql(impurity: str, target_sql: str) -> str:
+    if impurity == "gini":
+        imp = lambda n, s: f"(1 - ({s}/{n})*({s}/{n}) - (({n}-{s})/{n})*(({n}-{s})/{n}))"
+        pred = lambda n, s, q: f"CASE WHEN {s} > {n} - {s} THEN 1.0 ELSE 0.0 END"
+    elif impurity == "entropy":
+        def ent(p):
+            return f"(CASE WHEN {p} > 0 THEN -({p}) * ln({p}) / ln(2) ELSE 0 END)"
+        imp = lambda n, s: f"({ent(f'{s}/{n}')} + {ent(f'({n}-{s})/{n}')})"
+        pred = lambda n, s, q: f"CASE WHEN {s} > {n} - {s} THEN 1.0 ELSE 0.0 END"
+    else:
+        imp = lambda n, s, q=None: f"(({q})/{n} - ({s}/{n})*({s}/{n}))"
+        pred = lambda n, s, q: f"{s}/{n}"
+    def I(n, s, q):  # noqa: E743
+        return imp(n, s, q) if impurity == "variance" else imp(n, s)
+    return f"""WITH p AS ({fx.P7}), pt AS (SELECT l_discount, l_tax, CAST({target_sql} AS DOUBLE) AS t FROM p),
+feat AS (SELECT 0 AS feature, l_discount AS v, t FROM pt UNION ALL SELECT 1, l_tax, t FROM pt),
+vc AS (SELECT feature, v, count(*) AS n, sum(t) AS s, sum(t * t) AS q FROM feat GROUP BY 1, 2),
+cand AS (SELECT feature, (v + lead(v) OVER (PARTITION BY feature ORDER BY v)) / 2 AS thr,
+                CAST(sum(n) OVER (PARTITION BY feature ORDER BY v) AS DOUBLE) AS nl,
+                sum(s) OVER (PARTITION BY feature ORDER BY v) AS sl, sum(q) OVER (PARTITION BY feature ORDER BY v) AS ql FROM vc),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(t) AS s, sum(t * t) AS q FROM pt),
+g AS (SELECT feature, thr, nl, sl, ql, tot.n - nl AS nr, tot.s - sl AS sr, tot.q - ql AS qr, tot.n AS n, tot.s AS st, tot.q AS qt
+      FROM cand, tot WHERE thr IS NOT NULL),
+sc AS (SELECT *, {I('n', 'st', 'qt')} - (nl / n) * {I('nl', 'sl', 'ql')} - (nr / n) * {I('nr', 'sr', 'qr')} AS gain FROM g),
+best AS (SELECT * FROM sc ORDER BY gain DESC, feature, thr LIMIT 1)
+SELECT CAST(feature AS INTEGER) AS feature, round(thr, 6) AS threshold, round(gain, 6) AS gain,
+       CAST(nl AS BIGINT) AS left_n, CAST(nr AS BIGINT) AS right_n,
+       round({pred('nl', 'sl', 'ql')}, 6) AS left_pred, round({pred('nr', 'sr', 'qr')}, 6) AS right_pred FROM best"""
+
+
+@query("tree_stump_gini", _stump_sql("gini", "y"))
+def q_tree_stump_gini(spark, sf):
+    return _stump(spark, sf, "classification", "gini", "y")
+
+
+@query("tree_stump_entropy", _stump_sql("entropy", "y"))
+def q_tree_stump_entropy(spark, sf):
+    return _stump(spark, sf, "classification", "entropy", "y")
+
+
+@query("tree_stump_variance", _stump_sql("variance", "l_linenumber"))
+def q_tree_stump_variance(spark, sf):
+    return _stump(spark, sf, "regression", "squared_error", "l_linenumber")
+
+
+@query("class_weights", """WITH c AS (SELECT quality, count(*) AS n_class FROM labels GROUP BY 1),
+t AS (SELECT sum(n_class) AS n, count(*) AS k FROM c)
+SELECT quality, n_class, round(CAST(n AS DOUBLE) / (k * n_class), 6) AS weight FROM c, t""")
+def q_class_weights(spark, sf):
+    w = trees.class_weight_table(fx.table(spark, sf, "labels"), "quality")
+    return w.select("quality", "n_class", r6("weight"))
