@@ -46,9 +46,10 @@ def _minkowski(q: np.ndarray, x: np.ndarray, p: float) -> np.ndarray:
 
 def _block_topk(k: int, p: float, key_type, label_type):
     def fn(train: pd.DataFrame, test: pd.DataFrame) -> pd.DataFrame:
-        cols = ["qk", "tk", "dist", "y"]
+        cols = ["_g", "qk", "tk", "dist", "y"]
         if train.empty or test.empty:
             return pd.DataFrame({c: [] for c in cols})
+        g = train["_g"].iloc[0]
         train = train.sort_values("_tk", kind="stable").reset_index(drop=True)
         x = np.stack(train["_x"].to_numpy()).astype(np.float64)
         q = np.stack(test["_x"].to_numpy()).astype(np.float64)
@@ -67,8 +68,9 @@ def _block_topk(k: int, p: float, key_type, label_type):
             out_t.append(tk[idx].ravel())
             out_d.append(d[rows, idx].ravel())
             out_y.append(ty[idx].ravel())
+        qcat = np.concatenate(out_q)
         return pd.DataFrame({
-            "qk": np.concatenate(out_q), "tk": np.concatenate(out_t),
+            "_g": np.full(len(qcat), g), "qk": qcat, "tk": np.concatenate(out_t),
             "dist": np.concatenate(out_d), "y": np.concatenate(out_y),
         })
     return fn
@@ -76,9 +78,11 @@ def _block_topk(k: int, p: float, key_type, label_type):
 
 def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "features",
               label: str | None = None, k: int = 5, p: float = 2, block_rows: int = 4096,
-              test_key: str | None = None) -> DataFrame:
-    """``(<test key>, nn_rank, nn_key, dist, nn_label)`` with the k nearest train
-    rows of every test row (``nn_rank`` 1..k)."""
+              test_key: str | None = None, group: str | None = None) -> DataFrame:
+    """``([group,] <test key>, nn_rank, nn_key, dist, nn_label)`` with the k
+    nearest train rows of every test row (``nn_rank`` 1..k).  With ``group``,
+    test rows only meet train rows of the same group (one join serves, e.g.,
+    every cross-validation fold at once)."""
     if k < 1:
         raise ValueError("k must be >= 1")
     if p < 1:
@@ -92,28 +96,33 @@ def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "feat
     q_blocks = max(1, math.ceil(n_test / block_rows))
     key_type = train.schema[key].dataType
     lab = F.col(label) if label else F.lit(None).cast("double")
+    gcol = F.col(group) if group else F.lit(0)
     tr = train.select(
-        F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), lab.alias("_y"))
+        F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), lab.alias("_y"),
+        gcol.alias("_g"))
     label_type = tr.schema["_y"].dataType
     tr = (tr.withColumn("_tb", F.pmod(F.xxhash64("_tk"), F.lit(t_blocks)).cast("int"))
             .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))))
-    te = (test.select(F.col(test_key).alias("_qk"), F.col(features).cast("array<double>").alias("_x"))
+    te = (test.select(F.col(test_key).alias("_qk"), F.col(features).cast("array<double>").alias("_x"),
+                      gcol.alias("_g"))
               .withColumn("_qb", F.pmod(F.xxhash64("_qk"), F.lit(q_blocks)).cast("int"))
               .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(t_blocks - 1)))))
     schema = T.StructType([
+        T.StructField("_g", tr.schema["_g"].dataType),
         T.StructField("qk", test.schema[test_key].dataType),
         T.StructField("tk", key_type),
         T.StructField("dist", T.DoubleType()),
         T.StructField("y", label_type),
     ])
-    cand = (tr.groupBy("_qb", "_tb").cogroup(te.groupBy("_qb", "_tb"))
+    cand = (tr.groupBy("_g", "_qb", "_tb").cogroup(te.groupBy("_g", "_qb", "_tb"))
               .applyInPandas(_block_topk(k, p, key_type, label_type), schema))
-    w = Window.partitionBy("qk").orderBy("dist", "tk")
+    w = Window.partitionBy("_g", "qk").orderBy("dist", "tk")
     ranked = cand.withColumn("nn_rank", F.row_number().over(w))
     if t_blocks > 1:
         ranked = ranked.where(F.col("nn_rank") <= k)
+    out = [F.col("_g").alias(group)] if group else []
     return ranked.select(
-        F.col("qk").alias(test_key), "nn_rank", F.col("tk").alias("nn_key"), "dist",
+        *out, F.col("qk").alias(test_key), "nn_rank", F.col("tk").alias("nn_key"), "dist",
         F.col("y").alias("nn_label"))
 
 

@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 _MAX_CLASSES = 10_000
 
 
-def pair_counts(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    return df.groupBy(F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(
+def pair_counts(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by, F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
-def _classes(pc: DataFrame) -> DataFrame:
-    return pc.select(F.col("y").alias("class")).union(pc.select(F.col("yhat").alias("class"))).distinct()
+def _classes(pc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return (pc.select(*by, F.col("y").alias("class"))
+              .union(pc.select(*by, F.col("yhat").alias("class"))).distinct())
 
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: DataFrame | None = None,
@@ -47,14 +48,16 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: DataFrame | None
     return out
 
 
-def per_class(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """``(class, tp, support, predicted)`` for the union of labels."""
-    pc = pair_counts(df, y, yhat)
-    sup = pc.groupBy(F.col("y").alias("class")).agg(F.sum("n").alias("support"))
-    pred = pc.groupBy(F.col("yhat").alias("class")).agg(F.sum("n").alias("predicted"))
-    tp = pc.where(F.col("y") == F.col("yhat")).select(F.col("y").alias("class"), F.col("n").alias("tp"))
-    return (_classes(pc).join(sup, "class", "left").join(pred, "class", "left").join(tp, "class", "left")
-            .select("class",
+def per_class(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, class, tp, support, predicted)`` for the union of labels."""
+    by = list(by)
+    pc = pair_counts(df, y, yhat, by)
+    sup = pc.groupBy(*by, F.col("y").alias("class")).agg(F.sum("n").alias("support"))
+    pred = pc.groupBy(*by, F.col("yhat").alias("class")).agg(F.sum("n").alias("predicted"))
+    tp = pc.where(F.col("y") == F.col("yhat")).select(*by, F.col("y").alias("class"), F.col("n").alias("tp"))
+    keys = by + ["class"]
+    return (_classes(pc, by).join(sup, keys, "left").join(pred, keys, "left").join(tp, keys, "left")
+            .select(*keys,
                     F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
                     F.coalesce("support", F.lit(0)).cast("long").alias("support"),
                     F.coalesce("predicted", F.lit(0)).cast("long").alias("predicted")))
@@ -108,37 +111,51 @@ CLASSIFICATION_SCORES = ("accuracy", "f1", "f1_weighted", "f1_macro", "precision
 REGRESSION_SCORES = ("r2", "neg_mean_squared_error", "neg_mean_absolute_error")
 
 
-def classification_scores(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """One row: accuracy, f1_weighted, f1_macro, precision_weighted,
+def classification_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per group of ``by``: accuracy, f1_weighted, f1_macro, precision_weighted,
     recall_weighted, and f1 (binary F1 of the larger label; null unless the
     labels are exactly two)."""
-    x = _prf(per_class(df, y, yhat))
+    x = _prf(per_class(df, y, yhat, by))
     w = lambda c: F.sum(F.col(c) * F.col("support")) / F.sum("support")
-    agg = x.agg(
+    agg = x.groupBy(*by).agg(
         (F.sum("tp") / F.sum("support")).alias("accuracy"),
         w("f1").alias("f1_weighted"), F.avg("f1").alias("f1_macro"),
         w("precision").alias("precision_weighted"), w("recall").alias("recall_weighted"),
         F.count(F.lit(1)).alias("_k"),
         F.max(F.struct(F.col("class"), F.col("f1")))["f1"].alias("_f1_pos"))
-    return agg.select("accuracy", F.when(F.col("_k") == 2, F.col("_f1_pos")).alias("f1"),
+    return agg.select(*by, "accuracy", F.when(F.col("_k") == 2, F.col("_f1_pos")).alias("f1"),
                       "f1_weighted", "f1_macro", "precision_weighted", "recall_weighted")
 
 
-def regression_scores(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """One row: r2, mse, mae, neg_mean_squared_error, neg_mean_absolute_error, n."""
+def regression_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per group of ``by``: r2, mse, mae, neg_mean_squared_error,
+    neg_mean_absolute_error, n."""
     e = F.col(yhat) - F.col(y)
-    a = df.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.sum(F.abs(e)).alias("sae"),
-               F.var_pop(y).alias("vy"))
+    a = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"),
+                            F.sum(F.abs(e)).alias("sae"), F.var_pop(y).alias("vy"))
     sst = F.col("vy") * F.col("n")
     r2 = (F.when(sst > 0, 1 - F.col("sse") / sst)
            .when(F.col("sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    return a.select(r2.alias("r2"), (F.col("sse") / F.col("n")).alias("mse"),
+    return a.select(*by, r2.alias("r2"), (F.col("sse") / F.col("n")).alias("mse"),
                     (F.col("sae") / F.col("n")).alias("mae"),
                     (-F.col("sse") / F.col("n")).alias("neg_mean_squared_error"),
                     (-F.col("sae") / F.col("n")).alias("neg_mean_absolute_error"),
                     F.col("n").cast("long").alias("n"))
 
 
+def score_by(df: DataFrame, y: str, yhat: str, scoring: str, by: Sequence[str]) -> DataFrame:
+    """``(*by, score)`` for a scoring name of the reference's menus."""
+    if scoring in REGRESSION_SCORES:
+        return regression_scores(df, y, yhat, by).select(*by, F.col(scoring).alias("score"))
+    if scoring not in CLASSIFICATION_SCORES:
+        raise ValueError(f"unknown scoring {scoring!r}")
+    s = classification_scores(df, y, yhat, by)
+    if scoring == "f1":
+        s = s.withColumn("f1", F.when(F.col("f1").isNotNull(), F.col("f1")).otherwise(
+            F.raise_error(F.lit("scoring 'f1' needs a binary target; use f1_weighted"))))
+    return s.select(*by, F.col(scoring).alias("score"))
+
+
 def score(df: DataFrame, y: str, yhat: str, scoring: str) -> DataFrame:
     """Single value ``score`` for a scoring name of the reference's menus."""
     if scoring in REGRESSION_SCORES:

@@ -33,26 +33,26 @@ s AS (SELECT _hh.* EXCLUDE (_h), row_number() OVER (ORDER BY _hh._h) <= _t._nt A
 
 def kfold(src: str, key: str, k: int = 5, seed: int = 42) -> str:
     """CTEs ending in relation ``f`` = src columns + fold."""
-    return f"""_hh AS ({hashed(src, key, seed)}),
-_r AS (SELECT *, row_number() OVER (ORDER BY _h) - 1 AS _r, count(*) OVER () AS _n FROM _hh),
-f AS (SELECT _r.* EXCLUDE (_h, _r, _n),
+    return f"""_kh AS ({hashed(src, key, seed)}),
+_kr AS (SELECT *, row_number() OVER (ORDER BY _h) - 1 AS _r, count(*) OVER () AS _n FROM _kh),
+f AS (SELECT _kr.* EXCLUDE (_h, _r, _n),
         CAST(CASE WHEN _r < (_n % {k}) * (_n // {k} + 1) THEN _r // (_n // {k} + 1)
              ELSE (_n % {k}) + (_r - (_n % {k}) * (_n // {k} + 1)) // (_n // {k}) END AS INTEGER) AS fold
-      FROM _r)"""
+      FROM _kr)"""
 
 
 def kfold_stratified(src: str, key: str, cls: str, k: int = 5, seed: int = 42) -> str:
-    return f"""_hh AS ({hashed(src, key, seed)}),
-_c AS (SELECT {cls} AS _cls, count(*) AS _n FROM _hh GROUP BY 1),
-_o AS (SELECT _cls, _n, coalesce(sum(_n) OVER (ORDER BY _cls ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off FROM _c),
-_f AS (SELECT _cls, t.i AS fold,
+    return f"""_kh AS ({hashed(src, key, seed)}),
+_kc AS (SELECT {cls} AS _cls, count(*) AS _n FROM _kh GROUP BY 1),
+_ko AS (SELECT _cls, _n, coalesce(sum(_n) OVER (ORDER BY _cls ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _off FROM _kc),
+_kf AS (SELECT _cls, t.i AS fold,
         (CASE WHEN _off + _n > t.i THEN (_off + _n - t.i + {k} - 1) // {k} ELSE 0 END)
         - (CASE WHEN _off > t.i THEN (_off - t.i + {k} - 1) // {k} ELSE 0 END) AS _sz
-       FROM _o, range({k}) t(i)),
-_e AS (SELECT _cls, fold, _sz, sum(_sz) OVER (PARTITION BY _cls ORDER BY fold) AS _end FROM _f),
-_rr AS (SELECT *, row_number() OVER (PARTITION BY {cls} ORDER BY _h) AS _rn FROM _hh),
-f AS (SELECT _rr.* EXCLUDE (_h, _rn), CAST(_e.fold AS INTEGER) AS fold FROM _rr JOIN _e
-      ON _rr.{cls} = _e._cls AND _rr._rn > _e._end - _e._sz AND _rr._rn <= _e._end)"""
+       FROM _ko, range({k}) t(i)),
+_ke AS (SELECT _cls, fold, _sz, sum(_sz) OVER (PARTITION BY _cls ORDER BY fold) AS _end FROM _kf),
+_kr AS (SELECT *, row_number() OVER (PARTITION BY {cls} ORDER BY _h) AS _rn FROM _kh),
+f AS (SELECT _kr.* EXCLUDE (_h, _rn), CAST(_ke.fold AS INTEGER) AS fold FROM _kr JOIN _ke
+      ON _kr.{cls} = _ke._cls AND _kr._rn > _ke._end - _ke._sz AND _kr._rn <= _ke._end)"""
 
 
 def dist_expr(a: str, b: str, p: int = 2) -> str:
