@@ -116,6 +116,14 @@ class TreeModel:
 
     def fit(self, df: DataFrame, label: str, features: str = "features") -> "TreeModel":
         data = _vec(df, features)
+        self.label = label
+        self.classes_ = None
+        if self.task == "classification":
+            # classes as 0..k-1 in sorted order (bounded list); decoded again in predict
+            self.classes_ = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
+            items = sum(([F.lit(c), F.lit(float(i))] for i, c in enumerate(self.classes_)), [])
+            data = data.withColumn("_label", F.element_at(F.create_map(*items), F.col(label)))
+            label = "_label"
         wc = None
         if self.class_weight == "balanced":
             if self.task != "classification":
@@ -130,7 +138,10 @@ class TreeModel:
     def predict(self, df: DataFrame, features: str = "features", out_col: str = "prediction",
                 keep_proba: bool = False) -> DataFrame:
         out = self.model.transform(_vec(df, features))
-        cols = [c for c in df.columns] + [F.col("prediction").alias(out_col)]
+        pred = F.col("prediction")
+        if getattr(self, "classes_", None) is not None:
+            pred = F.element_at(F.array(*[F.lit(c) for c in self.classes_]), pred.cast("int") + 1)
+        cols = [c for c in df.columns] + [pred.alias(out_col)]
         if keep_proba and "probability" in out.columns:
             from pyspark.ml.functions import vector_to_array
             cols.append(vector_to_array("probability").alias("probability"))

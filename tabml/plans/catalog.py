@@ -599,3 +599,282 @@ def q_cv_knn(spark, sf):
                                  folds=5, seed=42, grid=_CV_GRID, scoring="accuracy")
     return rep.select("scaler", "p", "n_neighbors", "weights", "algorithm", r6("mean_test_score"),
                       r6("std_test_score"), "rank_test_score")
+
+
+# ----------------------------------------------------------------- preprocessing matrix and names (P1)
+
+_P1_FEATS = ["p_size", "p_retailprice", "p_type"]
+
+
+@query("preprocess_matrix", f"""WITH p AS ({fx.P1}), {sq.std_matrix('p', 'p', 'p_partkey', ['p_size', 'p_retailprice'], 'p_type')}
+SELECT p_partkey, CAST(i - 1 AS INTEGER) AS idx, round(xs[i], 6) AS value
+FROM mx, range(1, len(xs) + 1) t(i)""")
+def q_preprocess_matrix(spark, sf):
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    pm = prep.Preprocess(scaler="standard").fit(p, _P1_FEATS)
+    x = pm.transform(p, keep=["p_partkey"])
+    return x.select("p_partkey", F.posexplode("features").alias("idx", "value")).select(
+        "p_partkey", "idx", r6("value"))
+
+
+@query("feature_names", f"""WITH p AS ({fx.P1})
+SELECT 0 AS idx, 'p_size' AS name UNION ALL SELECT 1, 'p_retailprice'
+UNION ALL SELECT CAST(1 + row_number() OVER (ORDER BY v) AS INTEGER), 'p_type_' || v FROM (SELECT DISTINCT p_type AS v FROM p)""")
+def q_feature_names(spark, sf):
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    names = prep.Preprocess().fit(p, _P1_FEATS).feature_names()
+    return spark.createDataFrame(list(enumerate(names)), "idx int, name string")
+
+
+# ----------------------------------------------------------------- KNN with preprocessing (P2, P3)
+
+@query("knn_regress", f"""WITH p AS ({fx.P2}), {sq.split_random('SELECT * FROM p', 'p_partkey')},
+_fit AS (SELECT * FROM s WHERE NOT is_test),
+{sq.std_matrix('s', '_fit', 'p_partkey', ['p_size', 'p_retailprice'], 'p_type')},
+_x AS (SELECT s.p_partkey, s.y, s.is_test, mx.xs FROM s JOIN mx USING (p_partkey)),
+_d AS (SELECT a.p_partkey AS qk, b.p_partkey AS tk, b.y AS y, {sq.dist_expr('a.xs', 'b.xs')} AS dist
+       FROM _x a JOIN _x b ON a.is_test AND NOT b.is_test),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qk ORDER BY dist, tk) AS rk FROM _d) WHERE rk <= 5)
+SELECT qk AS p_partkey, round(avg(y), 6) AS prediction FROM nb GROUP BY qk""")
+def q_knn_regress(spark, sf):
+    p = fx.fixture(spark, sf, fx.P2, "part")
+    s = split.train_test_split(p, ["p_partkey"], 0.2, 42)
+    pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _P1_FEATS)
+    x = pm.transform(s, keep=["p_partkey", "is_test", "y"])
+    nb = knn.neighbors(x.where(~F.col("is_test")), x.where(F.col("is_test")), "p_partkey", "features", "y", k=5)
+    return knn.regress(nb, "p_partkey", 5).select("p_partkey", r6("prediction"))
+
+
+@query("knn_multi_target", f"""WITH p AS ({fx.P3}), {sq.split_random('SELECT * FROM p', 'p_partkey')},
+_x AS (SELECT p_partkey, y1, y2, is_test, list_value(CAST(p_size AS DOUBLE), p_retailprice) AS xs FROM s),
+_d AS (SELECT a.p_partkey AS qk, b.p_partkey AS tk, b.y1, b.y2, {sq.dist_expr('a.xs', 'b.xs')} AS dist
+       FROM _x a JOIN _x b ON a.is_test AND NOT b.is_test),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qk ORDER BY dist, tk) AS rk FROM _d) WHERE rk <= 5),
+v1 AS (SELECT qk, y1 AS y, count(*) AS w FROM nb GROUP BY 1, 2),
+v2 AS (SELECT qk, y2 AS y, count(*) AS w FROM nb GROUP BY 1, 2)
+SELECT qk AS p_partkey, 'y1' AS target, arg_min(y, (-w, y)) AS prediction FROM v1 GROUP BY qk
+UNION ALL SELECT qk, 'y2', CAST(arg_min(y, (-w, y)) AS VARCHAR) FROM v2 GROUP BY qk""")
+def q_knn_multi_target(spark, sf):
+    p = fx.fixture(spark, sf, fx.P3, "part")
+    s = split.train_test_split(p, ["p_partkey"], 0.2, 42).withColumn(
+        "x", F.array(F.col("p_size").cast("double"), F.col("p_retailprice")))
+    tr, te = s.where(~F.col("is_test")), s.where(F.col("is_test"))
+    nb = knn.neighbors(tr, te, "p_partkey", "x", None, k=5)
+    labels = tr.select(F.col("p_partkey").alias("nn_key"), "y1", "y2")
+    nbl = nb.drop("nn_label").join(labels, "nn_key")
+    outs = []
+    for t in ("y1", "y2"):
+        pr = knn.vote(nbl.select("p_partkey", "nn_rank", "dist", F.col(t).alias("nn_label")), "p_partkey", 5)
+        outs.append(pr.select("p_partkey", F.lit(t).alias("target"), F.col("prediction").cast("string")))
+    return outs[0].unionByName(outs[1])
+
+
+# ----------------------------------------------------------------- profile, multi-target scores, CV without a grid
+
+from tabml.sources import io as tio  # noqa: E402
+
+_PROFILE_COLS = [("c_custkey", True), ("c_name", False), ("c_nationkey", True), ("c_acctbal", True),
+                 ("c_mktsegment", False)]
+
+
+@query("profile", "SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS n, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS "distinct",
+       {f'round(CAST(min({c}) AS DOUBLE), 6)' if num else 'CAST(NULL AS DOUBLE)'} AS min,
+       {f'round(CAST(max({c}) AS DOUBLE), 6)' if num else 'CAST(NULL AS DOUBLE)'} AS max,
+       {f'round(avg({c}), 6)' if num else 'CAST(NULL AS DOUBLE)'} AS mean,
+       {f'round(stddev_samp({c}), 6)' if num else 'CAST(NULL AS DOUBLE)'} AS std FROM customer"""
+    for c, num in _PROFILE_COLS) + ")")
+def q_profile(spark, sf):
+    df = tio.read_table(spark, f"{sf}/customer.parquet")
+    return tio.profile(df).select("column", "n", "nulls", "distinct", r6("min"), r6("max"), r6("mean"), r6("std"))
+
+
+_P8_TWO = f"""SELECT o_orderkey, y, yhat, CAST(yb AS STRING) AS yb, CASE WHEN score >= 0.5 THEN '1' ELSE '0' END AS ybhat
+FROM ({fx.P8}) q"""
+
+
+@query("scores_multi", f"""WITH p AS ({_P8_TWO}),
+_a AS (SELECT 'y' AS target, y AS t, yhat AS h FROM p UNION ALL SELECT 'yb', yb, ybhat FROM p),
+_pc AS (SELECT target, t, h, count(*) AS n FROM _a GROUP BY 1, 2, 3),
+_cl AS (SELECT target, t AS c FROM _pc UNION SELECT target, h FROM _pc),
+_pcl AS (SELECT _cl.target, _cl.c,
+          coalesce((SELECT sum(n) FROM _pc WHERE _pc.target = _cl.target AND _pc.t = _cl.c AND _pc.h = _cl.c), 0) AS tp,
+          coalesce((SELECT sum(n) FROM _pc WHERE _pc.target = _cl.target AND _pc.t = _cl.c), 0) AS support,
+          coalesce((SELECT sum(n) FROM _pc WHERE _pc.target = _cl.target AND _pc.h = _cl.c), 0) AS predicted FROM _cl),
+_pr AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS pr,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rc FROM _pcl),
+_f AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END AS f1 FROM _pr),
+_s AS (SELECT target, sum(tp) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS f1_weighted FROM _f GROUP BY target),
+_l AS (SELECT target, 'accuracy' AS metric, accuracy AS value FROM _s UNION ALL SELECT target, 'f1_weighted', f1_weighted FROM _s)
+SELECT target, 'all' AS split, metric, round(value, 6) AS value FROM _l
+UNION ALL SELECT 'mean', 'all', metric, round(avg(value), 6) FROM _l GROUP BY metric""")
+def q_scores_multi(spark, sf):
+    p = fx.fixture(spark, sf, _P8_TWO, "orders")
+    e1 = metrics.eval_classifier(p, "y", "yhat", target="y")
+    e2 = metrics.eval_classifier(p, "yb", "ybhat", target="yb")
+    return metrics.eval_multi(e1.unionByName(e2)).select("target", "split", "metric", r6("value"))
+
+
+# ----------------------------------------------------------------- model fits without an SQL oracle (invariants in tests/)
+
+from tabml.operators import score as score_op  # noqa: E402
+from tabml.operators import svm as svm_op  # noqa: E402
+from tabml.plans.train import train as train_entry  # noqa: E402
+
+
+def _p1_split(spark, sf, stratify=True):
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    s = split.train_test_split(p, ["p_partkey"], 0.2, 42, stratify="y" if stratify else None)
+    pm = prep.Preprocess(cat_encoder="ordinal").fit(s.where(~F.col("is_test")), _P1_FEATS)
+    return pm, pm.transform(s, keep=["p_partkey", "is_test", "y"])
+
+
+def _tree_pred(spark, sf, kind, task):
+    if task == "classification":
+        _, x = _p1_split(spark, sf)
+        params = dict(max_depth=3) if kind == "tree" else dict(max_depth=5, n_estimators=20)
+    else:
+        p = fx.fixture(spark, sf, fx.P2, "part")
+        s = split.train_test_split(p, ["p_partkey"], 0.2, 42)
+        pm = prep.Preprocess(cat_encoder="ordinal").fit(s.where(~F.col("is_test")), _P1_FEATS)
+        x = pm.transform(s, keep=["p_partkey", "is_test", "y"])
+        params = dict(max_depth=8) if kind == "tree" else dict(max_depth=8, n_estimators=20)
+    m = trees.TreeModel(kind, task, **params).fit(x.where(~F.col("is_test")), "y")
+    return m, m.predict(x.where(F.col("is_test"))).select("p_partkey", "y", "prediction")
+
+
+@query("tree_classify")
+def q_tree_classify(spark, sf):
+    return _tree_pred(spark, sf, "tree", "classification")[1]
+
+
+@query("forest_classify")
+def q_forest_classify(spark, sf):
+    return _tree_pred(spark, sf, "forest", "classification")[1]
+
+
+@query("tree_regress")
+def q_tree_regress(spark, sf):
+    return _tree_pred(spark, sf, "tree", "regression")[1]
+
+
+@query("forest_regress")
+def q_forest_regress(spark, sf):
+    return _tree_pred(spark, sf, "forest", "regression")[1]
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    pm, x = _p1_split(spark, sf)
+    m = trees.TreeModel("tree", "classification", max_depth=3).fit(x.where(~F.col("is_test")), "y")
+    return trees.feature_importance(m.model, pm.feature_names())
+
+
+@query("tree_nodes")
+def q_tree_nodes(spark, sf):
+    import uuid
+    from tabml.session import checkpoint_dir
+    _, x = _p1_split(spark, sf)
+    m = trees.TreeModel("forest", "classification", max_depth=5, n_estimators=5).fit(x.where(~F.col("is_test")), "y")
+    return trees.tree_nodes(m.model, f"{checkpoint_dir(spark)}/nodes-{uuid.uuid4().hex}", tree_index=1, max_depth=3)
+
+
+@query("pca")
+def q_pca(spark, sf):
+    li = fx.table(spark, sf, "lineitem")
+    pm = prep.Preprocess(scaler="standard", pca=2).fit(li, _COV_COLS)
+    x = pm.transform(li, keep=["l_orderkey", "l_linenumber"])
+    return x.select("l_orderkey", "l_linenumber", F.col("features")[0].alias("pc0"), F.col("features")[1].alias("pc1"))
+
+
+def _p6(spark, sf):
+    p6 = fx.fixture(spark, sf, fx.P6_SPARK, "embeddings").select(
+        "vec_id", F.col("y").cast("string").alias("y"), F.col("embedding").cast("array<double>").alias("x"))
+    return split.train_test_split(p6, ["vec_id"], 0.2, 42, stratify="y")
+
+
+def _svc(spark, sf, kernel, probability=False):
+    s = _p6(spark, sf)
+    m = svm_op.SVC(C=1.0, kernel=kernel, probability=probability).fit(s.where(~F.col("is_test")), "y", "x",
+                                                                      key="vec_id")
+    return m, s
+
+
+@query("svc_linear")
+def q_svc_linear(spark, sf):
+    m, s = _svc(spark, sf, "linear")
+    return m.predict(s.where(F.col("is_test"))).select("vec_id", "y", "prediction")
+
+
+@query("svc_rbf")
+def q_svc_rbf(spark, sf):
+    m, s = _svc(spark, sf, "rbf")
+    return m.predict(s.where(F.col("is_test"))).select("vec_id", "y", "prediction")
+
+
+@query("svc_proba")
+def q_svc_proba(spark, sf):
+    m, s = _svc(spark, sf, "linear", probability=True)
+    return m.predict(s.where(F.col("is_test"))).select("vec_id", "y", "prediction",
+                                                       F.col("probability")[1].alias("p_true"))
+
+
+@query("svm_insight")
+def q_svm_insight(spark, sf):
+    m, s = _svc(spark, sf, "linear")
+    return svm_op.svm_insight(m, s.where(~F.col("is_test")), "vec_id")
+
+
+def _svr(spark, sf, kernel):
+    p = fx.fixture(spark, sf, fx.P2, "part")
+    s = split.train_test_split(p, ["p_partkey"], 0.2, 42)
+    pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _P1_FEATS)
+    x = pm.transform(s, keep=["p_partkey", "is_test", "y"])
+    m = svm_op.SVR(C=10.0, epsilon=0.1, kernel=kernel).fit(x.where(~F.col("is_test")), "y", key="p_partkey")
+    return m.predict(x.where(F.col("is_test"))).select("p_partkey", "y", "prediction")
+
+
+@query("svr_linear")
+def q_svr_linear(spark, sf):
+    return _svr(spark, sf, "linear")
+
+
+@query("svr_rbf")
+def q_svr_rbf(spark, sf):
+    return _svr(spark, sf, "rbf")
+
+
+@query("save_load_roundtrip")
+def q_save_load_roundtrip(spark, sf):
+    """Predictions of a saved-then-loaded bundle against the in-memory one:
+    one row with the number of rows and of disagreements (expected 0)."""
+    import uuid
+    from tabml.session import checkpoint_dir
+    from tabml.sources import store
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    r = train_entry(p, "p_partkey", "y", _P1_FEATS, "tree_classifier", max_depth=3)
+    path = f"{checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
+    store.save_model(r.bundle, path)
+    b = store.load_model(path)
+    a = score_op.predict(r.bundle, p).select("p_partkey", F.col("pred_y").alias("a"))
+    c = score_op.predict(b, p).select("p_partkey", F.col("pred_y").alias("b"))
+    return a.join(c, "p_partkey").agg(F.count(F.lit(1)).alias("n"),
+                                      F.sum((F.col("a") != F.col("b")).cast("long")).alias("mismatches"))
+
+
+@query("list_datasets")
+def q_list_datasets(spark, sf):
+    return tio.list_datasets(spark, sf, "*.parquet").select("path", "size")
+
+
+@query("cv_tree")
+def q_cv_tree(spark, sf):
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    s = split.train_test_split(p, ["p_partkey"], 0.2, 42, stratify="y")
+
+    def make(**params):
+        return trees.TreeModel("tree", "classification", **params)
+    rep = tuning.fold_grid_search(s.where(~F.col("is_test")), "p_partkey", _P1_FEATS, "y", make,
+                                  {"criterion": ["gini", "entropy"], "max_depth": [2, 3]}, "classification",
+                                  folds=3, seed=42, prep_params={"cat_encoder": "ordinal"})
+    return rep.select("params", "mean_test_score", "std_test_score", "rank_test_score")

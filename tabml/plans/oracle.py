@@ -107,3 +107,30 @@ rep AS (
 
 def rounded(cols: list[str], digits: int = 6) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+
+
+_EPS = "2.220446049250313e-15"
+
+
+def std_matrix(src: str, fit: str, key: str, num: list[str], cat: str | None, scale: bool = True) -> str:
+    """CTEs ending in ``mx`` (key, xs): numeric columns then the one-hot block of
+    ``cat`` (sorted categories of ``fit``), each standard-scaled with the
+    population statistics of ``fit`` when ``scale``."""
+    sel_n = ", ".join(f"avg({c}) AS _m{i}, stddev_pop({c}) AS _s{i}" for i, c in enumerate(num))
+
+    def sc(expr, m, s):
+        if not scale:
+            return expr
+        return f"(({expr}) - {m}) / (CASE WHEN abs({s}) < {_EPS} THEN 1.0 ELSE {s} END)"
+    nums = ", ".join(sc(f"CAST(a.{c} AS DOUBLE)", f"_m{i}", f"_s{i}") for i, c in enumerate(num))
+    cat_part = ""
+    ctes = f"_nst AS (SELECT {sel_n} FROM {fit})"
+    if cat:
+        ctes += f""",
+_cats AS (SELECT v, CAST(row_number() OVER (ORDER BY v) AS INTEGER) AS ci FROM (SELECT DISTINCT {cat} AS v FROM {fit})),
+_ist AS (SELECT c.ci, c.v, avg(CASE WHEN r.{cat} = c.v THEN 1.0 ELSE 0.0 END) AS m,
+                stddev_pop(CASE WHEN r.{cat} = c.v THEN 1.0 ELSE 0.0 END) AS sd FROM {fit} r, _cats c GROUP BY c.ci, c.v)"""
+        one = sc(f"CASE WHEN a.{cat} = i.v THEN 1.0 ELSE 0.0 END", "i.m", "i.sd")
+        cat_part = f" || (SELECT list({one} ORDER BY i.ci) FROM _ist i)"
+    return f"""{ctes},
+mx AS (SELECT a.{key}, list_value({nums}){cat_part} AS xs FROM {src} a, _nst)"""

@@ -43,7 +43,7 @@ def save_model(bundle, path: str) -> None:
             continue
         if bundle.family in ("tree", "forest"):
             m.model.write().overwrite().save(f"{path}/model_{i}")
-            models[t] = {"kind": "mllib", "task": m.task, "family": m.kind}
+            models[t] = {"kind": "mllib", "task": m.task, "family": m.kind, "classes": m.classes_}
         else:
             st = _svm_state(m)
             if st["kind"] == "SVC":
@@ -92,6 +92,7 @@ def load_model(path: str):
                    ("forest", "regression"): RandomForestRegressionModel}[(st["family"], st["task"])]
             tm = trees.TreeModel(st["family"], st["task"])
             tm.model = cls.load(f"{path}/model_{i}")
+            tm.classes_, tm.label = st.get("classes"), t
             b.models[t] = tm
             continue
         m = svm.SVC(**st["params"]) if st["kind"] == "SVC" else svm.SVR(**st["params"])
