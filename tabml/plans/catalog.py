@@ -878,3 +878,79 @@ def q_cv_tree(spark, sf):
                                   {"criterion": ["gini", "entropy"], "max_depth": [2, 3]}, "classification",
                                   folds=3, seed=42, prep_params={"cat_encoder": "ordinal"})
     return rep.select("params", "mean_test_score", "std_test_score", "rank_test_score")
+
+
+# ----------------------------------------------------------------- train entry, batch scoring, preview (KNN, exact)
+
+_KNN_PIPE = f"""p AS ({fx.P1}),
+_lab AS (SELECT y AS label, CAST(dense_rank() OVER (ORDER BY y) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT y FROM p)),
+e AS (SELECT p.p_partkey, p.p_size, p.p_retailprice, p.p_type, _lab.code AS y FROM p JOIN _lab ON p.y = _lab.label),
+{sq.split_stratified('SELECT * FROM e', 'p_partkey', 'y')},
+_fit AS (SELECT * FROM s WHERE NOT is_test),
+{sq.std_matrix('s', '_fit', 'p_partkey', ['p_size', 'p_retailprice'], 'p_type')},
+_x AS (SELECT s.p_partkey, s.y, s.is_test, mx.xs FROM s JOIN mx USING (p_partkey)),
+_d AS (SELECT a.p_partkey AS qk, a.is_test, a.y AS ytrue, b.p_partkey AS tk, b.y AS y,
+              {sq.dist_expr('a.xs', 'b.xs')} AS dist FROM _x a JOIN _x b ON NOT b.is_test),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qk ORDER BY dist, tk) AS rk FROM _d) WHERE rk <= 5),
+_v AS (SELECT qk, is_test, ytrue, y, count(*) AS w FROM nb GROUP BY ALL),
+_p AS (SELECT qk, any_value(is_test) AS is_test, any_value(ytrue) AS t, arg_min(y, (-w, y)) AS h FROM _v GROUP BY qk)"""
+
+
+def _train_knn(spark, sf):
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    return train_entry(p, "p_partkey", "y", _P1_FEATS, "knn_classifier", scaler="standard")
+
+
+@query("train_summary", f"""WITH {_KNN_PIPE},
+{sq.scores_by('_p', "CASE WHEN is_test THEN 'test' ELSE 'train' END")}
+SELECT 'y' AS target, g AS split, 'accuracy' AS metric, round(accuracy, 6) AS value FROM _sc
+UNION ALL SELECT 'y', g, 'f1_weighted', round(f1_weighted, 6) FROM _sc""")
+def q_train_summary(spark, sf):
+    r = _train_knn(spark, sf)
+    return r.evaluation.select("target", "split", "metric", r6("value"))
+
+
+_BATCH_SQL = f"""WITH {_KNN_PIPE}
+SELECT _p.qk AS p_partkey, _lab.label AS pred_y FROM _p JOIN _lab ON _p.h = _lab.code"""
+
+
+def _batch(spark, sf):
+    import uuid
+    from tabml.session import checkpoint_dir
+    from tabml.sources import store
+    r = _train_knn(spark, sf)
+    path = f"{checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
+    store.save_model(r.bundle, path)
+    b = store.load_model(path)
+    return score_op.predict(b, fx.table(spark, sf, "part")).select("p_partkey", "pred_y")
+
+
+@query("batch_score", _BATCH_SQL)
+def q_batch_score(spark, sf):
+    return _batch(spark, sf)
+
+
+@query("prediction_preview", f"""SELECT * FROM ({_BATCH_SQL}) ORDER BY p_partkey LIMIT 10""")
+def q_prediction_preview(spark, sf):
+    return roles.preview(_batch(spark, sf), "p_partkey", 10)
+
+
+# ----------------------------------------------------------------- streaming scoring
+
+from tabml.streaming import score as stream_score  # noqa: E402
+
+
+@query("stream_score", _BATCH_SQL)
+def q_stream_score(spark, sf):
+    """The part table read as a file stream, scored micro-batch by micro-batch
+    with the saved KNN bundle; the sink is read back."""
+    import uuid
+    from tabml.session import checkpoint_dir
+    r = _train_knn(spark, sf)
+    part = fx.table(spark, sf, "part")
+    stream = (spark.readStream.schema(part.schema).option("pathGlobFilter", "part.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf))
+    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    q = stream_score.score_stream(r.bundle, stream, f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("p_partkey", "pred_y")

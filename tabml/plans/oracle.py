@@ -134,3 +134,17 @@ _ist AS (SELECT c.ci, c.v, avg(CASE WHEN r.{cat} = c.v THEN 1.0 ELSE 0.0 END) AS
         cat_part = f" || (SELECT list({one} ORDER BY i.ci) FROM _ist i)"
     return f"""{ctes},
 mx AS (SELECT a.{key}, list_value({nums}){cat_part} AS xs FROM {src} a, _nst)"""
+
+
+def scores_by(src: str, by: str, t: str = "t", h: str = "h") -> str:
+    """CTE ``_sc`` (by, accuracy, f1_weighted) from relation ``src``."""
+    return f"""_spc AS (SELECT {by} AS g, {t} AS t, {h} AS h, count(*) AS n FROM {src} GROUP BY ALL),
+_scl AS (SELECT g, t AS c FROM _spc UNION SELECT g, h FROM _spc),
+_spl AS (SELECT _scl.g, _scl.c,
+          coalesce((SELECT sum(n) FROM _spc WHERE _spc.g = _scl.g AND _spc.t = _scl.c AND _spc.h = _scl.c), 0) AS tp,
+          coalesce((SELECT sum(n) FROM _spc WHERE _spc.g = _scl.g AND _spc.t = _scl.c), 0) AS support,
+          coalesce((SELECT sum(n) FROM _spc WHERE _spc.g = _scl.g AND _spc.h = _scl.c), 0) AS predicted FROM _scl),
+_spr AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS pr,
+                CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rc FROM _spl),
+_sf AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END AS f1 FROM _spr),
+_sc AS (SELECT g, sum(tp) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS f1_weighted FROM _sf GROUP BY g)"""
