@@ -559,25 +559,40 @@ def q_class_weights(spark, sf):
 
 from tabml.operators import tuning  # noqa: E402
 
-_CV_GRID = {"scaler": ["standard", None], "n_neighbors": [3, 5], "weights": ["uniform", "distance"],
+_CV_GRID = {"scaler": ["standard", "minmax", None], "n_neighbors": [3, 5], "weights": ["uniform", "distance"],
             "p": [2], "algorithm": ["auto"]}
 
-_CV_SQL = f"""WITH {sq.split_stratified(_EMB, 'vec_id', 'label')},
+
+def _cv_sql(scalers: list[str], cands: list[tuple[int, str]], kmax: int) -> str:
+    """Oracle of the KNN grid search: stratified split, stratified folds of the
+    training rows, per-fold scaling fitted on the other folds, exact k-NN."""
+    eps = "2.220446049250313e-15"
+    parts = []
+    if "standard" in scalers:
+        parts.append(f"""SELECT 'standard' AS scaler, l.vec_id, st.g,
+               list((l.v - st.c) / (CASE WHEN abs(st.sd) < {eps} THEN 1.0 ELSE st.sd END) ORDER BY l.j) AS xs
+        FROM _long l JOIN _st st ON st.j = l.j GROUP BY 1, 2, 3""")
+    if "minmax" in scalers:
+        parts.append(f"""SELECT 'minmax' AS scaler, l.vec_id, st.g,
+               list((l.v - st.mn) / (CASE WHEN abs(st.mx - st.mn) < {eps} THEN 1.0 ELSE st.mx - st.mn END) ORDER BY l.j) AS xs
+        FROM _long l JOIN _st st ON st.j = l.j GROUP BY 1, 2, 3""")
+    if "none" in scalers:
+        parts.append("SELECT 'none' AS scaler, f.vec_id, gg.i AS g, f.x AS xs FROM f, range(5) gg(i)")
+    values = ", ".join(f"({k}, '{w}')" for k, w in cands)
+    return f"""WITH {sq.split_stratified(_EMB, 'vec_id', 'label')},
 _tr AS (SELECT vec_id, label, x FROM s WHERE NOT is_test),
 {sq.kfold_stratified('SELECT * FROM _tr', 'vec_id', 'label')},
 _long AS (SELECT vec_id, fold, unnest(range(1, len(x) + 1)) AS j, unnest(x) AS v FROM f),
-_st AS (SELECT gg.i AS g, j, avg(v) AS c, stddev_pop(v) AS sd FROM _long, range(5) gg(i)
+_st AS (SELECT gg.i AS g, j, avg(v) AS c, stddev_pop(v) AS sd, min(v) AS mn, max(v) AS mx FROM _long, range(5) gg(i)
         WHERE _long.fold <> gg.i GROUP BY 1, 2),
-_sx AS (SELECT 'standard' AS scaler, l.vec_id, st.g,
-               list((l.v - st.c) / (CASE WHEN abs(st.sd) < 2.220446049250313e-15 THEN 1.0 ELSE st.sd END) ORDER BY l.j) AS xs
-        FROM _long l JOIN _st st ON st.j = l.j GROUP BY 1, 2, 3
-        UNION ALL SELECT 'none', f.vec_id, gg.i, f.x FROM f, range(5) gg(i)),
+_sx AS ({" UNION ALL ".join(parts)}),
 _cq AS (SELECT sx.*, f.label FROM _sx sx JOIN f ON f.vec_id = sx.vec_id AND f.fold = sx.g),
 _ct AS (SELECT sx.*, f.label FROM _sx sx JOIN f ON f.vec_id = sx.vec_id AND f.fold <> sx.g),
 _d AS (SELECT q.scaler, q.g, q.vec_id AS qk, t.vec_id AS tk, t.label AS y, q.label AS ytrue,
               {sq.dist_expr('q.xs', 't.xs', 2)} AS dist FROM _cq q JOIN _ct t ON q.scaler = t.scaler AND q.g = t.g),
-_nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scaler, g, qk ORDER BY dist, tk) AS rk FROM _d) WHERE rk <= 5),
-_cand AS (SELECT * FROM (VALUES (3, 'uniform'), (3, 'distance'), (5, 'uniform'), (5, 'distance')) v(k, weights)),
+_nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scaler, g, qk ORDER BY dist, tk) AS rk FROM _d)
+        WHERE rk <= {kmax}),
+_cand AS (SELECT * FROM (VALUES {values}) v(k, weights)),
 _cn AS (SELECT _nb.*, _cand.k, _cand.weights FROM _nb JOIN _cand ON _nb.rk <= _cand.k),
 _z AS (SELECT *, max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY scaler, g, qk, k, weights) AS z FROM _cn),
 _w AS (SELECT *, CASE WHEN weights = 'uniform' THEN 1.0 WHEN z = 1 THEN CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END
@@ -592,6 +607,9 @@ SELECT scaler, CAST(2 AS DOUBLE) AS p, CAST(k AS INTEGER) AS n_neighbors, weight
        CAST(rank() OVER (ORDER BY round(m, 10) DESC) AS INTEGER) AS rank_test_score FROM _r"""
 
 
+_CV_SQL = _cv_sql(["standard", "minmax", "none"], [(3, "uniform"), (3, "distance"), (5, "uniform"), (5, "distance")], 5)
+
+
 @query("cv_knn", _CV_SQL)
 def q_cv_knn(spark, sf):
     s = _emb_split(spark, sf)
@@ -954,3 +972,15 @@ def q_stream_score(spark, sf):
     q = stream_score.score_stream(r.bundle, stream, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("p_partkey", "pred_y")
+
+
+@query("cv_no_grid", _cv_sql(["none"], [(5, "uniform")], 5))
+def q_cv_no_grid(spark, sf):
+    """Cross-validation of one fixed candidate (no grid): the same report."""
+    s = _emb_split(spark, sf)
+    rep = tuning.knn_grid_search(s.where(~F.col("is_test")), "vec_id", "x", "label", "classification",
+                                 folds=5, seed=42, scoring="accuracy",
+                                 grid={"scaler": [None], "n_neighbors": [5], "weights": ["uniform"], "p": [2],
+                                       "algorithm": ["auto"]})
+    return rep.select("scaler", "p", "n_neighbors", "weights", "algorithm", r6("mean_test_score"),
+                      r6("std_test_score"), "rank_test_score")
