@@ -264,14 +264,49 @@ def _next(v: float) -> float:
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
     """Linear-interpolated quantiles (position ``p * (n - 1)``) of the non-null
     values, exact; ``None`` when the column has no value."""
-    n = df.where(F.col(col).isNotNull()).count()
-    if n == 0:
-        return [None for _ in probs]
-    pos = [p * (n - 1) for p in probs]
-    need = sorted({int(math.floor(h)) for h in pos} | {int(math.ceil(h)) for h in pos})
-    vals = kth_smallest(df, col, need)
-    res = []
-    for h in pos:
-        lo, hi = int(math.floor(h)), int(math.ceil(h))
-        res.append(vals[lo] + (h - lo) * (vals[hi] - vals[lo]))
-    return res
+    return exact_quantiles_multi(df, [col], probs)[col]
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
+                          leaf_rows: int = 1_000_000) -> dict:
+    """``exact_quantiles`` for several columns with few jobs: one aggregate
+    counts the non-null values of every column; columns with at most
+    ``leaf_rows`` values (a checked bound) are ranked together by one window
+    partitioned by column; larger columns go through ``kth_smallest``."""
+    if not cols:
+        return {}
+    counts = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    need: dict = {}
+    pos: dict = {}
+    for i, c in enumerate(cols):
+        n = int(counts[f"_n{i}"])
+        pos[c] = [p * (n - 1) for p in probs] if n else None
+        if n:
+            need[c] = sorted({int(math.floor(h)) for h in pos[c]} | {int(math.ceil(h)) for h in pos[c]})
+    vals: dict = {c: {} for c in cols}
+    small = [c for c in need if int(counts[f"_n{cols.index(c)}"]) <= leaf_rows]
+    if small:
+        spark = df.sparkSession
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(small)
+        ])).alias("_s")).select("_s._c", "_s._v").where(F.col("_v").isNotNull())
+        want = spark.createDataFrame([(i, r + 1) for i, c in enumerate(small) for r in need[c]], "_c int, _rn int")
+        w = Window.partitionBy("_c").orderBy("_v")
+        rows = (long.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(want), ["_c", "_rn"])
+                    .select("_c", "_rn", "_v").collect())
+        for r in rows:
+            vals[small[r["_c"]]][r["_rn"] - 1] = r["_v"]
+    for c in need:
+        if c not in small:
+            vals[c] = kth_smallest(df, c, need[c], leaf_rows=leaf_rows)
+    out = {}
+    for c in cols:
+        if pos[c] is None:
+            out[c] = [None for _ in probs]
+            continue
+        res = []
+        for h in pos[c]:
+            lo, hi = int(math.floor(h)), int(math.ceil(h))
+            res.append(vals[c][lo] + (h - lo) * (vals[c][hi] - vals[c][lo]))
+        out[c] = res
+    return out

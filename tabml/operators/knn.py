@@ -44,6 +44,43 @@ def _minkowski(q: np.ndarray, x: np.ndarray, p: float) -> np.ndarray:
     return np.power(np.power(diff, p).sum(axis=2), 1.0 / p)
 
 
+def _exact_rows(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray, p: float) -> np.ndarray:
+    diff = np.abs(q[rows] - x[cols])
+    if p == 2:
+        return np.sqrt(np.einsum("ij,ij->i", diff, diff))
+    if p == 1:
+        return diff.sum(axis=1)
+    return np.power(np.power(diff, p).sum(axis=1), 1.0 / p)
+
+
+def _topk_chunk(q: np.ndarray, x: np.ndarray, x2: np.ndarray, kk: int, p: float):
+    """k nearest (distance rounded, then train position) for each row of ``q``.
+
+    Screening: an approximate distance for every pair (for p=2 one matrix
+    product, ``|q|^2 + |x|^2 - 2 q.x``), then every pair within a margin that
+    exceeds the float error of the approximation of the k-th value is
+    re-measured exactly by differences.  Ordering the candidates by (rounded
+    exact distance, position) gives the same k as a full exact sort."""
+    if p == 2:
+        q2 = np.einsum("ij,ij->i", q, q)
+        approx = q2[:, None] + x2[None, :] - 2.0 * (q @ x.T)
+        kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+        scale = q2[:, None] + x2.max() + 1.0
+        margin = 1e-9 * scale[:, 0] + 1e-12
+        rows, cols = np.nonzero(approx <= (kth + margin)[:, None])
+    else:
+        d_full = _minkowski(q, x, p)
+        kth = np.partition(d_full, kk - 1, axis=1)[:, kk - 1]
+        rows, cols = np.nonzero(d_full <= (kth + 1e-9 * (kth + 1.0))[:, None])
+    d = np.round(_exact_rows(q, x, rows, cols, p), DIST_DECIMALS)
+    order = np.lexsort((cols, d, rows))
+    rows, cols, d = rows[order], cols[order], d[order]
+    # first kk entries of each row (every row has at least kk candidates)
+    starts = np.searchsorted(rows, np.arange(q.shape[0]))
+    take = (starts[:, None] + np.arange(kk)[None, :]).ravel()
+    return rows[take], cols[take], d[take]
+
+
 def _block_topk(k: int, p: float, key_type, label_type):
     def fn(train: pd.DataFrame, test: pd.DataFrame) -> pd.DataFrame:
         cols = ["_g", "qk", "tk", "dist", "y"]
@@ -53,21 +90,20 @@ def _block_topk(k: int, p: float, key_type, label_type):
         train = train.sort_values("_tk", kind="stable").reset_index(drop=True)
         x = np.stack(train["_x"].to_numpy()).astype(np.float64)
         q = np.stack(test["_x"].to_numpy()).astype(np.float64)
+        x2 = np.einsum("ij,ij->i", x, x)
         tk = train["_tk"].to_numpy()
         ty = train["_y"].to_numpy()
         qk = test["_qk"].to_numpy()
         kk = min(k, len(train))
-        step = max(1, _CHUNK_CELLS // max(1, x.shape[0] * max(1, x.shape[1])))
+        per_row = x.shape[0] * (max(1, x.shape[1]) if p != 2 else 1)
+        step = max(1, _CHUNK_CELLS // max(1, per_row))
         out_q, out_t, out_d, out_y = [], [], [], []
         for s in range(0, q.shape[0], step):
-            d = np.round(_minkowski(q[s:s + step], x, p), DIST_DECIMALS)
-            # stable sort keeps the key order among equal distances
-            idx = np.argsort(d, axis=1, kind="stable")[:, :kk]
-            rows = np.arange(idx.shape[0])[:, None]
-            out_q.append(np.repeat(qk[s:s + step], kk))
-            out_t.append(tk[idx].ravel())
-            out_d.append(d[rows, idx].ravel())
-            out_y.append(ty[idx].ravel())
+            r, c, d = _topk_chunk(q[s:s + step], x, x2, kk, p)
+            out_q.append(qk[s:s + step][r])
+            out_t.append(tk[c])
+            out_d.append(d)
+            out_y.append(ty[c])
         qcat = np.concatenate(out_q)
         return pd.DataFrame({
             "_g": np.full(len(qcat), g), "qk": qcat, "tk": np.concatenate(out_t),
@@ -131,11 +167,11 @@ def _weights(nb: DataFrame, test_key: str, weights: str) -> DataFrame:
         return nb.withColumn("_w", F.lit(1.0))
     if weights != "distance":
         raise ValueError("weights must be 'uniform' or 'distance'")
-    # 1/d; if any neighbour sits at distance 0, only those count
-    zero = nb.groupBy(test_key).agg(F.max((F.col("dist") == 0).cast("int")).alias("_z"))
-    return (nb.join(zero, test_key)
-              .withColumn("_w", F.when(F.col("_z") == 1, (F.col("dist") == 0).cast("double"))
-                                 .otherwise(1.0 / F.col("dist"))))
+    # 1/d; if any neighbour sits at distance 0, only those count (one window
+    # over the k rows of each test row, no self-join)
+    zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy(test_key))
+    return nb.withColumn("_w", F.when(zero == 1, (F.col("dist") == 0).cast("double"))
+                                .otherwise(1.0 / F.col("dist")))
 
 
 def class_weights(nb: DataFrame, test_key: str, k: int, weights: str = "uniform") -> DataFrame:

@@ -176,35 +176,28 @@ def _long(df: DataFrame, id_cols: Sequence[str], metrics: Sequence[str]) -> Data
     ])).alias("m")).select(*id_cols, "m.metric", "m.value")
 
 
+def _split_name(split_col: str | None):
+    if split_col is None:
+        return F.lit("all")
+    return F.when(F.col(split_col), F.lit("test")).otherwise(F.lit("train"))
+
+
 def eval_classifier(df: DataFrame, y: str, yhat: str, split_col: str | None = None,
                     target: str = "y") -> DataFrame:
-    """Long ``(target, split, metric, value)`` with accuracy and weighted F1 per split."""
-    if split_col is not None:
-        parts = []
-        for s in (True, False):
-            sub = df.where(F.col(split_col) == s)
-            cs = classification_scores(sub, y, yhat).select(
-                F.lit(target).alias("target"), F.lit("test" if s else "train").alias("split"),
-                "accuracy", F.col("f1_weighted").alias("f1_weighted"))
-            parts.append(cs)
-        out = parts[0].unionByName(parts[1])
-    else:
-        out = classification_scores(df, y, yhat).select(
-            F.lit(target).alias("target"), F.lit("all").alias("split"), "accuracy", "f1_weighted")
-    return _long(out, ["target", "split"], ["accuracy", "f1_weighted"])
+    """Long ``(target, split, metric, value)`` with accuracy and weighted F1 per
+    split, all splits in one grouped pass."""
+    d = df.withColumn("_split", _split_name(split_col))
+    cs = classification_scores(d, y, yhat, ["_split"]).select(
+        F.lit(target).alias("target"), F.col("_split").alias("split"), "accuracy", "f1_weighted")
+    return _long(cs, ["target", "split"], ["accuracy", "f1_weighted"])
 
 
 def eval_regressor(df: DataFrame, y: str, yhat: str, split_col: str | None = None,
                    target: str = "y") -> DataFrame:
     """Long ``(target, split, metric, value)`` with r2, mse, mae per split."""
-    if split_col is None:
-        out = regression_scores(df, y, yhat).select(F.lit(target).alias("target"),
-                                                    F.lit("all").alias("split"), "r2", "mse", "mae")
-    else:
-        parts = [regression_scores(df.where(F.col(split_col) == s), y, yhat).select(
-            F.lit(target).alias("target"), F.lit("test" if s else "train").alias("split"),
-            "r2", "mse", "mae") for s in (True, False)]
-        out = parts[0].unionByName(parts[1])
+    d = df.withColumn("_split", _split_name(split_col))
+    out = regression_scores(d, y, yhat, ["_split"]).select(
+        F.lit(target).alias("target"), F.col("_split").alias("split"), "r2", "mse", "mae")
     return _long(out, ["target", "split"], ["r2", "mse", "mae"])
 
 

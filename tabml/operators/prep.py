@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.functions.rank import exact_quantiles
+from tabml.functions.rank import exact_quantiles_multi
 
 MAX_CATEGORIES = 10_000
 
@@ -39,7 +39,7 @@ MAX_CATEGORIES = 10_000
 # --------------------------------------------------------------------------- imputers
 
 def fit_median(df: DataFrame, cols: list[str]) -> dict:
-    return {c: exact_quantiles(df, c, [0.5])[0] for c in cols}
+    return {c: v[0] for c, v in exact_quantiles_multi(df, cols, [0.5]).items()}
 
 
 def fit_mode(df: DataFrame, cols: list[str]) -> dict:
@@ -52,6 +52,19 @@ def fit_mode(df: DataFrame, cols: list[str]) -> dict:
     return out
 
 
+def fit_mode_and_categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES):
+    """(mode, sorted categories) from one grouped count (bounded by the
+    category limit, checked)."""
+    rows = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias("v"))
+              .agg(F.count(F.lit(1)).alias("n")).limit(max_categories + 1).collect())
+    if len(rows) > max_categories:
+        raise ValueError(f"column {col!r} has more than {max_categories} categories")
+    if not rows:
+        return None, []
+    mode = min(rows, key=lambda r: (-r["n"], r["v"]))["v"]
+    return mode, sorted(r["v"] for r in rows)
+
+
 def impute(df: DataFrame, fills: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items() if v is not None})
 
@@ -197,11 +210,9 @@ class Preprocess:
             if dims["a"] != dims["b"]:
                 raise ValueError(f"vector column {c!r} has varying length")
             m.vectors.append([c, int(dims["a"])])
-        modes = fit_mode(df, cat)
         for c in cat:
-            cats = fit_categories(df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(modes[c]))),
-                                  c, self.max_categories)
-            m.categorical.append([c, None if modes[c] is None else str(modes[c]), cats])
+            mode, cats = fit_mode_and_categories(df, c, self.max_categories)
+            m.categorical.append([c, mode, cats])
         if self.scaler or self.pca:
             mat = df.select(*[e.alias(f"_m{i}") for i, e in enumerate(m.matrix_exprs())])
             names = mat.columns
@@ -236,11 +247,9 @@ def normalize_scaler(s: str | None) -> str | None:
 def fit_scaler(df: DataFrame, cols: list[str], kind: str) -> tuple[list[float], list[float]]:
     """(center, scale) per column; a zero scale becomes 1."""
     if kind == "robust":
-        center, scale = [], []
-        for c in cols:
-            q25, q50, q75 = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-            center.append(q50)
-            scale.append(q75 - q25)
+        qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
+        center = [qs[c][1] for c in cols]
+        scale = [qs[c][2] - qs[c][0] for c in cols]
     else:
         aggs = []
         for c in cols:

@@ -75,10 +75,10 @@ def train_test_split(df: DataFrame, key_cols: Sequence[str], test_size=0.2, seed
     """Input plus boolean ``out_col``.  ``stratify`` names the class column."""
     h = order_hash(seed, key_cols)
     base = df.withColumn(_H, h)
-    if stratify is not None and base.where(F.col(stratify).isNull()).limit(1).count():
-        raise ValueError(f"stratify column {stratify!r} has nulls")
     order = HashOrder(base, _H, stratify)
     totals = order.totals()
+    if stratify is not None and None in totals:
+        raise ValueError(f"stratify column {stratify!r} has nulls")
     n = sum(totals.values())
     n_test = _n_test(test_size, n)
     if stratify is None:
