@@ -124,8 +124,13 @@ def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "feat
     if p < 1:
         raise ValueError("p must be >= 1")
     test_key = test_key or key
-    n_train = train.count()
-    n_test = test.count()
+    if group:
+        # blocks are cut per group: size them by the largest group (one row per group)
+        n_train = train.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+        n_test = test.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    else:
+        n_train = train.count()
+        n_test = test.count()
     if n_train == 0:
         raise ValueError("empty train set")
     t_blocks = max(1, math.ceil(n_train / block_rows))

@@ -49,18 +49,24 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: DataFrame | None
 
 
 def per_class(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, class, tp, support, predicted)`` for the union of labels."""
+    """``(*by, class, tp, support, predicted)`` for the union of labels.
+
+    Each (y, yhat, n) cell of the pair counts contributes ``support`` and
+    ``tp`` to class y and ``predicted`` to class yhat: one explode and one
+    grouped sum, no joins."""
     by = list(by)
     pc = pair_counts(df, y, yhat, by)
-    sup = pc.groupBy(*by, F.col("y").alias("class")).agg(F.sum("n").alias("support"))
-    pred = pc.groupBy(*by, F.col("yhat").alias("class")).agg(F.sum("n").alias("predicted"))
-    tp = pc.where(F.col("y") == F.col("yhat")).select(*by, F.col("y").alias("class"), F.col("n").alias("tp"))
-    keys = by + ["class"]
-    return (_classes(pc, by).join(sup, keys, "left").join(pred, keys, "left").join(tp, keys, "left")
-            .select(*keys,
-                    F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
-                    F.coalesce("support", F.lit(0)).cast("long").alias("support"),
-                    F.coalesce("predicted", F.lit(0)).cast("long").alias("predicted")))
+    z = F.lit(0).cast("long")
+    cells = pc.select(*by, F.explode(F.array(
+        F.struct(F.col("y").alias("class"), F.col("n").alias("support"),
+                 F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(z).alias("tp"),
+                 z.alias("predicted")),
+        F.struct(F.col("yhat").alias("class"), z.alias("support"), z.alias("tp"),
+                 F.col("n").alias("predicted")),
+    )).alias("_e")).select(*by, "_e.*")
+    return cells.groupBy(*by, "class").agg(
+        F.sum("tp").cast("long").alias("tp"), F.sum("support").cast("long").alias("support"),
+        F.sum("predicted").cast("long").alias("predicted"))
 
 
 def _prf(pcl: DataFrame) -> DataFrame:

@@ -219,45 +219,61 @@ class SVR:
         C, eps = float(self.C), float(self.epsilon)
         reg = np.eye(d + 1)
         reg[d, d] = 0.0
-        prev_obj = None
+        best, best_obj = None, None
+        self.n_iter_ = 0
         for _ in range(self.max_iter):
-            th = theta.copy()
-
-            def partial(it, th=th):
-                g = np.zeros((d + 1, d + 1))
-                r = np.zeros(d + 1)
-                loss = 0.0
-                for pdf in it:
-                    if pdf.empty:
-                        continue
-                    z = np.hstack([np.stack(pdf["_z"].to_numpy()), np.ones((len(pdf), 1))])
-                    y = pdf["_y"].to_numpy()
-                    res = y - z @ th
-                    act = np.abs(res) > eps
-                    za, ta = z[act], y[act] - np.sign(res[act]) * eps
-                    g += za.T @ za
-                    r += za.T @ ta
-                    loss += float(((np.abs(res[act]) - eps) ** 2).sum())
-                yield pd.DataFrame({"g": [np.concatenate([g.ravel(), r, [loss]]).tolist()]})
-
-            parts = data.mapInPandas(partial, "g array<double>")
-            cells = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
-            vec = np.zeros((d + 1) * (d + 1) + d + 2)
-            for row in cells:
-                vec[row["i"]] = row["v"]
-            g = vec[:(d + 1) ** 2].reshape(d + 1, d + 1)
-            r = vec[(d + 1) ** 2:(d + 1) ** 2 + d + 1]
-            loss = vec[-1]
+            self.n_iter_ += 1
+            g, r, loss = self._pass(data, theta, d, eps)
             obj = 0.5 * float(theta[:d] @ theta[:d]) + C * loss
+            if best_obj is not None and obj > best_obj * (1 + 1e-12) + 1e-12:
+                # the full step overshot: back off halfway toward the last accepted point
+                theta = best + 0.5 * (theta - best)
+                if float(np.max(np.abs(theta - best))) <= 1e-10 * (1.0 + float(np.max(np.abs(best)))):
+                    theta = best
+                    break
+                continue
+            best, best_obj = theta, obj
             new = np.linalg.solve(reg + 2 * C * g + 1e-12 * np.eye(d + 1), 2 * C * r)
-            if prev_obj is not None and abs(prev_obj - obj) <= self.tol * max(1.0, abs(obj)) \
-                    and np.allclose(new, theta, atol=1e-10):
+            # a Newton step on an unchanged active set lands on the exact minimum
+            if float(np.max(np.abs(new - theta))) <= 1e-9 * (1.0 + float(np.max(np.abs(theta)))):
                 break
-            theta, prev_obj = new, obj
+            theta = new
+        if best is not None:
+            theta = best  # the last evaluated, accepted point
         data.unpersist()
         self.coef_, self.intercept_ = theta[:d], float(theta[d])
         return self
 
+    @staticmethod
+    def _pass(data: DataFrame, th: np.ndarray, d: int, eps: float):
+        """One distributed pass: ``Z^T Z`` and ``Z^T t`` over the rows outside
+        the tube, and the tube loss, from per-partition NumPy partial sums."""
+
+        def partial(it):
+            g = np.zeros((d + 1, d + 1))
+            r = np.zeros(d + 1)
+            loss = 0.0
+            for pdf in it:
+                if pdf.empty:
+                    continue
+                z = np.hstack([np.stack(pdf["_z"].to_numpy()), np.ones((len(pdf), 1))])
+                y = pdf["_y"].to_numpy()
+                res = y - z @ th
+                act = np.abs(res) > eps
+                za, ta = z[act], y[act] - np.sign(res[act]) * eps
+                g += za.T @ za
+                r += za.T @ ta
+                loss += float(((np.abs(res[act]) - eps) ** 2).sum())
+            yield pd.DataFrame({"g": [np.concatenate([g.ravel(), r, [loss]]).tolist()]})
+
+        parts = data.mapInPandas(partial, "g array<double>")
+        cells = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
+        vec = np.zeros((d + 1) * (d + 1) + d + 2)
+        for row in cells:
+            vec[row["i"]] = row["v"]
+        return (vec[:(d + 1) ** 2].reshape(d + 1, d + 1), vec[(d + 1) ** 2:(d + 1) ** 2 + d + 1],
+                float(vec[-1]))
+
     def predict(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
         mapped = self._map(df, self.features)
         w = F.array(*[F.lit(float(v)) for v in self.coef_])

@@ -102,36 +102,44 @@ def knn_grid_search(df: DataFrame, key: str, features: str, label: str, task: st
     strat = label if (task == "classification" and stratify is not False) else None
     f = kfold(df.select(key, features, label), [key], folds, seed, stratify=strat).cache()
     ks, ws = sorted(set(g["n_neighbors"])), list(dict.fromkeys(g["weights"]))
-    parts = []
-    for scaler in g["scaler"]:
-        kind = normalize_scaler(scaler)
+    kinds = list(dict.fromkeys(normalize_scaler(sc) for sc in g["scaler"]))
+    # every (scaler, fold) pair is one group of a single blocked join per p:
+    # group id = scaler index * folds + fold
+    qs, ts = [], []
+    for si, kind in enumerate(kinds):
         stats = _fold_stats(f, features, folds, kind) if kind else None
-        q = f.select(key, label, F.col("fold").alias("_g"),
-                     _scaled(F.col(features), F.col("fold"), stats).alias("_xs"))
-        t = (f.select(key, label, "fold", features,
-                      F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("_g"))
-              .where(F.col("_g") != F.col("fold"))
-              .select(key, label, "_g", _scaled(F.col(features), F.col("_g"), stats).alias("_xs")))
-        for p in g["p"]:
-            nb = knn.neighbors(t, q, key, "_xs", label, k=max(ks), p=p, block_rows=block_rows, group="_g")
-            c = nb.select("*", _candidates(ks, ws)).where(F.col("nn_rank") <= F.col("_c.k"))
-            zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("_c", "_g", key))
-            w = (F.when(F.col("_c.weights") == "uniform", F.lit(1.0))
-                  .when(zero == 1, (F.col("dist") == 0).cast("double"))
-                  .otherwise(1.0 / F.col("dist")))
-            c = c.withColumn("_w", w)
-            if task == "classification":
-                votes = c.groupBy("_c", "_g", key, "nn_label").agg(F.sum("_w").alias("_s"))
-                best = F.min(F.struct((-F.col("_s")).alias("a"), F.col("nn_label").alias("b")))["b"]
-                pred = votes.groupBy("_c", "_g", key).agg(best.alias("prediction"))
-            else:
-                pred = c.groupBy("_c", "_g", key).agg(
-                    (F.sum(F.col("_w") * F.col("nn_label")) / F.sum("_w")).alias("prediction"))
-            scored = pred.join(q.select(key, "_g", label), ["_g", key])
-            s = metrics.score_by(scored, label, "prediction", scoring, ["_c", "_g"])
-            parts.append(s.select(F.lit(kind or "none").alias("scaler"), F.lit(float(p)).alias("p"),
-                                  F.col("_c.k").alias("n_neighbors"), F.col("_c.weights").alias("weights"),
-                                  F.col("_g").alias("fold"), "score"))
+        qs.append(f.select(key, label, (F.col("fold") + si * folds).alias("_g"),
+                           _scaled(F.col(features), F.col("fold"), stats).alias("_xs")))
+        ts.append(f.select(key, label, "fold", features,
+                           F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("_f"))
+                  .where(F.col("_f") != F.col("fold"))
+                  .select(key, label, (F.col("_f") + si * folds).alias("_g"),
+                          _scaled(F.col(features), F.col("_f"), stats).alias("_xs")))
+    q, t = qs[0], ts[0]
+    for i in range(1, len(kinds)):
+        q, t = q.unionByName(qs[i]), t.unionByName(ts[i])
+    names = F.element_at(F.array(*[F.lit(k or "none") for k in kinds]), (F.col("_g") / folds).cast("int") + 1)
+    parts = []
+    for p in g["p"]:
+        nb = knn.neighbors(t, q, key, "_xs", label, k=max(ks), p=p, block_rows=block_rows, group="_g")
+        c = nb.select("*", _candidates(ks, ws)).where(F.col("nn_rank") <= F.col("_c.k"))
+        zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("_c", "_g", key))
+        w = (F.when(F.col("_c.weights") == "uniform", F.lit(1.0))
+              .when(zero == 1, (F.col("dist") == 0).cast("double"))
+              .otherwise(1.0 / F.col("dist")))
+        c = c.withColumn("_w", w)
+        if task == "classification":
+            votes = c.groupBy("_c", "_g", key, "nn_label").agg(F.sum("_w").alias("_s"))
+            best = F.min(F.struct((-F.col("_s")).alias("a"), F.col("nn_label").alias("b")))["b"]
+            pred = votes.groupBy("_c", "_g", key).agg(best.alias("prediction"))
+        else:
+            pred = c.groupBy("_c", "_g", key).agg(
+                (F.sum(F.col("_w") * F.col("nn_label")) / F.sum("_w")).alias("prediction"))
+        scored = pred.join(q.select(key, "_g", label), ["_g", key])
+        s = metrics.score_by(scored, label, "prediction", scoring, ["_c", "_g"])
+        parts.append(s.select(names.alias("scaler"), F.lit(float(p)).alias("p"),
+                              F.col("_c.k").alias("n_neighbors"), F.col("_c.weights").alias("weights"),
+                              (F.col("_g") % folds).alias("fold"), "score"))
     allp = parts[0]
     for x in parts[1:]:
         allp = allp.unionByName(x)
