@@ -984,3 +984,80 @@ def q_cv_no_grid(spark, sf):
                                        "algorithm": ["auto"]})
     return rep.select("scaler", "p", "n_neighbors", "weights", "algorithm", r6("mean_test_score"),
                       r6("std_test_score"), "rank_test_score")
+
+
+# ----------------------------------------------------------------- multi-target train entry, load profile, store listing, sinks
+
+_P3_FEATS = ["p_size", "p_retailprice"]
+
+
+@query("eval_multi_target", f"""WITH p AS ({fx.P3}),
+_lab AS (SELECT y1 AS label, CAST(dense_rank() OVER (ORDER BY y1) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT y1 FROM p)),
+e AS (SELECT p.p_partkey, p.p_size, p.p_retailprice, _lab.code AS y1, p.y2 FROM p JOIN _lab ON p.y1 = _lab.label),
+{sq.split_random('SELECT * FROM e', 'p_partkey')},
+_x AS (SELECT p_partkey, y1, y2, is_test, list_value(CAST(p_size AS DOUBLE), p_retailprice) AS xs FROM s),
+_d AS (SELECT a.p_partkey AS qk, a.is_test, a.y1 AS t1, a.y2 AS t2, b.p_partkey AS tk, b.y1, b.y2,
+              {sq.dist_expr('a.xs', 'b.xs')} AS dist FROM _x a JOIN _x b ON NOT b.is_test),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qk ORDER BY dist, tk) AS rk FROM _d) WHERE rk <= 5),
+_v1 AS (SELECT qk, is_test, t1 AS t, y1 AS y, count(*) AS w FROM nb GROUP BY ALL),
+_v2 AS (SELECT qk, is_test, t2 AS t, y2 AS y, count(*) AS w FROM nb GROUP BY ALL),
+_pp AS (SELECT 'y1' AS target, qk, any_value(is_test) AS is_test, any_value(t) AS t, arg_min(y, (-w, y)) AS h FROM _v1 GROUP BY qk
+        UNION ALL SELECT 'y2', qk, any_value(is_test), any_value(t), arg_min(y, (-w, y)) FROM _v2 GROUP BY qk),
+_pq AS (SELECT target || '|' || CASE WHEN is_test THEN 'test' ELSE 'train' END AS grp, t, h FROM _pp),
+{sq.scores_by('_pq', 'grp')},
+_l AS (SELECT split_part(g, '|', 1) AS target, split_part(g, '|', 2) AS split, 'accuracy' AS metric, accuracy AS value FROM _sc
+       UNION ALL SELECT split_part(g, '|', 1), split_part(g, '|', 2), 'f1_weighted', f1_weighted FROM _sc)
+SELECT target, split, metric, round(value, 6) AS value FROM _l
+UNION ALL SELECT 'mean', split, metric, round(avg(value), 6) FROM _l GROUP BY split, metric""")
+def q_eval_multi_target(spark, sf):
+    p = fx.fixture(spark, sf, fx.P3, "part")
+    r = train_entry(p, "p_partkey", ["y1", "y2"], _P3_FEATS, "knn_classifier")
+    return r.evaluation.select("target", "split", "metric", r6("value"))
+
+
+@query("load_profile", """SELECT count(*) AS n_rows,
+  count(*) - count(o_orderstatus) AS null_status, count(DISTINCT o_orderstatus) AS distinct_status,
+  count(DISTINCT o_custkey) AS distinct_custkey FROM orders""")
+def q_load_profile(spark, sf):
+    df = tio.read_table(spark, f"{sf}/orders.parquet")
+    pr = tio.profile(df, ["o_orderstatus", "o_custkey"])
+    return pr.agg(
+        F.max("n").alias("n_rows"),
+        F.max(F.when(F.col("column") == "o_orderstatus", F.col("nulls"))).alias("null_status"),
+        F.max(F.when(F.col("column") == "o_orderstatus", F.col("distinct"))).alias("distinct_status"),
+        F.max(F.when(F.col("column") == "o_custkey", F.col("distinct"))).alias("distinct_custkey"))
+
+
+@query("list_models")
+def q_list_models(spark, sf):
+    """Two bundles saved under one root, listed newest first."""
+    import uuid
+    from tabml.session import checkpoint_dir
+    from tabml.sources import store
+    root = f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    for i, model in enumerate(["tree_classifier", "forest_classifier"]):
+        r = train_entry(p, "p_partkey", "y", _P1_FEATS, model, max_depth=3, n_estimators=5)
+        store.save_model(r.bundle, f"{root}/{i}-{model}")
+    return store.list_models(spark, root)
+
+
+@query("report_sinks")
+def q_report_sinks(spark, sf):
+    """CV report (top 5, CSV), evaluation (JSON, partitioned by model) and SVM
+    insight (JSON) written through Spark and read back."""
+    import uuid
+    from tabml.session import checkpoint_dir
+    from tabml.sources import store
+    base = f"{checkpoint_dir(spark)}/reports-{uuid.uuid4().hex}"
+    rep = q_cv_tree(spark, sf)
+    cv_path = store.write_cv_report(rep, base)
+    p = fx.fixture(spark, sf, fx.P1, "part")
+    r = train_entry(p, "p_partkey", "y", _P1_FEATS, "tree_classifier", max_depth=3)
+    store.write_evaluation(r.evaluation, f"{base}/evaluation", "json", "tree_classifier")
+    store.write_insight(q_svm_insight(spark, sf), f"{base}/insight")
+    cv = spark.read.option("header", "true").csv(cv_path)
+    ev = spark.read.json(f"{base}/evaluation")
+    ins = spark.read.json(f"{base}/insight")
+    return spark.createDataFrame([("cv_report", cv.count()), ("evaluation", ev.count()),
+                                  ("insight", ins.count())], "sink string, rows long")
