@@ -9,8 +9,11 @@ table of any size.  This module maps the reference's parameters onto it:
   absolute_error (not available: error) for regressors;
 * ``max_depth`` None -> 30, the MLlib maximum (larger values are rejected);
 * ``min_samples_leaf`` -> ``minInstancesPerNode``;
-* ``min_samples_split``: only 2 (the default) is accepted until post-pruning
-  is implemented; other values raise instead of being silently ignored;
+* ``min_samples_split`` (no MLlib parameter): the tree is grown, its saved
+  node table is read as a DataFrame, every internal node with fewer than
+  ``min_samples_split`` training rows becomes a leaf (it already stores its
+  own prediction), and the pruned table is loaded back with MLlib's loader.
+  Growth is greedy and top-down, so this equals stopping early;
 * ``n_estimators`` -> ``numTrees``; forests sample ``sqrt`` features for
   classification and all features for regression (the library defaults);
 * ``class_weight="balanced"`` -> a weight column n / (k * n_class).
@@ -30,6 +33,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabml.session import active_spark
+
 MAX_DEPTH = 30
 
 
@@ -60,9 +65,62 @@ def _impurity(criterion: str, task: str) -> str:
 
 
 def _check_split(min_samples_split):
-    if min_samples_split not in (None, 2):
-        raise ValueError("min_samples_split other than 2 is not supported yet "
-                         "(MLlib has no such parameter; use min_samples_leaf)")
+    if min_samples_split is not None and int(min_samples_split) < 2:
+        raise ValueError("min_samples_split must be at least 2")
+
+
+def _renumber(nodes: dict, s: int) -> list:
+    """Pre-order walk from node 0: nodes with rawCount < s become leaves; new
+    ids are pre-order positions (MLlib's layout: children after parents)."""
+    out, stack, new_id = [], [(0, None, None)], {}
+    order = []
+    while stack:
+        nid, parent, side = stack.pop()
+        n = dict(nodes[nid])
+        order.append((nid, parent, side))
+        new_id[nid] = len(order) - 1
+        leaf = n["leftChild"] < 0 or n["rawCount"] < s
+        if not leaf:
+            stack.append((n["rightChild"], nid, "r"))
+            stack.append((n["leftChild"], nid, "l"))
+    rows = {}
+    for nid, parent, side in order:
+        n = dict(nodes[nid])
+        if n["leftChild"] >= 0 and n["rawCount"] < s:
+            n["leftChild"], n["rightChild"], n["gain"] = -1, -1, -1.0
+            n["split"] = {"featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}
+        n["id"] = new_id[nid]
+        rows[nid] = n
+    for nid, n in rows.items():
+        if n["leftChild"] >= 0:
+            n["leftChild"], n["rightChild"] = new_id[n["leftChild"]], new_id[n["rightChild"]]
+        out.append(n)
+    return sorted(out, key=lambda r: r["id"])
+
+
+def prune_min_samples_split(model, min_samples_split: int, path: str):
+    """Post-prune a fitted MLlib tree or forest to ``min_samples_split``."""
+    from pyspark.sql import SparkSession
+    spark = active_spark()
+    model.write().overwrite().save(f"{path}/grown")
+    data = spark.read.parquet(f"{path}/grown/data")
+    forest = "treeID" in data.columns
+    # the node table is model-sized; MLlib's own loader collects it the same way
+    rows = [r.asDict(recursive=True) for r in data.collect()]
+    if forest:
+        by_tree: dict = {}
+        for r in rows:
+            by_tree.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
+        new = [{"treeID": t, "nodeData": n} for t, nodes in by_tree.items()
+               for n in _renumber(nodes, min_samples_split)]
+    else:
+        new = _renumber({r["id"]: r for r in rows}, min_samples_split)
+    out = f"{path}/pruned"
+    spark.createDataFrame(new, schema=data.schema).write.mode("overwrite").parquet(f"{out}/data")
+    spark.read.text(f"{path}/grown/metadata").write.mode("overwrite").text(f"{out}/metadata")
+    if forest:
+        spark.read.parquet(f"{path}/grown/treesMetadata").write.mode("overwrite").parquet(f"{out}/treesMetadata")
+    return type(model).load(out)
 
 
 def balanced_weights(df: DataFrame, label: str, out_col: str = "_weight") -> DataFrame:
@@ -133,6 +191,12 @@ class TreeModel:
             raise ValueError("class_weight must be None or 'balanced'")
         est = make_estimator(self.kind, self.task, weight_col=wc, label=label, **self.params)
         self.model = est.fit(data)
+        mss = self.params.get("min_samples_split")
+        if mss is not None and int(mss) > 2:
+            import uuid
+            from tabml.session import checkpoint_dir
+            self.model = prune_min_samples_split(self.model, int(mss),
+                                                 f"{checkpoint_dir(df.sparkSession)}/prune-{uuid.uuid4().hex}")
         return self
 
     def predict(self, df: DataFrame, features: str = "features", out_col: str = "prediction",
@@ -158,7 +222,7 @@ def feature_importance(models, names: list[str]) -> DataFrame:
         v = m.featureImportances.toArray()
         for i in range(len(names)):
             imp[i] += float(v[i]) / len(models)
-    spark = SparkSession.getActiveSession()
+    spark = active_spark()
     df = spark.createDataFrame([(n, v) for n, v in zip(names, imp)], "feature string, importance double")
     return df.select("feature", "importance", (F.col("importance") * 100).alias("importance_ratio")) \
         .orderBy(F.desc("importance"), "feature")
@@ -169,7 +233,7 @@ def tree_nodes(model, path: str, tree_index: int = 0, max_depth: int | None = 3)
     ``(depth, id, prediction, impurity, gain, count, feature, threshold, left, right)``.
     Depths come from level-by-level joins of the node table (at most 30)."""
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    spark = active_spark()
     model.write().overwrite().save(path)
     data = spark.read.parquet(f"{path}/data")
     if "treeID" in data.columns:

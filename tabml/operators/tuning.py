@@ -30,6 +30,9 @@ from tabml.operators import knn, metrics
 from tabml.operators.prep import Preprocess, fit_scaler, normalize_scaler
 from tabml.operators.split import kfold
 
+# The default search grids of the reference, one per model
+# (candidate counts 320, 320, 96, 144, 90, 135, 216, 108).  With PCA on, the
+# reference adds pca n_components [2, 3, 5] (those not above the feature count).
 KNN_GRID = {
     "scaler": ["standard", "minmax", "robust", None],
     "n_neighbors": [3, 5, 7, 9, 11],
@@ -37,6 +40,25 @@ KNN_GRID = {
     "p": [1, 2],
     "algorithm": ["auto", "ball_tree", "kd_tree", "brute"],
 }
+GRIDS = {
+    "knn_classifier": KNN_GRID,
+    "knn_regressor": KNN_GRID,
+    "svm_classifier": {"scaler": ["standard", "minmax", "robust", None], "C": [0.1, 1, 10],
+                       "kernel": ["linear", "rbf"], "gamma": ["scale", "auto"], "class_weight": [None, "balanced"]},
+    "svm_regressor": {"scaler": ["standard", "minmax", "robust", None], "C": [0.1, 1, 10],
+                      "kernel": ["linear", "rbf"], "gamma": ["scale", "auto"], "epsilon": [0.01, 0.1, 0.5]},
+    "tree_classifier": {"criterion": ["gini", "entropy"], "max_depth": [None, 3, 5, 8, 12],
+                        "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]},
+    "tree_regressor": {"criterion": ["squared_error", "friedman_mse", "absolute_error"],
+                       "max_depth": [None, 3, 5, 8, 12], "min_samples_split": [2, 5, 10],
+                       "min_samples_leaf": [1, 2, 4]},
+    "forest_classifier": {"n_estimators": [100, 300, 600], "max_depth": [None, 5, 10, 20],
+                          "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4],
+                          "class_weight": [None, "balanced"]},
+    "forest_regressor": {"n_estimators": [100, 300, 600], "max_depth": [None, 5, 10, 20],
+                         "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]},
+}
+PREP_KEYS = ("scaler", "pca", "cat_encoder")
 
 
 def _fold_stats(f: DataFrame, features: str, folds: int, kind: str) -> dict:
@@ -152,12 +174,14 @@ def report(fold_scores: DataFrame, params: list[str], folds: int) -> DataFrame:
     """``(*params, split<i>_test_score, mean_test_score, std_test_score,
     rank_test_score)`` from ``(*params, fold, score)``; the table has one row
     per candidate (bounded by the grid), so the rank window is small."""
+    failed = F.max(F.col("score").isNull().cast("int")) == 1
     agg = fold_scores.groupBy(*params).agg(
         *[F.max(F.when(F.col("fold") == i, F.col("score"))).alias(f"split{i}_test_score") for i in range(folds)],
-        F.avg("score").alias("mean_test_score"), F.stddev_pop("score").alias("std_test_score"))
+        F.when(failed, F.lit(None)).otherwise(F.avg("score")).alias("mean_test_score"),
+        F.when(failed, F.lit(None)).otherwise(F.stddev_pop("score")).alias("std_test_score"))
     # rank on the mean rounded to 10 decimals: float noise in a sum of equal
     # fold scores must not split a tie
-    w = Window.orderBy(F.desc(F.round("mean_test_score", 10)))
+    w = Window.orderBy(F.desc_nulls_last(F.round("mean_test_score", 10)))
     return agg.withColumn("rank_test_score", F.rank().over(w))
 
 
@@ -184,28 +208,43 @@ def fold_grid_search(df: DataFrame, key: str, features: list[str], label: str, m
                      prep_params: dict | None = None, stratify: bool | None = None,
                      parallelism: int = 4) -> DataFrame:
     """Grid search for model objects with ``fit(df, label)`` / ``predict(df)``
-    over an array ``features`` column; ``make_model(**params)`` builds one."""
+    over an array ``features`` column; ``make_model(**params)`` builds one.
+
+    Preprocessing (imputers, encoders and the ``scaler``/``pca`` of the
+    candidate) is fitted on each fold's training part.  A candidate whose fit
+    fails scores null and ranks last (the library's ``error_score=nan``)."""
     scoring = scoring or ("f1_weighted" if task == "classification" else "r2")
     strat = label if (task == "classification" and stratify is not False) else None
     f = kfold(df.select(key, label, *features), [key], folds, seed, stratify=strat).cache()
     cands = grid_candidates(grid)
+    groups: dict = {}
+    for i, c in enumerate(cands):
+        pk = json.dumps({k: c[k] for k in PREP_KEYS if k in c}, sort_keys=True, default=str)
+        groups.setdefault(pk, []).append(i)
     rows = []
     for g in range(folds):
         tr_raw, va_raw = f.where(F.col("fold") != g), f.where(F.col("fold") == g)
-        pm = Preprocess(**(prep_params or {})).fit(tr_raw, features)
-        tr = pm.transform(tr_raw, keep=[key, label]).cache()
-        va = pm.transform(va_raw, keep=[key, label]).cache()
-
-        def run(i, params, tr=tr, va=va, g=g):
-            m = make_model(**params).fit(tr, label)
-            pred = m.predict(va)
-            sc = metrics.score(pred, label, "prediction", scoring).first()["score"]
-            return (i, json.dumps(params, sort_keys=True, default=str), g, float(sc))
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-            rows += list(ex.map(lambda a: run(*a), list(enumerate(cands))))
-        tr.unpersist()
-        va.unpersist()
+        for pk, idxs in groups.items():
+            pp = {**(prep_params or {}), **json.loads(pk)}
+            pm = Preprocess(**pp).fit(tr_raw, features)
+            tr = pm.transform(tr_raw, keep=[key, label]).cache()
+            va = pm.transform(va_raw, keep=[key, label]).cache()
+
+            def run(i, tr=tr, va=va, g=g):
+                params = cands[i]
+                model_params = {k: v for k, v in params.items() if k not in PREP_KEYS}
+                try:
+                    m = make_model(**model_params).fit(tr, label)
+                    sc = metrics.score(m.predict(va), label, "prediction", scoring).first()["score"]
+                    sc = None if sc is None else float(sc)
+                except Exception:  # noqa: BLE001 - recorded as a failed candidate
+                    sc = None
+                return (i, json.dumps(params, sort_keys=True, default=str), g, sc)
+
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+                rows += list(ex.map(run, idxs))
+            tr.unpersist()
+            va.unpersist()
     f.unpersist()
     spark = df.sparkSession
     scores = spark.createDataFrame(rows, "cand int, params string, fold int, score double")

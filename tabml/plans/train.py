@@ -142,6 +142,8 @@ def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_cla
     cv = None
     params = dict(params)
     if use_cv:
+        if grid is None:
+            grid = tuning.GRIDS[model]
         if family == "knn":
             pre = Preprocess(cat_encoder=params.get("cat_encoder", "ohe")).fit(tr, roles.features)
             xtr = pre.transform(tr, keep=[key, *ts])

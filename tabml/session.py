@@ -48,3 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def active_spark() -> SparkSession:
+    """The running session, also from worker threads (where the thread-local
+    active session is unset)."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()

@@ -16,6 +16,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabml.session import active_spark
+
 from tabml.operators.prep import PreprocessModel
 
 
@@ -35,7 +37,7 @@ def _svm_state(m) -> dict:
 
 
 def save_model(bundle, path: str) -> None:
-    spark = SparkSession.getActiveSession()
+    spark = active_spark()
     models = {}
     for i, t in enumerate(bundle.targets):
         m = bundle.models.get(t)
@@ -76,7 +78,7 @@ def load_model(path: str):
     from tabml.operators import svm, trees
     from tabml.plans.train import Bundle
 
-    spark = SparkSession.getActiveSession()
+    spark = active_spark()
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
     b = Bundle(meta["model_name"], meta["key"], meta["targets"], meta["features"],
                PreprocessModel.from_json(meta["prep"]), meta["label_maps"], meta["params"])

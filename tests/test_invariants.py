@@ -91,3 +91,28 @@ def test_metrics_match_mllib_evaluator(spark):
     ev = MulticlassClassificationEvaluator(metricName="f1").evaluate(num)
     ours = metrics.classification_scores(p8, "y", "yhat").first()["f1_weighted"]
     assert abs(ev - ours) < 1e-12
+
+
+def test_min_samples_split_prunes_small_internal_nodes(spark):
+    import uuid
+    from tabml.session import checkpoint_dir
+    p = fx.fixture(spark, SF01, fx.P1, "part").select(
+        F.array(F.col("p_size").cast("double"), "p_retailprice").alias("features"), "y")
+    full = trees.TreeModel("tree", "classification", max_depth=8).fit(p, "y")
+    pr = trees.TreeModel("tree", "classification", max_depth=8, min_samples_split=200).fit(p, "y")
+    nodes = trees.tree_nodes(pr.model, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}", 0, None).toPandas()
+    assert ((nodes["left"].notna()) & (nodes["count"] < 200)).sum() == 0
+    assert pr.model.numNodes < full.model.numNodes
+    # the pruned tree = the full tree walked from the root, stopping at nodes with < 200 rows
+    full_nodes = trees.tree_nodes(full.model, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}", 0, None).toPandas()
+    by_id = full_nodes.set_index("id")
+    kept, stack = [], [int(full_nodes.loc[full_nodes["depth"] == 0, "id"].iloc[0])]
+    while stack:
+        n = by_id.loc[stack.pop()]
+        kept.append((int(n["depth"]), int(n["count"]), float(n["prediction"])))
+        if n["left"] == n["left"] and n["count"] >= 200:  # internal and large enough to split
+            stack += [int(n["left"]), int(n["right"])]
+    got = sorted((int(r.depth), int(r["count"]), float(r.prediction)) for _, r in nodes.iterrows())
+    assert got == sorted(kept)
+    two = trees.TreeModel("tree", "classification", max_depth=8, min_samples_split=2).fit(p, "y")
+    assert two.model.numNodes == full.model.numNodes
