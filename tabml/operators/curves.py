@@ -74,21 +74,41 @@ def pr_auc(df: DataFrame, y: str, score: str, positive=None) -> DataFrame:
     return c.agg(F.sum(area).alias("auc"))
 
 
+def _bins(v, lo, hi, bins: int):
+    return F.least(F.lit(bins - 1), F.floor((v - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int"))
+
+
 def histogram(df: DataFrame, value: str, bins: int = 30, by: str | None = None) -> DataFrame:
     """Equal-width histogram over each group's own [min, max] (a constant
     group spans [v - 0.5, v + 0.5]); the maximum falls in the last bin.
-    ``(group, bin, lo, hi, n)`` with empty bins included."""
-    g = F.col(by) if by else F.lit("all")
-    x = df.where(F.col(value).isNotNull()).select(g.alias("group"), F.col(value).cast("double").alias("v"))
+    ``(group, bin, lo, hi, n)`` with empty bins included.  Without ``by`` the
+    two bounds are literals (no join); with ``by`` the per-group bounds are a
+    broadcast table with one row per group."""
+    x = df.where(F.col(value).isNotNull()).select(
+        (F.col(by) if by else F.lit("all")).alias("group"), F.col(value).cast("double").alias("v"))
+    width = (F.col("hi0") - F.col("lo0")) / F.lit(float(bins))
+    if by is None:
+        mm = x.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).first()  # two numbers
+        if mm["mn"] is None:
+            return df.sparkSession.createDataFrame([], "group string, bin int, lo double, hi double, n long")
+        lo0, hi0 = (mm["mn"] - 0.5, mm["mx"] + 0.5) if mm["mn"] == mm["mx"] else (mm["mn"], mm["mx"])
+        counts = x.groupBy(_bins(F.col("v"), F.lit(lo0), F.lit(hi0), bins).alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"))
+        grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+        return (grid.join(counts, "bin", "left")
+                    .select(F.lit("all").alias("group"), "bin",
+                            (F.lit(lo0) + F.col("bin") * F.lit((hi0 - lo0) / bins)).alias("lo"),
+                            F.when(F.col("bin") == bins - 1, F.lit(hi0))
+                             .otherwise(F.lit(lo0) + (F.col("bin") + 1) * F.lit((hi0 - lo0) / bins)).alias("hi"),
+                            F.coalesce("n", F.lit(0)).cast("long").alias("n")))
     rng = x.groupBy("group").agg(F.min("v").alias("mn"), F.max("v").alias("mx"))
     rng = rng.select("group",
                      F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo0"),
                      F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi0"))
-    # bounded: one row per group
-    idx = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo0")) * (F.lit(float(bins)) / (F.col("hi0") - F.col("lo0")))).cast("int"))
-    counts = x.join(F.broadcast(rng), "group").groupBy("group", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = (x.join(F.broadcast(rng), "group")  # one row per group
+                .groupBy("group", _bins(F.col("v"), F.col("lo0"), F.col("hi0"), bins).alias("bin"))
+                .agg(F.count(F.lit(1)).alias("n")))
     grid = rng.select("group", "lo0", "hi0", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    width = (F.col("hi0") - F.col("lo0")) / F.lit(float(bins))
     return (grid.join(counts, ["group", "bin"], "left")
                 .select("group", "bin", (F.col("lo0") + F.col("bin") * width).alias("lo"),
                         F.when(F.col("bin") == bins - 1, F.col("hi0"))
