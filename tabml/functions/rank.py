@@ -30,12 +30,20 @@ from pyspark.sql import functions as F
 
 from tabml.functions.hashing import hash_prefix_bucket
 
-_DIGITS = 3  # hex digits added per refinement level (4096 sub-buckets)
+_DIGITS = 3  # at most 3 hex digits added per refinement level (4096 sub-buckets)
 _MAX_GROUPS = 5000
+_DRIVER_ROWS = 1_000_000  # bound on the bucket counts a refinement level returns
 
 
 class HashOrder:
-    """Exact positions in the order of a hex hash column, per optional group."""
+    """Exact positions in the order of a hex hash column, per optional group.
+
+    One aggregate gives the group totals (at most ``_MAX_GROUPS`` rows).  Each
+    refinement level counts rows per (group, longer hash prefix) for the
+    prefixes that hold a requested position only; the prefix grows by as many
+    hex digits as keep ``requested prefixes x sub-buckets`` near
+    ``_DRIVER_ROWS``, so the driver never receives more than a bounded table
+    whatever the number of classes."""
 
     def __init__(self, df: DataFrame, h_col: str, group_col: str | None = None,
                  leaf_rows: int = 2_000_000):
@@ -45,22 +53,14 @@ class HashOrder:
         cols = [h_col] + ([group_col] if group_col else [])
         self.df = df.select(*cols)
         gcol = F.col(group_col) if group_col else F.lit(0)
-        rows = (
-            self.df.groupBy(gcol.alias("_g"), F.substring(h_col, 1, _DIGITS).alias("_p"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .collect()
-        )
-        # bounded: at most groups x 4096 rows
-        self._level1: dict = defaultdict(list)
-        for r in rows:
-            self._level1[r["_g"]].append((r["_p"], r["_n"]))
-        if len(self._level1) > _MAX_GROUPS:
-            raise ValueError(f"too many groups for an exact split: {len(self._level1)} > {_MAX_GROUPS}")
-        for g in self._level1:
-            self._level1[g].sort()
+        rows = (self.df.groupBy(gcol.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+                .limit(_MAX_GROUPS + 1).collect())
+        if len(rows) > _MAX_GROUPS:
+            raise ValueError(f"too many groups for an exact split: more than {_MAX_GROUPS}")
+        self._totals = {r["_g"]: int(r["_n"]) for r in rows}
 
     def totals(self) -> dict:
-        return {g: sum(n for _, n in v) for g, v in self._level1.items()}
+        return dict(self._totals)
 
     def _gcol(self):
         return F.col(self.g) if self.g else F.lit(0)
@@ -73,12 +73,12 @@ class HashOrder:
         pending = []
         for g, ps in requests.items():
             for p in ps:
-                total = sum(n for _, n in self._level1.get(g, []))
+                total = self._totals.get(g, 0)
                 if not 1 <= p <= total:
                     raise ValueError(f"position {p} outside 1..{total} for group {g!r}")
                 pending.append((g, p, "", p))
-        buckets = {(g, ""): self._level1[g] for g in requests}
         while pending:
+            buckets = self._refine({(g, pre) for g, _, pre, _ in pending})
             leaves, deeper = [], []
             for g, p, pre, r in pending:
                 acc = 0
@@ -89,26 +89,26 @@ class HashOrder:
                     acc += n
             if leaves:
                 out.update(self._rank_leaves(leaves))
-            if deeper:
-                buckets.update(self._refine({(g, sub) for g, _, sub, _ in deeper}))
             pending = deeper
         return out
 
     def _refine(self, prefixes: set) -> dict:
+        """Row counts per (group, prefix + next digits) for the given prefixes."""
         spark = self.df.sparkSession
         by_len = defaultdict(list)
         for g, pre in prefixes:
             by_len[len(pre)].append((g, pre))
         res: dict = defaultdict(list)
         for plen, items in by_len.items():
+            digits = max(1, min(_DIGITS, int(math.log(max(1.0, _DRIVER_ROWS / len(items)), 16))))
             keys = spark.createDataFrame([(str(g), pre) for g, pre in items], "_gs string, _pre string")
             rows = (
                 self.df.join(
-                    F.broadcast(keys),
+                    F.broadcast(keys),  # one row per requested prefix
                     (self._gcol().cast("string") == F.col("_gs"))
                     & (F.substring(self.h, 1, plen) == F.col("_pre")),
                 )
-                .groupBy("_gs", "_pre", F.substring(self.h, 1, plen + _DIGITS).alias("_p"))
+                .groupBy("_gs", "_pre", F.substring(self.h, 1, plen + digits).alias("_p"))
                 .agg(F.count(F.lit(1)).alias("_n"))
                 .collect()
             )
