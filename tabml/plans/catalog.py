@@ -277,7 +277,7 @@ def q_impute_mode(spark, sf):
 
 @query("one_hot", f"""WITH fit AS ({fx.P5_FIT}), a AS ({fx.P5_ALL}),
 c AS (SELECT DISTINCT p_type AS v FROM fit)
-SELECT a.p_partkey, 'p_type_' || c.v AS feature, CASE WHEN a.p_type = c.v THEN 1.0 ELSE 0.0 END AS value
+SELECT a.p_partkey, 'p_type_' || c.v AS feature, CAST(CASE WHEN a.p_type = c.v THEN 1 ELSE 0 END AS DOUBLE) AS value
 FROM a, c""")
 def q_one_hot(spark, sf):
     fit = fx.fixture(spark, sf, fx.P5_FIT, "part")
@@ -505,12 +505,12 @@ def _stump(spark, sf, task: str, criterion: str, target_sql: str):
 def _stump_sql(impurity: str, target_sql: str) -> str:
     if impurity == "gini":
         imp = lambda n, s: f"(1 - ({s}/{n})*({s}/{n}) - (({n}-{s})/{n})*(({n}-{s})/{n}))"
-        pred = lambda n, s, q: f"CASE WHEN {s} > {n} - {s} THEN 1.0 ELSE 0.0 END"
+        pred = lambda n, s, q: f"CAST(CASE WHEN {s} > {n} - {s} THEN 1 ELSE 0 END AS DOUBLE)"
     elif impurity == "entropy":
         def ent(p):
             return f"(CASE WHEN {p} > 0 THEN -({p}) * ln({p}) / ln(2) ELSE 0 END)"
         imp = lambda n, s: f"({ent(f'{s}/{n}')} + {ent(f'({n}-{s})/{n}')})"
-        pred = lambda n, s, q: f"CASE WHEN {s} > {n} - {s} THEN 1.0 ELSE 0.0 END"
+        pred = lambda n, s, q: f"CAST(CASE WHEN {s} > {n} - {s} THEN 1 ELSE 0 END AS DOUBLE)"
     else:
         imp = lambda n, s, q=None: f"(({q})/{n} - ({s}/{n})*({s}/{n}))"
         pred = lambda n, s, q: f"{s}/{n}"

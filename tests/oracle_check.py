@@ -45,6 +45,22 @@ def duck(sf_dir):
     return con
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "date": "DATE",
+          "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_diff(sdf, res) -> list:
+    """Columns whose Spark type and DuckDB type differ (by name)."""
+    st = dict(sdf.dtypes)
+    out = []
+    for c, t in zip(res.columns, res.types):
+        want = _TYPES.get(st.get(c, ""), st.get(c, ""))
+        if str(t) != want:
+            out.append((c, st.get(c), str(t)))
+    return out
+
+
 def compare(spark, name, fn, sql, sf_dir, con):
     t = time.time()
     df = fn(spark, sf_dir)
@@ -55,8 +71,11 @@ def compare(spark, name, fn, sql, sf_dir, con):
         return dict(name=name, ok=None, rows=len(s), sec=round(dt, 2))
     res = con.sql(sql)
     d, dcols = rows_of(res.columns, res.fetchall())
-    ok = scols == dcols and Counter(s) == Counter(d)
+    types = type_diff(df, res)
+    ok = scols == dcols and Counter(s) == Counter(d) and not types
     info = dict(name=name, ok=ok, rows=len(s), oracle_rows=len(d), sec=round(dt, 2))
+    if types:
+        info["types"] = types
     if not ok:
         info["cols"] = (scols, dcols)
         diff = list((Counter(s) - Counter(d)).elements())[:3]
