@@ -150,11 +150,10 @@ def bucket_of_hash(h_col: str, digits: int = _DIGITS):
     return hash_prefix_bucket(F.col(h_col), digits)
 
 
-def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
-                    buckets: int = 64, rel_error: float = 1e-3) -> DataFrame:
-    """Add ``cum_<v>`` = running sum of each value column over rows ordered by
-    ``order_col`` (ascending or descending), inclusive.  ``order_col`` must be
-    unique per row (pre-aggregate by it first) and not null."""
+def _frozen_buckets(df: DataFrame, order_col: str, descending: bool, buckets: int, rel_error: float) -> DataFrame:
+    """Adds ``_b``: a bucket id monotone in ``order_col`` (ascending, or
+    descending when asked) from quantile bounds computed once and frozen as
+    literals, so a recomputed partition lands in the same bucket."""
     probs = [i / buckets for i in range(1, buckets)]
     qs = df.approxQuantile(order_col, probs, rel_error) if buckets > 1 else []
     bounds = sorted(set(float(q) for q in qs))
@@ -166,8 +165,17 @@ def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descen
         b = Bucketizer(splits=splits, inputCol="_ord", outputCol="_b").transform(
             df.withColumn("_ord", F.col(order_col).cast("double"))
         ).drop("_ord")
-    if descending:
-        b = b.withColumn("_b", -F.col("_b"))
+    return b.withColumn("_b", -F.col("_b")) if descending else b
+
+
+def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
+                    buckets: int = 64, rel_error: float = 1e-3, with_next: bool = False) -> DataFrame:
+    """Add ``cum_<v>`` = running sum of each value column over rows ordered by
+    ``order_col`` (ascending or descending), inclusive; with ``with_next`` also
+    ``next_<v>`` = the value of the following row (null for the last row).
+    ``order_col`` must be unique per row (pre-aggregate by it first) and not
+    null."""
+    b = _frozen_buckets(df, order_col, descending, buckets, rel_error)
     totals = b.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets rows
     offsets = totals.select(
@@ -178,6 +186,17 @@ def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descen
     res = b.join(F.broadcast(offsets), "_b")
     for v in value_cols:
         res = res.withColumn(f"cum_{v}", F.sum(v).over(w) + F.col(f"_o_{v}"))
+    if with_next:
+        wn = Window.partitionBy("_b").orderBy(oc)
+        # first row of every bucket (<= buckets rows), shifted to the bucket before it
+        firsts = (b.groupBy("_b").agg(F.min_by(F.struct(*value_cols), F.col(order_col) * (-1 if descending else 1))
+                                      .alias("_f"))
+                   .select(F.lead("_b").over(Window.orderBy("_b")).alias("_bn"), "_b", "_f"))
+        nxt = (firsts.select(F.col("_b"), F.lead("_f").over(Window.orderBy("_b")).alias("_nf")))
+        res = res.join(F.broadcast(nxt), "_b", "left")
+        for v in value_cols:
+            res = res.withColumn(f"next_{v}", F.coalesce(F.lead(v).over(wn), F.col("_nf")[v]))
+        res = res.drop("_nf")
     return res.drop("_b", *[f"_o_{v}" for v in value_cols])
 
 

@@ -9,9 +9,10 @@ more aggregate.
 
 Semantics of the public library the reference calls: the positive class is
 the larger of the two observed labels; ROC thresholds are the distinct scores
-in decreasing order with a leading ``(+inf, 0, 0)`` point; the PR curve ends
-at ``(recall 0, precision 1)``; the AUC is the trapezoid rule.  All distinct
-thresholds are kept (no dropping of collinear points).
+in decreasing order with a leading ``(+inf, 0, 0)`` point, and by default
+points whose second difference is zero (collinear, ``drop_intermediate``) are
+dropped; the PR curve keeps every threshold and ends at ``(recall 0,
+precision 1)``; the AUC is the trapezoid rule over all thresholds.
 """
 
 from __future__ import annotations
@@ -33,16 +34,24 @@ def score_counts(df: DataFrame, y: str, score: str, positive=None) -> tuple[Data
     return agg, pos
 
 
-def _cum(df: DataFrame, y: str, score: str, positive=None) -> DataFrame:
+def _cum(df: DataFrame, y: str, score: str, positive=None, with_next: bool = False) -> DataFrame:
     agg, _ = score_counts(df, y, score, positive)
-    cum = cumulative_sums(agg, "threshold", ["tp", "fp"], descending=True)
+    cum = cumulative_sums(agg, "threshold", ["tp", "fp"], descending=True, with_next=with_next)
     tot = agg.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N")).first()  # two numbers
     return cum.withColumn("P", F.lit(float(tot["P"]))).withColumn("N", F.lit(float(tot["N"])))
 
 
-def roc_curve(df: DataFrame, y: str, score: str, positive=None) -> DataFrame:
-    """``(threshold, fpr, tpr)``; the first point is ``(+inf, 0, 0)``."""
-    c = _cum(df, y, score, positive)
+def roc_curve(df: DataFrame, y: str, score: str, positive=None, drop_intermediate: bool = True) -> DataFrame:
+    """``(threshold, fpr, tpr)``; the first point is ``(+inf, 0, 0)``.  A point i
+    is dropped when both second differences are zero, i.e. the next distinct
+    score adds the same positives and negatives as this one; the first and last
+    points are kept."""
+    c = _cum(df, y, score, positive, with_next=drop_intermediate)
+    if drop_intermediate:
+        first = (F.col("cum_tp") == F.col("tp")) & (F.col("cum_fp") == F.col("fp"))
+        keep = (first | F.col("next_tp").isNull() | (F.col("next_tp") != F.col("tp"))
+                | (F.col("next_fp") != F.col("fp")))
+        c = c.where(keep)
     pts = c.select("threshold", (F.col("cum_fp") / F.col("N")).alias("fpr"),
                    (F.col("cum_tp") / F.col("P")).alias("tpr"))
     origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")

@@ -405,13 +405,24 @@ c AS (SELECT threshold, tp, fp, sum(tp) OVER (ORDER BY threshold DESC) AS cum_tp
              sum(fp) OVER (ORDER BY threshold DESC) AS cum_fp, P, N FROM _a, _t)"""
 
 
-@query("roc_curve", f"""WITH {_CUM}
-SELECT threshold, round(cum_fp / N, 6) AS fpr, round(cum_tp / P, 6) AS tpr FROM c
+@query("roc_curve", f"""WITH {_CUM},
+k AS (SELECT *, lead(tp) OVER (ORDER BY threshold DESC) AS ntp, lead(fp) OVER (ORDER BY threshold DESC) AS nfp,
+             row_number() OVER (ORDER BY threshold DESC) AS rn FROM c)
+SELECT threshold, round(cum_fp / N, 6) AS fpr, round(cum_tp / P, 6) AS tpr FROM k
+WHERE rn = 1 OR ntp IS NULL OR ntp <> tp OR nfp <> fp
 UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
 def q_roc_curve(spark, sf):
     return curves.roc_curve(_p8(spark, sf), "yb", "score").select("threshold", r6("fpr"), r6("tpr"))
 
 
+@query("roc_curve_all_points", f"""WITH {_CUM}
+SELECT threshold, round(cum_fp / N, 6) AS fpr, round(cum_tp / P, 6) AS tpr FROM c
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+def q_roc_curve_all_points(spark, sf):
+    return curves.roc_curve(_p8(spark, sf), "yb", "score", drop_intermediate=False).select(
+        "threshold", r6("fpr"), r6("tpr"))
+
+
 @query("roc_auc", f"""WITH {_CUM}
 SELECT round(sum(fp / N * (2 * cum_tp - tp) / (2 * P)), 6) AS auc FROM c""")
 def q_roc_auc(spark, sf):
@@ -1061,3 +1072,20 @@ def q_report_sinks(spark, sf):
     ins = spark.read.json(f"{base}/insight")
     return spark.createDataFrame([("cv_report", cv.count()), ("evaluation", ev.count()),
                                   ("insight", ins.count())], "sink string, rows long")
+
+
+@query("roc_curve_labels", """WITH _a AS (SELECT CAST(doc_id AS DOUBLE) AS threshold, sum(quality) AS tp, sum(1 - quality) AS fp
+            FROM labels GROUP BY 1),
+_t AS (SELECT CAST(sum(tp) AS DOUBLE) AS P, CAST(sum(fp) AS DOUBLE) AS N FROM _a),
+c AS (SELECT threshold, tp, fp, sum(tp) OVER (ORDER BY threshold DESC) AS cum_tp,
+             sum(fp) OVER (ORDER BY threshold DESC) AS cum_fp, P, N FROM _a, _t),
+k AS (SELECT *, lead(tp) OVER (ORDER BY threshold DESC) AS ntp, lead(fp) OVER (ORDER BY threshold DESC) AS nfp,
+             row_number() OVER (ORDER BY threshold DESC) AS rn FROM c)
+SELECT threshold, round(cum_fp / N, 6) AS fpr, round(cum_tp / P, 6) AS tpr FROM k
+WHERE rn = 1 OR ntp IS NULL OR ntp <> tp OR nfp <> fp
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+def q_roc_curve_labels(spark, sf):
+    """ROC of the quality label scored by the document id: runs of equal labels
+    make collinear points, which the curve drops."""
+    lab = fx.table(spark, sf, "labels").select("quality", F.col("doc_id").cast("double").alias("score"))
+    return curves.roc_curve(lab, "quality", "score").select("threshold", r6("fpr"), r6("tpr"))

@@ -163,3 +163,24 @@ def test_cumulative_sums_match_pandas(spark):
     got = cumulative_sums(df, "s", ["a", "b"], descending=True, buckets=8).toPandas().sort_values("s", ascending=False)
     assert (got["cum_a"].to_numpy() == got["a"].cumsum().to_numpy()).all()
     assert (got["cum_b"].to_numpy() == got["b"].cumsum().to_numpy()).all()
+
+
+def test_roc_drop_intermediate_known_answer(spark):
+    df = spark.createDataFrame([(1, 0.9), (1, 0.8), (1, 0.7), (0, 0.6), (0, 0.5)], "y int, s double")
+    th = sorted((r["threshold"] for r in curves.roc_curve(df, "y", "s").collect()), reverse=True)
+    assert th == [float("inf"), 0.9, 0.7, 0.5]
+
+
+def test_roc_drop_intermediate_matches_numpy_rule_across_buckets(spark):
+    rng = np.random.default_rng(5)
+    n = 3000
+    scores = rng.permutation(n).astype(float)
+    # long runs of one label make many collinear points
+    y = (np.repeat(rng.integers(0, 2, n // 30), 30)).astype(int)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, scores)], "y int, s double")
+    got = sorted((r["threshold"] for r in curves.roc_curve(df, "y", "s").collect()), reverse=True)
+    order = np.argsort(-scores)
+    tps, fps = np.cumsum(y[order]), np.cumsum(1 - y[order])
+    keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+    want = [float("inf")] + list(scores[order][keep])
+    assert got == want and len(want) < n / 2
