@@ -12,8 +12,13 @@ Classifier (``SVC``)
     broadcast, each row is mapped to ``K(x, landmarks) @ K_mm^{-1/2}`` by a
     pandas UDF, and the linear machine is trained on the map.  This
     approximates the exact kernel machine; ``n_landmarks`` sets the quality.
-    ``probability=True``: Platt scaling, a logistic regression on the decision
-    score (fitted on the training scores).
+    ``probability=True``: Platt scaling as the library does it: decision
+    scores of the training rows come out of fold (``platt_cv`` stratified
+    folds, default 5), and a sigmoid is fitted to them with Platt's smoothed
+    targets ``(N+ + 1) / (N+ + 2)`` and ``1 / (N- + 2)`` (a weighted
+    ``LogisticRegression``: each row once as label 1 with weight t, once as
+    label 0 with weight 1 - t).  Multi-class: one sigmoid per one-vs-rest
+    score, normalised to sum to 1 (the library couples one-vs-one pairs).
 
 Regressor (``SVR``)
     Primal epsilon-insensitive regression with the squared loss
@@ -103,10 +108,11 @@ class Nystroem:
 class SVC:
     def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma="scale", degree: int = 3, coef0: float = 0.0,
                  class_weight: str | None = None, tol: float = 1e-3, max_iter: int = 100,
-                 probability: bool = False, n_landmarks: int = 200, seed: int = 42):
+                 probability: bool = False, n_landmarks: int = 200, seed: int = 42, platt_cv: int | None = 5):
         self.C, self.kernel, self.gamma, self.degree, self.coef0 = C, kernel, gamma, degree, coef0
         self.class_weight, self.tol, self.max_iter = class_weight, tol, max_iter
         self.probability, self.n_landmarks, self.seed = probability, n_landmarks, seed
+        self.platt_cv = platt_cv
 
     def _map(self, df, features):
         if self.kernel == "linear":
@@ -144,13 +150,45 @@ class SVC:
         est = svc if len(classes) == 2 else OneVsRest(classifier=svc, featuresCol="_vec", labelCol="_label")
         self.model_ = est.fit(data)
         if self.probability:
-            scored = self._scores(data)
-            self.platt_ = [LogisticRegression(featuresCol="_s", labelCol="_y", regParam=0.0).fit(
-                scored.select(array_to_vector(F.array(F.col("_score")[j])).alias("_s"),
-                              (F.col("_label") == j).cast("double").alias("_y")))
-                for j in (range(len(classes)) if len(classes) > 2 else [1])]
+            self.platt_ = self._fit_platt(df, label, features, key)
         return self
 
+    def _fit_platt(self, df: DataFrame, label: str, features: str, key: str | None) -> list:
+        k = len(self.classes_)
+        if self.platt_cv and self.platt_cv > 1:
+            if key is None:
+                raise ValueError("probability=True needs key= for the internal folds (or platt_cv=None)")
+            from tabml.operators.split import kfold
+            folded = kfold(df, [key], self.platt_cv, self.seed, stratify=label).cache()
+            parts = []
+            for g in range(self.platt_cv):
+                sub = SVC(self.C, self.kernel, self.gamma, self.degree, self.coef0, self.class_weight, self.tol,
+                          self.max_iter, False, self.n_landmarks, self.seed)
+                sub.fit(folded.where(F.col("fold") != g), label, features, key)
+                held = folded.where(F.col("fold") == g)
+                parts.append(sub._scores(sub._map(held, features)).select(label, "_score"))
+            oof = parts[0]
+            for p in parts[1:]:
+                oof = oof.unionByName(p)
+        else:
+            oof = self._scores(self._map(df, features)).select(label, "_score")
+        idx = F.element_at(F.create_map(*sum(([F.lit(c), F.lit(i)] for i, c in enumerate(self.classes_)), [])),
+                           F.col(label))
+        oof = oof.withColumn("_label", idx).cache()
+        models = []
+        for j in (range(k) if k > 2 else [1]):
+            pos = oof.where(F.col("_label") == j).count()
+            neg = oof.count() - pos
+            hi, lo = (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)
+            t = F.when(F.col("_label") == j, F.lit(hi)).otherwise(F.lit(lo))
+            soft = oof.select(array_to_vector(F.array(F.col("_score")[j])).alias("_s"), t.alias("_t"))
+            both = soft.select("_s", F.lit(1.0).alias("_y"), F.col("_t").alias("_w")).unionByName(
+                soft.select("_s", F.lit(0.0).alias("_y"), (1 - F.col("_t")).alias("_w")))
+            models.append(LogisticRegression(featuresCol="_s", labelCol="_y", weightCol="_w", regParam=0.0,
+                                             standardization=False).fit(both))
+        oof.unpersist()
+        return models
+
     def _scores(self, mapped: DataFrame) -> DataFrame:
         """Adds ``_score`` (array of per-class decision values) and ``_pred`` (index)."""
         if len(self.classes_) == 2:

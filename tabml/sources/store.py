@@ -25,7 +25,7 @@ def _svm_state(m) -> dict:
     st = {"kind": type(m).__name__, "params": {k: v for k, v in vars(m).items()
                                                if k in ("C", "kernel", "gamma", "degree", "coef0", "class_weight",
                                                         "tol", "max_iter", "probability", "n_landmarks", "seed",
-                                                        "epsilon")}}
+                                                        "epsilon", "platt_cv")}}
     if getattr(m, "nys_", None) is not None:
         st["nys"] = {"gamma_": m.nys_.gamma_, "landmarks": m.nys_.landmarks_.tolist(), "norm": m.nys_.norm_.tolist()}
     if type(m).__name__ == "SVR":

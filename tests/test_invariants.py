@@ -33,7 +33,7 @@ def test_linear_svc_learns_planted_target(spark):
 
 def test_platt_probability_monotone_in_score(spark):
     s = catalog._p6(spark, SF01)
-    m = svm.SVC(kernel="linear", probability=True).fit(s.where(~F.col("is_test")), "y", "x")
+    m = svm.SVC(kernel="linear", probability=True).fit(s.where(~F.col("is_test")), "y", "x", key="vec_id")
     dec = m.decision_function(s).select("vec_id", "decision")
     pr = m.predict(s).select("vec_id", F.col("probability")[1].alias("p"))
     pdf = dec.join(pr, "vec_id").toPandas().sort_values("decision")
