@@ -35,8 +35,11 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: DataFrame | None
     ``normalize=True`` adds ``share`` = n / row total (empty row -> 0)."""
     pc = pair_counts(df, y, yhat)
     cl = classes if classes is not None else _classes(pc)
-    # the class grid (classes^2 rows) from one array of the bounded class list
-    arr = cl.agg(F.array_sort(F.collect_set(F.col(cl.columns[0]))).alias("_a"))
+    # the class grid (classes^2 rows) from one array of the class list, whose
+    # size is checked (continuous predictions passed by mistake stop here)
+    arr = (cl.limit(_MAX_CLASSES + 1).agg(F.array_sort(F.collect_set(F.col(cl.columns[0]))).alias("_a"))
+             .withColumn("_a", F.when(F.size("_a") <= _MAX_CLASSES, F.col("_a")).otherwise(
+                 F.raise_error(F.lit(f"more than {_MAX_CLASSES} classes: not a classification result")))))
     grid = (arr.select(F.explode("_a").alias("y"), "_a")
                .select("y", F.explode("_a").alias("yhat")))
     out = (grid.join(pc, ["y", "yhat"], "left")
