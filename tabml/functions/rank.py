@@ -53,6 +53,19 @@ class HashOrder:
         cols = [h_col] + ([group_col] if group_col else [])
         self.df = df.select(*cols)
         gcol = F.col(group_col) if group_col else F.lit(0)
+        self._level1: dict = {}
+        # common case, one scan: counts per (group, 3-digit prefix) when they fit the bound
+        rows = (self.df.groupBy(gcol.alias("_g"), F.substring(h_col, 1, _DIGITS).alias("_p"))
+                .agg(F.count(F.lit(1)).alias("_n")).limit(_DRIVER_ROWS + 1).collect())
+        if len(rows) <= _DRIVER_ROWS:
+            lv: dict = defaultdict(list)
+            for r in rows:
+                lv[r["_g"]].append((r["_p"], int(r["_n"])))
+            if len(lv) > _MAX_GROUPS:
+                raise ValueError(f"too many groups for an exact split: more than {_MAX_GROUPS}")
+            self._level1 = {(g, ""): sorted(v) for g, v in lv.items()}
+            self._totals = {g: sum(n for _, n in v) for g, v in lv.items()}
+            return
         rows = (self.df.groupBy(gcol.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
                 .limit(_MAX_GROUPS + 1).collect())
         if len(rows) > _MAX_GROUPS:
@@ -78,7 +91,11 @@ class HashOrder:
                     raise ValueError(f"position {p} outside 1..{total} for group {g!r}")
                 pending.append((g, p, "", p))
         while pending:
-            buckets = self._refine({(g, pre) for g, _, pre, _ in pending})
+            need = {(g, pre) for g, _, pre, _ in pending}
+            buckets = {k: self._level1[k] for k in need if k in self._level1}
+            missing = need - set(buckets)
+            if missing:
+                buckets.update(self._refine(missing))
             leaves, deeper = [], []
             for g, p, pre, r in pending:
                 acc = 0

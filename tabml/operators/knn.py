@@ -124,13 +124,14 @@ def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "feat
     if p < 1:
         raise ValueError("p must be >= 1")
     test_key = test_key or key
-    if group:
-        # blocks are cut per group: size them by the largest group (one row per group)
-        n_train = train.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-        n_test = test.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-    else:
-        n_train = train.count()
-        n_test = test.count()
+    # block sizes from one aggregate over both sides; with groups, blocks are cut
+    # per group, so the largest group decides (one row per side and group)
+    g_ = F.col(group) if group else F.lit(0)
+    sizes = (train.select(F.lit(0).alias("_side"), g_.alias("_gg"))
+             .unionByName(test.select(F.lit(1).alias("_side"), g_.alias("_gg")))
+             .groupBy("_side", "_gg").count().groupBy("_side").agg(F.max("count").alias("m")).collect())
+    by_side = {r["_side"]: int(r["m"]) for r in sizes}
+    n_train, n_test = by_side.get(0, 0), by_side.get(1, 0)
     if n_train == 0:
         raise ValueError("empty train set")
     t_blocks = max(1, math.ceil(n_train / block_rows))
