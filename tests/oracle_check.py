@@ -88,8 +88,14 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     import __spark_entry__ as E
-    from tabml.session import get_spark
-    spark = get_spark("local[8]")
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's session may carry none of our settings
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from tabml.session import get_spark
+        spark = get_spark("local[8]")
     qs, ors = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
