@@ -28,8 +28,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabml.functions.hashing import hash_prefix_bucket
-
 _DIGITS = 3  # at most 3 hex digits added per refinement level (4096 sub-buckets)
 _MAX_GROUPS = 5000
 _DRIVER_ROWS = 1_000_000  # bound on the bucket counts a refinement level returns
@@ -163,10 +161,6 @@ class HashOrder:
         return out
 
 
-def bucket_of_hash(h_col: str, digits: int = _DIGITS):
-    return hash_prefix_bucket(F.col(h_col), digits)
-
-
 def _frozen_buckets(df: DataFrame, order_col: str, descending: bool, buckets: int, rel_error: float) -> DataFrame:
     """Adds ``_b``: a bucket id monotone in ``order_col`` (ascending, or
     descending when asked) from quantile bounds computed once and frozen as
@@ -288,12 +282,10 @@ def kth_smallest(df: DataFrame, col: str, ranks: list[int], buckets: int = 256,
 
 
 def _prev(v: float) -> float:
-    import math
     return math.nextafter(v, float("-inf"))
 
 
 def _next(v: float) -> float:
-    import math
     return math.nextafter(v, float("inf"))
 
 

@@ -100,7 +100,6 @@ def _renumber(nodes: dict, s: int) -> list:
 
 def prune_min_samples_split(model, min_samples_split: int, path: str):
     """Post-prune a fitted MLlib tree or forest to ``min_samples_split``."""
-    from pyspark.sql import SparkSession
     spark = active_spark()
     model.write().overwrite().save(f"{path}/grown")
     data = spark.read.parquet(f"{path}/grown/data")
@@ -215,7 +214,6 @@ class TreeModel:
 def feature_importance(models, names: list[str]) -> DataFrame:
     """``(feature, importance, importance_ratio)`` sorted descending; with several
     models (one per target) the importances are averaged."""
-    from pyspark.sql import SparkSession
     models = models if isinstance(models, (list, tuple)) else [models]
     imp = [0.0] * len(names)
     for m in models:
@@ -232,7 +230,6 @@ def tree_nodes(model, path: str, tree_index: int = 0, max_depth: int | None = 3)
     """Nodes of one tree down to ``max_depth`` from the model's saved node table:
     ``(depth, id, prediction, impurity, gain, count, feature, threshold, left, right)``.
     Depths come from level-by-level joins of the node table (at most 30)."""
-    from pyspark.sql import SparkSession
     spark = active_spark()
     model.write().overwrite().save(path)
     data = spark.read.parquet(f"{path}/data")

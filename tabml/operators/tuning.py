@@ -76,8 +76,8 @@ def _fold_stats(f: DataFrame, features: str, folds: int, kind: str) -> dict:
         F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"),
         F.min("v").alias("mn"), F.max("v").alias("mx")).collect()  # folds x dims rows
     dim = max(r["j"] for r in rows) + 1
-    n = np.zeros((folds, dim)); s = np.zeros((folds, dim)); q = np.zeros((folds, dim))  # noqa: E702
-    mn = np.full((folds, dim), np.inf); mx = np.full((folds, dim), -np.inf)  # noqa: E702
+    n, s, q = (np.zeros((folds, dim)) for _ in range(3))
+    mn, mx = np.full((folds, dim), np.inf), np.full((folds, dim), -np.inf)
     for r in rows:
         g, j = r["fold"], r["j"]
         n[g, j], s[g, j], q[g, j], mn[g, j], mx[g, j] = r["n"], r["s"], r["q"], r["mn"], r["mx"]
