@@ -14,6 +14,13 @@ Plan (no cross join, no pair rows, no unbounded broadcast):
 3. With ``T > 1`` the per-block lists are merged by ``row_number() <= k`` per
    test key (Spark plans a ``WindowGroupLimit`` before the shuffle).
 
+Small training side: when ``n_train * (d + 2) * 8`` bytes is within
+``broadcast_bytes`` (checked from the counted rows and the vector length
+before anything is collected), the training matrix is broadcast once per
+executor and every test partition computes its neighbours in place with
+``mapInPandas``: no shuffle of the (possibly huge) scoring side at all.  This
+is the batch-scoring case: a bounded model, an unbounded table to score.
+
 Distances are rounded to 9 decimals so that float noise cannot reorder
 mathematically equal distances; ties are then broken by the train key.
 The neighbour list (``neighbors``) is the shared intermediate: one list of
@@ -112,9 +119,48 @@ def _block_topk(k: int, p: float, key_type, label_type):
     return fn
 
 
+def _broadcast_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str, features: str,
+                         label: str | None, k: int, p: float, n_train: int) -> DataFrame:
+    spark = train.sparkSession
+    lab = F.col(label) if label else F.lit(None).cast("double")
+    rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"),
+                         lab.alias("_y")).orderBy("_tk").collect())  # bounded: checked by the caller
+    x = np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    bc = spark.sparkContext.broadcast({"x": x, "x2": np.einsum("ij,ij->i", x, x),
+                                       "tk": np.array([r["_tk"] for r in rows], dtype=object),
+                                       "ty": np.array([r["_y"] for r in rows], dtype=object)})
+    kk = min(k, n_train)
+    schema = T.StructType([
+        T.StructField(test_key, test.schema[test_key].dataType),
+        T.StructField("nn_rank", T.IntegerType()),
+        T.StructField("nn_key", train.schema[key].dataType),
+        T.StructField("dist", T.DoubleType()),
+        T.StructField("nn_label", train.schema[label].dataType if label else T.DoubleType()),
+    ])
+
+    def part(it):
+        b = bc.value
+        x, x2, tk, ty = b["x"], b["x2"], b["tk"], b["ty"]
+        per_row = x.shape[0] * (max(1, x.shape[1]) if p != 2 else 1)
+        step = max(1, _CHUNK_CELLS // max(1, per_row))
+        for pdf in it:
+            if pdf.empty:
+                continue
+            q_all = np.stack(pdf["_x"].to_numpy()).astype(np.float64)
+            qk_all = pdf["_qk"].to_numpy()
+            for s0 in range(0, len(pdf), step):
+                r, c, d = _topk_chunk(q_all[s0:s0 + step], x, x2, kk, p)
+                yield pd.DataFrame({test_key: qk_all[s0:s0 + step][r], "nn_rank": np.tile(np.arange(1, kk + 1), len(r) // kk),
+                                    "nn_key": tk[c], "dist": d, "nn_label": ty[c]})
+
+    q = test.select(F.col(test_key).alias("_qk"), F.col(features).cast("array<double>").alias("_x"))
+    return q.mapInPandas(part, schema)
+
+
 def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "features",
               label: str | None = None, k: int = 5, p: float = 2, block_rows: int = 4096,
-              test_key: str | None = None, group: str | None = None) -> DataFrame:
+              test_key: str | None = None, group: str | None = None,
+              broadcast_bytes: int = 256 * 1024 * 1024) -> DataFrame:
     """``([group,] <test key>, nn_rank, nn_key, dist, nn_label)`` with the k
     nearest train rows of every test row (``nn_rank`` 1..k).  With ``group``,
     test rows only meet train rows of the same group (one join serves, e.g.,
@@ -134,6 +180,10 @@ def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "feat
     n_train, n_test = by_side.get(0, 0), by_side.get(1, 0)
     if n_train == 0:
         raise ValueError("empty train set")
+    if group is None and broadcast_bytes:
+        dim = train.select(F.size(F.col(features))).first()[0] or 0
+        if n_train * (dim + 2) * 8 <= broadcast_bytes:
+            return _broadcast_neighbors(train, test, key, test_key, features, label, k, p, n_train)
     t_blocks = max(1, math.ceil(n_train / block_rows))
     q_blocks = max(1, math.ceil(n_test / block_rows))
     key_type = train.schema[key].dataType

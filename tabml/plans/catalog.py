@@ -75,10 +75,10 @@ def _emb_split(spark, sf):
     return split.train_test_split(e, ["vec_id"], 0.2, 42, stratify="label")
 
 
-def _emb_neighbours(spark, sf, k=5, p=2):
+def _emb_neighbours(spark, sf, k=5, p=2, **kw):
     s = _emb_split(spark, sf)
     tr, te = s.where(~F.col("is_test")), s.where(F.col("is_test"))
-    return s, knn.neighbors(tr, te, "vec_id", "x", "label", k=k, p=p)
+    return s, knn.neighbors(tr, te, "vec_id", "x", "label", k=k, p=p, **kw)
 
 
 def _knn_sql(weights="uniform", p=2, k=5, tail="SELECT qk AS vec_id, prediction FROM pred"):
@@ -95,6 +95,13 @@ def q_knn_classify(spark, sf):
     return knn.vote(nb, "vec_id", 5)
 
 
+@query("knn_classify_blocked", _knn_sql())
+def q_knn_classify_blocked(spark, sf):
+    """The same query through the blocked cogroup join (no broadcast, small blocks)."""
+    _, nb = _emb_neighbours(spark, sf, block_rows=64, broadcast_bytes=0)
+    return knn.vote(nb, "vec_id", 5)
+
+
 @query("knn_classify_weighted", _knn_sql("distance"))
 def q_knn_classify_weighted(spark, sf):
     _, nb = _emb_neighbours(spark, sf)

@@ -44,7 +44,7 @@ def test_blocked_join_equals_single_block(spark):
     tr, te = df.where("id % 4 != 0"), df.where("id % 4 = 0")
     a = {(r["id"], r["nn_rank"]): r["nn_key"] for r in knn.neighbors(tr, te, "id", "x", "y", 7).collect()}
     b = {(r["id"], r["nn_rank"]): r["nn_key"] for r in
-         knn.neighbors(tr, te, "id", "x", "y", 7, block_rows=16).collect()}
+         knn.neighbors(tr, te, "id", "x", "y", 7, block_rows=16, broadcast_bytes=0).collect()}
     assert a == b and len(a) == 75 * 7
     x = np.array([r[1] for r in rows])
     for (q, rank), key in list(a.items())[:50]:
@@ -184,3 +184,15 @@ def test_roc_drop_intermediate_matches_numpy_rule_across_buckets(spark):
     keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
     want = [float("inf")] + list(scores[order][keep])
     assert got == want and len(want) < n / 2
+
+
+def test_broadcast_path_equals_blocked_path(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=5).round(1).tolist(), int(rng.integers(0, 4))) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, y int")
+    tr, te = df.where("id % 3 != 0"), df.where("id % 3 = 0")
+    for p in (1, 2):
+        a = sorted(tuple(r) for r in knn.neighbors(tr, te, "id", "x", "y", 6, p=p).collect())
+        b = sorted(tuple(r) for r in knn.neighbors(tr, te, "id", "x", "y", 6, p=p, block_rows=64,
+                                                    broadcast_bytes=0).collect())
+        assert a == b and len(a) == 200 * 6
