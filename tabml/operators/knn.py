@@ -154,6 +154,11 @@ def _broadcast_neighbors(train: DataFrame, test: DataFrame, key: str, test_key:
                                     "nn_key": tk[c], "dist": d, "nn_label": ty[c]})
 
     q = test.select(F.col(test_key).alias("_qk"), F.col(features).cast("array<double>").alias("_x"))
+    par = spark.sparkContext.defaultParallelism
+    if q.rdd.getNumPartitions() < par:
+        # a small input read as one split would put every distance in one task;
+        # large inputs already have enough partitions and are left in place
+        q = q.repartition(par)
     return q.mapInPandas(part, schema)
 
 
