@@ -116,3 +116,33 @@ def test_min_samples_split_prunes_small_internal_nodes(spark):
     assert got == sorted(kept)
     two = trees.TreeModel("tree", "classification", max_depth=8, min_samples_split=2).fit(p, "y")
     assert two.model.numNodes == full.model.numNodes
+
+
+def test_transform_stream_with_tree_bundle(spark):
+    import uuid
+    from tabml.operators import score
+    from tabml.plans.train import train
+    from tabml.session import checkpoint_dir
+    from tabml.streaming.score import transform_stream
+    p = fx.fixture(spark, SF, fx.P1, "part")
+    r = train(p, "p_partkey", "y", ["p_size", "p_retailprice", "p_type"], "tree_classifier", max_depth=3)
+    part = fx.table(spark, SF, "part")
+    stream = spark.readStream.schema(part.schema).option("pathGlobFilter", "part.parquet").parquet(SF)
+    name = f"s{uuid.uuid4().hex[:8]}"
+    q = (transform_stream(r.bundle, stream).writeStream.format("memory").queryName(name)
+         .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {row["p_partkey"]: row["pred_y"] for row in spark.sql(f"SELECT * FROM {name}").collect()}
+    want = {row["p_partkey"]: row["pred_y"] for row in score.predict(r.bundle, part).collect()}
+    assert got == want and len(got) == part.count()
+
+
+def test_knn_grid_search_regression(spark):
+    from tabml.operators import tuning
+    p = fx.fixture(spark, SF, fx.P2, "part").withColumn(
+        "x", F.array(F.col("p_size").cast("double"), F.col("p_retailprice")))
+    rep = tuning.knn_grid_search(p, "p_partkey", "x", "y", "regression", folds=3, seed=1,
+                                 grid={"scaler": ["standard", None], "n_neighbors": [1, 5], "weights": ["uniform"],
+                                       "p": [2], "algorithm": ["auto"]}).toPandas()
+    assert len(rep) == 4 and rep["mean_test_score"].notna().all()
+    assert rep.loc[rep["rank_test_score"] == 1, "mean_test_score"].iloc[0] == rep["mean_test_score"].max()
