@@ -36,6 +36,12 @@ def score_counts(df: DataFrame, y: str, score: str, positive=None) -> tuple[Data
 
 def _cum(df: DataFrame, y: str, score: str, positive=None, with_next: bool = False) -> DataFrame:
     agg, _ = score_counts(df, y, score, positive)
+    # the per-score table feeds the frozen bounds, the totals and the running
+    # sums: materialise it once in the checkpoint folder (the input is scanned
+    # once, and the lineage is cut)
+    from tabml.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    agg = agg.checkpoint(eager=True)
     cum = cumulative_sums(agg, "threshold", ["tp", "fp"], descending=True, with_next=with_next)
     tot = agg.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N")).first()  # two numbers
     return cum.withColumn("P", F.lit(float(tot["P"]))).withColumn("N", F.lit(float(tot["N"])))

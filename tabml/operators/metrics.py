@@ -29,21 +29,35 @@ def _classes(pc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
               .union(pc.select(*by, F.col("yhat").alias("class"))).distinct())
 
 
+_MAX_CELLS = 1_000_000  # observed (y, yhat) pairs held in one row for the grid
+
+
 def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: DataFrame | None = None,
                      normalize: bool = False) -> DataFrame:
     """``(y, yhat, n)`` over the full class grid, zero cells included;
-    ``normalize=True`` adds ``share`` = n / row total (empty row -> 0)."""
-    pc = pair_counts(df, y, yhat)
-    cl = classes if classes is not None else _classes(pc)
-    # the class grid (classes^2 rows) from one array of the class list, whose
-    # size is checked (continuous predictions passed by mistake stop here)
-    arr = (cl.limit(_MAX_CLASSES + 1).agg(F.array_sort(F.collect_set(F.col(cl.columns[0]))).alias("_a"))
-             .withColumn("_a", F.when(F.size("_a") <= _MAX_CLASSES, F.col("_a")).otherwise(
-                 F.raise_error(F.lit(f"more than {_MAX_CLASSES} classes: not a classification result")))))
-    grid = (arr.select(F.explode("_a").alias("y"), "_a")
-               .select("y", F.explode("_a").alias("yhat")))
-    out = (grid.join(pc, ["y", "yhat"], "left")
-               .select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    ``normalize=True`` adds ``share`` = n / row total (empty row -> 0).
+
+    One scan: the pair counts (map-side combined) are folded into a single row
+    holding a map (y, yhat) -> n and the sorted class list; the grid is two
+    explodes of that list and a map lookup.  The row's size is checked first
+    (continuous predictions passed by mistake stop with an error)."""
+    pc = pair_counts(df, y, yhat).limit(_MAX_CELLS + 1)
+    one = pc.agg(
+        F.count(F.lit(1)).alias("_k"),
+        F.map_from_entries(F.collect_list(F.struct(F.struct("y", "yhat"), "n"))).alias("_m"),
+        F.array_sort(F.array_distinct(F.concat(F.collect_set("y"), F.collect_set("yhat")))).alias("_a"))
+    one = one.withColumn("_a", F.when(F.col("_k") <= _MAX_CELLS, F.col("_a")).otherwise(
+        F.raise_error(F.lit(f"more than {_MAX_CELLS} (y, yhat) pairs: not a classification result"))))
+    if classes is not None:
+        # an explicit label list (as the library's ``labels=``): bounded, checked
+        vals = [r[0] for r in classes.select(classes.columns[0]).distinct().limit(_MAX_CLASSES + 1).collect()]
+        if len(vals) > _MAX_CLASSES:
+            raise ValueError(f"more than {_MAX_CLASSES} classes")
+        one = one.withColumn("_a", F.array(*[F.lit(v) for v in sorted(vals)]))
+    grid = (one.select(F.explode("_a").alias("y"), "_a", "_m")
+               .select("y", F.explode("_a").alias("yhat"), "_m"))
+    out = grid.select("y", "yhat", F.coalesce(F.element_at("_m", F.struct("y", "yhat")), F.lit(0))
+                      .cast("long").alias("n"))
     if normalize:
         w = Window.partitionBy("y")
         tot = F.sum("n").over(w)
@@ -85,30 +99,31 @@ def _prf(pcl: DataFrame) -> DataFrame:
 def classification_report(df: DataFrame, y: str, yhat: str, digits: int | None = None) -> DataFrame:
     """``(class, precision, recall, f1, support)``: one row per class (as a
     string), then ``accuracy`` (all three columns carry the accuracy, support =
-    rows), ``macro avg`` and ``weighted avg``."""
+    rows), ``macro avg`` and ``weighted avg``.
+
+    One aggregate: ``rollup(class)`` over the per-class table yields the class
+    rows and the grand total in the same pass (the average over a single class
+    row is that row's own value)."""
     x = _prf(per_class(df, y, yhat))
-    cls = x.select(F.col("class").cast("string").alias("class"), "precision", "recall", "f1",
-                   F.col("support").cast("long").alias("support"))
-    tot = x.agg(
-        F.sum("support").alias("n"), F.sum("tp").alias("tp"),
+    r = x.rollup("class").agg(
+        F.grouping_id().alias("_gid"), F.sum("support").alias("n"), F.sum("tp").alias("tp"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
         F.sum(F.col("precision") * F.col("support")).alias("wp"),
         F.sum(F.col("recall") * F.col("support")).alias("wr"),
         F.sum(F.col("f1") * F.col("support")).alias("wf"))
-    acc = F.col("tp") / F.col("n")
     n = F.col("n")
-
-    def row(name, p, r, f):
-        return F.struct(F.lit(name).alias("class"), p.alias("precision"), r.alias("recall"),
-                        f.alias("f1"), n.alias("support"))
-
-    summary = tot.select(F.explode(F.array(
-        row("accuracy", acc, acc, acc),
-        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
-        row("weighted avg", F.col("wp") / n, F.col("wr") / n, F.col("wf") / n),
-    )).alias("s")).select("s.*")
-    out = cls.unionByName(summary.select("class", "precision", "recall", "f1",
-                                         F.col("support").cast("long").alias("support")))
+    acc = F.col("tp") / n
+
+    def row(name, p, rc, f):
+        return F.struct(name.alias("class"), p.alias("precision"), rc.alias("recall"), f.alias("f1"),
+                        n.cast("long").alias("support"))
+
+    rows = F.when(F.col("_gid") == 0, F.array(
+        row(F.col("class").cast("string"), F.col("mp"), F.col("mr"), F.col("mf")))).otherwise(F.array(
+            row(F.lit("accuracy"), acc, acc, acc),
+            row(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf")),
+            row(F.lit("weighted avg"), F.col("wp") / n, F.col("wr") / n, F.col("wf") / n)))
+    out = r.select(F.explode(rows).alias("s")).select("s.*")
     if digits is not None:
         out = out.select("class", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")],
                          "support")
