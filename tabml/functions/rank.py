@@ -180,13 +180,19 @@ def _frozen_buckets(df: DataFrame, order_col: str, descending: bool, buckets: in
 
 
 def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
-                    buckets: int = 64, rel_error: float = 1e-3, with_next: bool = False) -> DataFrame:
+                    buckets: int | None = None, rel_error: float = 1e-3, with_next: bool = False,
+                    bucket_rows: int = 1_000_000) -> DataFrame:
     """Add ``cum_<v>`` = running sum of each value column over rows ordered by
     ``order_col`` (ascending or descending), inclusive; with ``with_next`` also
     ``next_<v>`` = the value of the following row (null for the last row).
     ``order_col`` must be unique per row (pre-aggregate by it first) and not
-    null."""
-    b = _frozen_buckets(df, order_col, descending, buckets, rel_error)
+    null.  Without ``buckets`` the count is chosen so a bucket (one window
+    task) holds about ``bucket_rows`` rows: ``clamp(n / bucket_rows, 64,
+    100000)``; the offset table has one row per bucket."""
+    if buckets is None:
+        n = df.count()
+        buckets = int(min(100_000, max(64, math.ceil(n / bucket_rows))))
+    b = _frozen_buckets(df, order_col, descending, buckets, min(rel_error, 0.1 / buckets))
     totals = b.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets rows
     offsets = totals.select(

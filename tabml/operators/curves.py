@@ -120,7 +120,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: str | None = None)
     rng = rng.select("group",
                      F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo0"),
                      F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi0"))
-    counts = (x.join(F.broadcast(rng), "group")  # one row per group
+    counts = (x.join(rng, "group")  # one row per group
                 .groupBy("group", _bins(F.col("v"), F.col("lo0"), F.col("hi0"), bins).alias("bin"))
                 .agg(F.count(F.lit(1)).alias("n")))
     grid = rng.select("group", "lo0", "hi0", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

@@ -42,6 +42,8 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
+from tabml.operators.target import MAX_CLASSES
 from pyspark.sql import types as T
 
 from tabml.functions.hashing import order_hash
@@ -121,7 +123,9 @@ class SVC:
 
     def fit(self, df: DataFrame, label: str, features: str = "features", key: str | None = None) -> "SVC":
         self.label, self.features = label, features
-        classes = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
+        classes = sorted(r[0] for r in df.select(label).distinct().limit(MAX_CLASSES + 1).collect())
+        if len(classes) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}: not a classification target")
         if len(classes) < 2:
             raise ValueError("SVC needs at least two classes")
         self.classes_ = classes

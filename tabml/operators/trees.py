@@ -33,6 +33,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabml.operators.target import MAX_CLASSES
+
 from tabml.session import active_spark
 
 MAX_DEPTH = 30
@@ -177,7 +179,9 @@ class TreeModel:
         self.classes_ = None
         if self.task == "classification":
             # classes as 0..k-1 in sorted order (bounded list); decoded again in predict
-            self.classes_ = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
+            self.classes_ = sorted(r[0] for r in df.select(label).distinct().limit(MAX_CLASSES + 1).collect())
+            if len(self.classes_) > MAX_CLASSES:
+                raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}: not a classification target")
             items = sum(([F.lit(c), F.lit(float(i))] for i, c in enumerate(self.classes_)), [])
             data = data.withColumn("_label", F.element_at(F.create_map(*items), F.col(label)))
             label = "_label"
