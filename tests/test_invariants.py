@@ -146,3 +146,49 @@ def test_knn_grid_search_regression(spark):
                                        "p": [2], "algorithm": ["auto"]}).toPandas()
     assert len(rep) == 4 and rep["mean_test_score"].notna().all()
     assert rep.loc[rep["rank_test_score"] == 1, "mean_test_score"].iloc[0] == rep["mean_test_score"].max()
+
+
+def test_pca_matches_numpy_svd(spark):
+    li = fx.table(spark, SF, "lineitem").select(*catalog._COV_COLS, "l_orderkey", "l_linenumber", "l_partkey")
+    pm = prep.Preprocess(scaler="standard", pca=2).fit(li, catalog._COV_COLS)
+    pdf = li.toPandas()
+    x = pdf[catalog._COV_COLS].to_numpy(dtype=float)
+    z = (x - x.mean(0)) / x.std(0)
+    zc = z - z.mean(0)
+    _, sv, vt = np.linalg.svd(zc, full_matrices=False)
+    for i in range(2):
+        if vt[i][np.argmax(np.abs(vt[i]))] < 0:
+            vt[i] = -vt[i]
+    assert np.allclose(np.array(pm.pca_components), vt[:2], atol=1e-8)
+    assert np.allclose(pm.pca_variance, (sv[:2] ** 2) / (len(z) - 1), rtol=1e-8)
+    got = pm.transform(li, keep=["l_orderkey", "l_linenumber", "l_partkey"]).toPandas()
+    mine = np.round(np.stack(got["features"].to_numpy()), 8)
+    want = np.round(zc @ vt[:2].T, 8)
+    # compare as multisets of rows (lineitem has no unique key among these columns)
+    mine = mine[np.lexsort(mine.T[::-1])]
+    want = want[np.lexsort(want.T[::-1])]
+    assert np.allclose(mine, want, atol=1e-7)
+
+
+def test_linear_svc_solves_the_library_objective(spark):
+    s = catalog._p6(spark, SF01).where(~F.col("is_test"))
+    C = 1.0
+    m = svm.SVC(C=C, kernel="linear", tol=1e-6, max_iter=500).fit(s, "y", "x")
+    pdf = s.toPandas()
+    x = np.stack(pdf["x"].to_numpy())
+    y = np.where(pdf["y"] == m.classes_[1], 1.0, -1.0)
+    w, b = m.model_.coefficients.toArray(), m.model_.intercept
+
+    def obj(w, b):
+        return 0.5 * w @ w + C * np.maximum(0.0, 1 - y * (x @ w + b)).sum()
+
+    # plain subgradient descent on the same objective, from zero
+    wn, bn, best = np.zeros(x.shape[1]), 0.0, np.inf
+    for t in range(1, 20001):
+        act = y * (x @ wn + bn) < 1
+        gw = wn - C * (y[act, None] * x[act]).sum(0)
+        gb = -C * y[act].sum()
+        eta = 0.5 / (t ** 0.5 * len(y))
+        wn, bn = wn - eta * gw, bn - eta * gb
+        best = min(best, obj(wn, bn))
+    assert obj(w, b) <= best * 1.01
