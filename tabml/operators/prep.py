@@ -27,6 +27,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -194,6 +195,14 @@ class Preprocess:
         self.pca, self.max_categories = pca, max_categories
 
     def fit(self, df: DataFrame, features: list[str]) -> PreprocessModel:
+        # several aggregates read the same feature columns: persist just those
+        df = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit(df, features)
+        finally:
+            df.unpersist()
+
+    def _fit(self, df: DataFrame, features: list[str]) -> PreprocessModel:
         sch = {f.name: f.dataType for f in df.schema.fields}
         cat = self.categorical if self.categorical is not None else [c for c in features if is_categorical(sch[c])]
         num = self.numeric if self.numeric is not None else [c for c in features if c not in cat]
@@ -283,7 +292,8 @@ def gram(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
             g += x.T @ x
         yield pd.DataFrame({"g": [g.ravel().tolist()]})
 
-    parts = df.select(*cols).mapInPandas(partial, "g array<double>")
+    from tabml.session import spread
+    parts = spread(df.select(*cols)).mapInPandas(partial, "g array<double>")
     cells = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
     gv = np.zeros(d * d)
     for r in cells:

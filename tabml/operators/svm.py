@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -47,6 +48,7 @@ from tabml.operators.target import MAX_CLASSES
 from pyspark.sql import types as T
 
 from tabml.functions.hashing import order_hash
+from tabml.session import spread
 
 
 def resolve_gamma(df: DataFrame, features: str, gamma) -> float:
@@ -137,7 +139,16 @@ class SVC:
                 raise ValueError("a kernel SVC needs key= (landmarks are chosen by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
                                  self.seed).fit(df, key, features)
-        data = self._map(data, features)
+        data = spread(self._map(data, features)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._fit_linear(data, classes)
+        finally:
+            data.unpersist()
+        if self.probability:
+            self.platt_ = self._fit_platt(df, label, features, key)
+        return self
+
+    def _fit_linear(self, data: DataFrame, classes: list) -> None:
         wcol = None
         if self.class_weight == "balanced":
             counts = {r[0]: r[1] for r in data.groupBy("_label").count().collect()}
@@ -151,11 +162,10 @@ class SVC:
                         standardization=False, maxIter=self.max_iter, tol=self.tol, fitIntercept=True)
         if wcol:
             svc.setWeightCol(wcol)
-        est = svc if len(classes) == 2 else OneVsRest(classifier=svc, featuresCol="_vec", labelCol="_label")
+        # one-vs-rest fits run as concurrent Spark jobs (one per class, up to 8)
+        est = svc if len(classes) == 2 else OneVsRest(classifier=svc, featuresCol="_vec", labelCol="_label",
+                                                      parallelism=min(8, len(classes)))
         self.model_ = est.fit(data)
-        if self.probability:
-            self.platt_ = self._fit_platt(df, label, features, key)
-        return self
 
     def _fit_platt(self, df: DataFrame, label: str, features: str, key: str | None) -> list:
         k = len(self.classes_)
@@ -255,7 +265,7 @@ class SVR:
                 raise ValueError("a kernel SVR needs key= (landmarks are chosen by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
                                  self.seed).fit(df, key, features)
-        data = self._map(df, features).select("_z", F.col(label).cast("double").alias("_y")).cache()
+        data = spread(self._map(df, features).select("_z", F.col(label).cast("double").alias("_y"))).cache()
         d = len(data.first()["_z"])
         theta = np.zeros(d + 1)
         C, eps = float(self.C), float(self.epsilon)

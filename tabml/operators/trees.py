@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import warnings
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tabml.operators.target import MAX_CLASSES
 
-from tabml.session import active_spark
+from tabml.session import active_spark, spread
 
 MAX_DEPTH = 30
 
@@ -147,9 +148,11 @@ def make_estimator(kind: str, task: str, *, criterion=None, max_depth=None, min_
                    min_samples_leaf=1, n_estimators=100, random_state=42, max_bins=32,
                    weight_col=None, label="label", prediction="prediction"):
     _check_split(min_samples_split)
+    # 1 GB of split statistics per pass (fewer passes per level) and cached node
+    # ids (no re-walk of the trees for deep levels)
     common = dict(featuresCol="_vec", labelCol=label, predictionCol=prediction,
                   maxDepth=_depth(max_depth), minInstancesPerNode=int(min_samples_leaf),
-                  maxBins=int(max_bins), seed=int(random_state))
+                  maxBins=int(max_bins), seed=int(random_state), maxMemoryInMB=1024, cacheNodeIds=True)
     if task == "classification":
         common["impurity"] = _impurity(criterion or "gini", task)
         if weight_col:
@@ -174,6 +177,14 @@ class TreeModel:
         self.model = None
 
     def fit(self, df: DataFrame, label: str, features: str = "features") -> "TreeModel":
+        # the class list, the split sample and the binning all read the input: persist it once
+        df = spread(df.select(label, features)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit(df, label, features)
+        finally:
+            df.unpersist()
+
+    def _fit(self, df: DataFrame, label: str, features: str) -> "TreeModel":
         data = _vec(df, features)
         self.label = label
         self.classes_ = None

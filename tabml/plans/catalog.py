@@ -1096,3 +1096,45 @@ def q_roc_curve_labels(spark, sf):
     make collinear points, which the curve drops."""
     lab = fx.table(spark, sf, "labels").select("quality", F.col("doc_id").cast("double").alias("score"))
     return curves.roc_curve(lab, "quality", "score").select("threshold", r6("fpr"), r6("tpr"))
+
+
+# ----------------------------------------------------------------- lineitem fits (the sizes of the baseline probes)
+
+_LI_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _lineitem_split(spark, sf):
+    """Whole lineitem: four numeric features, the P7 target (planted by the same
+    rule) and l_returnflag (3 classes); split 80/20 on the row key."""
+    li = fx.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", *_LI_FEATS,
+        ((F.col("l_discount") > 0.045) != (F.col("l_linenumber") == 1)).cast("int").alias("y"))
+    li = li.withColumn("features", F.array(*[F.col(c).cast("double") for c in _LI_FEATS]))
+    # (l_orderkey, l_linenumber) is not unique in this table; the key adds part and supplier
+    return split.train_test_split(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 0.2, 42)
+
+
+@query("tree_lineitem")
+def q_tree_lineitem(spark, sf):
+    """Decision tree, depth 5, four features, whole lineitem."""
+    s = _lineitem_split(spark, sf)
+    m = trees.TreeModel("tree", "classification", max_depth=5).fit(s.where(~F.col("is_test")), "y")
+    return m.predict(s.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "y", "prediction")
+
+
+@query("forest_lineitem")
+def q_forest_lineitem(spark, sf):
+    """Random forest, 100 trees, depth 5, whole lineitem."""
+    s = _lineitem_split(spark, sf)
+    m = trees.TreeModel("forest", "classification", max_depth=5, n_estimators=100).fit(s.where(~F.col("is_test")), "y")
+    return m.predict(s.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "y", "prediction")
+
+
+@query("svc_ovr_lineitem")
+def q_svc_ovr_lineitem(spark, sf):
+    """One-vs-rest linear SVC, three classes (l_returnflag), 20 iterations, whole lineitem."""
+    s = _lineitem_split(spark, sf)
+    pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _LI_FEATS)
+    x = pm.transform(s, keep=["l_orderkey", "l_linenumber", "l_returnflag", "is_test"])
+    m = svm_op.SVC(C=1.0, kernel="linear", max_iter=20).fit(x.where(~F.col("is_test")), "l_returnflag")
+    return m.predict(x.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "l_returnflag", "prediction")

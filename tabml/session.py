@@ -54,3 +54,11 @@ def active_spark() -> SparkSession:
     """The running session, also from worker threads (where the thread-local
     active session is unset)."""
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def spread(df):
+    """Give an iterative fit every core: an input with fewer partitions than
+    the default parallelism (a small table read as one split) is repartitioned
+    round-robin; inputs that already have enough partitions are left alone."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
