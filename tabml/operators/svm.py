@@ -125,9 +125,11 @@ class SVC:
 
     def fit(self, df: DataFrame, label: str, features: str = "features", key: str | None = None) -> "SVC":
         self.label, self.features = label, features
-        classes = sorted(r[0] for r in df.select(label).distinct().limit(MAX_CLASSES + 1).collect())
-        if len(classes) > MAX_CLASSES:
+        counts = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+        if len(counts) > MAX_CLASSES:
             raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}: not a classification target")
+        classes = sorted(r[label] for r in counts)
+        n_rows = sum(r["count"] for r in counts)
         if len(classes) < 2:
             raise ValueError("SVC needs at least two classes")
         self.classes_ = classes
@@ -139,7 +141,7 @@ class SVC:
                 raise ValueError("a kernel SVC needs key= (landmarks are chosen by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
                                  self.seed).fit(df, key, features)
-        data = spread(self._map(data, features)).persist(StorageLevel.MEMORY_AND_DISK)
+        data = spread(self._map(data, features), rows=n_rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._fit_linear(data, classes)
         finally:
@@ -265,7 +267,8 @@ class SVR:
                 raise ValueError("a kernel SVR needs key= (landmarks are chosen by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
                                  self.seed).fit(df, key, features)
-        data = spread(self._map(df, features).select("_z", F.col(label).cast("double").alias("_y"))).cache()
+        mapped = self._map(df, features).select("_z", F.col(label).cast("double").alias("_y"))
+        data = spread(mapped, rows=df.count()).cache()
         d = len(data.first()["_z"])
         theta = np.zeros(d + 1)
         C, eps = float(self.C), float(self.epsilon)

@@ -178,21 +178,23 @@ class TreeModel:
 
     def fit(self, df: DataFrame, label: str, features: str = "features") -> "TreeModel":
         # the class list, the split sample and the binning all read the input: persist it once
-        df = spread(df.select(label, features)).persist(StorageLevel.MEMORY_AND_DISK)
+        base = df.select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._fit(df, label, features)
+            # one pass: row count and (for classifiers) the bounded class list
+            counts = base.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+            return self._fit(spread(base, rows=sum(r["count"] for r in counts)), label, features, counts)
         finally:
-            df.unpersist()
+            base.unpersist()
 
-    def _fit(self, df: DataFrame, label: str, features: str) -> "TreeModel":
+    def _fit(self, df: DataFrame, label: str, features: str, counts: list) -> "TreeModel":
         data = _vec(df, features)
         self.label = label
         self.classes_ = None
         if self.task == "classification":
             # classes as 0..k-1 in sorted order (bounded list); decoded again in predict
-            self.classes_ = sorted(r[0] for r in df.select(label).distinct().limit(MAX_CLASSES + 1).collect())
-            if len(self.classes_) > MAX_CLASSES:
+            if len(counts) > MAX_CLASSES:
                 raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}: not a classification target")
+            self.classes_ = sorted(r[label] for r in counts)
             items = sum(([F.lit(c), F.lit(float(i))] for i, c in enumerate(self.classes_)), [])
             data = data.withColumn("_label", F.element_at(F.create_map(*items), F.col(label)))
             label = "_label"

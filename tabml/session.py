@@ -56,9 +56,18 @@ def active_spark() -> SparkSession:
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
-def spread(df):
+def spread(df, rows: int | None = None, min_rows: int = 50_000, min_bytes: int = 4 * 1024 * 1024):
     """Give an iterative fit every core: an input with fewer partitions than
-    the default parallelism (a small table read as one split) is repartitioned
-    round-robin; inputs that already have enough partitions are left alone."""
+    the default parallelism (a table read as one or a few splits) is
+    repartitioned round-robin.  Inputs that already have enough partitions,
+    and small inputs (fewer than ``min_rows`` rows when the caller knows the
+    count, else a Catalyst size estimate below ``min_bytes``), where more tasks
+    only add per-iteration overhead, are left alone."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    if rows is not None:
+        big = rows >= min_rows
+    else:
+        big = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= min_bytes
+    return df.repartition(par) if big else df
