@@ -281,3 +281,96 @@ class KNN:
         if self.task == "classification":
             return vote(nb, key, self.n_neighbors, self.weights, out_col)
         return regress(nb, key, self.n_neighbors, self.weights, out_col)
+
+
+def _in_task_predict(d: np.ndarray, c: np.ndarray, kk: int, weights: str, targets: list, info: dict) -> dict:
+    """Per test row (rows of ``d``/``c`` reshaped to ``(m, kk)``): vote or
+    weighted mean for every target, the same rules as ``vote``/``regress``."""
+    d = d.reshape(-1, kk)
+    c = c.reshape(-1, kk)
+    if weights == "uniform":
+        w = np.ones_like(d)
+    else:
+        zero = d == 0
+        anyz = zero.any(axis=1, keepdims=True)
+        with np.errstate(divide="ignore"):
+            w = np.where(anyz, zero.astype(np.float64), 1.0 / np.where(d == 0, 1.0, d))
+    out = {}
+    rows = np.repeat(np.arange(d.shape[0]), kk)
+    for t in targets:
+        ti = info[t]
+        if ti["classes"] is not None:
+            acc = np.zeros((d.shape[0], len(ti["classes"])))
+            np.add.at(acc, (rows, ti["codes"][c].ravel()), w.ravel())
+            out[t] = ti["classes"][np.argmax(acc, axis=1)]  # first maximum = smallest class
+        else:
+            out[t] = (w * ti["values"][c]).sum(axis=1) / w.sum(axis=1)
+    return out
+
+
+def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets: list, task: str,
+            k: int = 5, p: float = 2, weights: str = "uniform", block_rows: int = 4096,
+            broadcast_bytes: int = 256 * 1024 * 1024, prefix: str = "pred_") -> DataFrame:
+    """``test`` plus ``<prefix><target>`` for every target.
+
+    Bounded training side (the size check of ``neighbors``): neighbours and
+    votes are computed in the same task, all test columns pass through, and
+    the plan is a single map over the scored table (no shuffle, no join).
+    Otherwise the blocked neighbour join, then the vote or mean per target."""
+    if weights not in ("uniform", "distance"):
+        raise ValueError("weights must be 'uniform' or 'distance'")
+    n_train = train.count()
+    if n_train == 0:
+        raise ValueError("empty train set")
+    dim = train.select(F.size(F.col(features))).first()[0] or 0
+    if n_train * (dim + 1 + len(targets)) * 8 > broadcast_bytes:
+        nb = neighbors(train, test, key, features, None, k, p, block_rows, broadcast_bytes=0)
+        labels = train.select(F.col(key).alias("nn_key"), *targets)
+        nbl = nb.drop("nn_label").join(labels, "nn_key")
+        out = test
+        for t in targets:
+            sub = nbl.select(key, "nn_rank", "dist", F.col(t).alias("nn_label"))
+            fn = vote if task == "classification" else regress
+            out = out.join(fn(sub, key, k, weights, f"{prefix}{t}"), key)
+        return out
+    spark = train.sparkSession
+    rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), *targets)
+                 .orderBy("_tk").collect())  # bounded: checked above
+    x = np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    info = {}
+    for t in targets:
+        vals = [r[t] for r in rows]
+        if task == "classification":
+            classes = np.array(sorted(set(vals)), dtype=object)
+            pos = {v: i for i, v in enumerate(classes)}
+            info[t] = {"classes": classes, "codes": np.array([pos[v] for v in vals], dtype=np.int64)}
+        else:
+            info[t] = {"classes": None, "values": np.array(vals, dtype=np.float64)}
+    bc = spark.sparkContext.broadcast({"x": x, "x2": np.einsum("ij,ij->i", x, x), "info": info})
+    kk = min(k, n_train)
+    out_fields = list(test.schema.fields) + [
+        T.StructField(f"{prefix}{t}", train.schema[t].dataType if task == "classification" else T.DoubleType())
+        for t in targets]
+    schema = T.StructType(out_fields)
+
+    def part(it):
+        b = bc.value
+        xx, x2, inf = b["x"], b["x2"], b["info"]
+        per_row = xx.shape[0] * (max(1, xx.shape[1]) if p != 2 else 1)
+        step = max(1, _CHUNK_CELLS // max(1, per_row))
+        for pdf in it:
+            if pdf.empty:
+                continue
+            q_all = np.stack(pdf[features].to_numpy()).astype(np.float64)
+            preds = {t: [] for t in targets}
+            for s0 in range(0, len(pdf), step):
+                _, c, d = _topk_chunk(q_all[s0:s0 + step], xx, x2, kk, p)
+                for t, v in _in_task_predict(d, c, kk, weights, targets, inf).items():
+                    preds[t].append(v)
+            for t in targets:
+                pdf[f"{prefix}{t}"] = np.concatenate(preds[t])
+            yield pdf
+
+    par = spark.sparkContext.defaultParallelism
+    src = test.repartition(par) if test.rdd.getNumPartitions() < par else test
+    return src.mapInPandas(part, schema)

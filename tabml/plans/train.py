@@ -101,18 +101,8 @@ def predict_matrix(bundle: Bundle, x: DataFrame) -> DataFrame:
     if bundle.family == "knn":
         p = bundle.params
         k, w, pp = int(p.get("n_neighbors", 5)), p.get("weights", "uniform"), float(p.get("p", 2))
-        nb = knn_op.neighbors(bundle.knn_train, x, key, "features", None, k=k, p=pp)
-        labels = bundle.knn_train.select(F.col(key).alias("nn_key"), *bundle.targets)
-        nbl = nb.drop("nn_label").join(labels, "nn_key")
-        out = x
-        for t in bundle.targets:
-            sub = nbl.select(key, "nn_rank", "dist", F.col(t).alias("nn_label"))
-            if bundle.task == "classification":
-                pr = knn_op.vote(sub, key, k, w, f"pred_{t}")
-            else:
-                pr = knn_op.regress(sub, key, k, w, f"pred_{t}")
-            out = out.join(pr, key)
-        return out
+        return knn_op.predict(bundle.knn_train, x, key, "features", bundle.targets, bundle.task, k=k, p=pp,
+                              weights=w)
     out = x
     for t in bundle.targets:
         out = bundle.models[t].predict(out, out_col=f"pred_{t}")

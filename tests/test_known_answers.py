@@ -196,3 +196,24 @@ def test_broadcast_path_equals_blocked_path(spark):
         b = sorted(tuple(r) for r in knn.neighbors(tr, te, "id", "x", "y", 6, p=p, block_rows=64,
                                                     broadcast_bytes=0).collect())
         assert a == b and len(a) == 200 * 6
+
+
+def test_in_task_predict_equals_blocked_vote(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.integers(0, 4, size=3).astype(float).tolist(), str(rng.integers(0, 3)), float(rng.normal()))
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, c string, r double")
+    tr, te = df.where("id % 4 != 0"), df.where("id % 4 = 0")
+    for task, targets in (("classification", ["c"]), ("regression", ["r"])):
+        for w in ("uniform", "distance"):
+            a = knn.predict(tr, te, "id", "x", targets, task, k=5, weights=w).select("id", f"pred_{targets[0]}")
+            b = knn.predict(tr, te, "id", "x", targets, task, k=5, weights=w, broadcast_bytes=0,
+                            block_rows=32).select("id", f"pred_{targets[0]}")
+            ra = {r[0]: r[1] for r in a.collect()}
+            rb = {r[0]: r[1] for r in b.collect()}
+            assert ra.keys() == rb.keys() and len(ra) == 125
+            for key_ in ra:
+                if task == "classification":
+                    assert ra[key_] == rb[key_], (w, key_)
+                else:
+                    assert abs(ra[key_] - rb[key_]) < 1e-9, (w, key_)
