@@ -190,16 +190,43 @@ def top(report_df: DataFrame, params: list[str], n: int = 5) -> DataFrame:
     return report_df.orderBy("rank_test_score", *params).limit(n)
 
 
-def best_params(report_df: DataFrame, params: list[str]) -> dict:
-    order = [F.asc("rank_test_score")] + [F.asc(c) for c in params]
-    row = report_df.orderBy(*order).first()
+def grid_order(grid: dict) -> list[str]:
+    """Parameter names in the library's candidate order: its grid keys are
+    ``classifier__<name>``, ``pca__n_components`` and ``scaler``, iterated in
+    sorted order with the last key varying fastest."""
+    def lib_name(k):
+        return {"scaler": "scaler", "pca": "pca__n_components"}.get(k, f"classifier__{k}")
+    return sorted(grid, key=lib_name)
+
+
+def best_params(report_df: DataFrame, params: list[str], grid: dict | None = None) -> dict:
+    """The best candidate; among tied ranks, the first in the library's grid
+    order (the candidate it would refit)."""
+    top = [r.asDict() for r in report_df.where(F.col("rank_test_score") == 1).collect()]  # <= grid size
+    if grid:
+        keys = grid_order(grid)
+        pos = {k: {json.dumps(v, default=str): i for i, v in enumerate(grid[k])} for k in keys}
+
+        def index(r):
+            out = []
+            for k in keys:
+                v = r[k]
+                v = None if (k == "scaler" and v == "none") else v
+                if k == "p":
+                    v = int(v) if float(v).is_integer() else v
+                out.append(pos[k].get(json.dumps(v, default=str), 0))
+            return tuple(out)
+        row = min(top, key=index)
+    else:
+        row = min(top, key=lambda r: tuple(str(r[c]) for c in params))
     return {c: row[c] for c in params} | {"mean_test_score": row["mean_test_score"]}
 
 
 def grid_candidates(grid: dict | None) -> list[dict]:
+    """Candidates in the library's order (``grid_order``)."""
     if not grid:
         return [{}]
-    keys = list(grid)
+    keys = grid_order(grid)
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 

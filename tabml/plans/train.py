@@ -138,7 +138,8 @@ def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_cla
             pre = Preprocess(cat_encoder=params.get("cat_encoder", "ohe")).fit(tr, roles.features)
             xtr = pre.transform(tr, keep=[key, *ts])
             cv = tuning.knn_grid_search(xtr, key, "features", ts[0], task, folds, seed, grid, scoring)
-            best = tuning.best_params(cv, ["scaler", "p", "n_neighbors", "weights", "algorithm"])
+            best = tuning.best_params(cv, ["scaler", "p", "n_neighbors", "weights", "algorithm"],
+                                      {**tuning.KNN_GRID, **grid})
             params.update({k: best[k] for k in ("n_neighbors", "weights", "p", "algorithm")})
             params["scaler"] = None if best["scaler"] == "none" else best["scaler"]
         else:
