@@ -5,8 +5,9 @@ Classifier (``SVC``)
     MLlib minimises ``mean(hinge) + regParam/2 |w|^2``; the library's
     ``C * sum(hinge) + 1/2 |w|^2`` is the same problem with
     ``regParam = 1 / (C * n)`` (``n`` = weight sum with class weights).  More
-    than two classes: one-vs-rest (``OneVsRest``); the library uses
-    one-vs-one, so multi-class decisions can differ.
+    than two classes: one-vs-one as the library does (one machine per class
+    pair, fitted as concurrent jobs; majority vote, first maximum wins), or
+    one-vs-rest (``multiclass="ovr"``, MLlib ``OneVsRest``).
     rbf / poly / sigmoid kernels: a Nystroem feature map (Williams & Seeger
     2001): ``m`` landmark rows (lowest seeded hash, a bounded sample) are
     broadcast, each row is mapped to ``K(x, landmarks) @ K_mm^{-1/2}`` by a
@@ -112,7 +113,11 @@ class Nystroem:
 class SVC:
     def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma="scale", degree: int = 3, coef0: float = 0.0,
                  class_weight: str | None = None, tol: float = 1e-3, max_iter: int = 100,
-                 probability: bool = False, n_landmarks: int = 200, seed: int = 42, platt_cv: int | None = 5):
+                 probability: bool = False, n_landmarks: int = 200, seed: int = 42, platt_cv: int | None = 5,
+                 multiclass: str = "ovo"):
+        if multiclass not in ("ovo", "ovr"):
+            raise ValueError("multiclass must be 'ovo' or 'ovr'")
+        self.multiclass = multiclass
         self.C, self.kernel, self.gamma, self.degree, self.coef0 = C, kernel, gamma, degree, coef0
         self.class_weight, self.tol, self.max_iter = class_weight, tol, max_iter
         self.probability, self.n_landmarks, self.seed = probability, n_landmarks, seed
@@ -159,16 +164,45 @@ class SVC:
             data, wcol = data.withColumn("_w", F.element_at(wmap, F.col("_label"))), "_w"
         elif self.class_weight not in (None, "none"):
             raise ValueError("class_weight must be None or 'balanced'")
+        k = len(classes)
+        if k > 2 and self.multiclass == "ovo":
+            self._fit_ovo(data, k, wcol)
+            return
         n_eff = data.agg(F.sum(F.col(wcol)) if wcol else F.count(F.lit(1))).first()[0]
         svc = LinearSVC(featuresCol="_vec", labelCol="_label", regParam=1.0 / (self.C * float(n_eff)),
                         standardization=False, maxIter=self.max_iter, tol=self.tol, fitIntercept=True)
         if wcol:
             svc.setWeightCol(wcol)
         # one-vs-rest fits run as concurrent Spark jobs (one per class, up to 8)
-        est = svc if len(classes) == 2 else OneVsRest(classifier=svc, featuresCol="_vec", labelCol="_label",
-                                                      parallelism=min(8, len(classes)))
+        est = svc if k == 2 else OneVsRest(classifier=svc, featuresCol="_vec", labelCol="_label",
+                                           parallelism=min(8, k))
         self.model_ = est.fit(data)
 
+    def _fit_ovo(self, data: DataFrame, k: int, wcol: str | None) -> None:
+        """One binary machine per class pair (i < j), positive = class i, each
+        on the rows of its two classes with regParam = 1 / (C * their weight);
+        the pairs are fitted as concurrent Spark jobs."""
+        from concurrent.futures import ThreadPoolExecutor
+        wsum = {r[0]: float(r[1]) for r in data.groupBy("_label").agg(
+            F.sum(F.col(wcol)) if wcol else F.count(F.lit(1))).collect()}
+        pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+
+        def fit(pair):
+            i, j = pair
+            sub = (data.where(F.col("_label").isin(float(i), float(j)))
+                       .withColumn("_pl", (F.col("_label") == float(i)).cast("double")))
+            svc = LinearSVC(featuresCol="_vec", labelCol="_pl", standardization=False, maxIter=self.max_iter,
+                            tol=self.tol, fitIntercept=True,
+                            regParam=1.0 / (self.C * (wsum.get(float(i), 0.0) + wsum.get(float(j), 0.0))))
+            if wcol:
+                svc.setWeightCol(wcol)
+            return svc.fit(sub)
+
+        with ThreadPoolExecutor(max_workers=min(8, len(pairs))) as ex:
+            models = list(ex.map(fit, pairs))
+        self.pairs_ = pairs
+        self.model_ = models
+
     def _fit_platt(self, df: DataFrame, label: str, features: str, key: str | None) -> list:
         k = len(self.classes_)
         if self.platt_cv and self.platt_cv > 1:
@@ -178,8 +212,9 @@ class SVC:
             folded = kfold(df, [key], self.platt_cv, self.seed, stratify=label).cache()
             parts = []
             for g in range(self.platt_cv):
-                sub = SVC(self.C, self.kernel, self.gamma, self.degree, self.coef0, self.class_weight, self.tol,
-                          self.max_iter, False, self.n_landmarks, self.seed)
+                sub = SVC(C=self.C, kernel=self.kernel, gamma=self.gamma, degree=self.degree, coef0=self.coef0,
+                          class_weight=self.class_weight, tol=self.tol, max_iter=self.max_iter, probability=False,
+                          n_landmarks=self.n_landmarks, seed=self.seed, multiclass=self.multiclass)
                 sub.fit(folded.where(F.col("fold") != g), label, features, key)
                 held = folded.where(F.col("fold") == g)
                 parts.append(sub._scores(sub._map(held, features)).select(label, "_score"))
@@ -211,12 +246,37 @@ class SVC:
             out = self.model_.transform(mapped)
             raw = vector_to_array("rawPrediction")
             return out.withColumn("_score", F.array(-raw[1], raw[1])).withColumn("_pred", F.col("prediction"))
-        w = [m.coefficients.toArray() for m in self.model_.models]
-        b = [m.intercept for m in self.model_.models]
         vec = vector_to_array("_vec")
-        scores = [F.aggregate(F.zip_with(vec, F.array(*[F.lit(float(v)) for v in wj]), lambda a, c: a * c),
-                              F.lit(float(bj)), lambda acc, v: acc + v) for wj, bj in zip(w, b)]
-        arr = F.array(*scores)
+
+        def margin(m):
+            w = F.array(*[F.lit(float(v)) for v in m.coefficients.toArray()])
+            return F.aggregate(F.zip_with(vec, w, lambda a, c: a * c), F.lit(float(m.intercept)),
+                               lambda acc, v: acc + v)
+
+        k = len(self.classes_)
+        if isinstance(self.model_, list):
+            # one-vs-one: votes (margin > 0 -> the pair's first class) decide, the first
+            # maximum wins; the score is the library's one-vs-rest shaped transform
+            # votes + conf / (3 (|conf| + 1)) with conf the summed pair margins
+            dec = {pair: margin(m) for pair, m in zip(self.pairs_, self.model_)}
+            votes, conf = [], []
+            for c in range(k):
+                v = F.lit(0.0)
+                cf = F.lit(0.0)
+                for (i, j), d in dec.items():
+                    if c == i:
+                        v = v + F.when(d > 0, 1.0).otherwise(0.0)
+                        cf = cf + d
+                    elif c == j:
+                        v = v + F.when(d > 0, 0.0).otherwise(1.0)
+                        cf = cf - d
+                votes.append(v)
+                conf.append(cf)
+            varr = F.array(*votes)
+            best = F.array_position(varr, F.array_max(varr)) - 1
+            score = F.array(*[v + cf / (3 * (F.abs(cf) + 1)) for v, cf in zip(votes, conf)])
+            return mapped.withColumn("_score", score).withColumn("_pred", best.cast("double"))
+        arr = F.array(*[margin(m) for m in self.model_.models])
         best = F.array_position(arr, F.array_max(arr)) - 1
         return mapped.withColumn("_score", arr).withColumn("_pred", best.cast("double"))
 

@@ -1130,11 +1130,23 @@ def q_forest_lineitem(spark, sf):
     return m.predict(s.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "y", "prediction")
 
 
+@query("svc_ovo_lineitem")
+def q_svc_ovo_lineitem(spark, sf):
+    """One-vs-one linear SVC (the library's multi-class scheme), three classes
+    (l_returnflag), 20 iterations per pair machine, whole lineitem."""
+    s = _lineitem_split(spark, sf)
+    pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _LI_FEATS)
+    x = pm.transform(s, keep=["l_orderkey", "l_linenumber", "l_returnflag", "is_test"])
+    m = svm_op.SVC(C=1.0, kernel="linear", max_iter=20).fit(x.where(~F.col("is_test")), "l_returnflag")
+    return m.predict(x.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "l_returnflag", "prediction")
+
+
 @query("svc_ovr_lineitem")
 def q_svc_ovr_lineitem(spark, sf):
     """One-vs-rest linear SVC, three classes (l_returnflag), 20 iterations, whole lineitem."""
     s = _lineitem_split(spark, sf)
     pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _LI_FEATS)
     x = pm.transform(s, keep=["l_orderkey", "l_linenumber", "l_returnflag", "is_test"])
-    m = svm_op.SVC(C=1.0, kernel="linear", max_iter=20).fit(x.where(~F.col("is_test")), "l_returnflag")
+    m = svm_op.SVC(C=1.0, kernel="linear", max_iter=20, multiclass="ovr").fit(x.where(~F.col("is_test")),
+                                                                             "l_returnflag")
     return m.predict(x.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "l_returnflag", "prediction")

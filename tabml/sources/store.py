@@ -25,7 +25,7 @@ def _svm_state(m) -> dict:
     st = {"kind": type(m).__name__, "params": {k: v for k, v in vars(m).items()
                                                if k in ("C", "kernel", "gamma", "degree", "coef0", "class_weight",
                                                         "tol", "max_iter", "probability", "n_landmarks", "seed",
-                                                        "epsilon", "platt_cv")}}
+                                                        "epsilon", "platt_cv", "multiclass")}}
     if getattr(m, "nys_", None) is not None:
         st["nys"] = {"gamma_": m.nys_.gamma_, "landmarks": m.nys_.landmarks_.tolist(), "norm": m.nys_.norm_.tolist()}
     if type(m).__name__ == "SVR":
@@ -48,8 +48,13 @@ def save_model(bundle, path: str) -> None:
             models[t] = {"kind": "mllib", "task": m.task, "family": m.kind, "classes": m.classes_}
         else:
             st = _svm_state(m)
-            if st["kind"] == "SVC":
+            if st["kind"] == "SVC" and isinstance(m.model_, list):
+                for (a, b), pm in zip(m.pairs_, m.model_):
+                    pm.write().overwrite().save(f"{path}/model_{i}_pair_{a}_{b}")
+                st["pairs"] = [list(pr) for pr in m.pairs_]
+            elif st["kind"] == "SVC":
                 m.model_.write().overwrite().save(f"{path}/model_{i}")
+            if st["kind"] == "SVC":
                 if getattr(m, "platt_", None):
                     for j, pm in enumerate(m.platt_):
                         pm.write().overwrite().save(f"{path}/platt_{i}_{j}")
@@ -108,8 +113,12 @@ def load_model(path: str):
             m.coef_, m.intercept_ = np.array(st["coef"]), st["intercept"]
         else:
             m.classes_ = st["classes"]
-            loader = LinearSVCModel if len(m.classes_) == 2 else OneVsRestModel
-            m.model_ = loader.load(f"{path}/model_{i}")
+            if st.get("pairs"):
+                m.pairs_ = [tuple(pr) for pr in st["pairs"]]
+                m.model_ = [LinearSVCModel.load(f"{path}/model_{i}_pair_{a}_{b}") for a, b in m.pairs_]
+            else:
+                loader = LinearSVCModel if len(m.classes_) == 2 else OneVsRestModel
+                m.model_ = loader.load(f"{path}/model_{i}")
             if st.get("n_platt"):
                 m.platt_ = [LogisticRegressionModel.load(f"{path}/platt_{i}_{j}") for j in range(st["n_platt"])]
         b.models[t] = m

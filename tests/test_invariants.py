@@ -192,3 +192,35 @@ def test_linear_svc_solves_the_library_objective(spark):
         wn, bn = wn - eta * gw, bn - eta * gb
         best = min(best, obj(wn, bn))
     assert obj(w, b) <= best * 1.01
+
+
+def test_one_vs_one_svc_votes_and_round_trip(spark):
+    import uuid
+    from tabml.operators import score
+    from tabml.plans.train import train
+    from tabml.session import checkpoint_dir
+    from tabml.sources import store
+    p = fx.fixture(spark, SF01, fx.P1, "part")
+    r = train(p, "p_partkey", "y", ["p_size", "p_retailprice", "p_type"], "svm_classifier", kernel="linear",
+              C=10.0, scaler="standard", max_iter=50)
+    m = r.bundle.models["y"]
+    assert isinstance(m.model_, list) and m.pairs_ == [(0, 1), (0, 2), (1, 2)]
+    acc = r.evaluation.where("split = 'test' AND metric = 'accuracy'").first()["value"]
+    assert acc >= 0.95
+    # the vote rule re-derived with NumPy from the fitted pair machines
+    x = r.bundle.prep.transform(p, keep=["p_partkey"]).toPandas()
+    feats = np.stack(x["features"].to_numpy())
+    votes = np.zeros((len(x), 3))
+    for (i, j), pm in zip(m.pairs_, m.model_):
+        d = feats @ pm.coefficients.toArray() + pm.intercept
+        votes[:, i] += d > 0
+        votes[:, j] += d <= 0
+    want = dict(zip(x["p_partkey"], np.argmax(votes, axis=1)))
+    got = {row["p_partkey"]: row["pred_y"] for row in r.predictions.select("p_partkey", "pred_y").collect()}
+    assert all(got[k] == want[k] for k in got)
+    path = f"{checkpoint_dir(spark)}/ovo-{uuid.uuid4().hex}"
+    store.save_model(r.bundle, path)
+    b = store.load_model(path)
+    a1 = {row["p_partkey"]: row["pred_y"] for row in score.predict(r.bundle, p).collect()}
+    a2 = {row["p_partkey"]: row["pred_y"] for row in score.predict(b, p).collect()}
+    assert a1 == a2
