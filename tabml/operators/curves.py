@@ -3,7 +3,7 @@
 Rows are first pre-aggregated to one row per distinct score (positives and
 negatives counted map-side), then running sums over the distinct scores come
 from ``functions.rank.cumulative_sums`` (frozen quantile buckets + broadcast
-offsets; no global window, no single task).  AUCs are sums of per-score
+offsets; no window over all rows, no unbounded task).  AUCs are sums of per-score
 trapezoids, each computable from the row's own running sums, so they are one
 more aggregate.
 

@@ -3,10 +3,10 @@
 KNN: the ``algorithm`` never changes results, and one neighbour list of
 ``max(n_neighbors)`` rows per test row serves every ``n_neighbors`` and both
 weightings.  So the 320 candidates of the reference grid (4 scalers x 5 k x 2
-weights x 2 p x 4 algorithms) need 4 x 2 = 8 neighbour joins, and each join
-covers all folds at once: fold g's validation rows meet only the training
-rows of the other folds (``neighbors(group=...)``), scaled with statistics
-fitted on those other folds (no leakage).
+weights x 2 p x 4 algorithms) need one neighbour join per ``p``: the group key
+(scaler, fold) lets fold g's validation rows meet only the training rows of
+the other folds (``neighbors(group=...)``), scaled with statistics fitted on
+those other folds (no leakage), for every scaler in the same join.
 
 Other estimators: a fold loop that re-fits the preprocessing on each fold's
 training part, fits every candidate (a thread pool submits the MLlib fits as
