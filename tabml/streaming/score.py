@@ -8,15 +8,15 @@ scoring.  Two forms:
   turn a streaming DataFrame into a streaming DataFrame of predictions.
 * ``score_stream``: any bundle, KNN included.  Each micro-batch is scored with
   the batch path (KNN joins the micro-batch against the static training rows)
-  inside ``foreachBatch`` and appended to a parquet sink; with a checkpoint
-  location the query restarts where it stopped, and the batch id is written
-  with the rows so a replayed batch can be recognised.
+  inside ``foreachBatch`` and written to the parquet sink's partition
+  ``batch_id=<id>`` with overwrite: a batch replayed after a failure replaces
+  its own partition instead of adding rows (an idempotent sink); with a
+  checkpoint location the query restarts where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabml.operators import score as score_op
@@ -32,7 +32,7 @@ def score_stream(bundle, stream: DataFrame, sink_path: str, checkpoint: str, dec
                  keep: list[str] | None = None, trigger_once: bool = True) -> StreamingQuery:
     def each(batch: DataFrame, batch_id: int) -> None:
         scored = score_op.predict(bundle, batch, decode=decode, keep=keep)
-        scored.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_path)
+        scored.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if trigger_once:
