@@ -324,6 +324,9 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
         raise ValueError("empty train set")
     dim = train.select(F.size(F.col(features))).first()[0] or 0
     if n_train * (dim + 1 + len(targets)) * 8 > broadcast_bytes:
+        if test.isStreaming:
+            raise ValueError("the training side exceeds broadcast_bytes; score the stream per micro-batch "
+                             "(streaming.score_stream)")
         nb = neighbors(train, test, key, features, None, k, p, block_rows, broadcast_bytes=0)
         labels = train.select(F.col(key).alias("nn_key"), *targets)
         nbl = nb.drop("nn_label").join(labels, "nn_key")
@@ -372,5 +375,8 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
             yield pdf
 
     par = spark.sparkContext.defaultParallelism
-    src = test.repartition(par) if test.rdd.getNumPartitions() < par else test
+    if test.isStreaming:
+        src = test  # a micro-batch map: one task per input split
+    else:
+        src = test.repartition(par) if test.rdd.getNumPartitions() < par else test
     return src.mapInPandas(part, schema)

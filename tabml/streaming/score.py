@@ -4,11 +4,13 @@ The reference has no streaming; what a fitted model offers a stream is
 scoring.  Two forms:
 
 * ``transform_stream``: bundles whose prediction is row-wise (trees,
-  forests, SVMs: preprocessing expressions + MLlib transform or a pandas UDF)
-  turn a streaming DataFrame into a streaming DataFrame of predictions.
-* ``score_stream``: any bundle, KNN included.  Each micro-batch is scored with
-  the batch path (KNN joins the micro-batch against the static training rows)
-  inside ``foreachBatch`` and written to the parquet sink's partition
+  forests, SVMs: preprocessing expressions + MLlib transform or a pandas UDF;
+  KNN with a training side within the broadcast bound: a broadcast
+  ``mapInPandas``) turn a streaming DataFrame into a streaming DataFrame of
+  predictions.
+* ``score_stream``: any bundle, KNN with a large training side included.  Each
+  micro-batch is scored with the batch path inside ``foreachBatch`` and
+  written to the parquet sink's partition
   ``batch_id=<id>`` with overwrite: a batch replayed after a failure replaces
   its own partition instead of adding rows (an idempotent sink); with a
   checkpoint location the query restarts where it stopped.
@@ -23,8 +25,6 @@ from tabml.operators import score as score_op
 
 
 def transform_stream(bundle, stream: DataFrame, decode: bool = True, keep: list[str] | None = None) -> DataFrame:
-    if bundle.family == "knn":
-        raise ValueError("KNN scoring joins against the training rows; use score_stream (foreachBatch)")
     return score_op.predict(bundle, stream, decode=decode, keep=keep)
 
 

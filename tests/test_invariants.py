@@ -224,3 +224,22 @@ def test_one_vs_one_svc_votes_and_round_trip(spark):
     a1 = {row["p_partkey"]: row["pred_y"] for row in score.predict(r.bundle, p).collect()}
     a2 = {row["p_partkey"]: row["pred_y"] for row in score.predict(b, p).collect()}
     assert a1 == a2
+
+
+def test_transform_stream_with_knn_bundle(spark):
+    import uuid
+    from tabml.operators import score
+    from tabml.plans.train import train
+    from tabml.session import checkpoint_dir
+    from tabml.streaming.score import transform_stream
+    p = fx.fixture(spark, SF, fx.P1, "part")
+    r = train(p, "p_partkey", "y", ["p_size", "p_retailprice", "p_type"], "knn_classifier", scaler="standard")
+    part = fx.table(spark, SF, "part")
+    stream = spark.readStream.schema(part.schema).option("pathGlobFilter", "part.parquet").parquet(SF)
+    name = f"k{uuid.uuid4().hex[:8]}"
+    q = (transform_stream(r.bundle, stream).writeStream.format("memory").queryName(name)
+         .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {row["p_partkey"]: row["pred_y"] for row in spark.sql(f"SELECT * FROM {name}").collect()}
+    want = {row["p_partkey"]: row["pred_y"] for row in score.predict(r.bundle, part).collect()}
+    assert got == want and len(got) == part.count()
