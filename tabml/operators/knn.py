@@ -260,6 +260,9 @@ def proba(nb: DataFrame, test_key: str, k: int, weights: str = "uniform") -> Dat
                       (F.col("weight") / F.col("_t")).alias("probability")))
 
 
+_class_shares = proba  # ``predict`` has a ``proba`` flag
+
+
 def regress(nb: DataFrame, test_key: str, k: int, weights: str = "uniform",
             out_col: str = "prediction") -> DataFrame:
     sub = _weights(nb.where(F.col("nn_rank") <= k), test_key, weights)
@@ -303,6 +306,7 @@ def _in_task_predict(d: np.ndarray, c: np.ndarray, kk: int, weights: str, target
             acc = np.zeros((d.shape[0], len(ti["classes"])))
             np.add.at(acc, (rows, ti["codes"][c].ravel()), w.ravel())
             out[t] = ti["classes"][np.argmax(acc, axis=1)]  # first maximum = smallest class
+            out[("proba", t)] = acc / acc.sum(axis=1, keepdims=True)
         else:
             out[t] = (w * ti["values"][c]).sum(axis=1) / w.sum(axis=1)
     return out
@@ -310,8 +314,10 @@ def _in_task_predict(d: np.ndarray, c: np.ndarray, kk: int, weights: str, target
 
 def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets: list, task: str,
             k: int = 5, p: float = 2, weights: str = "uniform", block_rows: int = 4096,
-            broadcast_bytes: int = 256 * 1024 * 1024, prefix: str = "pred_") -> DataFrame:
-    """``test`` plus ``<prefix><target>`` for every target.
+            broadcast_bytes: int = 256 * 1024 * 1024, prefix: str = "pred_", proba: bool = False) -> DataFrame:
+    """``test`` plus ``<prefix><target>`` for every target, and with ``proba``
+    (classification) ``proba_<target>``: the vote shares over the target's
+    sorted training classes.
 
     Bounded training side (the size check of ``neighbors``): neighbours and
     votes are computed in the same task, all test columns pass through, and
@@ -335,6 +341,15 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
             sub = nbl.select(key, "nn_rank", "dist", F.col(t).alias("nn_label"))
             fn = vote if task == "classification" else regress
             out = out.join(fn(sub, key, k, weights, f"{prefix}{t}"), key)
+            if proba and task == "classification":
+                classes = sorted(r[0] for r in train.select(t).distinct().limit(100_001).collect())
+                if len(classes) > 100_000:
+                    raise ValueError("too many classes for probability arrays")
+                pr = _class_shares(sub, key, k, weights)
+                m = pr.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("class", "probability")))
+                                        .alias("_pm"))  # at most k entries per row
+                arr = F.array(*[F.coalesce(F.element_at("_pm", F.lit(c)), F.lit(0.0)) for c in classes])
+                out = out.join(m.select(key, arr.alias(f"proba_{t}")), key)
         return out
     spark = train.sparkSession
     rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), *targets)
@@ -354,6 +369,9 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
     out_fields = list(test.schema.fields) + [
         T.StructField(f"{prefix}{t}", train.schema[t].dataType if task == "classification" else T.DoubleType())
         for t in targets]
+    with_proba = proba and task == "classification"
+    if with_proba:
+        out_fields += [T.StructField(f"proba_{t}", T.ArrayType(T.DoubleType())) for t in targets]
     schema = T.StructType(out_fields)
 
     def part(it):
@@ -365,13 +383,15 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
             if pdf.empty:
                 continue
             q_all = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            preds = {t: [] for t in targets}
+            preds: dict = {}
             for s0 in range(0, len(pdf), step):
                 _, c, d = _topk_chunk(q_all[s0:s0 + step], xx, x2, kk, p)
                 for t, v in _in_task_predict(d, c, kk, weights, targets, inf).items():
-                    preds[t].append(v)
+                    preds.setdefault(t, []).append(v)
             for t in targets:
                 pdf[f"{prefix}{t}"] = np.concatenate(preds[t])
+                if with_proba:
+                    pdf[f"proba_{t}"] = list(np.concatenate(preds[("proba", t)]))
             yield pdf
 
     par = spark.sparkContext.defaultParallelism

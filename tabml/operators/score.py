@@ -10,14 +10,18 @@ from tabml.operators import target
 from tabml.operators.roles import align
 
 
-def predict(bundle, df: DataFrame, decode: bool = True, keep: list[str] | None = None) -> DataFrame:
+def predict(bundle, df: DataFrame, decode: bool = True, keep: list[str] | None = None,
+            proba: bool = False) -> DataFrame:
+    """Rows of ``df`` (``keep`` columns) plus ``pred_<target>``; with ``proba``
+    (classifiers) also ``proba_<target>``, the class probabilities in sorted
+    class order (``bundle.label_maps`` names the classes of encoded targets)."""
     from tabml.plans.train import predict_matrix
     keep = list(keep or [bundle.key])
     if bundle.key not in keep:
         keep = [bundle.key] + keep
     raw = align(df, bundle.features, keep=keep)
     x = bundle.prep.transform(raw, keep=keep)
-    out = predict_matrix(bundle, x).drop("features")
+    out = predict_matrix(bundle, x, proba=proba).drop("features")
     if decode and bundle.label_maps:
         out = target.decode_labels(out, bundle.label_maps,
                                    {f"pred_{t}": t for t in bundle.targets if t in bundle.label_maps})

@@ -1152,3 +1152,22 @@ def q_svc_ovr_lineitem(spark, sf):
     m = svm_op.SVC(C=1.0, kernel="linear", max_iter=20, multiclass="ovr").fit(x.where(~F.col("is_test")),
                                                                              "l_returnflag")
     return m.predict(x.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "l_returnflag", "prediction")
+
+
+@query("prediction_proba_preview", f"""WITH {_KNN_PIPE},
+_first AS (SELECT qk FROM _p ORDER BY qk LIMIT 10),
+_cnt AS (SELECT qk, y, count(*) AS w FROM nb WHERE qk IN (SELECT qk FROM _first) GROUP BY qk, y)
+SELECT f.qk AS p_partkey, pl.label AS pred_y, l.label AS class,
+       round(coalesce(c.w, 0) / 5.0, 6) AS probability
+FROM _first f JOIN _p ON _p.qk = f.qk JOIN _lab pl ON pl.code = _p.h
+CROSS JOIN _lab l LEFT JOIN _cnt c ON c.qk = f.qk AND c.y = l.code""")
+def q_prediction_proba_preview(spark, sf):
+    """First 10 rows (by key) of the batch scoring with class probabilities,
+    one row per class (the reference's prediction + probability preview)."""
+    r = _train_knn(spark, sf)
+    pred = score_op.predict(r.bundle, fx.table(spark, sf, "part"), proba=True)
+    first = roles.preview(pred, "p_partkey", 10)
+    classes = target.class_names(r.bundle.label_maps, "y")
+    return first.select("p_partkey", "pred_y", F.posexplode("proba_y").alias("i", "probability")).select(
+        "p_partkey", "pred_y", F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("i") + 1).alias("class"),
+        r6("probability"))

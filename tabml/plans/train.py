@@ -94,18 +94,29 @@ def fit_models(family: str, task: str, train: DataFrame, key: str, targets: list
     return out
 
 
-def predict_matrix(bundle: Bundle, x: DataFrame) -> DataFrame:
+def predict_matrix(bundle: Bundle, x: DataFrame, proba: bool = False) -> DataFrame:
     """``x`` has ``key`` and ``features`` (preprocessed); adds ``pred_<target>``
-    (encoded classes for encoded targets)."""
+    (encoded classes for encoded targets) and, with ``proba`` for classifiers,
+    ``proba_<target>`` (class probabilities in sorted class order)."""
     key = bundle.key
     if bundle.family == "knn":
         p = bundle.params
         k, w, pp = int(p.get("n_neighbors", 5)), p.get("weights", "uniform"), float(p.get("p", 2))
         return knn_op.predict(bundle.knn_train, x, key, "features", bundle.targets, bundle.task, k=k, p=pp,
-                              weights=w)
+                              weights=w, proba=proba)
     out = x
     for t in bundle.targets:
-        out = bundle.models[t].predict(out, out_col=f"pred_{t}")
+        m = bundle.models[t]
+        if proba and bundle.task == "classification":
+            if bundle.family in ("tree", "forest"):
+                out = m.predict(out, out_col=f"pred_{t}", keep_proba=True).withColumnRenamed(
+                    "probability", f"proba_{t}")
+                continue
+            if getattr(m, "platt_", None):
+                out = m.predict(out, out_col=f"pred_{t}").withColumnRenamed("probability", f"proba_{t}")
+                continue
+            raise ValueError("this SVC was fitted without probability=True")
+        out = m.predict(out, out_col=f"pred_{t}")
     return out
 
 

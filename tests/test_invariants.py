@@ -243,3 +243,16 @@ def test_transform_stream_with_knn_bundle(spark):
     got = {row["p_partkey"]: row["pred_y"] for row in spark.sql(f"SELECT * FROM {name}").collect()}
     want = {row["p_partkey"]: row["pred_y"] for row in score.predict(r.bundle, part).collect()}
     assert got == want and len(got) == part.count()
+
+
+def test_tree_bundle_probabilities(spark):
+    from tabml.operators import score
+    from tabml.plans.train import train
+    p = fx.fixture(spark, SF, fx.P1, "part")
+    r = train(p, "p_partkey", "y", ["p_size", "p_retailprice", "p_type"], "forest_classifier",
+              max_depth=4, n_estimators=10)
+    pdf = score.predict(r.bundle, p, proba=True).toPandas()
+    probs = np.stack(pdf["proba_y"].to_numpy())
+    assert probs.shape[1] == 3 and np.allclose(probs.sum(1), 1.0)
+    classes = r.bundle.label_maps["y"]
+    assert (np.array(classes)[probs.argmax(1)] == pdf["pred_y"].to_numpy()).mean() > 0.99

@@ -217,3 +217,18 @@ def test_in_task_predict_equals_blocked_vote(spark):
                     assert ra[key_] == rb[key_], (w, key_)
                 else:
                     assert abs(ra[key_] - rb[key_]) < 1e-9, (w, key_)
+
+
+def test_knn_probabilities_in_task_equal_blocked(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.integers(0, 3, size=2).astype(float).tolist(), str(rng.integers(0, 3))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, c string")
+    tr, te = df.where("id % 3 != 0"), df.where("id % 3 = 0")
+    for w in ("uniform", "distance"):
+        a = {r["id"]: r["proba_c"] for r in knn.predict(tr, te, "id", "x", ["c"], "classification", k=4,
+                                                        weights=w, proba=True).collect()}
+        b = {r["id"]: r["proba_c"] for r in knn.predict(tr, te, "id", "x", ["c"], "classification", k=4,
+                                                        weights=w, proba=True, broadcast_bytes=0).collect()}
+        assert a.keys() == b.keys() and len(a) == 100
+        for key_ in a:
+            assert np.allclose(a[key_], b[key_]) and abs(sum(a[key_]) - 1) < 1e-12
