@@ -72,8 +72,11 @@ def _topk_chunk(q: np.ndarray, x: np.ndarray, x2: np.ndarray, kk: int, p: float)
         q2 = np.einsum("ij,ij->i", q, q)
         approx = q2[:, None] + x2[None, :] - 2.0 * (q @ x.T)
         kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-        scale = q2[:, None] + x2.max() + 1.0
-        margin = 1e-9 * scale[:, 0] + 1e-12
+        # the margin covers (a) the float error of the expansion (~1e-16 of the
+        # squared norms) and (b) the rounding window: distances that round to the
+        # k-th one's value differ by < 1e-9, i.e. < 2e-9 * d_k + 1e-18 in squares
+        dk = np.sqrt(np.maximum(kth, 0.0))
+        margin = 3e-9 * (dk + 1.0) + 1e-12 * (q2 + x2.max() + 1.0)
         rows, cols = np.nonzero(approx <= (kth + margin)[:, None])
     else:
         d_full = _minkowski(q, x, p)
@@ -150,7 +153,8 @@ def _broadcast_neighbors(train: DataFrame, test: DataFrame, key: str, test_key:
             qk_all = pdf["_qk"].to_numpy()
             for s0 in range(0, len(pdf), step):
                 r, c, d = _topk_chunk(q_all[s0:s0 + step], x, x2, kk, p)
-                yield pd.DataFrame({test_key: qk_all[s0:s0 + step][r], "nn_rank": np.tile(np.arange(1, kk + 1), len(r) // kk),
+                yield pd.DataFrame({test_key: qk_all[s0:s0 + step][r],
+                                    "nn_rank": np.tile(np.arange(1, kk + 1), len(r) // kk),
                                     "nn_key": tk[c], "dist": d, "nn_label": ty[c]})
 
     q = test.select(F.col(test_key).alias("_qk"), F.col(features).cast("array<double>").alias("_x"))

@@ -232,3 +232,22 @@ def test_knn_probabilities_in_task_equal_blocked(spark):
         assert a.keys() == b.keys() and len(a) == 100
         for key_ in a:
             assert np.allclose(a[key_], b[key_]) and abs(sum(a[key_]) - 1) < 1e-12
+
+
+def test_screen_keeps_rounding_ties_at_large_norms(spark):
+    # points far from the origin at (nearly) equal distances: the screened
+    # kernel must agree with a full exact sort on (rounded distance, key)
+    rng = np.random.default_rng(4)
+    base = np.array([100.0, -50.0, 25.0])
+    train = []
+    for i in range(400):
+        v = rng.normal(size=3)
+        v = v / np.linalg.norm(v) * (1.0 + (i % 3) * 1e-10)  # distances 1, 1+1e-10, 1+2e-10
+        train.append((i, (base + v).tolist(), 0))
+    tr = spark.createDataFrame(train, "id long, x array<double>, y int")
+    te = spark.createDataFrame([(10_000, base.tolist())], "id long, x array<double>")
+    got = [r["nn_key"] for r in knn.neighbors(tr, te, "id", "x", "y", 7).orderBy("nn_rank").collect()]
+    x = np.array([t[1] for t in train])
+    d = np.round(np.sqrt(((x - base) ** 2).sum(1)), 9)
+    want = [i for _, i in sorted(zip(d, range(400)))][:7]
+    assert got == want
