@@ -91,7 +91,7 @@ def _topk_chunk(q: np.ndarray, x: np.ndarray, x2: np.ndarray, kk: int, p: float)
     return rows[take], cols[take], d[take]
 
 
-def _block_topk(k: int, p: float, key_type, label_type):
+def _block_topk(k: int, p: float):
     def fn(train: pd.DataFrame, test: pd.DataFrame) -> pd.DataFrame:
         cols = ["_g", "qk", "tk", "dist", "y"]
         if train.empty or test.empty:
@@ -216,7 +216,7 @@ def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "feat
         T.StructField("y", label_type),
     ])
     cand = (tr.groupBy("_g", "_qb", "_tb").cogroup(te.groupBy("_g", "_qb", "_tb"))
-              .applyInPandas(_block_topk(k, p, key_type, label_type), schema))
+              .applyInPandas(_block_topk(k, p), schema))
     w = Window.partitionBy("_g", "qk").orderBy("dist", "tk")
     ranked = cand.withColumn("nn_rank", F.row_number().over(w))
     if t_blocks > 1:
