@@ -97,6 +97,75 @@ def _fold_stats(f: DataFrame, features: str, folds: int, kind: str) -> dict:
     return out
 
 
+def _fold_moments(f: DataFrame, features: str, folds: int):
+    """Per fold: row count, column sums and Gram matrix of the raw features, from
+    per-partition NumPy partial sums (one pass; folds x d^2 numbers come back)."""
+    import pandas as pd
+
+    def partial(it):
+        acc: dict = {}
+        for pdf in it:
+            for g, grp in pdf.groupby("fold"):
+                x = np.stack(grp[features].to_numpy()).astype(np.float64)
+                n0, s0, q0 = acc.get(g, (0, 0.0, 0.0))
+                acc[g] = (n0 + len(x), s0 + x.sum(axis=0), q0 + x.T @ x)
+        for g, (n, sm, q) in acc.items():
+            yield pd.DataFrame({"fold": [int(g)], "n": [int(n)],
+                                "v": [np.concatenate([np.ravel(sm), np.ravel(q)]).tolist()]})
+
+    parts = f.select("fold", F.col(features).cast("array<double>").alias(features)).mapInPandas(
+        partial, "fold int, n long, v array<double>")
+    rows = (parts.select("fold", F.posexplode("v").alias("i", "x"))
+                 .groupBy("fold", "i").agg(F.sum("x").alias("x")).collect())
+    cells: dict = {}
+    for r in rows:
+        cells.setdefault(r["fold"], {})[r["i"]] = r["x"]
+    counts = {r["fold"]: r["n"] for r in parts.groupBy("fold").agg(F.sum("n").alias("n")).collect()}
+    out = {}
+    for g, c in cells.items():
+        m = len(c)
+        d = int(round((-1 + (1 + 4 * m) ** 0.5) / 2))  # m = d + d^2
+        vec = np.array([c[i] for i in range(m)])
+        out[g] = (counts[g], vec[:d], vec[d:].reshape(d, d))
+    return out
+
+
+def _fold_pca(moments: dict, stats: dict | None, folds: int, k: int, dim: int) -> dict:
+    """Per fold g: (mean, components) of PCA on the scaled rows of the other
+    folds.  Scaling is affine per column, so the scaled covariance is
+    D^-1 Cov D^-1 of the raw covariance of those rows."""
+    out = {}
+    for g in range(folds):
+        n = sum(moments[h][0] for h in range(folds) if h != g)
+        sm = sum(moments[h][1] for h in range(folds) if h != g)
+        q = sum(moments[h][2] for h in range(folds) if h != g)
+        mu = sm / n
+        cov = (q - n * np.outer(mu, mu)) / max(1, n - 1)
+        center, scale = (np.zeros(dim), np.ones(dim)) if not stats else (np.array(stats[g][0]),
+                                                                        np.array(stats[g][1]))
+        cov_s = cov / np.outer(scale, scale)
+        vals, vecs = np.linalg.eigh((cov_s + cov_s.T) / 2)
+        comps = vecs[:, np.argsort(vals)[::-1][:k]].T
+        for i in range(comps.shape[0]):
+            if comps[i, np.argmax(np.abs(comps[i]))] < 0:
+                comps[i] = -comps[i]
+        out[g] = (((mu - center) / scale).tolist(), comps.tolist())
+    return out
+
+
+def _projected(xs, g, pca: dict):
+    """Centre with the fold's mean and project on its components (JVM array ops)."""
+    mm, cm = [], []
+    for k_, (mu, comps) in pca.items():
+        mm += [F.lit(k_), F.array(*[F.lit(float(v)) for v in mu])]
+        cm += [F.lit(k_), F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in comps])]
+    mu = F.element_at(F.create_map(*mm), g)
+    comps = F.element_at(F.create_map(*cm), g)
+    centred = F.zip_with(xs, mu, lambda a, b: a - b)
+    return F.transform(comps, lambda row: F.aggregate(F.zip_with(centred, row, lambda a, b: a * b),
+                                                      F.lit(0.0), lambda acc, v: acc + v))
+
+
 def _scaled(x, g, stats: dict | None):
     if not stats:
         return x.cast("array<double>")
@@ -125,22 +194,37 @@ def knn_grid_search(df: DataFrame, key: str, features: str, label: str, task: st
     f = kfold(df.select(key, features, label), [key], folds, seed, stratify=strat).cache()
     ks, ws = sorted(set(g["n_neighbors"])), list(dict.fromkeys(g["weights"]))
     kinds = list(dict.fromkeys(normalize_scaler(sc) for sc in g["scaler"]))
-    # every (scaler, fold) pair is one group of a single blocked join per p:
-    # group id = scaler index * folds + fold
+    pcas = list(dict.fromkeys(g.get("pca", [None]) or [None]))
+    combos = [(kind, pc) for kind in kinds for pc in pcas]
+    dim = len(f.select(features).first()[0])
+    moments = _fold_moments(f, features, folds) if any(pc for pc in pcas) else None
+    # every (scaler, pca, fold) triple is one group of a single blocked join per p:
+    # group id = combo index * folds + fold
     qs, ts = [], []
-    for si, kind in enumerate(kinds):
-        stats = _fold_stats(f, features, folds, kind) if kind else None
-        qs.append(f.select(key, label, (F.col("fold") + si * folds).alias("_g"),
-                           _scaled(F.col(features), F.col("fold"), stats).alias("_xs")))
+    stats_by_kind = {kind: (_fold_stats(f, features, folds, kind) if kind else None) for kind in kinds}
+    for ci, (kind, pc) in enumerate(combos):
+        stats = stats_by_kind[kind]
+        if pc:
+            if pc > dim:
+                raise ValueError(f"pca n_components={pc} exceeds the feature count {dim}")
+            pca = _fold_pca(moments, stats, folds, int(pc), dim)
+
+            def feat(gcol, stats=stats, pca=pca):
+                return _projected(_scaled(F.col(features), gcol, stats), gcol, pca)
+        else:
+            def feat(gcol, stats=stats):
+                return _scaled(F.col(features), gcol, stats)
+        qs.append(f.select(key, label, (F.col("fold") + ci * folds).alias("_g"), feat(F.col("fold")).alias("_xs")))
         ts.append(f.select(key, label, "fold", features,
                            F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("_f"))
                   .where(F.col("_f") != F.col("fold"))
-                  .select(key, label, (F.col("_f") + si * folds).alias("_g"),
-                          _scaled(F.col(features), F.col("_f"), stats).alias("_xs")))
+                  .select(key, label, (F.col("_f") + ci * folds).alias("_g"), feat(F.col("_f")).alias("_xs")))
     q, t = qs[0], ts[0]
-    for i in range(1, len(kinds)):
+    for i in range(1, len(combos)):
         q, t = q.unionByName(qs[i]), t.unionByName(ts[i])
-    names = F.element_at(F.array(*[F.lit(k or "none") for k in kinds]), (F.col("_g") / folds).cast("int") + 1)
+    combo_idx = (F.col("_g") / folds).cast("int") + 1
+    names = F.element_at(F.array(*[F.lit(kind or "none") for kind, _ in combos]), combo_idx)
+    pca_col = F.element_at(F.array(*[F.lit(pc).cast("int") for _, pc in combos]), combo_idx)
     parts = []
     for p in g["p"]:
         nb = knn.neighbors(t, q, key, "_xs", label, k=max(ks), p=p, block_rows=block_rows, group="_g")
@@ -159,7 +243,7 @@ def knn_grid_search(df: DataFrame, key: str, features: str, label: str, task: st
                 (F.sum(F.col("_w") * F.col("nn_label")) / F.sum("_w")).alias("prediction"))
         scored = pred.join(q.select(key, "_g", label), ["_g", key])
         s = metrics.score_by(scored, label, "prediction", scoring, ["_c", "_g"])
-        parts.append(s.select(names.alias("scaler"), F.lit(float(p)).alias("p"),
+        parts.append(s.select(names.alias("scaler"), pca_col.alias("pca"), F.lit(float(p)).alias("p"),
                               F.col("_c.k").alias("n_neighbors"), F.col("_c.weights").alias("weights"),
                               (F.col("_g") % folds).alias("fold"), "score"))
     allp = parts[0]
@@ -167,7 +251,10 @@ def knn_grid_search(df: DataFrame, key: str, features: str, label: str, task: st
         allp = allp.unionByName(x)
     # the algorithm is a physical hint: every algorithm scores the same
     algos = F.explode(F.array(*[F.lit(a) for a in g["algorithm"]])).alias("algorithm")
-    return report(allp.select("*", algos), ["scaler", "p", "n_neighbors", "weights", "algorithm"], folds)
+    params = ["scaler", "p", "n_neighbors", "weights", "algorithm"] + (["pca"] if any(pcas) else [])
+    if not any(pcas):
+        allp = allp.drop("pca")
+    return report(allp.select("*", algos), params, folds)
 
 
 def report(fold_scores: DataFrame, params: list[str], folds: int) -> DataFrame:

@@ -143,16 +143,23 @@ def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_cla
     cv = None
     params = dict(params)
     if use_cv:
-        if grid is None:
-            grid = tuning.GRIDS[model]
+        grid = dict(tuning.GRIDS[model] if grid is None else grid)
+        if params.get("pca") and family in ("knn", "svm") and "pca" not in grid:
+            # with PCA on, component counts 2/3/5 join the grid, limited by the
+            # encoded width (not the raw column count)
+            width = len(Preprocess(cat_encoder=params.get("cat_encoder", "ohe")).fit(tr, roles.features)
+                        .feature_names())
+            grid["pca"] = [n for n in (2, 3, 5) if n <= width] or [None]
         if family == "knn":
             pre = Preprocess(cat_encoder=params.get("cat_encoder", "ohe")).fit(tr, roles.features)
             xtr = pre.transform(tr, keep=[key, *ts])
             cv = tuning.knn_grid_search(xtr, key, "features", ts[0], task, folds, seed, grid, scoring)
-            best = tuning.best_params(cv, ["scaler", "p", "n_neighbors", "weights", "algorithm"],
-                                      {**tuning.KNN_GRID, **grid})
+            names = ["scaler", "p", "n_neighbors", "weights", "algorithm"] + (["pca"] if "pca" in cv.columns else [])
+            best = tuning.best_params(cv, names, {**tuning.KNN_GRID, **grid})
             params.update({k: best[k] for k in ("n_neighbors", "weights", "p", "algorithm")})
             params["scaler"] = None if best["scaler"] == "none" else best["scaler"]
+            if "pca" in best:
+                params["pca"] = best["pca"]
         else:
             prep_params = {k: params[k] for k in _PREP_KEYS if k in params}
 

@@ -256,3 +256,22 @@ def test_tree_bundle_probabilities(spark):
     assert probs.shape[1] == 3 and np.allclose(probs.sum(1), 1.0)
     classes = r.bundle.label_maps["y"]
     assert (np.array(classes)[probs.argmax(1)] == pdf["pred_y"].to_numpy()).mean() > 0.99
+
+
+def test_knn_grid_search_with_pca_matches_a_manual_fold_loop(spark):
+    from tabml.operators import knn, tuning
+    from tabml.operators.split import kfold
+    e = fx.table(spark, SF, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    grid = {"scaler": ["standard"], "pca": [3], "n_neighbors": [5], "weights": ["uniform"], "p": [2],
+            "algorithm": ["auto"]}
+    rep = tuning.knn_grid_search(e, "vec_id", "x", "label", "classification", folds=3, seed=7, grid=grid,
+                                 scoring="accuracy").first()
+    f = kfold(e, ["vec_id"], 3, 7, stratify="label")
+    scores = []
+    for g in range(3):
+        tr, va = f.where(F.col("fold") != g), f.where(F.col("fold") == g)
+        pm = prep.Preprocess(scaler="standard", pca=3).fit(tr, ["x"])
+        xtr, xva = pm.transform(tr, keep=["vec_id", "label"]), pm.transform(va, keep=["vec_id", "label"])
+        pred = knn.vote(knn.neighbors(xtr, xva, "vec_id", "features", "label", 5), "vec_id", 5)
+        scores.append(pred.join(va, "vec_id").agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0])
+    assert abs(rep["mean_test_score"] - float(np.mean(scores))) < 1e-9 and rep["pca"] == 3
