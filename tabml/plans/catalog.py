@@ -1171,3 +1171,16 @@ def q_prediction_proba_preview(spark, sf):
     return first.select("p_partkey", "pred_y", F.posexplode("proba_y").alias("i", "probability")).select(
         "p_partkey", "pred_y", F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("i") + 1).alias("class"),
         r6("probability"))
+
+
+@query("cv_knn_pca")
+def q_cv_knn_pca(spark, sf):
+    """KNN grid search with PCA on (component counts 2, 3, 5 fitted per fold
+    on the scaled rows of the other folds), one neighbour join for all."""
+    s = _emb_split(spark, sf)
+    rep = tuning.knn_grid_search(s.where(~F.col("is_test")), "vec_id", "x", "label", "classification",
+                                 folds=5, seed=42, scoring="accuracy",
+                                 grid={"scaler": ["standard"], "pca": [2, 3, 5], "n_neighbors": [5, 11],
+                                       "weights": ["uniform"], "p": [2], "algorithm": ["auto"]})
+    return rep.select("scaler", "pca", "n_neighbors", r6("mean_test_score"), r6("std_test_score"),
+                      "rank_test_score")
