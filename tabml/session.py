@@ -38,12 +38,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Taken from the session (``spark.checkpoint.dir`` or an already registered
-    checkpoint folder).  Only when neither exists, as in local tests, a fresh
-    scratch folder is created and registered.
+    checkpoint folder).  Only when neither exists and the master is local (tests,
+    the bench) a fresh scratch folder is created and registered; on a cluster the
+    setting must be given.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is wrong on a cluster: the shared one must be named
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         d = tempfile.mkdtemp(prefix="tabml-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
