@@ -1184,3 +1184,21 @@ def q_cv_knn_pca(spark, sf):
                                        "weights": ["uniform"], "p": [2], "algorithm": ["auto"]})
     return rep.select("scaler", "pca", "n_neighbors", r6("mean_test_score"), r6("std_test_score"),
                       "rank_test_score")
+
+
+_STUMP_FEATURES = ["l_discount", "l_tax"]
+
+
+@query("feature_importance_stump", "WITH st AS (" + _stump_sql("gini", "y").split(
+    "\nSELECT CAST(feature AS INTEGER) AS feature")[0] + """
+SELECT feature AS f FROM best)
+SELECT v.name AS feature, CAST(CASE WHEN v.idx = (SELECT f FROM st) THEN 1 ELSE 0 END AS DOUBLE) AS importance,
+       CAST(CASE WHEN v.idx = (SELECT f FROM st) THEN 100 ELSE 0 END AS DOUBLE) AS importance_ratio
+FROM (VALUES (0, 'l_discount'), (1, 'l_tax')) v(idx, name)""")
+def q_feature_importance_stump(spark, sf):
+    """Importances of the depth-1 gini tree on P7: the split feature carries all of it."""
+    p = fx.fixture(spark, sf, fx.P7, "lineitem").select(
+        F.array(*_STUMP_FEATURES).alias("features"), F.col("y").cast("double").alias("t"))
+    m = trees.TreeModel("tree", "classification", criterion="gini", max_depth=1).fit(p, "t")
+    return trees.feature_importance(m.model, _STUMP_FEATURES).select(
+        "feature", r6("importance"), r6("importance_ratio"))
