@@ -58,3 +58,34 @@ def test_pruning_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(l_discount), GreaterThan(l_discount,0.05)]" in text
     schema = [x for x in text.split("ReadSchema: ")[1:]]
     assert schema and all(x.startswith("struct<l_orderkey:bigint,l_discount:double>") for x in schema)
+
+
+def test_many_groups_use_the_bounded_refinement(spark, monkeypatch):
+    import tabml.functions.rank as rank
+    from tabml.functions.hashing import order_hash
+    monkeypatch.setattr(rank, "_DRIVER_ROWS", 500)  # forces totals-first, adaptive prefixes
+    df = spark.range(0, 30000).withColumn("g", (F.col("id") % 60).cast("int"))
+    h = df.withColumn("h", order_hash(3, ["id"]))
+    order = rank.HashOrder(h, "h", "g", leaf_rows=50)
+    assert not order._level1  # the one-scan level-1 table did not fit the bound
+    req = {g: [1, 250, 500] for g in range(0, 60, 7)}
+    cuts = order.cutoffs(req)
+    pdf = h.toPandas().sort_values("h")
+    for (g, pos), val in cuts.items():
+        assert pdf[pdf.g == g].h.iloc[pos - 1] == val
+
+
+def test_hot_class_split_and_histogram(spark):
+    from tabml.operators import curves
+    # class 'hot' holds 40% of the rows
+    df = spark.range(0, 20000).withColumn(
+        "c", F.when(F.col("id") % 5 < 2, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 97).cast("string"))))
+    s = split.train_test_split(df, ["id"], 0.2, 5, stratify="c")
+    counts = {r["c"]: (r["n"], r["t"]) for r in s.groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
+    quotas = split.largest_remainder({k: v[0] for k, v in counts.items()}, 20000 - 4000)
+    assert all(counts[k][0] - quotas[k] == counts[k][1] for k in counts)
+    assert sum(v[1] for v in counts.values()) == 4000
+    h = curves.histogram(df.withColumn("v", (F.col("id") % 1000).cast("double")), "v", 10, by="c")
+    hot = {r["bin"]: r["n"] for r in h.where("group = 'hot'").collect()}
+    assert sum(hot.values()) == 8000 and len(hot) == 10
