@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabml.functions.rank import cumulative_sums
-from tabml.operators.roles import require_binary
+from tabml.operators.roles import require_binary, select_split
 
 
 def score_counts(df: DataFrame, y: str, score: str, positive=None) -> tuple[DataFrame, object]:
@@ -47,11 +47,13 @@ def _cum(df: DataFrame, y: str, score: str, positive=None, with_next: bool = Fal
     return cum.withColumn("P", F.lit(float(tot["P"]))).withColumn("N", F.lit(float(tot["N"])))
 
 
-def roc_curve(df: DataFrame, y: str, score: str, positive=None, drop_intermediate: bool = True) -> DataFrame:
+def roc_curve(df: DataFrame, y: str, score: str, positive=None, drop_intermediate: bool = True,
+              split: str | None = None, split_col: str = "is_test") -> DataFrame:
     """``(threshold, fpr, tpr)``; the first point is ``(+inf, 0, 0)``.  A point i
     is dropped when both second differences are zero, i.e. the next distinct
     score adds the same positives and negatives as this one; the first and last
     points are kept."""
+    df = select_split(df, split, split_col)
     c = _cum(df, y, score, positive, with_next=drop_intermediate)
     if drop_intermediate:
         first = (F.col("cum_tp") == F.col("tp")) & (F.col("cum_fp") == F.col("fp"))
@@ -64,14 +66,18 @@ def roc_curve(df: DataFrame, y: str, score: str, positive=None, drop_intermediat
     return origin.unionByName(pts)
 
 
-def roc_auc(df: DataFrame, y: str, score: str, positive=None) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, score: str, positive=None, split: str | None = None,
+            split_col: str = "is_test") -> DataFrame:
+    df = select_split(df, split, split_col)
     c = _cum(df, y, score, positive)
     area = F.col("fp") / F.col("N") * (2 * F.col("cum_tp") - F.col("tp")) / (2 * F.col("P"))
     return c.agg(F.sum(area).alias("auc"))
 
 
-def pr_curve(df: DataFrame, y: str, score: str, positive=None) -> DataFrame:
+def pr_curve(df: DataFrame, y: str, score: str, positive=None, split: str | None = None,
+             split_col: str = "is_test") -> DataFrame:
     """``(threshold, recall, precision)`` plus the end point (null, 0, 1)."""
+    df = select_split(df, split, split_col)
     c = _cum(df, y, score, positive)
     pts = c.select("threshold", (F.col("cum_tp") / F.col("P")).alias("recall"),
                    (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"))
@@ -79,7 +85,9 @@ def pr_curve(df: DataFrame, y: str, score: str, positive=None) -> DataFrame:
     return pts.unionByName(end)
 
 
-def pr_auc(df: DataFrame, y: str, score: str, positive=None) -> DataFrame:
+def pr_auc(df: DataFrame, y: str, score: str, positive=None, split: str | None = None,
+           split_col: str = "is_test") -> DataFrame:
+    df = select_split(df, split, split_col)
     c = _cum(df, y, score, positive)
     prev_tp = F.col("cum_tp") - F.col("tp")
     prev_all = prev_tp + F.col("cum_fp") - F.col("fp")
@@ -131,6 +139,8 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: str | None = None)
                         F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
-def score_histogram(df: DataFrame, y: str, score: str, bins: int = 30) -> DataFrame:
+def score_histogram(df: DataFrame, y: str, score: str, bins: int = 30, split: str | None = None,
+                    split_col: str = "is_test") -> DataFrame:
     """Decision-score histogram per true class: ``(class, bin, lo, hi, n)``."""
+    df = select_split(df, split, split_col)
     return histogram(df, score, bins, by=y).withColumnRenamed("group", "class")

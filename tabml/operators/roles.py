@@ -110,3 +110,13 @@ def preview(df: DataFrame, order_by: str | Sequence[str], n: int = 10) -> DataFr
     """First ``n`` rows in an explicit order (TakeOrdered, no global sort)."""
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     return df.orderBy(*keys).limit(n)
+
+
+def select_split(df: DataFrame, split: str | None, split_col: str = "is_test") -> DataFrame:
+    """Rows of one side of a train/test split (``"train"`` / ``"test"``), or all
+    rows for ``None``: the dataset choice for curves and diagnostics."""
+    if split is None:
+        return df
+    if split not in ("train", "test"):
+        raise ValueError("split must be 'train', 'test' or None")
+    return df.where(F.col(split_col) if split == "test" else ~F.col(split_col))

@@ -251,3 +251,15 @@ def test_screen_keeps_rounding_ties_at_large_norms(spark):
     d = np.round(np.sqrt(((x - base) ** 2).sum(1)), 9)
     want = [i for _, i in sorted(zip(d, range(400)))][:7]
     assert got == want
+
+
+def test_split_argument_selects_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, int(rng.integers(0, 2)), float(rng.random()), bool(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, y int, s double, is_test boolean")
+    a = curves.roc_auc(df, "y", "s", split="test").first()["auc"]
+    b = curves.roc_auc(df.where("is_test"), "y", "s").first()["auc"]
+    c = curves.roc_auc(df.where("not is_test"), "y", "s").first()["auc"]
+    assert a == b and curves.roc_auc(df, "y", "s", split="train").first()["auc"] == c
+    with pytest.raises(ValueError, match="split must be"):
+        curves.roc_auc(df, "y", "s", split="valid")
