@@ -31,6 +31,7 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "tabml"
     )
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -75,3 +76,31 @@ def spread(df, rows: int | None = None, min_rows: int = 50_000, min_bytes: int =
     else:
         big = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= min_bytes
     return df.repartition(par) if big else df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabml`` importable in the Python workers (pandas UDFs, mapInPandas
+    and cogroups unpickle functions that live in this package): zip the package
+    once and hand it to ``SparkContext.addPyFile``, which distributes it to every
+    executor, the same way ``spark-submit --py-files`` does."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    sid = sc.applicationId
+    if sid in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="tabml-pkg-"), "tabml.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sid)
