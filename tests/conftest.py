@@ -10,7 +10,7 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    from tabml.session import checkpoint_dir
+    from tabml.session import checkpoint_dir, ship_package
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
@@ -20,4 +20,5 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
+    ship_package(s)  # workers import tabml from the shipped zip, whatever the cwd
     yield s
