@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import exact_dedup, simhash, toxicity
+from tabml.llm import exact_dedup, mixing, simhash, toxicity
 from tabml.llm.common import read, shared_table
+from tabml.llm.queries import packed
 from tabml.session import ship_package
 
 #: a classifier and tokenizer ids aren't SQL; tests hold the rows against brute force
@@ -37,10 +38,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.drop_near_copies(docs, words=3, distance=3)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target weight takes it."""
+    ship_package(spark)
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, in windows of 1024 tokens."""
+    ship_package(spark)
+    return packed(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
     ("simhash_dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
 

@@ -11,5 +11,45 @@ WITH n AS (
          count(*) OVER (PARTITION BY norm) AS group_size FROM n
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+""",
+    "op4_url_filter": """
+WITH r(rule, verdict) AS (
+  VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')
+), a AS (
+  SELECT row_number() OVER () AS n, page_id,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT n, page_id, regexp_extract(rest, '^[^/?#]*') AS raw_host, rest FROM a
+), u AS (
+  SELECT n, page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path FROM h
+), f AS (
+  SELECT n, rule, verdict, row_number() OVER (PARTITION BY n ORDER BY length(rule) DESC, instr(rule, '/') DESC) AS k
+  FROM u JOIN r ON (host = split_part(rule, '/', 1) OR suffix(host, '.' || split_part(rule, '/', 1)))
+               AND starts_with(path, substr(rule, instr(rule, '/')))
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN (SELECT * FROM f WHERE k = 1) USING (n)
+""",
+    "op5_source_mix": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS draw
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(sum(size) AS DOUBLE) * 2 AS cap FROM d GROUP BY source
+), w AS (
+  SELECT *, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS w FROM s
+), o AS (
+  SELECT *, row_number() OVER (ORDER BY cap / w, source) AS k, sum(source_size) OVER () * 1.5::DOUBLE AS share,
+         coalesce(sum(cap) OVER (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+         sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM w
+), l AS (
+  SELECT arg_min((share - spent) / rest, k) AS level FROM o WHERE w * ((share - spent) / rest) <= cap
+), t AS (
+  SELECT source, source_size, least(w * level, cap) AS target, CASE WHEN source_size > 0 THEN least(w * level, cap) / source_size ELSE 0 END AS rate FROM w, l
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 """,
 }

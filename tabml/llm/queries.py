@@ -3,9 +3,11 @@ full results in the columns of its contract."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabml.llm import exact_dedup, simhash
+from tabml.llm import exact_dedup, mixing, packing, simhash, token_counts, toxicity, url_filter
 from tabml.llm.common import read
 
 
@@ -19,4 +21,41 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(read(spark, sf_dir, "documents"), words=3, distance=3).drop("fp")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash)}
+#: the rules of op4
+RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return url_filter.judge(read(spark, sf_dir, "pages"), RULES)
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix_sizes(read(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece tokens of every document."""
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The pieces of all documents in windows of 1024 tokens, ids as a checksum."""
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed."""
+    return packed(read(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document, learned from the labels."""
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.score(docs, toxicity.fit(docs.select("doc_id", "text"), labels))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash, op4_url_filter, op5_source_mix, op8_token_counts, op9_packing, op10_toxicity)}
