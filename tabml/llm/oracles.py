@@ -51,5 +51,23 @@ WITH d AS (
 SELECT doc_id, size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+""",
+    "op7_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), p AS (
+  SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, ws FROM w
+), s AS (
+  SELECT doc_id, i, ws[i] AS word, CASE WHEN i + 19 <= len(ws) THEN array_to_string(ws[i:i + 19], ' ') END AS seq FROM p
+), r AS (
+  SELECT doc_id, i, word, seq IS NOT NULL AND row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) > 1 AS again FROM s
+), c AS (
+  SELECT doc_id, i, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM r
+), k AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS n_gone, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept
+  FROM c GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(n_gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN k USING (doc_id)
 """,
 }

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import exact_dedup, mixing, packing, simhash, token_counts, toxicity, url_filter
+from tabml.llm import exact_dedup, mixing, packing, simhash, substring_dedup, token_counts, toxicity, url_filter
 from tabml.llm.common import read
 
 
@@ -35,6 +35,12 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(read(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the 20-word windows that start earlier."""
+    kept = substring_dedup.substring_dedup(read(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece tokens of every document."""
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
@@ -58,4 +64,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs.select("doc_id", "text"), labels))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_simhash, op4_url_filter, op5_source_mix, op8_token_counts, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op3_simhash, op4_url_filter, op5_source_mix, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity)}
