@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,17 @@ def local_forest(u, v):
         if a != b:
             up[max(a, b)] = min(a, b)
     return [(x, r) for x in list(up) if (r := root(x)) != x]
+
+
+def local_roots(a: np.ndarray, b: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """For positions linked in pairs (a, b): the smallest node of each
+    position's component, by label rounds inside one task."""
+    root = node.copy()
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        if (new == root).all():
+            return root
+        root = new

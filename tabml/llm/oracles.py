@@ -51,6 +51,23 @@ WITH d AS (
 SELECT doc_id, size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+""",
+    "op6_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda e: e <> 0)) > 0
+), p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, p.b FROM reach JOIN p ON reach.b = p.a
+), c AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), n AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
 """,
     "op7_substring_dedup": r"""
 WITH w AS (

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import exact_dedup, mixing, packing, simhash, substring_dedup, token_counts, toxicity, url_filter
+from tabml.llm import embedding_dedup, exact_dedup, mixing, packing, simhash, substring_dedup, token_counts, toxicity, url_filter
 from tabml.llm.common import read
 
 
@@ -35,6 +35,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(read(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.98 and more between all embeddings with equal labels."""
+    return embedding_dedup.embedding_dedup(read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without the 20-word windows that start earlier."""
     kept = substring_dedup.substring_dedup(read(spark, sf_dir, "documents"), window=20)
@@ -65,4 +70,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op3_simhash, op4_url_filter, op5_source_mix, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity)}
+    op1_exact_dedup, op3_simhash, op4_url_filter, op5_source_mix, op6_embedding_dedup, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity)}
