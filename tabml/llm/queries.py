@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import embedding_dedup, exact_dedup, mixing, packing, simhash, substring_dedup, token_counts, toxicity, url_filter
+from tabml.llm import embedding_dedup, exact_dedup, mixing, packing, secrets, simhash, substring_dedup, token_counts, toxicity, url_filter
 from tabml.llm.common import read
 
 
@@ -16,6 +16,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents")).drop("row_hash")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the counts and the checksum are of the base
+    spans, ``spans`` also has those that decoding finds."""
+    found = secrets.secrets(read(spark, sf_dir, "documents"))
+    plain = F.transform("decoded", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return found.select(
+        "doc_id", *[secrets.count_kind(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.concat("base", plain)).alias("spans"),
+        F.size("decoded").cast("long").alias("n_decoded"), F.col("n_layers").cast("long").alias("n_layers"),
+        F.col("n_oversize").cast("long").alias("n_oversize"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 3-word shingles over all documents, linked at up to 3 bits."""
     return simhash.simhash(read(spark, sf_dir, "documents"), words=3, distance=3).drop("fp")
@@ -70,4 +82,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op3_simhash, op4_url_filter, op5_source_mix, op6_embedding_dedup, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity)}
+    op1_exact_dedup, op2_secrets, op3_simhash, op4_url_filter, op5_source_mix, op6_embedding_dedup, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity)}
