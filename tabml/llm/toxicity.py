@@ -6,11 +6,10 @@ Features are the distinct character n-grams of the lower-cased whole text, as
 
 1. every n-gram's hash falls into one of 2 ** BITS buckets, and the documents of
    either class that hold a bucket are counted (one aggregate, at most that many rows);
-   buckets whose log-count ratio is far from zero against its standard error
-   go on;
-2. the n-grams of those buckets are counted by their full hash, which gives each
-   its own ratio r = log((p + a) / |p|) - log((q + a) / |q|), and the significant ones
-   become the vocabulary;
+   buckets that are significantly (log-likelihood ratio) more frequent in
+   one class go on;
+2. the n-grams of those buckets are counted by their full hash; the significant
+   ones become the vocabulary, each with its ratio r = log((p + a) / |p|) - log((q + a) / |q|);
 3. a logistic regression is fitted on vectors that hold r for each vocabulary
    n-gram present.
 
@@ -86,10 +85,9 @@ def held_out(doc_id) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % 5 == 0
 
 
-def _ratio(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int, smooth: float):
-    """The log-count ratio and its distance from zero in standard errors."""
-    r = np.log((pos + smooth) / (n_pos + 2 * smooth)) - np.log((neg + smooth) / (n_neg + 2 * smooth))
-    return r, r / np.sqrt(1 / (pos + smooth) + 1 / (neg + smooth))
+def _ratio(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int, smooth: float) -> np.ndarray:
+    """The log-count ratio of documents that hold a feature."""
+    return np.log((pos + smooth) / (n_pos + 2 * smooth)) - np.log((neg + smooth) / (n_neg + 2 * smooth))
 
 
 def _counts(sample: DataFrame, sizes: tuple[int, ...], table: np.ndarray | None) -> DataFrame:
@@ -121,15 +119,18 @@ def _counts(sample: DataFrame, sizes: tuple[int, ...], table: np.ndarray | None)
                                         F.sum(F.when(F.col("label") == 0, F.col("docs")).otherwise(0)).alias("neg"))
 
 
-def _table(counts: DataFrame, spec, n_pos: int, n_neg: int, smooth: float, least: float):
-    """The features whose ratio is at least ``least`` standard errors from zero;
-    the rest is dropped before the driver gets them."""
-    pos, neg = F.col("pos") + F.lit(smooth), F.col("neg") + F.lit(smooth)
-    r = F.log(pos / F.lit(n_pos + 2 * smooth)) - F.log(neg / F.lit(n_neg + 2 * smooth))
-    z = F.abs(r) / F.sqrt(1 / pos + 1 / neg)
-    kept = counts.where(z >= least)
-    if spec:
-        kept = kept.orderBy(z.desc(), "feature").limit(spec)
+def _significant(counts: DataFrame, most: int | None, n_pos: int, n_neg: int, least: float):
+    """(feature, pos, neg) where the log-likelihood ratio of the feature's and the
+    label's independence is at least ``least``, the ``most`` largest of them. The rest is
+    dropped before the driver gets any."""
+    n = float(n_pos + n_neg)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    g = F.lit(0.0)
+    for seen, row, col in ((pos, pos + neg, n_pos), (neg, pos + neg, n_neg), (n_pos - pos, n - pos - neg, n_pos), (n_neg - neg, n - pos - neg, n_neg)):
+        g = g + F.when(seen > 0, 2 * seen * F.log(seen * n / (row * float(col)))).otherwise(0.0)
+    kept = counts.withColumn("g", g).where(F.col("g") >= least)
+    if most:
+        kept = kept.orderBy(F.desc("g"), "feature").limit(most)
     rows = kept.select("feature", "pos", "neg").toPandas()
     return rows["feature"].to_numpy(np.int64), rows["pos"].to_numpy(float), rows["neg"].to_numpy(float)
 
@@ -145,7 +146,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), max_rows: int = 12000, smooth: float = 1.0,
-        significance: float = 4.0, max_features: int = 4096, reg: float = 1e-3) -> Model:
+        significance: float = 16.0, max_features: int = 4096, reg: float = 1e-3) -> Model:
     """A classifier of (doc_id, text) learned from (doc_id, label).
 
     Bounds, which don't depend on the corpus: ``max_rows`` labelled rows and
@@ -163,15 +164,15 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, ...] = (3, 4, 5),
         empty = np.zeros(0)
         if not n_pos or not n_neg:
             return Model(sizes, empty.astype(np.uint64), empty, 50.0 if n_pos else -50.0)
-        least = significance
-        buckets, _, _ = _table(_counts(sample, sizes, None), None, n_pos, n_neg, smooth, least * 0.75)
+        # other n-grams of a bucket weaken the one that counts, so buckets pass from half the level on
+        buckets, _, _ = _significant(_counts(sample, sizes, None), None, n_pos, n_neg, significance / 2)
         table = np.zeros(1 << BITS, dtype=bool)
         table[buckets] = True
-        feature, pos, neg = _table(_counts(sample, sizes, table), max_features, n_pos, n_neg, smooth, least)
+        feature, pos, neg = _significant(_counts(sample, sizes, table), max_features, n_pos, n_neg, significance)
         hashes = feature.view(np.uint64)
         order = np.argsort(hashes)
         hashes = hashes[order]
-        ratio, _ = _ratio(pos[order], neg[order], n_pos, n_neg, smooth)
+        ratio = _ratio(pos[order], neg[order], n_pos, n_neg, smooth)
         if not len(hashes):
             return Model(sizes, hashes, empty, float(np.log(n_pos / n_neg)))
         screen = Model(sizes, hashes, ratio, 0.0)
