@@ -19,8 +19,3 @@ def order_hash(seed: int, key_cols: Sequence[str]) -> Column:
         raise ValueError("key_cols is required: the row order is a hash of a unique key")
     parts = [F.lit(str(int(seed)))] + [F.col(c).cast("string") for c in key_cols]
     return F.md5(F.concat_ws(":", *parts))
-
-
-def hash_prefix_bucket(h: Column, digits: int) -> Column:
-    """Integer value of the first ``digits`` hex digits; monotone in ``h``."""
-    return F.conv(F.substring(h, 1, digits), 16, 10).cast("long")

@@ -19,12 +19,12 @@ def residual(y: str, yhat: str):
 
 def residual_stats(df: DataFrame, y: str, yhat: str, target: str = "y", split: str | None = None,
                    split_col: str = "is_test") -> DataFrame:
-    """``(target, mean, std, mae, n)`` over every row of the chosen split (std
-    is the population std)."""
+    """``(target, mean, std, mae, n)`` over every row of the chosen split that
+    has a target and a prediction (std is the population std)."""
     df = select_split(df, split, split_col)
     r = F.col(y) - F.col(yhat)
     return df.agg(F.avg(r).alias("mean"), F.stddev_pop(r).alias("std"), F.avg(F.abs(r)).alias("mae"),
-                  F.count(F.lit(1)).alias("n")).select(F.lit(target).alias("target"), "mean", "std", "mae", "n")
+                  F.count(r).alias("n")).select(F.lit(target).alias("target"), "mean", "std", "mae", "n")
 
 
 def residual_points(df: DataFrame, y: str, yhat: str, key: Sequence[str] | str,
@@ -40,8 +40,9 @@ def residual_points(df: DataFrame, y: str, yhat: str, key: Sequence[str] | str,
               .select(*keys, "y", "yhat", (F.col("y") - F.col("yhat")).alias("residual")))
 
 
-def diagonal_bounds(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """``(lo, hi)`` of the predicted-vs-actual diagonal over all rows."""
+def diagonal_bounds(df: DataFrame, y: str, yhat: str, split: str | None = None, split_col: str = "is_test") -> DataFrame:
+    """``(lo, hi)`` of the predicted-vs-actual diagonal over the chosen split."""
+    df = select_split(df, split, split_col)
     return df.agg(F.least(F.min(y), F.min(yhat)).alias("lo"), F.greatest(F.max(y), F.max(yhat)).alias("hi"))
 
 

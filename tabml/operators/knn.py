@@ -21,8 +21,9 @@ executor and every test partition computes its neighbours in place with
 ``mapInPandas``: no shuffle of the (possibly huge) scoring side at all.  This
 is the batch-scoring case: a bounded model, an unbounded table to score.
 
-Distances are rounded to 9 decimals so that float noise cannot reorder
-mathematically equal distances; ties are then broken by the train key.
+Distances are rounded to 10 significant digits so that float noise cannot
+reorder mathematically equal distances, whatever the scale of the features;
+ties are then broken by the train key.
 The neighbour list (``neighbors``) is the shared intermediate: one list of
 ``k_max`` neighbours serves every ``n_neighbors <= k_max`` and both weightings
 (``vote``, ``proba``, ``regress``), which grid search exploits.
@@ -38,10 +39,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DIST_DECIMALS = 9
+DIST_DIGITS = 10  # significant
 _CHUNK_CELLS = 4_000_000  # distance-matrix cells computed per NumPy step
 
 
+def _significant(d: np.ndarray) -> np.ndarray:
+    """Distances at ``DIST_DIGITS`` significant digits; 0 stays 0."""
+    unit = np.power(10.0, DIST_DIGITS - 1 - np.floor(np.log10(np.where(d > 0, d, 1.0))))
+    return np.round(d * unit) / unit
+
+
 def _minkowski(q: np.ndarray, x: np.ndarray, p: float) -> np.ndarray:
     diff = np.abs(q[:, None, :] - x[None, :, :])
     if p == 2:
@@ -74,15 +81,14 @@ def _topk_chunk(q: np.ndarray, x: np.ndarray, x2: np.ndarray, kk: int, p: float)
         kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
         # the margin covers (a) the float error of the expansion (~1e-16 of the
         # squared norms) and (b) the rounding window: distances that round to the
-        # k-th one's value differ by < 1e-9, i.e. < 2e-9 * d_k + 1e-18 in squares
-        dk = np.sqrt(np.maximum(kth, 0.0))
-        margin = 3e-9 * (dk + 1.0) + 1e-12 * (q2 + x2.max() + 1.0)
+        # k-th one's value differ by < 1e-9 of it, i.e. < 2e-9 of its square
+        margin = 4e-9 * np.maximum(kth, 0.0) + 1e-12 * (q2 + x2.max())
         rows, cols = np.nonzero(approx <= (kth + margin)[:, None])
     else:
         d_full = _minkowski(q, x, p)
         kth = np.partition(d_full, kk - 1, axis=1)[:, kk - 1]
-        rows, cols = np.nonzero(d_full <= (kth + 1e-9 * (kth + 1.0))[:, None])
-    d = np.round(_exact_rows(q, x, rows, cols, p), DIST_DECIMALS)
+        rows, cols = np.nonzero(d_full <= (kth * (1 + 4e-9))[:, None])
+    d = _significant(_exact_rows(q, x, rows, cols, p))
     order = np.lexsort((cols, d, rows))
     rows, cols, d = rows[order], cols[order], d[order]
     # first kk entries of each row (every row has at least kk candidates)
@@ -274,22 +280,6 @@ def regress(nb: DataFrame, test_key: str, k: int, weights: str = "uniform",
         (F.sum(F.col("_w") * F.col("nn_label")) / F.sum("_w")).alias(out_col))
 
 
-class KNN:
-    """Lazy learner: the fitted model is the (preprocessed) training table."""
-
-    def __init__(self, n_neighbors: int = 5, p: float = 2, weights: str = "uniform",
-                 task: str = "classification", algorithm: str = "auto", block_rows: int = 4096):
-        self.n_neighbors, self.p, self.weights = n_neighbors, p, weights
-        self.task, self.algorithm, self.block_rows = task, algorithm, block_rows  # algorithm: no effect
-
-    def predict(self, train: DataFrame, test: DataFrame, key: str, label: str,
-                features: str = "features", out_col: str = "prediction") -> DataFrame:
-        nb = neighbors(train, test, key, features, label, self.n_neighbors, self.p, self.block_rows)
-        if self.task == "classification":
-            return vote(nb, key, self.n_neighbors, self.weights, out_col)
-        return regress(nb, key, self.n_neighbors, self.weights, out_col)
-
-
 def _in_task_predict(d: np.ndarray, c: np.ndarray, kk: int, weights: str, targets: list, info: dict) -> dict:
     """Per test row (rows of ``d``/``c`` reshaped to ``(m, kk)``): vote or
     weighted mean for every target, the same rules as ``vote``/``regress``."""
@@ -337,24 +327,24 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
         if test.isStreaming:
             raise ValueError("the training side exceeds broadcast_bytes; score the stream per micro-batch "
                              "(streaming.score_stream)")
-        nb = neighbors(train, test, key, features, None, k, p, block_rows, broadcast_bytes=0)
+        # a scored table may repeat a key: a point is its key and its features
+        out = test.withColumn("_point", F.concat_ws(":", F.col(key).cast("string"), F.xxhash64(features)))
+        points = out.select("_point", features).dropDuplicates(["_point"])
+        nb = neighbors(train, points, key, features, None, k, p, block_rows, test_key="_point", broadcast_bytes=0)
         labels = train.select(F.col(key).alias("nn_key"), *targets)
         nbl = nb.drop("nn_label").join(labels, "nn_key")
-        out = test
         for t in targets:
-            sub = nbl.select(key, "nn_rank", "dist", F.col(t).alias("nn_label"))
+            sub = nbl.select("_point", "nn_rank", "dist", F.col(t).alias("nn_label"))
             fn = vote if task == "classification" else regress
-            out = out.join(fn(sub, key, k, weights, f"{prefix}{t}"), key)
+            out = out.join(fn(sub, "_point", k, weights, f"{prefix}{t}"), "_point")
             if proba and task == "classification":
-                classes = sorted(r[0] for r in train.select(t).distinct().limit(100_001).collect())
-                if len(classes) > 100_000:
-                    raise ValueError("too many classes for probability arrays")
-                pr = _class_shares(sub, key, k, weights)
-                m = pr.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("class", "probability")))
+                classes = sorted(r[0] for r in train.select(t).distinct().collect())
+                pr = _class_shares(sub, "_point", k, weights)
+                m = pr.groupBy("_point").agg(F.map_from_entries(F.collect_list(F.struct("class", "probability")))
                                         .alias("_pm"))  # at most k entries per row
                 arr = F.array(*[F.coalesce(F.element_at("_pm", F.lit(c)), F.lit(0.0)) for c in classes])
-                out = out.join(m.select(key, arr.alias(f"proba_{t}")), key)
-        return out
+                out = out.join(m.select("_point", arr.alias(f"proba_{t}")), "_point")
+        return out.drop("_point")
     spark = train.sparkSession
     rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), *targets)
                  .orderBy("_tk").collect())  # bounded: checked above

@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_MAX_CLASSES = 10_000
+from tabml.operators.roles import select_split
+from tabml.session import written
 
 
 def pair_counts(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
@@ -24,43 +25,27 @@ def pair_counts(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> Dat
         F.count(F.lit(1)).alias("n"))
 
 
-def _classes(pc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return (pc.select(*by, F.col("y").alias("class"))
-              .union(pc.select(*by, F.col("yhat").alias("class"))).distinct())
-
-
-_MAX_CELLS = 1_000_000  # observed (y, yhat) pairs held in one row for the grid
-
-
 def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: DataFrame | None = None,
-                     normalize: bool = False) -> DataFrame:
+                     normalize: bool = False, split: str | None = None, split_col: str = "is_test") -> DataFrame:
     """``(y, yhat, n)`` over the full class grid, zero cells included;
     ``normalize=True`` adds ``share`` = n / row total (empty row -> 0).
 
-    One scan: the pair counts (map-side combined) are folded into a single row
-    holding a map (y, yhat) -> n and the sorted class list; the grid is two
-    explodes of that list and a map lookup.  The row's size is checked first
-    (continuous predictions passed by mistake stop with an error)."""
-    pc = pair_counts(df, y, yhat).limit(_MAX_CELLS + 1)
-    one = pc.agg(
-        F.count(F.lit(1)).alias("_k"),
-        F.map_from_entries(F.collect_list(F.struct(F.struct("y", "yhat"), "n"))).alias("_m"),
-        F.array_sort(F.array_distinct(F.concat(F.collect_set("y"), F.collect_set("yhat")))).alias("_a"))
-    one = one.withColumn("_a", F.when(F.col("_k") <= _MAX_CELLS, F.col("_a")).otherwise(
-        F.raise_error(F.lit(f"more than {_MAX_CELLS} (y, yhat) pairs: not a classification result"))))
-    if classes is not None:
-        # an explicit label list (as the library's ``labels=``): bounded, checked
-        vals = [r[0] for r in classes.select(classes.columns[0]).distinct().limit(_MAX_CLASSES + 1).collect()]
-        if len(vals) > _MAX_CLASSES:
-            raise ValueError(f"more than {_MAX_CLASSES} classes")
-        one = one.withColumn("_a", F.array(*[F.lit(v) for v in sorted(vals)]))
-    grid = (one.select(F.explode("_a").alias("y"), "_a", "_m")
-               .select("y", F.explode("_a").alias("yhat"), "_m"))
-    out = grid.select("y", "yhat", F.coalesce(F.element_at("_m", F.struct("y", "yhat")), F.lit(0))
-                      .cast("long").alias("n"))
+    The pair counts (map-side combined, written once) are the only scan. The result's rows are
+    every class by every class (or the first column of ``classes``): row classes
+    are dealt to buckets, column classes are copied to each bucket, and the
+    counts are joined on. ``split`` takes the train or test rows only."""
+    pc = written(pair_counts(select_split(df, split, split_col), y, yhat), "pairs")
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if classes is None:
+        names = pc.select(F.explode(F.array("y", "yhat")).alias("c")).where("c is not null").distinct()
+    else:
+        names = classes.select(F.col(classes.columns[0]).alias("c")).distinct()
+    rows = names.select(F.col("c").alias("y"), F.pmod(F.xxhash64("c"), F.lit(buckets)).cast("int").alias("_b"))
+    cols = names.select(F.col("c").alias("yhat"), F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"))
+    grid = rows.join(cols, "_b").drop("_b")
+    out = grid.join(pc, ["y", "yhat"], "left").select("y", "yhat", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     if normalize:
-        w = Window.partitionBy("y")
-        tot = F.sum("n").over(w)
+        tot = F.sum("n").over(Window.partitionBy("y"))
         out = out.withColumn("share", F.when(tot > 0, F.col("n") / tot).otherwise(F.lit(0.0)))
     return out
 
@@ -96,7 +81,8 @@ def _prf(pcl: DataFrame) -> DataFrame:
     return x.withColumn("f1", f1)
 
 
-def classification_report(df: DataFrame, y: str, yhat: str, digits: int | None = None) -> DataFrame:
+def classification_report(df: DataFrame, y: str, yhat: str, digits: int | None = None, split: str | None = None,
+                          split_col: str = "is_test") -> DataFrame:
     """``(class, precision, recall, f1, support)``: one row per class (as a
     string), then ``accuracy`` (all three columns carry the accuracy, support =
     rows), ``macro avg`` and ``weighted avg``.
@@ -104,7 +90,7 @@ def classification_report(df: DataFrame, y: str, yhat: str, digits: int | None =
     One aggregate: ``rollup(class)`` over the per-class table yields the class
     rows and the grand total in the same pass (the average over a single class
     row is that row's own value)."""
-    x = _prf(per_class(df, y, yhat))
+    x = _prf(per_class(select_split(df, split, split_col), y, yhat))
     r = x.rollup("class").agg(
         F.grouping_id().alias("_gid"), F.sum("support").alias("n"), F.sum("tp").alias("tp"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
@@ -135,28 +121,39 @@ CLASSIFICATION_SCORES = ("accuracy", "f1", "f1_weighted", "f1_macro", "precision
 REGRESSION_SCORES = ("r2", "neg_mean_squared_error", "neg_mean_absolute_error")
 
 
-def classification_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+def positive_label(df: DataFrame, y: str):
+    """The larger of the two labels of a binary column (of one, that one); None
+    for more than two or none."""
+    labels = [r[0] for r in df.where(F.col(y).isNotNull()).select(y).distinct().limit(3).collect()]
+    return max(labels) if 1 <= len(labels) <= 2 else None
+
+
+def classification_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (), positive=None) -> DataFrame:
     """Per group of ``by``: accuracy, f1_weighted, f1_macro, precision_weighted,
-    recall_weighted, and f1 (binary F1 of the larger label; null unless the
-    labels are exactly two)."""
-    x = _prf(per_class(df, y, yhat, by))
+    recall_weighted, and f1: of the label ``positive`` (0 where a group lacks
+    it), or without one of the larger label, null unless the labels are
+    exactly two.  Rows without a label or a prediction are left out."""
+    x = _prf(per_class(df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull()), y, yhat, by))
     w = lambda c: F.sum(F.col(c) * F.col("support")) / F.sum("support")
     agg = x.groupBy(*by).agg(
         (F.sum("tp") / F.sum("support")).alias("accuracy"),
         w("f1").alias("f1_weighted"), F.avg("f1").alias("f1_macro"),
         w("precision").alias("precision_weighted"), w("recall").alias("recall_weighted"),
         F.count(F.lit(1)).alias("_k"),
-        F.max(F.struct(F.col("class"), F.col("f1")))["f1"].alias("_f1_pos"))
-    return agg.select(*by, "accuracy", F.when(F.col("_k") == 2, F.col("_f1_pos")).alias("f1"),
+        F.max(F.struct(F.col("class"), F.col("f1")))["f1"].alias("_f1_pos"),
+        F.max(F.when(F.col("class") == F.lit(positive), F.col("f1"))).alias("_f1_named"))
+    f1 = F.when(F.col("_k") == 2, F.col("_f1_pos")) if positive is None else F.coalesce("_f1_named", F.lit(0.0))
+    return agg.select(*by, "accuracy", f1.alias("f1"),
                       "f1_weighted", "f1_macro", "precision_weighted", "recall_weighted")
 
 
 def regression_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
     """Per group of ``by``: r2, mse, mae, neg_mean_squared_error,
-    neg_mean_absolute_error, n."""
+    neg_mean_absolute_error, n, dropped.  Rows without a target or a prediction
+    take no part in any of them and are counted in ``dropped``."""
     e = F.col(yhat) - F.col(y)
-    a = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"),
-                            F.sum(F.abs(e)).alias("sae"), F.var_pop(y).alias("vy"))
+    a = df.groupBy(*by).agg(F.count(e).alias("n"), F.count_if(e.isNull()).alias("dropped"), F.sum(e * e).alias("sse"),
+                            F.sum(F.abs(e)).alias("sae"), F.var_pop(F.when(e.isNotNull(), F.col(y))).alias("vy"))
     sst = F.col("vy") * F.col("n")
     r2 = (F.when(sst > 0, 1 - F.col("sse") / sst)
            .when(F.col("sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
@@ -164,34 +161,27 @@ def regression_scores(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ())
                     (F.col("sae") / F.col("n")).alias("mae"),
                     (-F.col("sse") / F.col("n")).alias("neg_mean_squared_error"),
                     (-F.col("sae") / F.col("n")).alias("neg_mean_absolute_error"),
-                    F.col("n").cast("long").alias("n"))
+                    F.col("n").cast("long").alias("n"), F.col("dropped").cast("long").alias("dropped"))
 
 
-def score_by(df: DataFrame, y: str, yhat: str, scoring: str, by: Sequence[str]) -> DataFrame:
-    """``(*by, score)`` for a scoring name of the reference's menus."""
+def score_by(df: DataFrame, y: str, yhat: str, scoring: str, by: Sequence[str], positive=None) -> DataFrame:
+    """``(*by, score)`` for a scoring name of the reference's menus.  ``positive``:
+    the positive label for ``f1``, so that a fold with one class scores too."""
     if scoring in REGRESSION_SCORES:
         return regression_scores(df, y, yhat, by).select(*by, F.col(scoring).alias("score"))
     if scoring not in CLASSIFICATION_SCORES:
         raise ValueError(f"unknown scoring {scoring!r}")
-    s = classification_scores(df, y, yhat, by)
+    s = classification_scores(df, y, yhat, by, positive)
     if scoring == "f1":
         s = s.withColumn("f1", F.when(F.col("f1").isNotNull(), F.col("f1")).otherwise(
             F.raise_error(F.lit("scoring 'f1' needs a binary target; use f1_weighted"))))
     return s.select(*by, F.col(scoring).alias("score"))
 
 
-def score(df: DataFrame, y: str, yhat: str, scoring: str) -> DataFrame:
-    """Single value ``score`` for a scoring name of the reference's menus."""
-    if scoring in REGRESSION_SCORES:
-        return regression_scores(df, y, yhat).select(F.col(scoring).alias("score"))
-    if scoring in CLASSIFICATION_SCORES:
-        s = classification_scores(df, y, yhat)
-        if scoring == "f1":
-            # binary only; a multi-class target gets a clear error, not a silent weighted F1
-            s = s.withColumn("f1", F.when(F.col("f1").isNotNull(), F.col("f1")).otherwise(
-                F.raise_error(F.lit("scoring 'f1' needs a binary target; use f1_weighted"))))
-        return s.select(F.col(scoring).alias("score"))
-    raise ValueError(f"unknown scoring {scoring!r}")
+def score(df: DataFrame, y: str, yhat: str, scoring: str, positive=None) -> DataFrame:
+    """Single value ``score`` for a scoring name of the reference's menus (``f1``
+    is binary only: a multi-class target gets a clear error)."""
+    return score_by(df, y, yhat, scoring, (), positive)
 
 
 def _long(df: DataFrame, id_cols: Sequence[str], metrics: Sequence[str]) -> DataFrame:

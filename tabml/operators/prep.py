@@ -35,6 +35,8 @@ from pyspark.sql import types as T
 from tabml.functions.rank import exact_quantiles_multi
 
 MAX_CATEGORIES = 10_000
+ENCODERS = ("ohe", "ordinal")
+SCALERS = ("standard", "minmax", "robust")
 
 
 # --------------------------------------------------------------------------- imputers
@@ -183,14 +185,9 @@ class Preprocess:
     def __init__(self, numeric: list[str] | None = None, categorical: list[str] | None = None,
                  cat_encoder: str = "ohe", scaler: str | None = None, pca: int | None = None,
                  max_categories: int = MAX_CATEGORIES):
-        enc = (cat_encoder or "ohe").lower().strip()
-        if enc in ("ohe", "onehot", "one_hot"):
-            enc = "ohe"
-        elif enc in ("ordinal", "ord", "ord_label"):
-            enc = "ordinal"
-        else:
-            raise ValueError("cat_encoder must be 'ohe' or 'ordinal'")
-        self.numeric, self.categorical, self.cat_encoder = numeric, categorical, enc
+        if cat_encoder not in ENCODERS:
+            raise ValueError(f"cat_encoder {cat_encoder!r} is unknown: {' or '.join(ENCODERS)}")
+        self.numeric, self.categorical, self.cat_encoder = numeric, categorical, cat_encoder
         self.scaler = normalize_scaler(scaler)
         self.pca, self.max_categories = pca, max_categories
 
@@ -231,7 +228,7 @@ class Preprocess:
         if self.pca:
             width = len(m.matrix_names())
             if width < 2:
-                raise ValueError("PCA needs at least 2 features")
+                return m  # one encoded feature has nothing to project: PCA is off
             if self.pca > width:
                 raise ValueError(f"pca n_components={self.pca} exceeds the feature count {width}")
             scaled = df.select(*[e.alias(f"_s{i}") for i, e in enumerate(m.feature_exprs())])
@@ -241,16 +238,10 @@ class Preprocess:
 
 
 def normalize_scaler(s: str | None) -> str | None:
-    if s is None:
-        return None
-    s = s.lower().strip()
-    if s in ("none", "passthrough", ""):
-        return None
-    for name, aliases in (("standard", ("standard", "std")), ("minmax", ("minmax", "min_max")),
-                          ("robust", ("robust", "rbst"))):
-        if s in aliases:
-            return name
-    raise ValueError("scaler must be 'standard', 'minmax', 'robust' or None")
+    """The scaler's name, None for no scaling."""
+    if s is None or s in SCALERS:
+        return s
+    raise ValueError(f"scaler {s!r} is unknown: None, {' or '.join(SCALERS)}")
 
 
 def fit_scaler(df: DataFrame, cols: list[str], kind: str) -> tuple[list[float], list[float]]:

@@ -37,11 +37,6 @@ def fit_label_map(df: DataFrame, targets: str | Sequence[str]) -> dict:
     return out
 
 
-def label_map_df(spark, label_map: dict) -> DataFrame:
-    rows = [(t, lab, i) for t, labs in label_map.items() for i, lab in enumerate(labs)]
-    return spark.createDataFrame(rows, "target string, label string, index int")
-
-
 def encode_labels(df: DataFrame, label_map: dict, suffix: str = "") -> DataFrame:
     """Replace (or add ``<target><suffix>``) the encoded index; unknown labels
     raise at run time."""

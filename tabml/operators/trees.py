@@ -180,9 +180,13 @@ class TreeModel:
         # the class list, the split sample and the binning all read the input: persist it once
         base = df.select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # one pass: row count and (for classifiers) the bounded class list
-            counts = base.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-            return self._fit(spread(base, rows=sum(r["count"] for r in counts)), label, features, counts)
+            # one pass: the row count, for classifiers per class
+            if self.task == "classification":
+                counts = base.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+                rows = sum(r["count"] for r in counts)
+            else:
+                counts, rows = [], base.count()
+            return self._fit(spread(base, rows=rows), label, features, counts)
         finally:
             base.unpersist()
 

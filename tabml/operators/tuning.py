@@ -21,10 +21,13 @@ from __future__ import annotations
 import itertools
 import json
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabml.operators import knn, metrics
 from tabml.operators.prep import Preprocess, fit_scaler, normalize_scaler
@@ -183,25 +186,28 @@ def _candidates(ks, weights):
                                for k in ks for w in weights])).alias("_c")
 
 
-def knn_grid_search(df: DataFrame, key: str, features: str, label: str, task: str = "classification",
-                    folds: int = 5, seed: int = 42, grid: dict | None = None, scoring: str | None = None,
-                    stratify: bool | None = None, block_rows: int = 4096) -> DataFrame:
-    """One row per candidate: ``(scaler, p, n_neighbors, weights, algorithm, params,
-    split0..split{k-1}, mean_test_score, std_test_score, rank_test_score)``."""
-    g = {**KNN_GRID, **(grid or {})}
-    scoring = scoring or ("f1_weighted" if task == "classification" else "r2")
-    strat = label if (task == "classification" and stratify is not False) else None
-    f = kfold(df.select(key, features, label), [key], folds, seed, stratify=strat).cache()
-    ks, ws = sorted(set(g["n_neighbors"])), list(dict.fromkeys(g["weights"]))
-    kinds = list(dict.fromkeys(normalize_scaler(sc) for sc in g["scaler"]))
-    pcas = list(dict.fromkeys(g.get("pca", [None]) or [None]))
-    combos = [(kind, pc) for kind in kinds for pc in pcas]
+def _raw_sides(f: DataFrame, key: str, raw: list, labels: list, combos: list, folds: int, cat_encoder: str):
+    """(validation, training) rows of raw columns: one preprocessing per fold and
+    (scaler, pca), fitted on the other folds."""
+    qs, ts = [], []
+    for ci, (kind, pc) in enumerate(combos):
+        for g in range(folds):
+            rest = F.col("fold") != g
+            pm = Preprocess(cat_encoder=cat_encoder, scaler=kind, pca=pc).fit(f.where(rest), raw)
+            x = pm.transform(f, keep=[key, "fold", *labels]).select(
+                key, "fold", *labels, F.lit(ci * folds + g).alias("_g"), F.col("features").alias("_xs"))
+            qs.append(x.where(~rest).drop("fold"))
+            ts.append(x.where(rest).drop("fold"))
+    return reduce(DataFrame.unionByName, qs), reduce(DataFrame.unionByName, ts)
+
+
+def _array_sides(f: DataFrame, key: str, features: str, labels: list, combos: list, folds: int):
+    """(validation, training) rows of an array column, scaled and projected by
+    statistics of the other folds that come from one pass over all."""
     dim = len(f.select(features).first()[0])
-    moments = _fold_moments(f, features, folds) if any(pc for pc in pcas) else None
-    # every (scaler, pca, fold) triple is one group of a single blocked join per p:
-    # group id = combo index * folds + fold
+    moments = _fold_moments(f, features, folds) if any(pc for _, pc in combos) else None
     qs, ts = [], []
-    stats_by_kind = {kind: (_fold_stats(f, features, folds, kind) if kind else None) for kind in kinds}
+    stats_by_kind = {kind: (_fold_stats(f, features, folds, kind) if kind else None) for kind, _ in combos}
     for ci, (kind, pc) in enumerate(combos):
         stats = stats_by_kind[kind]
         if pc:
@@ -214,41 +220,80 @@ def knn_grid_search(df: DataFrame, key: str, features: str, label: str, task: st
         else:
             def feat(gcol, stats=stats):
                 return _scaled(F.col(features), gcol, stats)
-        qs.append(f.select(key, label, (F.col("fold") + ci * folds).alias("_g"), feat(F.col("fold")).alias("_xs")))
-        ts.append(f.select(key, label, "fold", features,
+        qs.append(f.select(key, *labels, (F.col("fold") + ci * folds).alias("_g"), feat(F.col("fold")).alias("_xs")))
+        ts.append(f.select(key, *labels, "fold", features,
                            F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("_f"))
                   .where(F.col("_f") != F.col("fold"))
-                  .select(key, label, (F.col("_f") + ci * folds).alias("_g"), feat(F.col("_f")).alias("_xs")))
-    q, t = qs[0], ts[0]
-    for i in range(1, len(combos)):
-        q, t = q.unionByName(qs[i]), t.unionByName(ts[i])
+                  .select(key, *labels, (F.col("_f") + ci * folds).alias("_g"), feat(F.col("_f")).alias("_xs")))
+    return reduce(DataFrame.unionByName, qs), reduce(DataFrame.unionByName, ts)
+
+
+def knn_grid_search(df: DataFrame, key: str, features: str | list[str], label: str | list[str],
+                    task: str = "classification", folds: int = 5, seed: int = 42, grid: dict | None = None,
+                    scoring: str | None = None, stratify: bool | None = None, block_rows: int = 4096,
+                    cat_encoder: str = "ohe") -> DataFrame:
+    """One row per candidate: ``(scaler, p, n_neighbors, weights, algorithm, params,
+    split0..split{k-1}, mean_test_score, std_test_score, rank_test_score)``.
+
+    ``features`` is an array column, or a list of raw columns; raw columns are
+    imputed, encoded, scaled and projected by statistics of the other folds'
+    rows, so validation rows never leak.  With several labels every one is
+    voted for from the same neighbour list, a candidate's score on a fold is
+    the mean over the labels, and the folds aren't stratified."""
+    g = {**KNN_GRID, **(grid or {})}
+    labels = [label] if isinstance(label, str) else list(label)
+    scoring = scoring or ("f1_weighted" if task == "classification" else "r2")
+    strat = labels[0] if (task == "classification" and stratify is not False and len(labels) == 1) else None
+    raw = [] if isinstance(features, str) else list(features)
+    f = kfold(df.select(key, *(raw or [features]), *labels), [key], folds, seed, stratify=strat).cache()
+    positive = {t: metrics.positive_label(f, t) if scoring == "f1" else None for t in labels}
+    ks, ws = sorted(set(g["n_neighbors"])), list(dict.fromkeys(g["weights"]))
+    kinds = list(dict.fromkeys(normalize_scaler(sc) for sc in g["scaler"]))
+    pcas = list(dict.fromkeys(g.get("pca", [None]) or [None]))
+    combos = [(kind, pc) for kind in kinds for pc in pcas]
+    # every (scaler, pca, fold) triple is one group of a single blocked join per p:
+    # group id = combo index * folds + fold
+    if raw:
+        q, t = _raw_sides(f, key, raw, labels, combos, folds, cat_encoder)
+    else:
+        q, t = _array_sides(f, key, features, labels, combos, folds)
+    # one label column travels with the neighbours: several are packed as JSON
+    packed = F.col(labels[0]) if len(labels) == 1 else F.to_json(F.struct(*labels))
+    t = t.withColumn("_packed", packed)
+    as_struct = T.StructType([f.schema[x] for x in labels])
     combo_idx = (F.col("_g") / folds).cast("int") + 1
     names = F.element_at(F.array(*[F.lit(kind or "none") for kind, _ in combos]), combo_idx)
     pca_col = F.element_at(F.array(*[F.lit(pc).cast("int") for _, pc in combos]), combo_idx)
     parts = []
     for p in g["p"]:
-        nb = knn.neighbors(t, q, key, "_xs", label, k=max(ks), p=p, block_rows=block_rows, group="_g")
+        nb = knn.neighbors(t, q, key, "_xs", "_packed", k=max(ks), p=p, block_rows=block_rows, group="_g")
         c = nb.select("*", _candidates(ks, ws)).where(F.col("nn_rank") <= F.col("_c.k"))
         zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("_c", "_g", key))
         w = (F.when(F.col("_c.weights") == "uniform", F.lit(1.0))
               .when(zero == 1, (F.col("dist") == 0).cast("double"))
               .otherwise(1.0 / F.col("dist")))
         c = c.withColumn("_w", w)
-        if task == "classification":
-            votes = c.groupBy("_c", "_g", key, "nn_label").agg(F.sum("_w").alias("_s"))
-            best = F.min(F.struct((-F.col("_s")).alias("a"), F.col("nn_label").alias("b")))["b"]
-            pred = votes.groupBy("_c", "_g", key).agg(best.alias("prediction"))
-        else:
-            pred = c.groupBy("_c", "_g", key).agg(
-                (F.sum(F.col("_w") * F.col("nn_label")) / F.sum("_w")).alias("prediction"))
-        scored = pred.join(q.select(key, "_g", label), ["_g", key])
-        s = metrics.score_by(scored, label, "prediction", scoring, ["_c", "_g"])
-        parts.append(s.select(names.alias("scaler"), pca_col.alias("pca"), F.lit(float(p)).alias("p"),
-                              F.col("_c.k").alias("n_neighbors"), F.col("_c.weights").alias("weights"),
-                              (F.col("_g") % folds).alias("fold"), "score"))
+        if len(labels) > 1:
+            c = c.withColumn("_labels", F.from_json("nn_label", as_struct))
+        for name in labels:
+            own = c.withColumn("nn_label", F.col("_labels")[name]) if len(labels) > 1 else c
+            if task == "classification":
+                votes = own.groupBy("_c", "_g", key, "nn_label").agg(F.sum("_w").alias("_s"))
+                best = F.min(F.struct((-F.col("_s")).alias("a"), F.col("nn_label").alias("b")))["b"]
+                pred = votes.groupBy("_c", "_g", key).agg(best.alias("prediction"))
+            else:
+                pred = own.groupBy("_c", "_g", key).agg(
+                    (F.sum(F.col("_w") * F.col("nn_label")) / F.sum("_w")).alias("prediction"))
+            scored = pred.join(q.select(key, "_g", name), ["_g", key])
+            s = metrics.score_by(scored, name, "prediction", scoring, ["_c", "_g"], positive[name])
+            parts.append(s.select(names.alias("scaler"), pca_col.alias("pca"), F.lit(float(p)).alias("p"),
+                                  F.col("_c.k").alias("n_neighbors"), F.col("_c.weights").alias("weights"),
+                                  (F.col("_g") % folds).alias("fold"), "score"))
     allp = parts[0]
     for x in parts[1:]:
         allp = allp.unionByName(x)
+    if len(labels) > 1:
+        allp = allp.groupBy("scaler", "pca", "p", "n_neighbors", "weights", "fold").agg(F.avg("score").alias("score"))
     # the algorithm is a physical hint: every algorithm scores the same
     algos = F.explode(F.array(*[F.lit(a) for a in g["algorithm"]])).alias("algorithm")
     params = ["scaler", "p", "n_neighbors", "weights", "algorithm"] + (["pca"] if any(pcas) else [])
@@ -272,11 +317,6 @@ def report(fold_scores: DataFrame, params: list[str], folds: int) -> DataFrame:
     return agg.withColumn("rank_test_score", F.rank().over(w))
 
 
-def top(report_df: DataFrame, params: list[str], n: int = 5) -> DataFrame:
-    """The ``n`` best candidates (the reference keeps the top 5)."""
-    return report_df.orderBy("rank_test_score", *params).limit(n)
-
-
 def grid_order(grid: dict) -> list[str]:
     """Parameter names in the library's candidate order: its grid keys are
     ``classifier__<name>``, ``pca__n_components`` and ``scaler``, iterated in
@@ -317,7 +357,7 @@ def grid_candidates(grid: dict | None) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 
-def fold_grid_search(df: DataFrame, key: str, features: list[str], label: str, make_model, grid: dict | None,
+def fold_grid_search(df: DataFrame, key: str, features: list[str], label: str | list[str], make_model, grid: dict | None,
                      task: str = "classification", folds: int = 5, seed: int = 42, scoring: str | None = None,
                      prep_params: dict | None = None, stratify: bool | None = None,
                      parallelism: int = 4) -> DataFrame:
@@ -325,11 +365,16 @@ def fold_grid_search(df: DataFrame, key: str, features: list[str], label: str, m
     over an array ``features`` column; ``make_model(**params)`` builds one.
 
     Preprocessing (imputers, encoders and the ``scaler``/``pca`` of the
-    candidate) is fitted on each fold's training part.  A candidate whose fit
-    fails scores null and ranks last (the library's ``error_score=nan``)."""
+    candidate) is fitted on each fold's training part.  With several labels a
+    candidate's score on a fold is the mean over one model per label, and the
+    folds aren't stratified.  A candidate whose parameters the model rejects
+    scores null and ranks last (the library's ``error_score=nan``), with the
+    message in ``error``; any other failure stops the search."""
     scoring = scoring or ("f1_weighted" if task == "classification" else "r2")
-    strat = label if (task == "classification" and stratify is not False) else None
-    f = kfold(df.select(key, label, *features), [key], folds, seed, stratify=strat).cache()
+    labels = [label] if isinstance(label, str) else list(label)
+    strat = labels[0] if (task == "classification" and stratify is not False and len(labels) == 1) else None
+    f = kfold(df.select(key, *labels, *features), [key], folds, seed, stratify=strat).cache()
+    positive = {t: metrics.positive_label(f, t) if scoring == "f1" else None for t in labels}
     cands = grid_candidates(grid)
     groups: dict = {}
     for i, c in enumerate(cands):
@@ -341,19 +386,21 @@ def fold_grid_search(df: DataFrame, key: str, features: list[str], label: str, m
         for pk, idxs in groups.items():
             pp = {**(prep_params or {}), **json.loads(pk)}
             pm = Preprocess(**pp).fit(tr_raw, features)
-            tr = pm.transform(tr_raw, keep=[key, label]).cache()
-            va = pm.transform(va_raw, keep=[key, label]).cache()
+            tr = pm.transform(tr_raw, keep=[key, *labels]).cache()
+            va = pm.transform(va_raw, keep=[key, *labels]).cache()
 
             def run(i, tr=tr, va=va, g=g):
                 params = cands[i]
                 model_params = {k: v for k, v in params.items() if k not in PREP_KEYS}
+                sc, error = [], None
                 try:
-                    m = make_model(**model_params).fit(tr, label)
-                    sc = metrics.score(m.predict(va), label, "prediction", scoring).first()["score"]
-                    sc = None if sc is None else float(sc)
-                except Exception:  # noqa: BLE001 - recorded as a failed candidate
-                    sc = None
-                return (i, json.dumps(params, sort_keys=True, default=str), g, sc)
+                    for name in labels:
+                        m = make_model(**model_params).fit(tr, name)
+                        sc.append(metrics.score(m.predict(va), name, "prediction", scoring, positive[name]).first()["score"])
+                except (ValueError, IllegalArgumentException) as e:  # what models raise for their parameters
+                    error = str(e)
+                mean = None if error or None in sc else float(sum(sc)) / len(sc)
+                return (i, json.dumps(params, sort_keys=True, default=str), g, mean, error)
 
             with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
                 rows += list(ex.map(run, idxs))
@@ -361,5 +408,6 @@ def fold_grid_search(df: DataFrame, key: str, features: list[str], label: str, m
             va.unpersist()
     f.unpersist()
     spark = df.sparkSession
-    scores = spark.createDataFrame(rows, "cand int, params string, fold int, score double")
-    return report(scores, ["cand", "params"], folds)
+    scores = spark.createDataFrame(rows, "cand int, params string, fold int, score double, error string")
+    errors = scores.groupBy("cand").agg(F.max("error").alias("error"))
+    return report(scores.drop("error"), ["cand", "params"], folds).join(errors, "cand")

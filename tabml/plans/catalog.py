@@ -205,11 +205,15 @@ def q_scores_classification(spark, sf):
 _tr AS (SELECT * FROM s WHERE NOT is_test), _te AS (SELECT * FROM s WHERE is_test)
 SELECT 'y' AS target, split, metric, round(value, 6) AS value FROM (
   SELECT 'test' AS split, 'accuracy' AS metric, avg(CASE WHEN y = yhat THEN 1.0 ELSE 0.0 END) AS value FROM _te
-  UNION ALL SELECT 'train', 'accuracy', avg(CASE WHEN y = yhat THEN 1.0 ELSE 0.0 END) FROM _tr)""")
+  UNION ALL SELECT 'train', 'accuracy', avg(CASE WHEN y = yhat THEN 1.0 ELSE 0.0 END) FROM _tr
+  UNION ALL SELECT split, 'f1_weighted', sum(n * CASE WHEN tp > 0 THEN 2.0 * tp / (n + m) ELSE 0.0 END) / sum(n) FROM (
+    SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, c, count(*) FILTER (y = c) AS n, count(*) FILTER (yhat = c) AS m,
+           count(*) FILTER (y = c AND yhat = c) AS tp
+    FROM s, (SELECT y AS c FROM s UNION SELECT yhat FROM s) GROUP BY ALL) GROUP BY split)""")
 def q_eval_classifier(spark, sf):
     s = split.train_test_split(_p8(spark, sf), ["o_orderkey"], 0.2, 42)
     ev = metrics.eval_classifier(s, "y", "yhat", split_col="is_test")
-    return ev.where(F.col("metric") == "accuracy").select("target", "split", "metric", r6("value"))
+    return ev.select("target", "split", "metric", r6("value"))
 
 
 _REG_SQL = """round(CASE WHEN var_pop(y) * count(*) > 0 THEN 1 - sum((yhat - y) * (yhat - y)) / (var_pop(y) * count(*))
@@ -637,6 +641,88 @@ def q_cv_knn(spark, sf):
                       r6("std_test_score"), "rank_test_score")
 
 
+_P3_NULLS = """SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_size END AS p_size, p_retailprice,
+       CASE WHEN p_size <= 25 THEN 'small' ELSE 'large' END AS y1, CASE WHEN p_retailprice < 950 THEN 0 ELSE 1 END AS y2
+FROM part"""
+
+
+@query("cv_multi_target", f"""WITH p AS ({_P3_NULLS}), {sq.split_random('SELECT * FROM p', 'p_partkey')},
+_tr AS (SELECT * EXCLUDE (is_test) FROM s WHERE NOT is_test),
+{sq.kfold('SELECT * FROM _tr', 'p_partkey')},
+_fill AS (SELECT gg.i AS g, median(p_size) AS ps, median(p_retailprice) AS pr FROM f, range(5) gg(i) WHERE f.fold <> gg.i GROUP BY 1),
+_x AS (SELECT f.p_partkey, f.fold, g, [CAST(coalesce(p_size, ps) AS DOUBLE), CAST(coalesce(p_retailprice, pr) AS DOUBLE)] AS x FROM f, _fill),
+_long AS (SELECT p_partkey, fold, g, unnest(range(1, 3)) AS j, unnest(x) AS v FROM _x),
+_st AS (SELECT g, j, avg(v) AS c, stddev_pop(v) AS sd FROM _long WHERE fold <> g GROUP BY 1, 2),
+_sx AS (SELECT p_partkey, any_value(fold) AS fold, l.g, list((v - c) / sd ORDER BY l.j) AS xs
+        FROM _long l JOIN _st USING (g, j) GROUP BY p_partkey, l.g),
+_d AS (SELECT a.g, a.p_partkey AS qk, b.p_partkey AS tk, {sq.dist_expr('a.xs', 'b.xs')} AS dist
+       FROM _sx a JOIN _sx b ON a.g = b.g AND a.fold = a.g AND b.fold <> b.g),
+_nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g, qk ORDER BY dist, tk) AS rk FROM _d) WHERE rk <= 7),
+_n AS (SELECT _nb.g, qk, tk, k, CASE WHEN weights = 'uniform' THEN 1.0 WHEN min(dist) OVER (PARTITION BY g, qk) = 0
+              THEN CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / dist END AS w, weights
+       FROM _nb JOIN (VALUES (3, 'uniform'), (7, 'uniform'), (3, 'distance'), (7, 'distance')) c(k, weights) ON rk <= k),
+_l AS (SELECT p_partkey, 'y1' AS t, y1 AS y FROM f UNION ALL SELECT p_partkey, 'y2', CAST(y2 AS VARCHAR) FROM f),
+_v AS (SELECT g, qk, k, weights, t, y, sum(w) AS sw FROM _n JOIN _l ON _l.p_partkey = tk GROUP BY ALL),
+_p AS (SELECT g, qk, k, weights, t, arg_min(y, (-sw, y)) AS pred FROM _v GROUP BY ALL),
+_s AS (SELECT g, k, weights, _p.t AS t, avg(CASE WHEN pred = y THEN 1.0 ELSE 0.0 END) AS a FROM _p JOIN _l ON _l.p_partkey = qk AND _l.t = _p.t
+       GROUP BY g, k, weights, _p.t),
+_f AS (SELECT g, k, weights, avg(a) AS score FROM _s GROUP BY ALL),
+_r AS (SELECT k, weights, avg(score) AS m, stddev_pop(score) AS sd FROM _f GROUP BY ALL)
+SELECT CAST(k AS INTEGER) AS n_neighbors, weights, round(m, 6) AS mean_test_score, round(sd, 6) AS std_test_score,
+       CAST(rank() OVER (ORDER BY round(m, 10) DESC) AS INTEGER) AS rank_test_score FROM _r""")
+def q_cv_multi_target(spark, sf):
+    """KNN grid search over two targets at once, through raw columns with nulls:
+    per-fold imputing and scaling, unstratified folds, mean over the targets."""
+    s = split.train_test_split(fx.fixture(spark, sf, _P3_NULLS, "part"), ["p_partkey"], 0.2, 42)
+    rep = tuning.knn_grid_search(s.where(~F.col("is_test")), "p_partkey", ["p_size", "p_retailprice"], ["y1", "y2"],
+                                 folds=5, seed=42, scoring="accuracy",
+                                 grid={"scaler": ["standard"], "n_neighbors": [3, 7], "weights": ["uniform", "distance"],
+                                       "p": [2], "algorithm": ["auto"]})
+    return rep.select("n_neighbors", "weights", r6("mean_test_score"), r6("std_test_score"), "rank_test_score")
+
+
+_SMALL = "SELECT vec_id, label, list_transform(embedding, lambda e: CAST(e AS DOUBLE) * 1e-9) AS x FROM embeddings"
+
+
+@query("knn_small_scale", f"""WITH {sq.split_random(_SMALL, 'vec_id')},
+{sq.knn_neighbours('s', 'vec_id', 'x', 'label', 5)}
+SELECT qk AS vec_id, CAST(rk AS INTEGER) AS nn_rank, tk AS nn_key, round(dist * 1e9, 6) AS dist_1e9 FROM nb""")
+def q_knn_small_scale(spark, sf):
+    """Nearest neighbours of embeddings shrunk to 1e-9: order and distances keep their digits."""
+    e = fx.table(spark, sf, "embeddings").select("vec_id", "label", F.transform(
+        F.col("embedding").cast("array<double>"), lambda v: v * F.lit(1e-9)).alias("x"))
+    s = split.train_test_split(e, ["vec_id"], 0.2, 42)
+    nb = knn.neighbors(s.where(~F.col("is_test")), s.where(F.col("is_test")), "vec_id", "x", "label", k=5)
+    return nb.select("vec_id", F.col("nn_rank").cast("int").alias("nn_rank"), "nn_key", F.round(F.col("dist") * 1e9, 6).alias("dist_1e9"))
+
+
+_P9_NULLS = f"""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE y END AS y,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE yhat END AS yhat FROM ({fx.P9}) _p"""
+
+
+@query("scores_nulls", f"""WITH a AS ({_P9_NULLS}), p AS (SELECT * FROM a WHERE y IS NOT NULL AND yhat IS NOT NULL)
+SELECT {_REG_SQL}, count(*) AS n, (SELECT count(*) FROM a) - count(*) AS dropped FROM p""")
+def q_scores_nulls(spark, sf):
+    """Regression scores where targets and predictions are missing: the same rows in every figure."""
+    s = metrics.regression_scores(fx.fixture(spark, sf, _P9_NULLS, "orders"), "y", "yhat")
+    return s.select(r6("r2"), r6("mse"), r6("mae"), "n", "dropped")
+
+
+_F1_FOLDS = """SELECT o_orderkey % 5 AS fold, CASE WHEN o_orderkey % 5 = 3 THEN 0 WHEN o_orderkey % 5 = 4 THEN 1
+            ELSE CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END END AS y,
+       CASE WHEN o_orderkey % 10 < 6 THEN CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END ELSE 0 END AS yhat FROM orders"""
+
+
+@query("scores_f1_binary", f"""WITH p AS ({_F1_FOLDS})
+SELECT fold, round(CASE WHEN count(*) FILTER (y = 1 AND yhat = 1) > 0
+  THEN 2.0 * count(*) FILTER (y = 1 AND yhat = 1) / (count(*) FILTER (y = 1) + count(*) FILTER (yhat = 1)) ELSE 0.0 END, 6) AS score
+FROM p GROUP BY fold""")
+def q_scores_f1_binary(spark, sf):
+    """Binary F1 per fold, two of the folds holding one class only."""
+    p = fx.fixture(spark, sf, _F1_FOLDS, "orders")
+    return metrics.score_by(p, "y", "yhat", "f1", ["fold"], metrics.positive_label(p, "y")).select("fold", r6("score"))
+
+
 # ----------------------------------------------------------------- preprocessing matrix and names (P1)
 
 _P1_FEATS = ["p_size", "p_retailprice", "p_type"]

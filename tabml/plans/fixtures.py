@@ -8,6 +8,8 @@ rows.  These only shape input rows; every operator does its own work on them.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -62,15 +64,13 @@ P9 = """SELECT o_orderkey, o_totalprice AS y,
        o_totalprice + CAST((o_orderkey * 13) % 2001 - 900 AS DOUBLE) AS yhat FROM orders"""
 
 
-def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    for n in names or TABLES:
-        spark.read.parquet(f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
-    register(spark, sf_dir, *tables)
+    """The rows of ``sql`` with the named tables read from ``sf_dir`` (nothing is
+    registered in the session, so several folders can be used at once)."""
+    for n in tables or TABLES:
+        sql = re.sub(rf"\b(FROM|JOIN)\s+{n}\b", rf"\1 parquet.`{sf_dir}/{n}.parquet`", sql)
     return spark.sql(sql)

@@ -56,11 +56,13 @@ f AS (SELECT _kr.* EXCLUDE (_h, _rn), CAST(_ke.fold AS INTEGER) AS fold FROM _kr
 
 
 def dist_expr(a: str, b: str, p: int = 2) -> str:
+    """A distance at 10 significant digits."""
     if p == 2:
-        inner = f"list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
-        return f"round(sqrt({inner}), 9)"
-    inner = f"list_sum(list_transform(list_zip({a}, {b}), lambda z: abs(z[1] - z[2])))"
-    return f"round({inner}, 9)"
+        d = f"sqrt(list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2]))))"
+    else:
+        d = f"list_sum(list_transform(list_zip({a}, {b}), lambda z: abs(z[1] - z[2])))"
+    unit = "pow(10::DOUBLE, 9 - floor(log10(d)))"
+    return f"list_transform([{d}], lambda d: CASE WHEN d > 0 THEN round(d * {unit}) / {unit} ELSE d END)[1]"
 
 
 def knn_neighbours(split_rel: str, key: str, x: str, y: str, k: int, p: int = 2) -> str:

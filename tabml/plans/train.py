@@ -151,9 +151,8 @@ def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_cla
                         .feature_names())
             grid["pca"] = [n for n in (2, 3, 5) if n <= width] or [None]
         if family == "knn":
-            pre = Preprocess(cat_encoder=params.get("cat_encoder", "ohe")).fit(tr, roles.features)
-            xtr = pre.transform(tr, keep=[key, *ts])
-            cv = tuning.knn_grid_search(xtr, key, "features", ts[0], task, folds, seed, grid, scoring)
+            cv = tuning.knn_grid_search(tr, key, roles.features, ts, task, folds, seed, grid, scoring,
+                                        cat_encoder=params.get("cat_encoder", "ohe"))
             names = ["scaler", "p", "n_neighbors", "weights", "algorithm"] + (["pca"] if "pca" in cv.columns else [])
             best = tuning.best_params(cv, names, {**tuning.KNN_GRID, **grid})
             params.update({k: best[k] for k in ("n_neighbors", "weights", "p", "algorithm")})
@@ -166,7 +165,7 @@ def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_cla
             def make(**cand):
                 mp = {**_model_params(family, task, params), **cand}
                 return _Single(family, task, key, mp)
-            cv = tuning.fold_grid_search(tr, key, roles.features, ts[0], make, grid, task, folds, seed, scoring,
+            cv = tuning.fold_grid_search(tr, key, roles.features, ts, make, grid, task, folds, seed, scoring,
                                          prep_params)
             best = cv.orderBy("rank_test_score", "cand").first()
             import json

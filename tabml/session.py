@@ -14,11 +14,15 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, partitions: int = 8, app: str = "tabml") -> SparkSession:
+    """``partitions`` is for a local ``master`` only: on a cluster the platform's
+    own number of shuffle partitions stays."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     spark = (
-        builder.config("spark.sql.shuffle.partitions", str(partitions))
+        builder
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -55,6 +59,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def written(df, name: str):
+    """``df`` written once as Parquet under the shared checkpoint folder and read
+    back: for a small intermediate result that is used more than once."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tabml-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def active_spark() -> SparkSession:
     """The running session, also from worker threads (where the thread-local
     active session is unset)."""

@@ -275,3 +275,42 @@ def test_knn_grid_search_with_pca_matches_a_manual_fold_loop(spark):
         pred = knn.vote(knn.neighbors(xtr, xva, "vec_id", "features", "label", 5), "vec_id", 5)
         scores.append(pred.join(va, "vec_id").agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0])
     assert abs(rep["mean_test_score"] - float(np.mean(scores))) < 1e-9 and rep["pca"] == 3
+
+
+def test_multi_target_search_does_not_depend_on_the_order_of_targets(spark):
+    from tabml.plans.train import train
+    rows = [(i, float(i % 37), None if i % 9 == 0 else "ab"[i % 2], "x" if i % 37 < 18 else "y", int(i % 2)) for i in range(240)]
+    df = spark.createDataFrame(rows, "k long, a double, c string, y1 string, y2 int")
+    grid = {"scaler": ["standard"], "n_neighbors": [3, 5], "weights": ["uniform"], "p": [2], "algorithm": ["auto"]}
+    scores = []
+    for targets in (["y1", "y2"], ["y2", "y1"]):
+        res = train(df, "k", targets, ["a", "c"], "knn_classifier", use_cv=True, grid=grid, folds=3)
+        scores.append(sorted((r.n_neighbors, round(r.mean_test_score, 9)) for r in res.cv_report.collect()))
+    assert scores[0] == scores[1]
+
+
+def test_repeated_scoring_keys_get_their_own_neighbours_in_both_plans(spark):
+    from tabml.operators import knn
+    tr = spark.createDataFrame([(i, [float(i)], "a" if i < 5 else "b") for i in range(10)], "k long, x array<double>, y string")
+    te = spark.createDataFrame([(1, [0.0]), (1, [9.0]), (1, [9.0]), (2, [4.0])], "k long, x array<double>")
+    plans = [sorted((r.k, r.x[0], r.pred_y) for r in knn.predict(tr, te, "k", "x", ["y"], "classification", k=1, broadcast_bytes=b).collect())
+             for b in (1 << 20, 0)]
+    assert plans[0] == plans[1] == [(1, 0.0, "a"), (1, 9.0, "b"), (1, 9.0, "b"), (2, 4.0, "a")]
+
+
+def test_regression_tree_counts_rows_not_labels(spark, monkeypatch):
+    from tabml.operators import trees
+    seen = []
+    monkeypatch.setattr(trees, "spread", lambda df, rows: seen.append(rows) or df)
+    df = spark.range(30000).selectExpr("cast(id as double) as y", "array(cast(id as double)) as features")
+    trees.TreeModel("tree", "regression", max_depth=2).fit(df, "y")
+    assert seen == [30000]
+
+
+def test_rejected_candidates_keep_their_message(spark):
+    from tabml.operators import trees, tuning
+    df = spark.range(60).selectExpr("id", "cast(id % 7 as double) as a", "cast(id as double) as y")
+    rep = tuning.fold_grid_search(df, "id", ["a"], "y", lambda **p: trees.TreeModel("tree", "regression", **p),
+                                  {"criterion": ["squared_error", "absolute_error"]}, "regression", folds=2)
+    errors = {("absolute_error" in r.params): r.error for r in rep.collect()}
+    assert errors[False] is None and "absolute_error" in errors[True]

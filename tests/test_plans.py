@@ -45,7 +45,9 @@ def test_bounded_knn_scoring_has_no_shuffle(spark):
 
 def test_metrics_scan_input_once(spark):
     p8 = fx.fixture(spark, SF, fx.P8, "orders")
-    assert _scans(_plan(metrics.confusion_matrix(p8, "y", "yhat"))) == 1
+    # the pair counts are one scan, written; the grid around them reads the input no more
+    assert _scans(_plan(metrics.pair_counts(p8, "y", "yhat"))) == 1
+    assert "orders.parquet" not in _plan(metrics.confusion_matrix(p8, "y", "yhat"))
     assert _scans(_plan(metrics.classification_report(p8, "y", "yhat"))) == 1
     assert _scans(_plan(metrics.regression_scores(fx.fixture(spark, SF, fx.P9, "orders"), "y", "yhat"))) == 1
 
