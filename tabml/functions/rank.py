@@ -29,19 +29,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _DIGITS = 3  # at most 3 hex digits added per refinement level (4096 sub-buckets)
-_MAX_GROUPS = 5000
+_HASH_DIGITS = 32  # of the hex hash: no prefix is longer
 _DRIVER_ROWS = 1_000_000  # bound on the bucket counts a refinement level returns
 
 
 class HashOrder:
     """Exact positions in the order of a hex hash column, per optional group.
 
-    One aggregate gives the group totals (at most ``_MAX_GROUPS`` rows).  Each
+    One aggregate gives the group totals (one row per class).  Each
     refinement level counts rows per (group, longer hash prefix) for the
     prefixes that hold a requested position only; the prefix grows by as many
     hex digits as keep ``requested prefixes x sub-buckets`` near
-    ``_DRIVER_ROWS``, so the driver never receives more than a bounded table
-    whatever the number of classes."""
+    ``_DRIVER_ROWS``.  Rows that share a key share a hash: a cutoff there is that
+    hash, and they all fall on its side."""
 
     def __init__(self, df: DataFrame, h_col: str, group_col: str | None = None,
                  leaf_rows: int = 2_000_000):
@@ -59,15 +59,10 @@ class HashOrder:
             lv: dict = defaultdict(list)
             for r in rows:
                 lv[r["_g"]].append((r["_p"], int(r["_n"])))
-            if len(lv) > _MAX_GROUPS:
-                raise ValueError(f"too many groups for an exact split: more than {_MAX_GROUPS}")
             self._level1 = {(g, ""): sorted(v) for g, v in lv.items()}
             self._totals = {g: sum(n for _, n in v) for g, v in lv.items()}
             return
-        rows = (self.df.groupBy(gcol.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-                .limit(_MAX_GROUPS + 1).collect())
-        if len(rows) > _MAX_GROUPS:
-            raise ValueError(f"too many groups for an exact split: more than {_MAX_GROUPS}")
+        rows = self.df.groupBy(gcol.alias("_g")).agg(F.count(F.lit(1)).alias("_n")).collect()
         self._totals = {r["_g"]: int(r["_n"]) for r in rows}
 
     def totals(self) -> dict:
@@ -99,7 +94,10 @@ class HashOrder:
                 acc = 0
                 for sub, n in buckets[(g, pre)]:
                     if acc + n >= r:
-                        (leaves if n <= self.leaf_rows else deeper).append((g, p, sub, r - acc))
+                        if len(sub) >= _HASH_DIGITS:
+                            out[(g, p)] = sub
+                        else:
+                            (leaves if n <= self.leaf_rows else deeper).append((g, p, sub, r - acc))
                         break
                     acc += n
             if leaves:
@@ -115,7 +113,7 @@ class HashOrder:
             by_len[len(pre)].append((g, pre))
         res: dict = defaultdict(list)
         for plen, items in by_len.items():
-            digits = max(1, min(_DIGITS, int(math.log(max(1.0, _DRIVER_ROWS / len(items)), 16))))
+            digits = max(1, min(_DIGITS, _HASH_DIGITS - plen, int(math.log(max(1.0, _DRIVER_ROWS / len(items)), 16))))
             keys = spark.createDataFrame([(str(g), pre) for g, pre in items], "_gs string, _pre string")
             rows = (
                 self.df.join(

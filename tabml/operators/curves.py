@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tabml.functions.rank import cumulative_sums
 from tabml.operators.roles import require_binary, select_split
+from tabml.session import written
 
 
 def score_counts(df: DataFrame, y: str, score: str, positive=None) -> tuple[DataFrame, object]:
@@ -97,6 +98,9 @@ def pr_auc(df: DataFrame, y: str, score: str, positive=None, split: str | None =
     return c.agg(F.sum(area).alias("auc"))
 
 
+_BROADCAST_GROUPS = 10_000
+
+
 def _bins(v, lo, hi, bins: int):
     return F.least(F.lit(bins - 1), F.floor((v - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int"))
 
@@ -106,7 +110,8 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: str | None = None)
     group spans [v - 0.5, v + 0.5]); the maximum falls in the last bin.
     ``(group, bin, lo, hi, n)`` with empty bins included.  Without ``by`` the
     two bounds are literals (no join); with ``by`` the per-group bounds are a
-    broadcast table with one row per group."""
+    table with one row per group, broadcast up to ``_BROADCAST_GROUPS`` groups
+    (counted) and joined beyond that."""
     x = df.where(F.col(value).isNotNull()).select(
         (F.col(by) if by else F.lit("all")).alias("group"), F.col(value).cast("double").alias("v"))
     width = (F.col("hi0") - F.col("lo0")) / F.lit(float(bins))
@@ -128,7 +133,10 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: str | None = None)
     rng = rng.select("group",
                      F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo0"),
                      F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi0"))
-    counts = (x.join(rng, "group")  # one row per group
+    rng = written(rng, "ranges")  # one row per group
+    if len(rng.select("group").limit(_BROADCAST_GROUPS + 1).collect()) <= _BROADCAST_GROUPS:
+        rng = F.broadcast(rng)  # the rows stay where they are, whatever their group
+    counts = (x.join(rng, "group")
                 .groupBy("group", _bins(F.col("v"), F.col("lo0"), F.col("hi0"), bins).alias("bin"))
                 .agg(F.count(F.lit(1)).alias("n")))
     grid = rng.select("group", "lo0", "hi0", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabml.functions.hashing import order_hash
 from tabml.functions.rank import HashOrder
@@ -58,16 +59,20 @@ def largest_remainder(counts: dict, n_draw: int) -> dict:
     return alloc
 
 
-def _group_lookup(values: dict, gcol: str | None, default) -> Column:
-    """Literal map group -> value (bounded by the number of classes)."""
-    if gcol is None:
-        return F.lit(values[0]) if 0 in values else F.lit(default)
-    items = []
-    for g, v in values.items():
-        items += [F.lit(g), F.lit(v)]
-    if not items:
-        return F.lit(default)
-    return F.coalesce(F.element_at(F.create_map(*items), F.col(gcol)), F.lit(default))
+#: groups up to which a lookup is a literal map in the plan
+_LITERAL_GROUPS = 64
+
+
+def _with_group_value(df: DataFrame, values: dict, gcol: str, name: str, kind: str) -> DataFrame:
+    """``df`` plus column ``name``: the group's value, null for groups without
+    one.  A literal map for few groups, else a join on the group (one row per
+    group; Spark broadcasts it while it is small)."""
+    if len(values) <= _LITERAL_GROUPS:
+        items = [F.lit(x) for g, v in values.items() for x in (g, v)]
+        return df.withColumn(name, F.element_at(F.create_map(*items), F.col(gcol)) if items else F.lit(None).cast(kind))
+    table = df.sparkSession.createDataFrame([(g, v) for g, v in values.items()],
+                                            T.StructType([T.StructField("_group", df.schema[gcol].dataType), T.StructField(name, T._parse_datatype_string(kind))]))
+    return df.join(table, F.col(gcol) == F.col("_group"), "left").drop("_group")
 
 
 def train_test_split(df: DataFrame, key_cols: Sequence[str], test_size=0.2, seed: int = 42,
@@ -90,8 +95,8 @@ def train_test_split(df: DataFrame, key_cols: Sequence[str], test_size=0.2, seed
     test_q = {g: totals[g] - train_q[g] for g in totals}
     cuts = order.cutoffs({g: [q] for g, q in test_q.items() if q > 0})
     cut_by_g = {g: cuts[(g, q)] for g, q in test_q.items() if q > 0}
-    cutoff = _group_lookup(cut_by_g, stratify, "")  # '' sorts before any hash -> no test rows
-    return base.withColumn(out_col, F.col(_H) <= cutoff).drop(_H)
+    cut = F.coalesce("_cut", F.lit(""))  # '' sorts before any hash -> no test rows
+    return _with_group_value(base, cut_by_g, stratify, "_cut", "string").withColumn(out_col, F.col(_H) <= cut).drop(_H, "_cut")
 
 
 def kfold_sizes(n: int, k: int) -> list[int]:
@@ -113,18 +118,6 @@ def stratified_fold_sizes(counts: dict, k: int) -> dict:
     return out
 
 
-def _fold_from_cutoffs(cuts: dict, gcol: str | None) -> Column:
-    """fold = number of cutoffs strictly below the row's hash."""
-    if gcol is None:
-        arr = F.array(*[F.lit(c) for c in cuts[0]]) if cuts[0] else F.array().cast("array<string>")
-    else:
-        items = []
-        for g, v in cuts.items():
-            items += [F.lit(g), F.array(*[F.lit(c) for c in v]) if v else F.array().cast("array<string>")]
-        arr = F.element_at(F.create_map(*items), F.col(gcol))
-    return F.size(F.filter(arr, lambda c: c < F.col(_H))).cast("int")
-
-
 def kfold(df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int = 42,
           stratify: str | None = None, out_col: str = "fold") -> DataFrame:
     """Input plus integer ``out_col`` in 0..k-1."""
@@ -157,4 +150,10 @@ def kfold(df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int = 42,
             acc += s
             lst.append(found[(g, acc)] if acc > 0 else "")
         cuts[g] = lst
-    return base.withColumn(out_col, _fold_from_cutoffs(cuts, stratify)).drop(_H)
+    if stratify is None:
+        base = base.withColumn("_cuts", F.array(*[F.lit(c) for c in cuts[0]]))
+    else:
+        base = _with_group_value(base, {g: F.array(*[F.lit(c) for c in v]) if len(cuts) <= _LITERAL_GROUPS else v for g, v in cuts.items()},
+                                 stratify, "_cuts", "array<string>")
+    fold = F.size(F.filter("_cuts", lambda c: c < F.col(_H))).cast("int")  # cutoffs strictly below the row's hash
+    return base.withColumn(out_col, fold).drop(_H, "_cuts")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabml.operators import knn, metrics, prep, roles, split, target
@@ -808,7 +808,7 @@ _PROFILE_COLS = [("c_custkey", True), ("c_name", False), ("c_nationkey", True),
     for c, num in _PROFILE_COLS) + ")")
 def q_profile(spark, sf):
     df = tio.read_table(spark, f"{sf}/customer.parquet")
-    return tio.profile(df).select("column", "n", "nulls", "distinct", r6("min"), r6("max"), r6("mean"), r6("std"))
+    return tio.profile(df, exact_distinct=True).select("column", "n", "nulls", "distinct", r6("min"), r6("max"), r6("mean"), r6("std"))
 
 
 _P8_TWO = f"""SELECT o_orderkey, y, yhat, CAST(yb AS STRING) AS yb, CASE WHEN score >= 0.5 THEN '1' ELSE '0' END AS ybhat
@@ -854,13 +854,13 @@ def _p1_split(spark, sf, stratify=True):
 def _tree_pred(spark, sf, kind, task):
     if task == "classification":
         _, x = _p1_split(spark, sf)
-        params = dict(max_depth=3) if kind == "tree" else dict(max_depth=5, n_estimators=20)
+        params = dict(max_depth=3) if kind == "tree" else dict(max_depth=5, n_estimators=100)
     else:
         p = fx.fixture(spark, sf, fx.P2, "part")
         s = split.train_test_split(p, ["p_partkey"], 0.2, 42)
         pm = prep.Preprocess(cat_encoder="ordinal").fit(s.where(~F.col("is_test")), _P1_FEATS)
         x = pm.transform(s, keep=["p_partkey", "is_test", "y"])
-        params = dict(max_depth=8) if kind == "tree" else dict(max_depth=8, n_estimators=20)
+        params = dict(max_depth=8) if kind == "tree" else dict(max_depth=8, n_estimators=100)
     m = trees.TreeModel(kind, task, **params).fit(x.where(~F.col("is_test")), "y")
     return m, m.predict(x.where(F.col("is_test"))).select("p_partkey", "y", "prediction")
 
@@ -901,6 +901,19 @@ def q_tree_nodes(spark, sf):
     return trees.tree_nodes(m.model, f"{checkpoint_dir(spark)}/nodes-{uuid.uuid4().hex}", tree_index=1, max_depth=3)
 
 
+@query("pca_two", """WITH m AS (SELECT avg(l_quantity) AS ma, stddev_pop(l_quantity) AS sa, avg(l_extendedprice) AS mb, stddev_pop(l_extendedprice) AS sb FROM lineitem),
+z AS (SELECT l_orderkey, l_linenumber, (l_quantity - ma) / sa AS a, (l_extendedprice - mb) / sb AS b FROM lineitem, m)
+SELECT l_orderkey, l_linenumber, round(abs(a + CASE WHEN r < 0 THEN -b ELSE b END) / sqrt(2), 5) AS pc0,
+       round(abs(a - CASE WHEN r < 0 THEN -b ELSE b END) / sqrt(2), 5) AS pc1
+FROM z, (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem)""")
+def q_pca_two(spark, sf):
+    """PCA of two standardised columns, whose components have a closed form (up to their sign)."""
+    li = fx.table(spark, sf, "lineitem")
+    pm = prep.Preprocess(scaler="standard", pca=2).fit(li, ["l_quantity", "l_extendedprice"])
+    x = pm.transform(li, keep=["l_orderkey", "l_linenumber"])
+    return x.select("l_orderkey", "l_linenumber", *[F.round(F.abs(F.col("features")[i]), 5).alias(f"pc{i}") for i in range(2)])
+
+
 @query("pca")
 def q_pca(spark, sf):
     li = fx.table(spark, sf, "lineitem")
@@ -1124,7 +1137,7 @@ def q_eval_multi_target(spark, sf):
   count(DISTINCT o_custkey) AS distinct_custkey FROM orders""")
 def q_load_profile(spark, sf):
     df = tio.read_table(spark, f"{sf}/orders.parquet")
-    pr = tio.profile(df, ["o_orderstatus", "o_custkey"])
+    pr = tio.profile(df, ["o_orderstatus", "o_custkey"], exact_distinct=True)
     return pr.agg(
         F.max("n").alias("n_rows"),
         F.max(F.when(F.col("column") == "o_orderstatus", F.col("nulls"))).alias("null_status"),
@@ -1132,9 +1145,9 @@ def q_load_profile(spark, sf):
         F.max(F.when(F.col("column") == "o_custkey", F.col("distinct"))).alias("distinct_custkey"))
 
 
-@query("list_models")
+@query("list_models", "SELECT * FROM (VALUES (1, '1-forest_classifier', 'forest_classifier'), (2, '0-tree_classifier', 'tree_classifier')) v(position, folder, model_name)")
 def q_list_models(spark, sf):
-    """Two bundles saved under one root, listed newest first."""
+    """Two bundles trained and saved under one root, listed newest first."""
     import uuid
     from tabml.session import checkpoint_dir
     from tabml.sources import store
@@ -1143,13 +1156,31 @@ def q_list_models(spark, sf):
     for i, model in enumerate(["tree_classifier", "forest_classifier"]):
         r = train_entry(p, "p_partkey", "y", _P1_FEATS, model, max_depth=3, n_estimators=5)
         store.save_model(r.bundle, f"{root}/{i}-{model}")
-    return store.list_models(spark, root)
+    newest = F.row_number().over(Window.orderBy(F.desc("saved_at")))  # a row per saved model
+    return store.list_models(spark, root).select(newest.alias("position"), F.element_at(F.split("path", "/"), -1).alias("folder"), "model_name")
 
 
-@query("report_sinks")
+@query("report_sinks", f"""SELECT 'evaluation' AS sink, split || ' ' || metric AS name, value FROM (WITH {_KNN_PIPE},
+{sq.scores_by('_p', "CASE WHEN is_test THEN 'test' ELSE 'train' END")}
+SELECT g AS split, 'accuracy' AS metric, round(accuracy, 6) AS value FROM _sc UNION ALL SELECT g, 'f1_weighted', round(f1_weighted, 6) FROM _sc)
+UNION ALL SELECT * FROM (SELECT 'cv_report', 'mean_test_score', mean_test_score FROM ({_CV_SQL}) ORDER BY mean_test_score DESC LIMIT 5)""")
 def q_report_sinks(spark, sf):
-    """CV report (top 5, CSV), evaluation (JSON, partitioned by model) and SVM
-    insight (JSON) written through Spark and read back."""
+    """An evaluation (JSON, partitioned by model) and a search's report (top 5,
+    CSV) written through the sinks and read back, row by row."""
+    import uuid
+    from tabml.session import checkpoint_dir
+    from tabml.sources import store
+    base = f"{checkpoint_dir(spark)}/reports-{uuid.uuid4().hex}"
+    store.write_evaluation(_train_knn(spark, sf).evaluation, f"{base}/evaluation", "json", "knn_classifier")
+    cv = spark.read.option("header", "true").csv(store.write_cv_report(q_cv_knn(spark, sf), base))
+    ev = spark.read.json(f"{base}/evaluation")
+    return ev.select(F.lit("evaluation").alias("sink"), F.concat_ws(" ", "split", "metric").alias("name"), r6("value")).unionAll(
+        cv.select(F.lit("cv_report"), F.lit("mean_test_score"), F.col("mean_test_score").cast("double")))
+
+
+@query("insight_sink")
+def q_insight_sink(spark, sf):
+    """The report sinks of a tree search, a tree's evaluation and an SVM insight, rows per sink."""
     import uuid
     from tabml.session import checkpoint_dir
     from tabml.sources import store

@@ -38,10 +38,11 @@ def describe_columns(df: DataFrame) -> DataFrame:
     return infer_roles(df)
 
 
-def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = True) -> DataFrame:
+def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = False) -> DataFrame:
     """``(column, n, nulls, distinct, min, max, mean, std)`` in one aggregate
     (numeric statistics are null for non-numeric columns; std is the sample
-    std).  ``exact_distinct=False`` uses HyperLogLog++ instead of exact counts."""
+    std).  Distinct values are HyperLogLog++ estimates; ``exact_distinct=True``
+    counts them, which copies and shuffles every row once per column."""
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(fields):

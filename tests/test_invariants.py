@@ -314,3 +314,35 @@ def test_rejected_candidates_keep_their_message(spark):
                                   {"criterion": ["squared_error", "absolute_error"]}, "regression", folds=2)
     errors = {("absolute_error" in r.params): r.error for r in rep.collect()}
     assert errors[False] is None and "absolute_error" in errors[True]
+
+
+def test_stratified_split_and_folds_with_many_classes(spark):
+    from tabml.operators import split
+    df = spark.range(60000).selectExpr("id", "concat('c', id % 20000) as y")
+    s = split.train_test_split(df, ["id"], 0.34, 1, stratify="y")
+    assert s.where("is_test").count() == 20400 and s.columns == ["id", "y", "is_test"]
+    per = s.groupBy("y").agg(F.sum(F.col("is_test").cast("int")).alias("n")).groupBy("n").count().collect()
+    assert {r.n for r in per} == {1, 2}
+    f = split.kfold(df, ["id"], 3, 1, stratify="y").groupBy("y").agg(F.countDistinct("fold").alias("k")).groupBy("k").count().collect()
+    assert [(r.k, r["count"]) for r in f] == [(3, 20000)]
+
+
+def test_refinement_ends_on_repeated_keys(spark):
+    from tabml.functions.rank import HashOrder
+    df = spark.createDataFrame([(k,) for k in [1, 2] * 30], "k long").selectExpr("md5(cast(k as string)) as h")
+    low, high = sorted(r.h for r in df.distinct().collect())
+    cuts = HashOrder(df, "h", leaf_rows=5).cutoffs({0: [10, 40]})
+    assert cuts == {(0, 10): low, (0, 40): high}
+
+
+def test_histogram_by_class_leaves_rows_in_place(spark):
+    from tabml.operators import curves
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).selectExpr("cast(id % 3 as string) as y", "cast(id as double) as s")
+        out = curves.histogram(df, "s", 10, by="y")
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.agg(F.sum("n")).first()[0] == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
