@@ -40,24 +40,6 @@ def components(edges: DataFrame) -> DataFrame:
         roots.select("node", F.col("node").alias("component")))
 
 
-def local_forest(u, v):
-    """A spanning forest of the edges of one task (union-find, lists of ints in,
-    list of (node, root) with root <= node out): as connected, never more rows
-    than nodes."""
-    up: dict = {}
-
-    def root(x):
-        while (p := up.setdefault(x, x)) != x:
-            up[x] = x = up[p]
-        return x
-
-    for a, b in zip(u, v):
-        a, b = root(a), root(b)
-        if a != b:
-            up[max(a, b)] = min(a, b)
-    return [(x, r) for x in list(up) if (r := root(x)) != x]
-
-
 def local_roots(a: np.ndarray, b: np.ndarray, node: np.ndarray) -> np.ndarray:
     """For positions linked in pairs (a, b): the smallest node of each
     position's component, by label rounds inside one task."""
@@ -70,3 +52,11 @@ def local_roots(a: np.ndarray, b: np.ndarray, node: np.ndarray) -> np.ndarray:
         if (new == root).all():
             return root
         root = new
+
+
+def local_star(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of positions that connect what the pairs (a, b) connect, one for each
+    position but the smallest of its component."""
+    at, number = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = local_roots(number[:len(a)], number[len(a):], at)
+    return at[root != at], root[root != at]

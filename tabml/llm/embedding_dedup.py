@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabml.llm.common import shared_table, shuffle_partitions, sorted_groups
-from tabml.llm.components import components, local_roots
+from tabml.llm.components import components, local_roots, local_star
 
 #: vectors of a cell that one task holds
 CHUNK = 4096
@@ -133,7 +133,7 @@ def _join(blocks: int, threshold: float, seed: int):
             for a, b in _pairs(space, block, vectors, probe, chunk, i != j, threshold):
                 np.add.at(links, a, n[b])
                 np.add.at(links, b, n[a])
-                pairs.append((a, b))
+                pairs.append(local_star(a, b))
             if pairs:
                 a, b = (np.concatenate(x) for x in zip(*pairs))
                 root = local_roots(a, b, node)

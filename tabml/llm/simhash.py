@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabml.llm.common import LOWER, only, shared_table, shuffle_partitions, signed, texts_of
-from tabml.llm.components import components, local_forest
+from tabml.llm.components import components, local_roots, local_star
 
 #: values that are compared at once inside one bucket
 _BLOCK = 2048
@@ -109,11 +109,13 @@ def _links(fp: np.ndarray, probe: np.ndarray, distance: int):
 def _verify(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
+
         def forest(fp, probe, node):
-            out = []
-            for i, j in _links(fp, probe, distance):
-                out += local_forest(node[i].tolist(), node[j].tolist())
-            return out
+            stars = [local_star(i, j) for i, j in _links(fp, probe, distance)]
+            if not stars:
+                return []
+            root = local_roots(*(np.concatenate(x) for x in zip(*stars)), node)
+            return list(zip(node[root != node].tolist(), root[root != node].tolist()))
 
         for b in batches:
             if not b.num_rows:
