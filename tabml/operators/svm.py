@@ -112,7 +112,7 @@ class Nystroem:
 
 class SVC:
     def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma="scale", degree: int = 3, coef0: float = 0.0,
-                 class_weight: str | None = None, tol: float = 1e-3, max_iter: int = 100,
+                 class_weight: str | None = None, tol: float = 1e-3, max_iter: int = 1000,
                  probability: bool = False, n_landmarks: int = 200, seed: int = 42, platt_cv: int | None = 5,
                  multiclass: str = "ovo"):
         if multiclass not in ("ovo", "ovr"):
@@ -146,15 +146,23 @@ class SVC:
                 raise ValueError("a kernel SVC needs key= (landmarks are chosen by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
                                  self.seed).fit(df, key, features)
-        data = spread(self._map(data, features), rows=n_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        # only what the machines read is kept in memory
+        data = spread(self._map(data, features).select("_label", "_vec"), rows=n_rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._fit_linear(data, classes)
+            self._note_convergence()
         finally:
             data.unpersist()
         if self.probability:
             self.platt_ = self._fit_platt(df, label, features, key)
         return self
 
+    def _note_convergence(self) -> None:
+        """``iterations_`` per machine and ``converged_``: none ran into ``max_iter``."""
+        models = self.model_ if isinstance(self.model_, list) else getattr(self.model_, "models", [self.model_])
+        self.iterations_ = [m.summary().totalIterations for m in models if m.hasSummary]
+        self.converged_ = bool(self.iterations_) and max(self.iterations_) < self.max_iter
+
     def _fit_linear(self, data: DataFrame, classes: list) -> None:
         wcol = None
         if self.class_weight == "balanced":
@@ -398,22 +406,46 @@ class SVR:
 
 
 def svm_insight(model: SVC, df: DataFrame, key: str, n_ids: int = 20) -> DataFrame:
-    """Per class (binary and linear-map machines): support-vector count
-    (training rows on or inside the margin, ``y * f(x) <= 1``), the first
-    ``n_ids`` support keys in key order, and the intercept and coefficient
-    count of the separating function."""
-    if len(model.classes_) != 2:
-        raise ValueError("svm_insight covers binary machines")
-    s = model.decision_function(df)
-    yy = F.when(F.col(model.label) == F.lit(model.classes_[1]), 1.0).otherwise(-1.0)
-    sv = s.where(yy * F.col("decision") <= 1.0 + 1e-9).select(F.col(model.label).alias("label"), key)
+    """Per class of a linear-map machine, binary or one-vs-one: support-vector
+    count (training rows on or inside a margin, ``y * f(x) <= 1``, of any machine
+    of their class), the first ``n_ids`` support keys in key order, the machines
+    of the class, their intercepts, and the coefficients of one.  ``intercept``
+    is the single machine's, null with several."""
+    if isinstance(model.model_, list):
+        machines = list(zip(model.pairs_, model.model_))
+    elif len(model.classes_) == 2:
+        machines = [((1, 0), model.model_)]  # a positive margin is the second class
+    else:
+        raise ValueError("svm_insight covers binary and one-vs-one machines")
+    mapped = model._map(df, model.features)
+    vec = vector_to_array("_vec")
+    inside = F.lit(False)
+    for (pos, neg), m in machines:
+        w = F.array(*[F.lit(float(v)) for v in m.coefficients.toArray()])
+        margin = F.aggregate(F.zip_with(vec, w, lambda a, b: a * b), F.lit(float(m.intercept)), lambda acc, v: acc + v)
+        for c, sign in ((pos, 1.0), (neg, -1.0)):
+            inside = inside | ((F.col(model.label) == F.lit(model.classes_[c])) & (sign * margin <= 1.0 + 1e-9))
+    sv = mapped.where(inside).select(F.col(model.label).alias("label"), key)
     counts = sv.groupBy("label").agg(F.count(F.lit(1)).alias("n_support"))
     # first ids: a per-class top-n (WindowGroupLimit), never a whole class in one list
     w = Window.partitionBy("label").orderBy(key)
     first = (sv.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n_ids)
                .groupBy("label").agg(F.array_sort(F.collect_list(key)).alias("first_support_ids")))
-    counts = counts.join(first, "label")
-    m = model.model_
-    return counts.select("label", "n_support", "first_support_ids",
-                         F.lit(float(m.intercept)).alias("intercept"),
-                         F.lit(int(m.numFeatures)).alias("n_coefficients"))
+    own = {c: [float(m.intercept) for pair, m in machines if c in pair] for c in range(len(model.classes_))}
+    info = F.create_map(*sum(([F.lit(model.classes_[c]), F.array(*[F.lit(x) for x in v])] for c, v in own.items()), []))
+    one = machines[0][1]
+    return counts.join(first, "label").select(
+        "label", "n_support", "first_support_ids",
+        F.lit(float(one.intercept) if len(machines) == 1 else None).cast("double").alias("intercept"),
+        F.lit(int(one.numFeatures)).alias("n_coefficients"), F.size(F.element_at(info, F.col("label"))).alias("n_machines"),
+        F.element_at(info, F.col("label")).alias("intercepts"))
+
+
+def decision_preview(model: SVC, df: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """The first ``n`` rows in key order: key, true label, prediction, decision
+    scores (one per class, or the binary margin and its negative) and their number."""
+    few = df.orderBy(key).limit(n)
+    scored = model._scores(model._map(few, model.features))
+    names = F.array(*[F.lit(c) for c in model.classes_])
+    return scored.select(key, F.col(model.label).alias("label"), F.element_at(names, F.col("_pred").cast("int") + 1).alias("prediction"),
+                         F.col("_score").alias("decision"), F.size("_score").alias("n_scores"))

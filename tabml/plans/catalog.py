@@ -1255,7 +1255,7 @@ def q_svc_ovo_lineitem(spark, sf):
     s = _lineitem_split(spark, sf)
     pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _LI_FEATS)
     x = pm.transform(s, keep=["l_orderkey", "l_linenumber", "l_returnflag", "is_test"])
-    m = svm_op.SVC(C=1.0, kernel="linear", max_iter=20).fit(x.where(~F.col("is_test")), "l_returnflag")
+    m = svm_op.SVC(C=1.0, kernel="linear").fit(x.where(~F.col("is_test")), "l_returnflag")
     return m.predict(x.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "l_returnflag", "prediction")
 
 
@@ -1266,7 +1266,7 @@ def q_svc_ovr_lineitem(spark, sf):
     s = _lineitem_split(spark, sf)
     pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _LI_FEATS)
     x = pm.transform(s, keep=["l_orderkey", "l_linenumber", "l_returnflag", "is_test"])
-    m = svm_op.SVC(C=1.0, kernel="linear", max_iter=20, multiclass="ovr").fit(x.where(~F.col("is_test")),
+    m = svm_op.SVC(C=1.0, kernel="linear", multiclass="ovr").fit(x.where(~F.col("is_test")),
                                                                              "l_returnflag")
     return m.predict(x.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "l_returnflag", "prediction")
 

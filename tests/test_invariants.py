@@ -346,3 +346,15 @@ def test_histogram_by_class_leaves_rows_in_place(spark):
         assert out.agg(F.sum("n")).first()[0] == 1000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_svm_insight_of_three_classes_and_decision_preview(spark):
+    rows = [(i, [float(i % 3) + (i % 7) * 0.2, float(i % 5) * 0.1], "abc"[i % 3]) for i in range(210)]  # neighbours overlap
+    df = spark.createDataFrame(rows, "id long, x array<double>, y string")
+    m = svm.SVC(kernel="linear").fit(df, "y", "x")
+    assert m.converged_ and len(m.iterations_) == 3 and max(m.iterations_) < 1000
+    info = {r.label: r for r in svm.svm_insight(m, df, "id", n_ids=5).collect()}
+    assert set(info) == {"a", "b", "c"} and all(r.n_machines == 2 and len(r.intercepts) == 2 for r in info.values())
+    assert all(5 < r.n_support <= 70 and r.first_support_ids == sorted(r.first_support_ids) for r in info.values())
+    pre = svm.decision_preview(m, df, "id", 4).collect()
+    assert [r.id for r in pre] == [0, 1, 2, 3] and all(r.prediction in "abc" and len(r.decision) == r.n_scores == 3 for r in pre)
