@@ -32,6 +32,7 @@ The neighbour list (``neighbors``) is the shared intermediate: one list of
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -306,9 +307,46 @@ def _in_task_predict(d: np.ndarray, c: np.ndarray, kk: int, weights: str, target
     return out
 
 
+@dataclass
+class Prepared:
+    """A training side as scoring uses it: its row count and, while it is small
+    enough, its matrix and targets as a broadcast (made once, ``release`` frees it)."""
+    n_train: int
+    matrix: object = None
+
+    def release(self) -> None:
+        if self.matrix is not None:
+            self.matrix.unpersist()
+
+
+def prepare(train: DataFrame, key: str, features: str, targets: list, task: str,
+            broadcast_bytes: int = 256 * 1024 * 1024) -> Prepared:
+    n_train = train.count()
+    if n_train == 0:
+        raise ValueError("empty train set")
+    dim = train.select(F.size(F.col(features))).first()[0] or 0
+    if n_train * (dim + 1 + len(targets)) * 8 > broadcast_bytes:
+        return Prepared(n_train)
+    rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), *targets)
+                 .orderBy("_tk").collect())  # bounded: checked above
+    x = np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    info = {}
+    for t in targets:
+        vals = [r[t] for r in rows]
+        if task == "classification":
+            classes = np.array(sorted(set(vals)), dtype=object)
+            pos = {v: i for i, v in enumerate(classes)}
+            info[t] = {"classes": classes, "codes": np.array([pos[v] for v in vals], dtype=np.int64)}
+        else:
+            info[t] = {"classes": None, "values": np.array(vals, dtype=np.float64)}
+    matrix = train.sparkSession.sparkContext.broadcast({"x": x, "x2": np.einsum("ij,ij->i", x, x), "info": info})
+    return Prepared(n_train, matrix)
+
+
 def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets: list, task: str,
             k: int = 5, p: float = 2, weights: str = "uniform", block_rows: int = 4096,
-            broadcast_bytes: int = 256 * 1024 * 1024, prefix: str = "pred_", proba: bool = False) -> DataFrame:
+            broadcast_bytes: int = 256 * 1024 * 1024, prefix: str = "pred_", proba: bool = False,
+            prepared: Prepared | None = None) -> DataFrame:
     """``test`` plus ``<prefix><target>`` for every target, and with ``proba``
     (classification) ``proba_<target>``: the vote shares over the target's
     sorted training classes.
@@ -316,14 +354,12 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
     Bounded training side (the size check of ``neighbors``): neighbours and
     votes are computed in the same task, all test columns pass through, and
     the plan is a single map over the scored table (no shuffle, no join).
-    Otherwise the blocked neighbour join, then the vote or mean per target."""
+    Otherwise the blocked neighbour join, then the vote or mean per target.
+    ``prepared`` reuses what ``prepare`` made of the same training side."""
     if weights not in ("uniform", "distance"):
         raise ValueError("weights must be 'uniform' or 'distance'")
-    n_train = train.count()
-    if n_train == 0:
-        raise ValueError("empty train set")
-    dim = train.select(F.size(F.col(features))).first()[0] or 0
-    if n_train * (dim + 1 + len(targets)) * 8 > broadcast_bytes:
+    prepared = prepared or prepare(train, key, features, targets, task, broadcast_bytes)
+    if prepared.matrix is None:
         if test.isStreaming:
             raise ValueError("the training side exceeds broadcast_bytes; score the stream per micro-batch "
                              "(streaming.score_stream)")
@@ -345,21 +381,8 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
                 arr = F.array(*[F.coalesce(F.element_at("_pm", F.lit(c)), F.lit(0.0)) for c in classes])
                 out = out.join(m.select("_point", arr.alias(f"proba_{t}")), "_point")
         return out.drop("_point")
-    spark = train.sparkSession
-    rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), *targets)
-                 .orderBy("_tk").collect())  # bounded: checked above
-    x = np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    info = {}
-    for t in targets:
-        vals = [r[t] for r in rows]
-        if task == "classification":
-            classes = np.array(sorted(set(vals)), dtype=object)
-            pos = {v: i for i, v in enumerate(classes)}
-            info[t] = {"classes": classes, "codes": np.array([pos[v] for v in vals], dtype=np.int64)}
-        else:
-            info[t] = {"classes": None, "values": np.array(vals, dtype=np.float64)}
-    bc = spark.sparkContext.broadcast({"x": x, "x2": np.einsum("ij,ij->i", x, x), "info": info})
-    kk = min(k, n_train)
+    spark, bc = train.sparkSession, prepared.matrix
+    kk = min(k, prepared.n_train)
     out_fields = list(test.schema.fields) + [
         T.StructField(f"{prefix}{t}", train.schema[t].dataType if task == "classification" else T.DoubleType())
         for t in targets]

@@ -49,6 +49,7 @@ class Bundle:
     params: dict
     models: dict = field(default_factory=dict)   # target -> fitted model (non-KNN)
     knn_train: DataFrame | None = None            # KNN: the preprocessed training rows
+    prepared: object = None                        # KNN: what scoring made of them, once per bundle
 
     @property
     def family(self) -> str:
@@ -102,8 +103,10 @@ def predict_matrix(bundle: Bundle, x: DataFrame, proba: bool = False) -> DataFra
     if bundle.family == "knn":
         p = bundle.params
         k, w, pp = int(p.get("n_neighbors", 5)), p.get("weights", "uniform"), float(p.get("p", 2))
+        if bundle.prepared is None:
+            bundle.prepared = knn_op.prepare(bundle.knn_train, key, "features", bundle.targets, bundle.task)
         return knn_op.predict(bundle.knn_train, x, key, "features", bundle.targets, bundle.task, k=k, p=pp,
-                              weights=w, proba=proba)
+                              weights=w, proba=proba, prepared=bundle.prepared)
     out = x
     for t in bundle.targets:
         m = bundle.models[t]
