@@ -2,18 +2,17 @@
 
 Each document's text is the first layer. A layer is scanned for every kind of
 secret, then unwrapped in every way that applies: percent escapes, Unicode and
-HTML character escapes, base64 (both alphabets), and compressed data (gzip,
-zlib, bz2, xz, zstandard) inside of what was decoded. What comes out is a new layer. The worklist
+HTML character escapes, base64 (both alphabets, runs joined over line breaks, at
+every alignment), and compressed data (gzip, zlib, bz2, xz, zstandard) anywhere
+inside of what was decoded. What comes out is a new layer. The worklist
 runs until nothing new appears; layers that were seen before, at the same place of the
-document, don't go on it again, so cycles end. Every layer knows, character by
-character, which span of the document it comes from, and a secret found in it is
+document, don't go on it again, so cycles end. Every layer knows, byte by
+byte, which span of the document it comes from, and a secret found in it is
 reported as that span.
 """
 
 from __future__ import annotations
 
-import base64
-import binascii
 import bz2
 import lzma
 import re
@@ -35,46 +34,58 @@ from tabml.llm.pretokens import slices
 #: the kinds, in the order in which spans with one start are listed
 KINDS = ("assign", "access", "hex")
 
-_ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
-_ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
-_HEX = re.compile(r"[0-9a-f]{24,}")
-
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_PERCENT_BINARY = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/-])*%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/-])*")
-_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_ASSIGN_RULE = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_RULES = (_ASSIGN_RULE, r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}")
+#: of the document's text, and of what was decoded
+_TEXT_RULES = tuple(re.compile(r, re.ASCII) for r in _RULES)
+_BYTE_RULES = tuple(re.compile(r.encode()) for r in _RULES)
+
+_PERCENT = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
+_ESCAPE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: base64 characters (both alphabets) that a run has at least, line breaks not counted
+_RUN = 16
+_SIX = np.full(256, 255, np.uint8)
+for _i, _c in enumerate(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+    _SIX[_c] = _i
+_SIX[ord("-")], _SIX[ord("_")] = 62, 63
+#: stands between stretches that don't adjoin; no pattern has it
+_GAP = 0xFF
+#: where compressed data may begin (gzip, zlib, bz2, xz, zstandard)
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
 #: what a slice's texts are screened for (RE2) before any of them is searched
 _SCREENS = {
     "assign": r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]",
     "access": "AKIA[A-Z0-9]{16}",
     "hex": "[0-9a-f]{24}",
-    "layers": r"%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}",
+    "layers": r"%[0-9A-Fa-f]{2}|\\[uUx]|&#|(?:[A-Za-z0-9+/_-][\r\n]*){16}",
 }
 
 _SCHEMA = ("doc_id long, base array<struct<start: long, kind: int, end: long>>, "
            "decoded array<struct<start: long, kind: int, end: long, depth: int>>, n_layers int, n_oversize int")
 
 
-def find(text: str, kinds=(0, 1, 2)) -> list[tuple[int, int, int]]:
+def find(text: str | bytes, kinds=(0, 1, 2)) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the leftmost non-overlapping matches of each kind,
     failing ones dropped after they were matched."""
+    assign, access, hexes = _TEXT_RULES if isinstance(text, str) else _BYTE_RULES
     out = []
     if 0 in kinds:
-        out += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+        out += [(m.start(), 0, m.end()) for m in assign.finditer(text) if m.end(2) - m.start(2) >= 6]
     # for these two, a match of fewer characters holds no other match
     if 1 in kinds:
-        out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
+        out += [(m.start(), 1, m.end()) for m in access.finditer(text)]
     if 2 in kinds:
-        out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
+        out += [(m.start(), 2, m.end()) for m in hexes.finditer(text)]
     return out
 
 
 @dataclass
 class Layer:
-    """Character k of ``text`` comes from the document's characters
-    ``start[k]`` to ``end[k]`` (or all from one span)."""
-    text: str
+    """Byte k of ``data`` comes from the document's characters ``start[k]`` to
+    ``end[k]`` (or all from one span). The document itself is a layer of one byte
+    per character; those over U+00FF, which no rule and no encoding has, are ``?``."""
+    data: bytes
     start: np.ndarray | int
     end: np.ndarray | int
     depth: int
@@ -86,7 +97,7 @@ class Layer:
 
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
         if isinstance(self.start, int):
-            n = len(self.text)
+            n = len(self.data)
             return np.full(n, self.start), np.full(n, self.end)
         return self.start, self.end
 
@@ -95,9 +106,9 @@ class TooLarge(Exception):
     pass
 
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """What compressed data holds (also cut off or with bytes behind it), None if
-    it isn't any."""
+def _inflate(data: bytes, limit: int) -> tuple[bytes, int] | None:
+    """What compressed data holds (also cut off or with bytes behind it) and the
+    bytes it takes (0 if its end isn't reached), None if it isn't any."""
     if data[:2] == b"\x1f\x8b":
         make = lambda: zlib.decompressobj(31)
     elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
@@ -110,78 +121,106 @@ def _inflate(data: bytes, limit: int) -> bytes | None:
         make = zstandard.ZstdDecompressor().decompressobj
     else:
         return None
-    reader, out, size = make(), [], 0
+    reader, out, size, used = make(), [], 0, 0
     try:
         # piece by piece, so that a small input can't fill the memory before the limit is seen
         for a in range(0, len(data), 256):
-            if getattr(reader, "eof", False):
-                break
             out.append(reader.decompress(data[a:a + 256]))
             size += len(out[-1])
             if size > limit:
                 raise TooLarge
+            if reader.eof:
+                used = min(a + 256, len(data)) - len(reader.unused_data)
+                break
     except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
         pass
-    return b"".join(out) if size else None
-
-
-def _readable(data: bytes, limit: int) -> str | None:
-    """Decoded data as text: decompressed to a fixpoint, then UTF-8 without
-    control characters."""
-    while (inner := _inflate(data, limit)) is not None:
-        data = inner
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
+    return (b"".join(out), used) if size else None
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """The layer with every match decoded; ``decode`` gives pieces (text, from, to)
-    with positions inside the match, or None to leave it."""
-    texts, starts, ends, at, any_ = [], [], [], 0, False
+    """The layer with every match decoded; ``decode`` gives the bytes and how many
+    bytes of the match each stands for (None: the whole match), or None to leave it."""
+    parts, starts, ends, at, any_ = [], [], [], 0, False
     low, high = layer.bounds()
-    for m in pattern.finditer(layer.text):
-        pieces = decode(m)
-        if pieces is None:
+    for m in pattern.finditer(layer.data):
+        found = decode(m)
+        if found is None:
             continue
         any_ = True
-        texts.append(layer.text[at:m.start()])
-        starts.append(low[at:m.start()])
-        ends.append(high[at:m.start()])
-        for text, a, b in pieces:
-            texts.append(text)
-            starts.append(np.full(len(text), low[m.start() + a]))
-            ends.append(np.full(len(text), high[m.start() + b - 1]))
-        at = m.end()
+        a, b = m.span()
+        data, step = found[0], found[1] or b - a
+        parts += [layer.data[at:a], data]
+        starts += [low[at:a], low[a:b:step]]
+        ends += [high[at:a], high[a + step - 1:b:step]]
+        at = b
     if not any_:
         return None
-    texts.append(layer.text[at:])
+    parts.append(layer.data[at:])
     starts.append(low[at:])
     ends.append(high[at:])
-    return Layer("".join(texts), np.concatenate(starts), np.concatenate(ends), layer.depth + 1)
+    return Layer(b"".join(parts), np.concatenate(starts), np.concatenate(ends), layer.depth + 1)
 
 
 def _percent(m: re.Match):
-    data = bytes.fromhex(m.group().replace("%", ""))
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return [(chr(x), 3 * i, 3 * i + 3) for i, x in enumerate(data)]
-    pieces, at = [], 0
-    for c in text:
-        size = 3 * len(c.encode())
-        pieces.append((c, at, at + size))
-        at += size
-    return pieces
+    return bytes.fromhex(m.group().replace(b"%", b"").decode()), 3
 
 
 def _escape(m: re.Match):
     code = next(int(g, 10 if i == 5 else 16) for i, g in enumerate(m.groups()) if g)
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
         return None
-    return [(chr(code), 0, len(m.group()))]
+    return bytes([code]) if code < 256 else b"?", None
+
+
+def _groups(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of bytes: the places of the base64 characters that stand in runs of _RUN or
+    more (line breaks inside of a run left out), each one's place in its run, and
+    whether the next one belongs to the same run."""
+    kept = np.flatnonzero((chars != 10) & (chars != 13))
+    inside = _SIX[chars[kept]] < 64
+    edge = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
+    first, size = edge[::2], edge[1::2] - edge[::2]
+    first, size = first[size >= _RUN], size[size >= _RUN]
+    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    last = within == np.repeat(size, size) - 1
+    return kept[np.repeat(first, size) + within], within, ~last
+
+
+def _base64(layer: Layer) -> Iterator[Layer]:
+    """What the layer's runs hold, one layer for each of the four alignments of the
+    groups of four. Data that begins anywhere in a run (behind a path, a prefix
+    or a word on the line before) is the end of one of them."""
+    chars = np.frombuffer(layer.data, np.uint8)
+    place, within, more = _groups(chars)
+    if not len(place):
+        return
+    six = _SIX[chars[place]].astype(np.uint16)
+    pair = np.append(six[:-1] << 6 | six[1:], 0)
+    low, high = layer.bounds()
+    for shift in range(4):
+        # the k-th character of a group and its neighbour make the k-th byte
+        k = (within - shift) & 3
+        make = np.flatnonzero(more & (k != 3) & (within >= shift))
+        byte = (pair[make] >> (4 - 2 * k[make]).astype(np.uint16)).astype(np.uint8)
+        ends = np.flatnonzero(within[make][1:] < within[make][:-1]) + 1
+        low_, high_ = low[place[make]], high[place[make + 1]]
+        yield Layer(np.insert(byte, ends, _GAP).tobytes(), np.insert(low_, ends, low_[ends]), np.insert(high_, ends, high_[ends]), layer.depth + 1)
+
+
+def _inflated(layer: Layer, limit: int) -> Iterator[Layer | None]:
+    """What compressed data holds, wherever it begins; None for what is over the size limit."""
+    at = 0
+    while (m := _MAGIC.search(layer.data, at)) is not None:
+        at = m.start() + 1
+        try:
+            found = _inflate(layer.data[m.start():], limit)
+        except TooLarge:
+            yield None
+            continue
+        if found:
+            data, used = found
+            at = m.start() + used if used else at
+            yield Layer(data, *layer.span(m.start(), at if used else len(layer.data)), layer.depth + 1)
 
 
 def unwrap(layer: Layer, limit: int) -> Iterator[Layer | None]:
@@ -189,30 +228,9 @@ def unwrap(layer: Layer, limit: int) -> Iterator[Layer | None]:
     for pattern, decode in ((_PERCENT, _percent), (_ESCAPE, _escape)):
         if (inner := _replaced(layer, pattern, decode)) is not None:
             yield inner
-    for m in _BASE64.finditer(layer.text):
-        body = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-            text = _readable(data, limit)
-        except TooLarge:
-            yield None
-            continue
-        except (binascii.Error, ValueError):
-            continue
-        if text:
-            yield Layer(text, *layer.span(m.start(), m.end()), layer.depth + 1)
-    for m in _PERCENT_BINARY.finditer(layer.text):
-        data = re.sub(rb"%([0-9A-Fa-f]{2})", lambda x: bytes([int(x.group(1), 16)]), m.group().encode())
-        try:
-            inner = _inflate(data, limit)
-            text = _readable(inner, limit) if inner is not None else None
-        except TooLarge:
-            yield None
-            continue
-        if text:
-            yield Layer(text, *layer.span(m.start(), m.end()), layer.depth + 1)
+    yield from _base64(layer)
+    if layer.depth:
+        yield from _inflated(layer, limit)
 
 
 def scan(text: str, limit: int, kinds=(0, 1, 2), layers: bool = True):
@@ -221,26 +239,32 @@ def scan(text: str, limit: int, kinds=(0, 1, 2), layers: bool = True):
     base = sorted(find(text, kinds))
     if not layers:
         return base, [], 0, 0
-    known, added, oversize = set(base), [], 0
+    known, added, oversize, streams = set(base), [], 0, set()
     positions = np.arange(len(text) + 1)
-    todo, seen = [Layer(text, positions[:-1], positions[1:], 0)], set()
+    todo, seen = [Layer(text.encode("latin-1", "replace"), positions[:-1], positions[1:], 0)], set()
     while todo:
         layer = todo.pop()
         for inner in unwrap(layer, limit):
             if inner is None:
                 oversize += 1
                 continue
-            low, high = inner.span(0, len(inner.text)) if inner.text else (0, 0)
-            mark = blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), low, high
+            if not inner.data:
+                continue
+            mark = blake2b(inner.data, digest_size=16).digest(), *inner.span(0, len(inner.data))
             if mark in seen:
                 continue
             seen.add(mark)
             todo.append(inner)
-            for a, kind, b in find(inner.text):
+            if isinstance(inner.start, int):
+                streams.add((inner.start, inner.end))
+            for a, kind, b in find(inner.data):
                 start, end = inner.span(a, b)
                 if (start, kind, end) not in known:
                     known.add((start, kind, end))
                     added.append((start, kind, end, inner.depth))
+    # data that is stored rather than compressed also shows as it is: once is enough
+    whole = {(a, kind, b) for a, kind, b, _ in added if (a, b) in streams}
+    added = [x for x in added if not any(a <= x[0] and x[2] <= b and kind == x[1] and (a, b) != (x[0], x[2]) for a, kind, b in whole)]
     return base, sorted(added), len(seen), oversize
 
 

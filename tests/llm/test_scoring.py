@@ -61,6 +61,40 @@ def test_oversize_data_is_counted_not_dropped_silently():
     assert secrets.scan(bomb, 1 << 20)[3] == 1
 
 
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+def wrapped_at(text, n, end="\n"):
+    return end.join(text[a:a + n] for a in range(0, len(text), n))
+
+
+LONG = b"".join(hashlib.sha512(b"%d" % i).digest() for i in range(64)) + SECRET.encode()
+
+
+@pytest.mark.parametrize("front", ["https://example.com/x/", "key_", "auth/", "a-", "ab+", "abc_d/", "x\nword\n"])
+@pytest.mark.parametrize("inner", [SECRET.encode(), gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode())], ids=["plain", "gzip", "zlib"])
+def test_base64_behind_a_prefix(front, inner):
+    text = f"é {front}{b64(inner)} é"
+    spans = [(a, b) for a, kind, b, _ in secrets.scan(text, 1 << 20)[1] if kind == 0]
+    at, size = 2 + len(front), len(b64(inner))
+    assert len(spans) == 1 and at <= spans[0][0] <= at + 1 and at + 0.9 * size <= spans[0][1] <= at + size
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("width", [20, 64, 76])
+@pytest.mark.parametrize("inner", [b"x" * 45 + SECRET.encode() + b"y" * 50, gzip.compress(LONG), zlib.compress(LONG)], ids=["plain", "gzip", "zlib"])
+def test_base64_in_lines(inner, width, end):
+    text = f"é {wrapped_at(b64(inner), width, end)} é"
+    spans = [(a, b) for a, kind, b, _ in secrets.scan(text, 1 << 20)[1] if kind == 0]
+    assert len(spans) == 1 and 2 <= spans[0][0] < spans[0][1] <= len(text) - 2
+
+
+def test_base64_span_is_that_of_its_own_characters():
+    text = b64(b"." * 30 + SECRET.encode() + b"," * 30)
+    assert secrets.scan(text, 1 << 20)[1] == [(40, 0, 71, 1)]
+
+
 def brute_base(text):
     kinds = [(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 6),
              (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 20), (r"[0-9a-f]+", lambda m: len(m.group()) >= 24)]
