@@ -3,8 +3,8 @@
 Each document's text is the first layer. A layer is scanned for every kind of
 secret, then unwrapped in every way that applies: percent escapes, Unicode and
 HTML character escapes, base64 (both alphabets, runs joined over line breaks, at
-every alignment), and compressed data (gzip, zlib, bz2, xz, zstandard) anywhere
-inside of what was decoded. What comes out is a new layer. The worklist
+every alignment), UTF-16, and compressed data (gzip, zlib, bz2, xz, zstandard) anywhere
+inside of what was decoded. What was decoded is searched as bytes, so it needn't be text. What comes out is a new layer. The worklist
 runs until nothing new appears; layers that were seen before, at the same place of the
 document, don't go on it again, so cycles end. Every layer knows, byte by
 byte, which span of the document it comes from, and a secret found in it is
@@ -44,10 +44,14 @@ _PERCENT = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 #: base64 characters (both alphabets) that a run has at least, line breaks not counted
 _RUN = 16
+#: bytes that a stretch of UTF-16 has at least, zeros not counted
+_WIDE = 8
 _SIX = np.full(256, 255, np.uint8)
 for _i, _c in enumerate(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
     _SIX[_c] = _i
 _SIX[ord("-")], _SIX[ord("_")] = 62, 63
+#: bytes that percent encoding may leave as they are
+_UNRESERVED = (_SIX < 64) | np.isin(np.arange(256), list(b".~"))
 #: stands between stretches that don't adjoin; no pattern has it
 _GAP = 0xFF
 #: where compressed data may begin (gzip, zlib, bz2, xz, zstandard)
@@ -84,11 +88,13 @@ def find(text: str | bytes, kinds=(0, 1, 2)) -> list[tuple[int, int, int]]:
 class Layer:
     """Byte k of ``data`` comes from the document's characters ``start[k]`` to
     ``end[k]`` (or all from one span). The document itself is a layer of one byte
-    per character; those over U+00FF, which no rule and no encoding has, are ``?``."""
+    per character; those over U+00FF, which no rule and no encoding has, are ``?``.
+    ``cuts`` are the places behind which encoded data isn't the same run any more."""
     data: bytes
     start: np.ndarray | int
     end: np.ndarray | int
     depth: int
+    cuts: np.ndarray | None = None
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         if isinstance(self.start, int):
@@ -137,9 +143,10 @@ def _inflate(data: bytes, limit: int) -> tuple[bytes, int] | None:
     return (b"".join(out), used) if size else None
 
 
-def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
+def _replaced(layer: Layer, pattern: re.Pattern, decode, run: np.ndarray | None) -> Layer | None:
     """The layer with every match decoded; ``decode`` gives the bytes and how many
-    bytes of the match each stands for (None: the whole match), or None to leave it."""
+    bytes of the match each stands for (None: the whole match), or None to leave it; ``run`` says which
+    bytes stand for themselves in encoded data."""
     parts, starts, ends, at, any_ = [], [], [], 0, False
     low, high = layer.bounds()
     for m in pattern.finditer(layer.data):
@@ -158,7 +165,13 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     parts.append(layer.data[at:])
     starts.append(low[at:])
     ends.append(high[at:])
-    return Layer(b"".join(parts), np.concatenate(starts), np.concatenate(ends), layer.depth + 1)
+    data, cuts = b"".join(parts), None
+    if run is not None:
+        # parts are copied and decoded in turns
+        sizes = np.array([len(x) for x in parts])
+        copied = np.repeat(np.arange(len(parts)) % 2 == 0, sizes)
+        cuts = np.flatnonzero(copied & ~run[np.frombuffer(data, np.uint8)])
+    return Layer(data, np.concatenate(starts), np.concatenate(ends), layer.depth + 1, cuts)
 
 
 def _percent(m: re.Match):
@@ -204,32 +217,62 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         byte = (pair[make] >> (4 - 2 * k[make]).astype(np.uint16)).astype(np.uint8)
         ends = np.flatnonzero(within[make][1:] < within[make][:-1]) + 1
         low_, high_ = low[place[make]], high[place[make + 1]]
-        yield Layer(np.insert(byte, ends, _GAP).tobytes(), np.insert(low_, ends, low_[ends]), np.insert(high_, ends, high_[ends]), layer.depth + 1)
+        yield Layer(np.insert(byte, ends, _GAP).tobytes(), np.insert(low_, ends, low_[ends]), np.insert(high_, ends, high_[ends]),
+                    layer.depth + 1, ends + np.arange(len(ends)))
+
+
+def _every_second(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of bytes with a zero beside them, and where a new stretch of
+    such bytes (zeros between them) begins."""
+    zero = chars == 0
+    beside = np.r_[zero[1:], True] | np.r_[True, zero[:-1]]
+    place = np.flatnonzero(~zero & beside)
+    new = np.r_[True, (np.diff(place) != 2) | ~zero[place[:-1] + 1]] if len(place) else np.zeros(0, bool)
+    return place, new
+
+
+def _wide(layer: Layer) -> Layer | None:
+    """The stretches of UTF-16 (either byte order): every second byte is zero."""
+    place, new = _every_second(np.frombuffer(layer.data, np.uint8))
+    size = np.diff(np.append(np.flatnonzero(new), len(place)))
+    place = place[np.repeat(size, size) >= _WIDE]
+    size = size[size >= _WIDE]
+    if not len(place):
+        return None
+    low, high = layer.bounds()
+    ends = np.cumsum(size)[:-1]
+    low, high, data = low[place], high[place], np.frombuffer(layer.data, np.uint8)[place]
+    return Layer(np.insert(data, ends, _GAP).tobytes(), np.insert(low, ends, low[ends]), np.insert(high, ends, high[ends]), layer.depth + 1)
 
 
 def _inflated(layer: Layer, limit: int) -> Iterator[Layer | None]:
     """What compressed data holds, wherever it begins; None for what is over the size limit."""
-    at = 0
+    at, data = 0, memoryview(layer.data)
+    cuts = np.zeros(0, int) if layer.cuts is None else layer.cuts
     while (m := _MAGIC.search(layer.data, at)) is not None:
-        at = m.start() + 1
+        start, at = m.start(), m.start() + 1
+        # to the end of its run; behind it only if that makes it whole
+        stops = [*cuts[(k := np.searchsorted(cuts, start)):k + 1].tolist(), len(data)]
         try:
-            found = _inflate(layer.data[m.start():], limit)
+            found = [(stop, *x) for stop in stops if (x := _inflate(data[start:stop], limit))]
         except TooLarge:
             yield None
             continue
         if found:
-            data, used = found
-            at = m.start() + used if used else at
-            yield Layer(data, *layer.span(m.start(), at if used else len(layer.data)), layer.depth + 1)
+            stop, inner, used = next((x for x in found if x[2]), found[0])
+            at = start + used if used else at
+            yield Layer(inner, *layer.span(start, at if used else stop), layer.depth + 1)
 
 
 def unwrap(layer: Layer, limit: int) -> Iterator[Layer | None]:
     """The layers inside a layer; None stands for one over the size limit."""
-    for pattern, decode in ((_PERCENT, _percent), (_ESCAPE, _escape)):
-        if (inner := _replaced(layer, pattern, decode)) is not None:
+    for pattern, decode, run in ((_PERCENT, _percent, _UNRESERVED), (_ESCAPE, _escape, None)):
+        if (inner := _replaced(layer, pattern, decode, run)) is not None:
             yield inner
     yield from _base64(layer)
     if layer.depth:
+        if (inner := _wide(layer)) is not None:
+            yield inner
         yield from _inflated(layer, limit)
 
 

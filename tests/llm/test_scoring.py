@@ -95,6 +95,33 @@ def test_base64_span_is_that_of_its_own_characters():
     assert secrets.scan(text, 1 << 20)[1] == [(40, 0, 71, 1)]
 
 
+CUT = zlib.compressobj()
+CUT_OFF = CUT.compress(LONG + "é".encode()[:1]) + CUT.flush(zlib.Z_SYNC_FLUSH)
+
+RAW = {
+    "binary": b"\xff\x01" + SECRET.encode() + b"\x00",
+    "NUL fields": b"user\0" + SECRET.encode() + b"\0x",
+    "Latin-1": "é ".encode("latin-1") + SECRET.encode() + "é".encode("latin-1"),
+    "UTF-16": SECRET.encode("utf-16"),
+    "UTF-16 LE": SECRET.encode("utf-16-le"),
+    "UTF-16 BE": SECRET.encode("utf-16-be"),
+    "UTF-16 in binary": b"\x90\x01\x07" + SECRET.encode("utf-16-be") + b"\x91",
+    "UTF-16 holding base64": b64(SECRET.encode()).encode("utf-16-le"),
+    "base64 in binary": b"\x01\xfe" + b64(SECRET.encode()).encode() + b"\x00",
+    "gzip in binary": b"\x01\xfe" + gzip.compress(b"\xfe" + SECRET.encode() + b"\x02") + b"\x00",
+    "cut off inside a character": CUT_OFF,
+}
+
+
+@pytest.mark.parametrize("name", RAW)
+@pytest.mark.parametrize("wrap", [b64, urllib.parse.quote_from_bytes, lambda d: b64(bz2.compress(d))], ids=["base64", "percent", "bz2"])
+def test_decoded_data_need_not_be_text(name, wrap):
+    text = f"é {wrap(RAW[name])} é"
+    base, decoded, *_ = secrets.scan(text, 1 << 20)
+    spans = {(a, b) for a, kind, b, _ in decoded if kind == 0}
+    assert spans and all(2 <= a < b <= len(text) - 2 for a, b in spans)
+
+
 def brute_base(text):
     kinds = [(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 6),
              (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 20), (r"[0-9a-f]+", lambda m: len(m.group()) >= 24)]
