@@ -54,6 +54,17 @@ _SIX[ord("-")], _SIX[ord("_")] = 62, 63
 _UNRESERVED = (_SIX < 64) | np.isin(np.arange(256), list(b".~"))
 #: stands between stretches that don't adjoin; no pattern has it
 _GAP = 0xFF
+#: bytes that decompression gives at once
+_OUT = 1 << 16
+_BROKEN = zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError
+#: decompressed data over this is searched piece by piece, by steps of _STEP bytes
+_WHOLE = 4 << 20
+_STEP = 1 << 18
+#: what may be the beginning of an escape
+_OPEN_ESCAPE = re.compile(rb"(?:%[0-9A-Fa-f]?|\\(?:[uUx]\{?[0-9A-Fa-f]{0,8})?|&(?:#[xX]?[0-9A-Fa-f]{0,7})?)\Z")
+#: a keyword whose value may follow
+_OPEN_ASSIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20?(?:[:=]\x20?["']?)?\Z""")
+_ANY_ESCAPE = re.compile(_PERCENT.pattern + b"|" + _ESCAPE.pattern)
 #: where compressed data may begin (gzip, zlib, bz2, xz, zstandard)
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
@@ -108,39 +119,98 @@ class Layer:
         return self.start, self.end
 
 
-class TooLarge(Exception):
-    pass
-
-
-def _inflate(data: bytes, limit: int) -> tuple[bytes, int] | None:
-    """What compressed data holds (also cut off or with bytes behind it) and the
-    bytes it takes (0 if its end isn't reached), None if it isn't any."""
+def _reader(data: bytes):
+    """A decompressor for what begins like compressed data, or None."""
     if data[:2] == b"\x1f\x8b":
-        make = lambda: zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-        make = zlib.decompressobj
-    elif data[:3] == b"BZh":
-        make = bz2.BZ2Decompressor
-    elif data[:6] == b"\xfd7zXZ\x00":
-        make = lzma.LZMADecompressor
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        make = zstandard.ZstdDecompressor().decompressobj
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def _pieces(reader, data: bytes) -> Iterator[bytes]:
+    """What a decompressor makes of input, at most _OUT bytes at once (zstandard:
+    of one block after the other)."""
+    if hasattr(reader, "needs_input"):
+        yield reader.decompress(data, _OUT)
+        while not reader.needs_input and not reader.eof:
+            yield reader.decompress(b"", _OUT)
+    elif hasattr(reader, "copy"):
+        yield reader.decompress(data, _OUT)
+        while reader.unconsumed_tail and not reader.eof:
+            yield reader.decompress(reader.unconsumed_tail, _OUT)
     else:
-        return None
-    reader, out, size, used = make(), [], 0, 0
-    try:
-        # piece by piece, so that a small input can't fill the memory before the limit is seen
-        for a in range(0, len(data), 256):
-            out.append(reader.decompress(data[a:a + 256]))
-            size += len(out[-1])
-            if size > limit:
-                raise TooLarge
-            if reader.eof:
-                used = min(a + 256, len(data)) - len(reader.unused_data)
+        yield reader.decompress(data)
+
+
+class Members:
+    """Decompresses members that follow each other (zero bytes between them are
+    padding), fed piece by piece. ``bounds`` are where they begin in the input and,
+    once reached, end."""
+
+    def __init__(self) -> None:
+        self.reader, self.head, self.at, self.done, self.bounds = None, b"", 0, False, []
+
+    @property
+    def end(self) -> int:
+        """Where the last whole member ends, 0 without any."""
+        return max((b for _, b in self.bounds if b), default=0)
+
+    def feed(self, data: bytes | memoryview, final: bool) -> Iterator[bytes]:
+        data, at = (self.head + bytes(data) if self.head else data), 0
+        self.head, first = b"", self.at
+        while not self.done:
+            if self.reader is None:
+                while self.bounds and at < len(data) and not data[at]:
+                    at += 1
+                if len(data) - at < 10 and not final:
+                    self.head, self.at = bytes(data[at:]), first + at
+                    return
+                self.reader = _reader(bytes(data[at:at + 10]))
+                if self.reader is None:
+                    self.done = True
+                    return
+                self.bounds.append((first + at, 0))
+            piece = bytes(data[at:at + 256])
+            if not piece:
                 break
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-        pass
-    return (b"".join(out), used) if size else None
+            spare = self.reader.copy() if hasattr(self.reader, "copy") else None
+            size = 0
+            try:
+                for out in _pieces(self.reader, piece):
+                    size += len(out)
+                    yield out
+            except _BROKEN:
+                yield from self._broken(spare, piece, size)
+                return
+            at += len(piece)
+            if self.reader.eof:
+                at -= len(self.reader.unused_data)
+                self.bounds[-1] = self.bounds[-1][0], first + at
+                self.reader = None
+        self.at = first + at
+        if final and self.reader is not None and hasattr(self.reader, "flush") and hasattr(self.reader, "copy"):
+            try:
+                yield self.reader.flush()
+            except _BROKEN:
+                pass
+
+    def _broken(self, spare, piece: bytes, known: int) -> Iterator[bytes]:
+        """What the piece held before its broken place."""
+        self.done = True
+        try:
+            for k in range(len(piece) if spare is not None else 0):
+                for out in _pieces(spare, piece[k:k + 1]):
+                    yield out[known:]
+                    known = max(0, known - len(out))
+        except _BROKEN:
+            pass
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode, run: np.ndarray | None) -> Layer | None:
@@ -199,25 +269,30 @@ def _groups(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kept[np.repeat(first, size) + within], within, ~last
 
 
-def _base64(layer: Layer) -> Iterator[Layer]:
-    """What the layer's runs hold, one layer for each of the four alignments of the
-    groups of four. Data that begins anywhere in a run (behind a path, a prefix
-    or a word on the line before) is the end of one of them."""
-    chars = np.frombuffer(layer.data, np.uint8)
+def _aligned(chars: np.ndarray, goes_on: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """What the runs of base64 hold, at each of the four alignments of the groups of
+    four: the bytes, where in them a new run begins, and the places of the first
+    and the last character of each byte. ``goes_on``: the first run is the rest of one."""
     place, within, more = _groups(chars)
     if not len(place):
         return
     six = _SIX[chars[place]].astype(np.uint16)
     pair = np.append(six[:-1] << 6 | six[1:], 0)
-    low, high = layer.bounds()
+    rest = np.cumsum(within == 0) == 1 if goes_on else np.zeros(len(within), bool)
     for shift in range(4):
         # the k-th character of a group and its neighbour make the k-th byte
         k = (within - shift) & 3
-        make = np.flatnonzero(more & (k != 3) & (within >= shift))
+        make = np.flatnonzero(more & (k != 3) & ((within >= shift) | rest))
         byte = (pair[make] >> (4 - 2 * k[make]).astype(np.uint16)).astype(np.uint8)
-        ends = np.flatnonzero(within[make][1:] < within[make][:-1]) + 1
-        low_, high_ = low[place[make]], high[place[make + 1]]
-        yield Layer(np.insert(byte, ends, _GAP).tobytes(), np.insert(low_, ends, low_[ends]), np.insert(high_, ends, high_[ends]),
+        yield byte, np.flatnonzero(within[make][1:] < within[make][:-1]) + 1, place[make], place[make + 1]
+
+
+def _base64(layer: Layer) -> Iterator[Layer]:
+    """A layer for each alignment. Data that begins anywhere in a run (behind a path,
+    a prefix or a word on the line before) is the end of one of them."""
+    low, high = layer.bounds()
+    for byte, ends, a, b in _aligned(np.frombuffer(layer.data, np.uint8)):
+        yield Layer(np.insert(byte, ends, _GAP).tobytes(), np.insert(low[a], ends, low[a][ends]), np.insert(high[b], ends, high[b][ends]),
                     layer.depth + 1, ends + np.arange(len(ends)))
 
 
@@ -245,35 +320,255 @@ def _wide(layer: Layer) -> Layer | None:
     return Layer(np.insert(data, ends, _GAP).tobytes(), np.insert(low, ends, low[ends]), np.insert(high, ends, high[ends]), layer.depth + 1)
 
 
-def _inflated(layer: Layer, limit: int) -> Iterator[Layer | None]:
-    """What compressed data holds, wherever it begins; None for what is over the size limit."""
-    at, data = 0, memoryview(layer.data)
-    cuts = np.zeros(0, int) if layer.cuts is None else layer.cuts
-    while (m := _MAGIC.search(layer.data, at)) is not None:
-        start, at = m.start(), m.start() + 1
-        # to the end of its run; behind it only if that makes it whole
-        stops = [*cuts[(k := np.searchsorted(cuts, start)):k + 1].tolist(), len(data)]
-        try:
-            found = [(stop, *x) for stop in stops if (x := _inflate(data[start:stop], limit))]
-        except TooLarge:
-            yield None
-            continue
-        if found:
-            stop, inner, used = next((x for x in found if x[2]), found[0])
-            at = start + used if used else at
-            yield Layer(inner, *layer.span(start, at if used else stop), layer.depth + 1)
-
-
-def unwrap(layer: Layer, limit: int) -> Iterator[Layer | None]:
-    """The layers inside a layer; None stands for one over the size limit."""
-    for pattern, decode, run in ((_PERCENT, _percent, _UNRESERVED), (_ESCAPE, _escape, None)):
-        if (inner := _replaced(layer, pattern, decode, run)) is not None:
-            yield inner
-    yield from _base64(layer)
-    if layer.depth:
-        if (inner := _wide(layer)) is not None:
-            yield inner
-        yield from _inflated(layer, limit)
+class Stream:
+    """Searches a layer that comes piece by piece and is nowhere whole. All of it
+    has one span, so it only matters which kinds it holds (``found``, by depth).
+
+    Carried from step to step are: the beginning of a match, the characters of
+    an open base64 run (its bytes go on to four streams), an open escape, two
+    bytes for UTF-16, and the decompressors of open members."""
+
+    def __init__(self, work: Work, depth: int) -> None:
+        self.work, self.depth, self.found = work, depth, set()
+        self.buffer, self.size = [], 0
+        self.tail, self.assign = b"", b""
+        self.run, self.goes_on, self.aligned = b"", False, []
+        self.held, self.before, self.plain = b"", b"", None
+        self.pair, self.wide, self.next_wide = b"\xff\xff", None, 0
+        self.members, self.magic, self.at = [], b"", 0
+
+    def feed(self, data: bytes) -> None:
+        for a in range(0, len(data), _STEP):
+            self.buffer.append(data[a:a + _STEP])
+            self.size += len(self.buffer[-1])
+            if self.size >= _STEP:
+                self._step(False)
+
+    def close(self) -> set[tuple[int, int]]:
+        self._step(True)
+        for inner in (*self.aligned, self.plain, self.wide):
+            if inner is not None:
+                self.found |= inner.close()
+        return self.found
+
+    def _step(self, final: bool) -> None:
+        data = b"".join(self.buffer)
+        self.buffer, self.size = [], 0
+        self._find(data)
+        self._runs(data, final)
+        self._escapes(data, final)
+        self._second(data, final)
+        self._members(data, final)
+
+    def _inner(self) -> Stream:
+        return Stream(self.work, self.depth + 1)
+
+    def _find(self, data: bytes) -> None:
+        # how many blanks there are doesn't matter to the rule
+        text, at, open_ = self.assign + data, 0, None
+        if b"  " in text:
+            text = re.sub(rb"\x20{2,}", b" ", text)
+        for m in _BYTE_RULES[0].finditer(text) if b"=" in text or b":" in text else ():
+            if m.end(2) - m.start(2) >= 6:
+                self.found.add((0, self.depth))
+            at = m.end()
+            if at == len(text):
+                # the value may go on: its first characters stand for it
+                open_ = text[m.start():m.start(2) + 8]
+        if open_ is None:
+            m = _OPEN_ASSIGN.search(text, max(at, len(text) - 16))
+            open_ = m.group() if m else text[max(at, len(text) - 8):]
+        self.assign = open_
+        text = self.tail + data
+        self.found |= {(kind, self.depth) for _, kind, _ in find(text, (1, 2))}
+        self.tail = text[-24:]
+
+    def _runs(self, data: bytes, final: bool) -> None:
+        data = self.run + data
+        chars, goes_on = np.frombuffer(data, np.uint8), self.goes_on
+        self.run, self.goes_on = b"", False
+        if not final:
+            other = np.flatnonzero((_SIX[chars] > 63) & (chars != 10) & (chars != 13))
+            body = int(other[-1]) + 1 if len(other) else 0
+            rest = data[body:].translate(None, b"\r\n")
+            if len(rest) < 4 * _RUN:
+                # short enough to wait whole, also as the rest of a run
+                self.run, self.goes_on, data = rest, goes_on and not body, data[:body]
+            else:
+                # by groups of four; a byte needs the next character too
+                cut = (len(rest) - _RUN) // 4 * 4
+                self.run, self.goes_on, data = rest[cut:], True, data[:body] + rest[:cut + 1]
+            chars = np.frombuffer(data, np.uint8)
+        for k, (byte, ends, *_) in enumerate(_aligned(chars, goes_on)):
+            if len(self.aligned) <= k:
+                self.aligned.append(self._inner())
+            self.aligned[k].feed(np.insert(byte, ends, _GAP).tobytes())
+        if not self.goes_on and len(data):
+            for inner in self.aligned:
+                inner.feed(bytes([_GAP]))
+
+    def _escapes(self, data: bytes, final: bool) -> None:
+        data = self.held + data
+        self.held = b""
+        if not final and (m := _OPEN_ESCAPE.search(data, max(0, len(data) - 16))):
+            self.held, data = data[m.start():], data[:m.start()]
+        text = data
+        if b"%" in data or b"\\" in data or b"&#" in data:
+            text = _ANY_ESCAPE.sub(lambda m: ((_percent if m.group()[:1] == b"%" else _escape)(m) or (m.group(),))[0], data)
+        if self.plain is None and text != data:
+            self.plain = self._inner()
+            self.plain.feed(self.before)
+        if self.plain is not None:
+            self.plain.feed(text)
+        else:
+            self.before = data
+
+    def _second(self, data: bytes, final: bool) -> None:
+        data = self.pair + data + (b"\xff" if final else b"")
+        self.pair = data[-2:]
+        place, _ = _every_second(chars := np.frombuffer(data, np.uint8))
+        # the neighbours of the first and the last byte aren't here
+        place = place[(place > 0) & (place < len(data) - 1)]
+        if len(place):
+            new = (np.diff(place, prepend=self.next_wide - 2) != 2) | (chars[place - 1] != 0)
+            if self.wide is None:
+                self.wide = self._inner()
+            self.wide.feed(np.insert(chars[place], np.flatnonzero(new), _GAP).tobytes())
+        self.next_wide = (int(place[-1]) + 2 if len(place) else 0) - (len(data) - 2)
+
+    def _members(self, data: bytes, final: bool) -> None:
+        text, first = self.magic + data, self.at - len(self.magic)
+        for m in self.members:
+            m.feed(data, final)
+        begun = {m.first + a for m in self.members for a, _ in m.chain.bounds}
+        keep = 0 if final else 9
+        for m in _MAGIC.finditer(text):
+            at = first + m.start()
+            if m.start() < len(text) - keep and at not in begun:
+                self.members.append(Member(self, at))
+                self.members[-1].feed(text[m.start():], final)
+                begun |= {at + a for a, _ in self.members[-1].chain.bounds}
+        self.members = [m for m in self.members if not m.closed]
+        self.magic, self.at = text[max(0, len(text) - keep):] if keep else b"", self.at + len(data)
+
+
+class Member:
+    """Compressed data in a stream: searched whole while it is small, else as a stream."""
+
+    def __init__(self, outer: Stream, first: int) -> None:
+        self.outer, self.first, self.chain = outer, first, Members()
+        self.sink, self.closed = Sink(outer.work, outer.depth + 1), False
+
+    def feed(self, data: bytes, final: bool) -> None:
+        for out in self.chain.feed(data, final):
+            self.sink.feed(out)
+        if self.chain.done or final:
+            self.closed = True
+            found = self.sink.close()
+            if found is None:
+                layer = Layer(b"".join(self.sink.parts), 0, 0, self.outer.depth + 1)
+                found = {(kind, depth) for _, kind, _, depth in self.outer.work.run([layer])} if layer.data else set()
+            self.outer.found |= found
+
+
+class Sink:
+    """Takes decompressed data: kept in ``parts`` up to _WHOLE bytes, from there on in a stream."""
+
+    def __init__(self, work: Work, depth: int) -> None:
+        self.work, self.depth, self.parts, self.size, self.stream = work, depth, [], 0, None
+
+    def feed(self, out: bytes) -> None:
+        was, self.size = self.size, self.size + len(out)
+        self.work.oversize += was <= self.work.limit < self.size
+        if self.stream is None:
+            self.parts.append(out)
+            if self.size > min(_WHOLE, self.work.limit):
+                self.stream = Stream(self.work, self.depth)
+                for x in self.parts:
+                    self.stream.feed(x)
+                self.parts = []
+        else:
+            self.stream.feed(out)
+
+    def close(self) -> set[tuple[int, int]] | None:
+        """The kinds found (by depth) of what went to a stream."""
+        return None if self.stream is None else self.stream.close()
+
+
+class Work:
+    """The worklist of one document; ``limit`` only decides what counts as oversize."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.layers, self.oversize, self.streams = limit, 0, 0, set()
+
+    def _inflated(self, layer: Layer) -> Iterator[Layer | tuple[int, int, int, int]]:
+        """What compressed data holds, wherever it begins: layers, and the spans found in those too large to be whole."""
+        at, data = 0, memoryview(layer.data)
+        cuts = np.zeros(0, int) if layer.cuts is None else layer.cuts
+        while (m := _MAGIC.search(layer.data, at)) is not None:
+            start, at = m.start(), m.start() + 1
+            # to the end of its run; behind it only if that makes it whole
+            stops, tries = [*cuts[(k := np.searchsorted(cuts, start)):k + 1].tolist(), len(data)], []
+            oversize = self.oversize
+            for stop in stops:
+                self.oversize = oversize
+                chain, sink, sizes = Members(), Sink(self, layer.depth + 1), []
+                for out in chain.feed(data[start:stop], True):
+                    sizes += [0] * (len(chain.bounds) - len(sizes))
+                    sizes[-1] += len(out)
+                    sink.feed(out)
+                tries.append((stop, chain, sink, sizes, sink.close()))
+                if chain.end:
+                    break
+            stop, chain, sink, sizes, found = tries[-1] if tries[-1][1].end else tries[0]
+            at = max(at, start + chain.end)
+            spans = [layer.span(start + a, start + b if b else stop) for a, b in chain.bounds]
+            if found is not None:
+                low, high = spans[0][0], spans[-1][1]
+                self.streams |= {(low, high)} if chain.bounds[-1][1] else set()
+                yield from ((low, kind, high, depth) for kind, depth in sorted(found))
+            elif sink.size:
+                self.streams.update(x for x, (_, b) in zip(spans, chain.bounds) if b)
+                spans = spans[:len(sizes)]
+                low, high = zip(*spans)
+                one = len(set(spans)) == 1
+                yield Layer(b"".join(sink.parts), low[0] if one else np.repeat(low, sizes), high[0] if one else np.repeat(high, sizes), layer.depth + 1)
+
+    def unwrap(self, layer: Layer) -> Iterator[Layer | tuple[int, int, int, int]]:
+        """The layers inside a layer (or the spans found there)."""
+        for pattern, decode, run in ((_PERCENT, _percent, _UNRESERVED), (_ESCAPE, _escape, None)):
+            if (inner := _replaced(layer, pattern, decode, run)) is not None:
+                yield inner
+        yield from _base64(layer)
+        if layer.depth:
+            if (inner := _wide(layer)) is not None:
+                yield inner
+            yield from self._inflated(layer)
+
+    def run(self, todo: list[Layer]) -> Iterator[tuple[int, int, int, int]]:
+        """The spans (start, kind, end, depth) in the layers and all that is inside of them; not those of a document itself."""
+        seen = set()
+
+        def new(layer):
+            mark = blake2b(layer.data, digest_size=16).digest(), *layer.span(0, len(layer.data))
+            return not (mark in seen or seen.add(mark))
+
+        def spans(layer):
+            for a, kind, b in find(layer.data):
+                start, end = layer.span(a, b)
+                yield start, kind, end, layer.depth
+
+        for layer in todo:
+            if layer.depth and new(layer):
+                yield from spans(layer)
+        while todo:
+            for inner in self.unwrap(todo.pop()):
+                if isinstance(inner, tuple):
+                    yield inner
+                elif inner.data and new(inner):
+                    todo.append(inner)
+                    yield from spans(inner)
+        self.layers += len(seen)
 
 
 def scan(text: str, limit: int, kinds=(0, 1, 2), layers: bool = True):
@@ -282,33 +577,16 @@ def scan(text: str, limit: int, kinds=(0, 1, 2), layers: bool = True):
     base = sorted(find(text, kinds))
     if not layers:
         return base, [], 0, 0
-    known, added, oversize, streams = set(base), [], 0, set()
+    known, added, work = set(base), [], Work(limit)
     positions = np.arange(len(text) + 1)
-    todo, seen = [Layer(text.encode("latin-1", "replace"), positions[:-1], positions[1:], 0)], set()
-    while todo:
-        layer = todo.pop()
-        for inner in unwrap(layer, limit):
-            if inner is None:
-                oversize += 1
-                continue
-            if not inner.data:
-                continue
-            mark = blake2b(inner.data, digest_size=16).digest(), *inner.span(0, len(inner.data))
-            if mark in seen:
-                continue
-            seen.add(mark)
-            todo.append(inner)
-            if isinstance(inner.start, int):
-                streams.add((inner.start, inner.end))
-            for a, kind, b in find(inner.data):
-                start, end = inner.span(a, b)
-                if (start, kind, end) not in known:
-                    known.add((start, kind, end))
-                    added.append((start, kind, end, inner.depth))
+    for span in work.run([Layer(text.encode("latin-1", "replace"), positions[:-1], positions[1:], 0)]):
+        if span[:3] not in known:
+            known.add(span[:3])
+            added.append(span)
     # data that is stored rather than compressed also shows as it is: once is enough
-    whole = {(a, kind, b) for a, kind, b, _ in added if (a, b) in streams}
+    whole = {(a, kind, b) for a, kind, b, _ in added if (a, b) in work.streams}
     added = [x for x in added if not any(a <= x[0] and x[2] <= b and kind == x[1] and (a, b) != (x[0], x[2]) for a, kind, b in whole)]
-    return base, sorted(added), len(seen), oversize
+    return base, sorted(added), work.layers, work.oversize
 
 
 def secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_layer_bytes: int = 64 << 20) -> DataFrame:
@@ -317,8 +595,8 @@ def secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
 
     ``base`` are the spans in the text as it stands, ``decoded`` those that only
     show in a decoded layer, with its depth. Whole texts; null counts as empty
-    and has none. Only decompressed data over ``max_layer_bytes`` isn't searched: it
-    is counted in ``n_oversize``, so that such a document can be told. Repeated rows get
+    and has none. Decompressed data of any size is searched, over _WHOLE bytes piece by
+    piece; ``n_oversize`` counts what is over ``max_layer_bytes``. Repeated rows get
     equal results. An empty table gives no rows. Other columns are ignored.
     """
     schema = arrow(_SCHEMA)

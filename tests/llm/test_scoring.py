@@ -122,6 +122,49 @@ def test_decoded_data_need_not_be_text(name, wrap):
     assert spans and all(2 <= a < b <= len(text) - 2 for a, b in spans)
 
 
+PACKS = [gzip.compress, bz2.compress, lzma.compress, zstandard.compress, zlib.compress]
+
+
+@pytest.mark.parametrize("pack", PACKS)
+@pytest.mark.parametrize("between", [b"", b"\0" * 8])
+def test_every_member_is_searched(pack, between):
+    for data in (pack(b"first") + between + pack(SECRET.encode()), pack(b"pass") + between + pack(SECRET.encode()[4:]),
+                 pack(b"a") + between + gzip.compress(b"b") + bz2.compress(SECRET.encode()), pack(b"first") + between + b"junk " + SECRET.encode()):
+        assert {k for _, k, *_ in secrets.scan(f"é {b64(data)} é", 1 << 20)[1]} == {0}
+
+
+@pytest.mark.parametrize("pack", PACKS)
+@pytest.mark.parametrize("place", ["front", "end"])
+def test_large_compressed_data_is_searched(pack, place):
+    fill = b"line of a log, nothing else\n" * 300_000
+    data = pack(SECRET.encode() + b"\n" + fill if place == "front" else fill + SECRET.encode())
+    text = f"é {b64(data)} é"
+    _, decoded, _, oversize = secrets.scan(text, 1 << 20)
+    assert [(k, d) for _, k, _, d in decoded] == [(0, 2)] and oversize >= 1
+    assert 2 <= decoded[0][0] < decoded[0][2] <= len(text) - 2
+
+
+INSIDE = {name: wrap(SECRET).encode() for name, wrap in WRAPS.items()} | RAW | {
+    "plain": SECRET.encode(), "blanks": b"password" + b" " * 900 + b"=" + b" " * 900 + b"abcdef", "long value": b"token=" + b"a" * 3000,
+    "hex": b"f" * 2000, "access": b"AKIA" + b"B" * 900, "lines": wrapped_at(b64(LONG), 76).encode(), "lines of gzip": wrapped_at(b64(gzip.compress(LONG)), 76, "\r\n").encode(),
+    "large in large": gzip.compress(LONG * 3), "members": gzip.compress(b"x" * 3000 + b"pass") + gzip.compress(SECRET.encode()[4:]),
+    "run": b64(b"x" * 7000 + SECRET.encode() + b"y" * 3000).encode(), "prefix": b"a/b_" + b64(gzip.compress(LONG)).encode(),
+    "dropped": b"password=token:abcdefgh", "short": b"token=abcde", "23": b"f" * 23}
+
+
+@pytest.mark.parametrize("name", INSIDE)
+def test_piece_by_piece_finds_what_the_whole_has(name, monkeypatch):
+    for lead in (0, 1, 37, 63, 200):
+        text = b64(gzip.compress(b"," * lead + b" " + INSIDE[name] + b" " + b"," * 2000))
+        whole = {(a, k, b) for a, k, b, _ in secrets.scan(text, 1 << 30)[1]}
+        with monkeypatch.context() as m:
+            m.setattr(secrets, "_WHOLE", 256)
+            m.setattr(secrets, "_STEP", 64)
+            m.setattr(secrets, "_OUT", 100)
+            assert {(a, k, b) for a, k, b, _ in secrets.scan(text, 1 << 30)[1]} == whole
+    assert bool(whole) == (name not in ("dropped", "short", "23"))
+
+
 def brute_base(text):
     kinds = [(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 6),
              (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 20), (r"[0-9a-f]+", lambda m: len(m.group()) >= 24)]
