@@ -29,6 +29,8 @@ from tabml.llm.common import SEPARATORS, arrow, only, shared_table, shuffle_part
 
 _LOG = ("uid long, key long, norm binary, best_chars long, best_id long, n long, "
         "members array<struct<doc_id: long, row_hash: long, best: boolean>>")
+#: bytes that a member takes in a scan task, about
+_MEMBER = 256
 _INDEX = "uid long, bucket int, key long, chain int, head boolean, keep_id long, n long, text_sha256 string"
 
 
@@ -45,7 +47,7 @@ def _signed(h: int) -> int:
 
 def entry_log(docs: DataFrame, hash_bits: int = 64, flush_bytes: int = 32 << 20) -> DataFrame:
     """Entries of (doc_id, text): one per distinct text and task, or more where a
-    task's distinct texts pass ``flush_bytes``."""
+    task's distinct texts and their members (_MEMBER bytes each) pass ``flush_bytes``."""
     schema = arrow(_LOG)
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,6 +73,7 @@ def entry_log(docs: DataFrame, hash_bits: int = 64, flush_bytes: int = 32 << 20)
                 norm = raw.translate(None, SEPARATORS)
                 if norm not in groups:
                     held += len(norm)
+                held += _MEMBER
                 groups.setdefault(norm, []).append((len(text), i, _signed(xxhash.xxh64_intdigest(raw, 42))))
                 if held > flush_bytes:
                     yield rows(groups)

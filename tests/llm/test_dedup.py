@@ -36,6 +36,17 @@ def test_exact_dedup(docs, rows, bits, flush, bucket):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+@pytest.mark.parametrize("text", ["one text", "", None])
+def test_entries_of_a_hot_text_stay_small(spark, text):
+    rows = [(i, text) for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    log = exact_dedup.entry_log(df, flush_bytes=100 * exact_dedup._MEMBER).select("n").collect()
+    assert sum(r.n for r in log) == 5000 and max(r.n for r in log) <= 101
+    got = exact_dedup.exact_dedup(df, flush_bytes=100 * exact_dedup._MEMBER).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == expected_groups(rows)
+    assert [r.doc_id for r in got if r.kept] == [0]
+
+
 def test_exact_dedup_null_ids_and_empty(with_null_ids, rows, empty):
     got = exact_dedup.exact_dedup(with_null_ids).collect()
     null_rows = [(None if r[0] % 9 == 0 else r[0], *r[1:]) for r in rows]
