@@ -8,7 +8,8 @@ there, and complete distances are verified. Probes only go from a 0 bit to a
 
 Documents of equal fingerprints collapse to one node before that. Matches of a
 table bucket never leave their task as pairs: a spanning forest of the verified
-links does, which is as connected and at most as large as the bucket.
+links does, which is as connected and at most as large as the bucket. Buckets of
+very many rows are cut into chunks, and each pair of chunks is a group of bounded size.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from tabml.llm.common import LOWER, only, shared_table, shuffle_partitions, signed, texts_of
 from tabml.llm.components import components, local_roots, local_star
 
+#: rows of a bucket above which it is cut into chunks, each pair of them a task's group
+CHUNK = 1 << 14
 #: values that are compared at once inside one bucket
 _BLOCK = 2048
 
@@ -120,11 +123,11 @@ def _verify(distance: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "probe", "fp", "node")]
+            cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "probe", "fp", "node")]
             if left is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(left, cols)]
-            bucket, probe, fp, node = cols
-            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            bucket, i, j, probe, fp, node = cols
+            starts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
             last = int(starts[-1])
             left = [c[last:] for c in cols]
             ends = np.r_[starts[1:], len(bucket)][:-1]
@@ -134,8 +137,8 @@ def _verify(distance: int):
             for s, e in zip(*(x[(~probe[starts]) & (ends - starts > 1)].tolist() for x in (starts, ends))):
                 edges += forest(fp[s:e].view(np.uint64), probe[s:e], node[s:e])
             yield _edges(edges)
-        if left is not None and not left[1][0] and len(left[0]) > 1:
-            yield _edges(forest(left[2].view(np.uint64), left[1], left[3]))
+        if left is not None and not left[3][0] and len(left[0]) > 1:
+            yield _edges(forest(left[4].view(np.uint64), left[3], left[5]))
 
     return run
 
@@ -145,14 +148,25 @@ def _edges(edges) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
-def link(nodes: DataFrame, distance: int = 3) -> DataFrame:
+def link(nodes: DataFrame, distance: int = 3, chunk: int = CHUNK) -> DataFrame:
     """Edges (u, v) that connect exactly the nodes of (node, fp) which links of
     at most ``distance`` differing bits (0 to 3) connect; fp must be distinct."""
     if not 0 <= distance <= 3:
         raise ValueError("two halves with balls of radius 1 find distances up to 3")
     probes = nodes.mapInArrow(_probe, "bucket long, probe boolean, fp long, node long")
-    dealt = probes.repartition(shuffle_partitions(nodes.sparkSession), "bucket").sortWithinPartitions("bucket", "probe")
-    return dealt.mapInArrow(_verify(distance), "u long, v long")
+    dealt = _pairs(probes, chunk).repartition(shuffle_partitions(nodes.sparkSession), "bucket", "i", "j")
+    return dealt.sortWithinPartitions("bucket", "i", "j", "probe").mapInArrow(_verify(distance), "u long, v long")
+
+
+def _pairs(probes: DataFrame, chunk: int) -> DataFrame:
+    """The rows of each bucket with the pairs (i, j) of chunks that they belong to:
+    one pair (0, 0), or all pairs of a chunk where a bucket has over ``chunk`` rows."""
+    large = probes.groupBy("bucket").count().where(F.col("count") > chunk)
+    large = shared_table(large.select("bucket", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")), "large_buckets")
+    rows = probes.join(large, "bucket", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.select("bucket", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "probe", "fp", "node")
 
 
 def simhash(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int = 3,

@@ -168,3 +168,15 @@ def test_substring_dedup_null_ids_and_empty(with_null_ids, rows, empty):
     for r in substring_dedup.substring_dedup(with_null_ids).collect():
         assert want[r.doc_id] == (r.n_words, r.n_removed, r.kept) if r.doc_id else r.n_removed == 0
     assert substring_dedup.substring_dedup(empty).count() == 0
+
+
+def test_simhash_cuts_large_buckets_into_chunk_pairs(spark):
+    values = sorted({int(x) << 32 | 77 for x in np.random.default_rng(3).integers(0, 1 << 11, 600)})
+    nodes = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "node long, fp long")
+    probes = nodes.mapInArrow(simhash._probe, "bucket long, probe boolean, fp long, node long")
+    whole, pairs = probes.groupBy("bucket").count(), simhash._pairs(probes, 64).groupBy("bucket", "i", "j").count()
+    assert whole.agg({"count": "max"}).first()[0] >= len(values) and pairs.agg({"count": "max"}).first()[0] <= 64 * 4
+    close = [(a, b) for a in range(len(values)) for b in range(a) if (values[a] ^ values[b]).bit_count() <= 3]
+    want = union_find(close, range(len(values)))
+    got = union_find([(r.u, r.v) for r in simhash.link(nodes, 3, chunk=64).collect()], range(len(values)))
+    assert got == want
