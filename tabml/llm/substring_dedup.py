@@ -1,13 +1,15 @@
-"""Substring dedup: documents are parsed into factors of an indexed reference,
-relative Lempel-Ziv style.
+"""Substring dedup by anchor-cut chunks and window lookup.
 
-The reference is the whole corpus. Every window of consecutive words has an
+This stands in for a dealt relative Lempel-Ziv parse: no longest match is taken
+against a reference block. What is called a factor here is a chunk of a document,
+cut without any reference, and equal chunks and windows are grouped by hash.
+
+Every window of consecutive words has an
 anchor, its smallest k-word hash, and a document is cut greedily, left to right,
 into factors: runs of windows, as long as they can be, that share one anchor.
 Equal word sequences are cut alike, whatever surrounds them, as far as their
-windows go. The index deals the factors into reference blocks by the hash of their
-anchor, so each document is parsed against every block, and each factor meets,
-in one block, all that could repeat it:
+windows go. The index deals the factors into blocks by the hash of their
+anchor, and each factor meets, in one block, all that could repeat it:
 
 * a factor whose whole content also starts earlier is a duplicate span;
 * a first factor whose anchor stands in no other content repeats nothing;
