@@ -897,7 +897,7 @@ def q_tree_nodes(spark, sf):
     import uuid
     from tabml.session import checkpoint_dir
     _, x = _p1_split(spark, sf)
-    m = trees.TreeModel("forest", "classification", max_depth=5, n_estimators=5).fit(x.where(~F.col("is_test")), "y")
+    m = trees.TreeModel("forest", "classification", max_depth=5).fit(x.where(~F.col("is_test")), "y")
     return trees.tree_nodes(m.model, f"{checkpoint_dir(spark)}/nodes-{uuid.uuid4().hex}", tree_index=1, max_depth=3)
 
 
@@ -1154,7 +1154,7 @@ def q_list_models(spark, sf):
     root = f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
     p = fx.fixture(spark, sf, fx.P1, "part")
     for i, model in enumerate(["tree_classifier", "forest_classifier"]):
-        r = train_entry(p, "p_partkey", "y", _P1_FEATS, model, max_depth=3, n_estimators=5)
+        r = train_entry(p, "p_partkey", "y", _P1_FEATS, model, max_depth=3)
         store.save_model(r.bundle, f"{root}/{i}-{model}")
     newest = F.row_number().over(Window.orderBy(F.desc("saved_at")))  # a row per saved model
     return store.list_models(spark, root).select(newest.alias("position"), F.element_at(F.split("path", "/"), -1).alias("folder"), "model_name")

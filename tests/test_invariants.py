@@ -358,3 +358,15 @@ def test_svm_insight_of_three_classes_and_decision_preview(spark):
     assert all(5 < r.n_support <= 70 and r.first_support_ids == sorted(r.first_support_ids) for r in info.values())
     pre = svm.decision_preview(m, df, "id", 4).collect()
     assert [r.id for r in pre] == [0, 1, 2, 3] and all(r.prediction in "abc" and len(r.decision) == r.n_scores == 3 for r in pre)
+
+
+def test_node_view_and_model_list_grow_the_default_forest(spark, monkeypatch):
+    grown = []
+    with monkeypatch.context() as m:
+        m.setattr(catalog.trees, "tree_nodes", lambda model, *a, **k: grown.append(model.getNumTrees))
+        catalog.QUERIES["tree_nodes"](spark, SF)
+    real = catalog.train_entry
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "train_entry", lambda *a, **k: grown.append(k.get("n_estimators", 100)) or real(*a, **k))
+        catalog.QUERIES["list_models"](spark, SF)
+    assert grown == [100, 100, 100]
