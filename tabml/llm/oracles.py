@@ -86,5 +86,20 @@ WITH w AS (
 )
 SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(n_gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents LEFT JOIN k USING (doc_id)
+""",
+    "op11_line_dedup": r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM d
+), k AS (
+  SELECT doc_id, line, i, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), f AS (
+  SELECT doc_id, line, i, length(key) >= 10 AND min(doc_id) OVER (PARTITION BY key) < doc_id AS gone FROM k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM f GROUP BY doc_id
 """,
 }

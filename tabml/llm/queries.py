@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import embedding_dedup, exact_dedup, mixing, packing, secrets, simhash, substring_dedup, token_counts, toxicity, url_filter
+from tabml.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, substring_dedup, token_counts, toxicity, url_filter
 from tabml.llm.common import read
 
 
@@ -81,5 +81,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs.select("doc_id", "text"), labels))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that a smaller doc_id has."""
+    kept = line_dedup.line_dedup(read(spark, sf_dir, "documents"), chars=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_secrets, op3_simhash, op4_url_filter, op5_source_mix, op6_embedding_dedup, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity)}
+    op1_exact_dedup, op2_secrets, op3_simhash, op4_url_filter, op5_source_mix, op6_embedding_dedup, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity,
+    op11_line_dedup)}
