@@ -136,5 +136,38 @@ WITH RECURSIVE bits AS (
   SELECT c.word, c.root FROM c JOIN g ON c.root = g.word WHERE g.form IS NULL
 )
 SELECT word, form, root, n, n_near, form_n FROM g JOIN e USING (word)
+""",
+    "op13_conversation_trie": r"""
+WITH bits AS (
+  SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM range(256) r(b)
+), tab AS (
+  SELECT list(t ORDER BY b) AS t FROM bits
+), c AS (
+  SELECT conv_id, hex(encode(CAST(conv_id AS VARCHAR))) AS x,
+         list(strlen(coalesce(text, '')) || ' ' || sha256(coalesce(role, '') || chr(0) || coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+                                         lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 9 AS h FROM c, tab
+), s AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h], h.turns[h + 1:]) AS seq FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 5
+), p AS (
+  SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM s
+), n AS (
+  SELECT seq[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = len(seq)), '')) AS ends_sha256
+  FROM p GROUP BY ALL
+), k AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+), e AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * CAST(split_part(path[depth], ' ', 1) AS BIGINT) END AS saved FROM n LEFT JOIN k USING (path)
+), a AS (
+  SELECT path, n_children = 0 AS leaf, saved, unnest(range(0, depth + 1)) AS up FROM e
+), t AS (
+  SELECT path[1:up] AS path, count(*) FILTER (leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM a GROUP BY ALL
+)
+SELECT e.conv_id, e.depth, u.conv_id AS parent_conv_id, e.n_convs, e.n_children, n_leaves, saved_tokens, e.ends_sha256
+FROM e JOIN t USING (path) LEFT JOIN e u ON e.depth > 0 AND u.path = e.path[1:e.depth - 1]
 """,
 }

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, spelling, substring_dedup, token_counts, toxicity, url_filter
+from tabml.llm import conversation_trie, embedding_dedup, exact_dedup, line_dedup, mixing, packing, secrets, simhash, spelling, substring_dedup, token_counts, toxicity, url_filter
 from tabml.llm.common import read
 
 
@@ -92,6 +92,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(read(spark, sf_dir, "documents"), chars=7, count=2, every=31, ratio=10)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return conversation_trie.conversation_trie(read(spark, sf_dir, "conversations"), share=(5, 9))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_secrets, op3_simhash, op4_url_filter, op5_source_mix, op6_embedding_dedup, op7_substring_dedup, op8_token_counts, op9_packing, op10_toxicity,
-    op11_line_dedup, op12_spelling_variants)}
+    op11_line_dedup, op12_spelling_variants, op13_conversation_trie)}
