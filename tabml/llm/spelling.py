@@ -305,10 +305,33 @@ def best_near(words: list[bytes], n: np.ndarray, home: int) -> pa.RecordBatch:
          pa.array([words[k].decode("latin-1") for k in with_], pa.string())], ["word", "n_near", "best_n", "best"])
 
 
+def _reached(top: TopTrie, vec: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """The own subtrie of each word, and for subtries the words that go there."""
+    home = top.home(vec)
+    return home, [(a, which[home[which] <= a]) for a, _, _, which, _, _ in top.search(vec)]
+
+
+def traffic(words: DataFrame, top: TopTrie) -> np.ndarray:
+    """How many words go to each subtrie, its own and foreign ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(top.rows), dtype=np.int64)
+        for b in batches:
+            if b.num_rows:
+                for sub, which in _reached(top, vectors(latin(b.column("word"))))[1]:
+                    n[sub] += len(which)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n), pa.int32()), pa.array(n[n > 0])], ["sub", "n"])
+
+    out = np.zeros(len(top.rows))
+    for sub, n in words.select("word").mapInArrow(run, "sub int, n long").groupBy("sub").agg(F.sum("n")).collect():
+        out[sub] = n
+    return out
+
+
 def deal(words: DataFrame, subtries: dict[tuple[int, ...], int], tasks: int) -> DataFrame:
-    """Every word in its own subtrie and, as foreign, in the later ones it reaches."""
+    """Every word in its own subtrie and, as foreign, in the later ones it reaches.
+    Owner tasks have neighbouring subtries and about as many words each."""
     top = TopTrie(list(subtries))
-    size = np.array(list(subtries.values()), dtype=np.float64)
+    size = traffic(words, top)
     owner = np.minimum(((np.cumsum(size) - size / 2) / max(size.sum(), 1) * tasks).astype(np.int64), tasks - 1)
     schema = arrow(_DEALT)
 
@@ -316,11 +339,9 @@ def deal(words: DataFrame, subtries: dict[tuple[int, ...], int], tasks: int) ->
         for b in batches:
             if not b.num_rows:
                 continue
-            vec = vectors(latin(b.column("word")))
-            home = top.home(vec)
-            reached = [(which[home[which] <= a], a) for a, _, _, which, _, _ in top.search(vec)]
-            which = np.concatenate([w for w, _ in reached])
-            sub = np.concatenate([np.full(len(w), a) for w, a in reached])
+            home, reached = _reached(top, vectors(latin(b.column("word"))))
+            which = np.concatenate([w for _, w in reached])
+            sub = np.concatenate([np.full(len(w), a) for a, w in reached])
             rows = pa.array(which)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(owner[sub], pa.int32()), pa.array(sub, pa.int32()), pa.array(home[which] != sub), b.column("word").take(rows), b.column("n").take(rows)],
