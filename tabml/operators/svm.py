@@ -8,28 +8,29 @@ Classifier (``SVC``)
     than two classes: one-vs-one as the library does (one machine per class
     pair, fitted as concurrent jobs; majority vote, first maximum wins), or
     one-vs-rest (``multiclass="ovr"``, MLlib ``OneVsRest``).
-    rbf / poly / sigmoid kernels: a Nystroem feature map (Williams & Seeger
-    2001): ``m`` landmark rows (lowest seeded hash, a bounded sample) are
-    broadcast, each row is mapped to ``K(x, landmarks) @ K_mm^{-1/2}`` by a
-    pandas UDF, and the linear machine is trained on the map.  This
-    approximates the exact kernel machine; ``n_landmarks`` sets the quality.
+    rbf / poly / sigmoid kernels: a low-rank feature map. Landmark rows are the
+    pivots of an incomplete Cholesky factorisation of the kernel matrix
+    (Fine & Scheinberg 2001): each pass over the table measures what the landmarks
+    so far leave of every row's diagonal entry, the rows with the most become
+    landmarks, until the residual trace is at most ``landmark_tol`` of the
+    whole. ``landmark_error_`` is the share that is left; ``n_landmarks`` bounds their
+    number, with a warning where it ends the search. Each row is mapped to its row
+    of the factor by a pandas UDF, and the linear machine is trained on the map.
     ``probability=True``: Platt scaling as the library does it: decision
     scores of the training rows come out of fold (``platt_cv`` stratified
     folds, default 5), and a sigmoid is fitted to them with Platt's smoothed
-    targets ``(N+ + 1) / (N+ + 2)`` and ``1 / (N- + 2)`` (a weighted
-    ``LogisticRegression``: each row once as label 1 with weight t, once as
-    label 0 with weight 1 - t).  Multi-class: one sigmoid per one-vs-rest
-    score, normalised to sum to 1 (the library couples one-vs-one pairs).
+    targets ``(N+ + 1) / (N+ + 2)`` and ``1 / (N- + 2)`` (a logistic regression on the score, all sigmoids in the same passes).  One-vs-one machines: a sigmoid per class pair
+    on the out-of-fold margins of its rows, and the class probabilities that
+    agree best with all pairs (Wu, Lin & Weng 2004, second method), solved for a
+    whole batch of rows at once.  One-vs-rest: one sigmoid per score, normalised.
 
 Regressor (``SVR``)
-    Primal epsilon-insensitive regression with the squared loss
-    ``1/2 |w|^2 + C * sum(max(0, |y - x.w - b| - eps)^2)`` (the library's
-    ``squared_epsilon_insensitive`` loss; its kernel SVR uses the absolute
-    loss, so fits differ slightly).  The objective is piecewise quadratic, so
-    a semismooth Newton method converges in a few steps: each step is one
-    distributed pass that sums ``Z^T Z`` and ``Z^T t`` over the rows outside
-    the epsilon tube (``mapInPandas`` partial sums, then a Spark sum per
-    cell), and the ``(d+1) x (d+1)`` system is solved on the driver.
+    ``loss="epsilon_insensitive"``: the absolute loss, ``1/2 |w|^2 + C *
+    sum(max(0, |y - x.w - b| - eps))``, fitted to a duality gap of ``tol``
+    (``operators/tube.py``); ``objective_``, ``gap_`` and ``converged_`` report it.
+    ``loss="squared_epsilon_insensitive"``: the same with squares, by semismooth
+    Newton steps, each one pass that sums ``Z^T Z`` and ``Z^T t`` over the rows
+    outside the tube, solved on the driver.
 
 Kernel parameters: ``gamma="scale"`` = 1 / (d * variance of all matrix
 entries), ``"auto"`` = 1 / d, or a number; ``degree`` and ``coef0`` as usual.
@@ -37,20 +38,28 @@ entries), ``"auto"`` = 1 / d, or a number; ``degree`` and ``coef0`` as usual.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabml.operators.target import MAX_CLASSES
 from pyspark.sql import types as T
 
 from tabml.functions.hashing import order_hash
+from tabml.functions.sums import matrix, sum_over
+from tabml.operators.target import MAX_CLASSES
+from tabml.operators.tube import fit_tube
 from tabml.session import spread
 
+#: landmarks of a kernel map at most, and the share of the kernel's trace that may be left
+MAX_LANDMARKS, LANDMARK_TOL = 1000, 1e-2
+
 
 def resolve_gamma(df: DataFrame, features: str, gamma) -> float:
     if isinstance(gamma, (int, float)):
@@ -77,24 +86,110 @@ def _kernel(a: np.ndarray, b: np.ndarray, kernel: str, gamma: float, degree: int
     raise ValueError("kernel must be linear, rbf, poly or sigmoid")
 
 
+def _diagonal(x: np.ndarray, kernel: str, gamma: float, degree: int, coef0: float) -> np.ndarray:
+    """k(x, x) of every row."""
+    if kernel == "rbf":
+        return np.ones(len(x))
+    dot = gamma * np.einsum("ij,ij->i", x, x) + coef0
+    return dot ** degree if kernel == "poly" else np.tanh(dot)
+
+
+def _pivots(rows: np.ndarray, kernel_of, residual: np.ndarray, most: int, floor: float) -> list[int]:
+    """Greedy pivots among candidate rows whose kernel, less what earlier landmarks
+    explain, is ``kernel_of(rows, row)``; ends at ``most`` or a residual of ``floor``."""
+    left, factor, out = residual.copy(), np.zeros((len(rows), most)), []
+    while len(out) < min(most, len(rows)):
+        i = int(np.argmax(left))
+        if left[i] <= floor:
+            break
+        k = len(out)
+        factor[:, k] = (kernel_of(rows, rows[i:i + 1])[:, 0] - factor[:, :k] @ factor[i, :k]) / np.sqrt(left[i])
+        left = left - factor[:, k] ** 2
+        left[i] = -np.inf
+        out.append(i)
+    return out
+
+
 class Nystroem:
-    """Bounded landmark sample + pandas-UDF feature map."""
+    """Low-rank kernel map on landmark rows found by pivoted incomplete Cholesky."""
 
-    def __init__(self, kernel="rbf", gamma="scale", degree=3, coef0=0.0, n_landmarks=200, seed=42):
+    def __init__(self, kernel="rbf", gamma="scale", degree=3, coef0=0.0, n_landmarks=MAX_LANDMARKS, seed=42,
+                 landmark_tol=LANDMARK_TOL):
         self.kernel, self.gamma, self.degree, self.coef0 = kernel, gamma, degree, coef0
-        self.n_landmarks, self.seed = n_landmarks, seed
+        self.n_landmarks, self.seed, self.landmark_tol = n_landmarks, seed, landmark_tol
 
     def fit(self, df: DataFrame, key: str, features: str = "features") -> "Nystroem":
+        """One pass per batch of landmarks; ties are broken by a seeded hash of the key."""
         self.gamma_ = resolve_gamma(df, features, self.gamma)
-        rows = (df.select(order_hash(self.seed, [key]).alias("_h"), F.col(features).cast("array<double>"))
-                  .orderBy("_h").limit(self.n_landmarks).collect())  # bounded by n_landmarks
-        self.landmarks_ = np.array([r[1] for r in rows], dtype=np.float64)
-        kmm = _kernel(self.landmarks_, self.landmarks_, self.kernel, self.gamma_, self.degree, self.coef0)
-        vals, vecs = np.linalg.eigh((kmm + kmm.T) / 2)
-        vals = np.maximum(vals, 1e-12)
-        self.norm_ = vecs / np.sqrt(vals)  # K_mm^{-1/2} up to rotation
+        rows = df.select(order_hash(self.seed, [key]).alias("h"), F.col(features).cast("array<double>").alias("x"))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            dim = len(rows.first()["x"])
+            self.landmarks_, self.norm_ = np.zeros((0, dim)), np.zeros((0, 0))
+            while True:
+                total, left, found = self._residuals(rows, dim, max(32, len(self.landmarks_)))
+                self.landmark_error_ = left / total if total > 0 else 0.0
+                room = self.n_landmarks - len(self.landmarks_)
+                if self.landmark_error_ <= self.landmark_tol or room <= 0 or not self._grow(found, room):
+                    break
+        finally:
+            rows.unpersist()
+        if self.landmark_error_ > self.landmark_tol:
+            warnings.warn(f"kernel map: {len(self.landmarks_)} landmarks leave {self.landmark_error_:.3g} of the kernel's trace "
+                          f"(landmark_tol {self.landmark_tol:.3g})")
         return self
 
+    def _residuals(self, rows: DataFrame, dim: int, batch: int) -> tuple[float, float, list]:
+        """Trace of the kernel, what the landmarks leave of it, and the rows with most left."""
+        lm, norm, kernel, args = self.landmarks_, self.norm_, self.kernel, (self.kernel, self.gamma_, self.degree, self.coef0)
+
+        def run(batches):
+            total = rest = 0.0
+            best: list = []
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                x = matrix(b.column("x"), dim)
+                diagonal = _diagonal(x, *args)
+                left = diagonal - ((_kernel(x, lm, *args) @ norm) ** 2).sum(axis=1) if len(lm) else diagonal
+                total += np.abs(diagonal).sum()
+                rest += np.maximum(left, 0.0).sum()
+                h = b.column("h").to_pylist()
+                top = np.argsort(-left, kind="stable")[:max(2 * batch, 1)] if len(left) > 2 * batch and np.ptp(left) > 0 else range(len(left))
+                best = sorted(best + [(-float(left[i]), h[i], x[i].tolist()) for i in top])[:2 * batch]
+            out = [(None, None, None, total, rest)] + [(-v, k, x, None, None) for v, k, x in best]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in out], pa.float64()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.list_(pa.float64())),
+                 pa.array([r[3] for r in out], pa.float64()), pa.array([r[4] for r in out], pa.float64())], ["r", "h", "x", "total", "rest"])
+
+        found = rows.mapInArrow(run, "r double, h string, x array<double>, total double, rest double").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            total, rest = found.agg(F.sum("total"), F.sum("rest")).first()
+            top = found.where("h is not null").orderBy(F.desc("r"), "h").limit(2 * batch).collect()  # bounded by the batch
+        finally:
+            found.unpersist()
+        return total or 0.0, rest or 0.0, top
+
+    def _grow(self, found: list, room: int) -> bool:
+        """Adds up to half of the candidates as landmarks; False if none has anything left."""
+        x, left = np.array([r["x"] for r in found]), np.array([r["r"] for r in found])
+        args = (self.kernel, self.gamma_, self.degree, self.coef0)
+        lm, norm = self.landmarks_, self.norm_
+
+        def kernel_of(a, b):
+            k = _kernel(a, b, *args)
+            return k - (_kernel(a, lm, *args) @ norm) @ (_kernel(b, lm, *args) @ norm).T if len(lm) else k
+
+        chosen = _pivots(x, kernel_of, left, min(room, max(1, len(found) // 2)), 1e-9 * max(1.0, float(left.max())))
+        if not chosen:
+            return False
+        self.landmarks_ = np.vstack([lm, x[chosen]])
+        k = _kernel(self.landmarks_, self.landmarks_, *args)
+        vals, vecs = np.linalg.eigh((k + k.T) / 2)
+        keep = vals > 1e-12 * vals.max()
+        self.norm_ = vecs[:, keep] / np.sqrt(vals[keep])  # K_mm^{-1/2} up to rotation
+        return True
+
     def transform(self, df: DataFrame, features: str = "features", out_col: str = "features") -> DataFrame:
         lm, norm = self.landmarks_, self.norm_
         kernel, gamma, degree, coef0 = self.kernel, self.gamma_, self.degree, self.coef0
@@ -113,15 +208,15 @@ class Nystroem:
 class SVC:
     def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma="scale", degree: int = 3, coef0: float = 0.0,
                  class_weight: str | None = None, tol: float = 1e-3, max_iter: int = 1000,
-                 probability: bool = False, n_landmarks: int = 200, seed: int = 42, platt_cv: int | None = 5,
-                 multiclass: str = "ovo"):
+                 probability: bool = False, n_landmarks: int = MAX_LANDMARKS, seed: int = 42, platt_cv: int | None = 5,
+                 multiclass: str = "ovo", landmark_tol: float = LANDMARK_TOL):
         if multiclass not in ("ovo", "ovr"):
             raise ValueError("multiclass must be 'ovo' or 'ovr'")
         self.multiclass = multiclass
         self.C, self.kernel, self.gamma, self.degree, self.coef0 = C, kernel, gamma, degree, coef0
         self.class_weight, self.tol, self.max_iter = class_weight, tol, max_iter
         self.probability, self.n_landmarks, self.seed = probability, n_landmarks, seed
-        self.platt_cv = platt_cv
+        self.platt_cv, self.landmark_tol = platt_cv, landmark_tol
 
     def _map(self, df, features):
         if self.kernel == "linear":
@@ -145,7 +240,7 @@ class SVC:
             if key is None:
                 raise ValueError("a kernel SVC needs key= (landmarks are chosen by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
-                                 self.seed).fit(df, key, features)
+                                 self.seed, self.landmark_tol).fit(df, key, features)
         # only what the machines read is kept in memory
         data = spread(self._map(data, features).select("_label", "_vec"), rows=n_rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -212,7 +307,7 @@ class SVC:
         self.model_ = models
 
     def _fit_platt(self, df: DataFrame, label: str, features: str, key: str | None) -> list:
-        k = len(self.classes_)
+        k, folded = len(self.classes_), None
         if self.platt_cv and self.platt_cv > 1:
             if key is None:
                 raise ValueError("probability=True needs key= for the internal folds (or platt_cv=None)")
@@ -222,38 +317,42 @@ class SVC:
             for g in range(self.platt_cv):
                 sub = SVC(C=self.C, kernel=self.kernel, gamma=self.gamma, degree=self.degree, coef0=self.coef0,
                           class_weight=self.class_weight, tol=self.tol, max_iter=self.max_iter, probability=False,
-                          n_landmarks=self.n_landmarks, seed=self.seed, multiclass=self.multiclass)
+                          n_landmarks=self.n_landmarks, seed=self.seed, multiclass=self.multiclass,
+                          landmark_tol=self.landmark_tol)
                 sub.fit(folded.where(F.col("fold") != g), label, features, key)
                 held = folded.where(F.col("fold") == g)
-                parts.append(sub._scores(sub._map(held, features)).select(label, "_score"))
+                parts.append(sub._scores(sub._map(held, features)).select(label, "_platt"))
             oof = parts[0]
             for p in parts[1:]:
                 oof = oof.unionByName(p)
         else:
-            oof = self._scores(self._map(df, features)).select(label, "_score")
+            oof = self._scores(self._map(df, features)).select(label, "_platt")
         idx = F.element_at(F.create_map(*sum(([F.lit(c), F.lit(i)] for i, c in enumerate(self.classes_)), [])),
                            F.col(label))
         oof = oof.withColumn("_label", idx).cache()
-        models = []
-        for j in (range(k) if k > 2 else [1]):
-            pos = oof.where(F.col("_label") == j).count()
-            neg = oof.count() - pos
-            hi, lo = (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)
-            t = F.when(F.col("_label") == j, F.lit(hi)).otherwise(F.lit(lo))
-            soft = oof.select(array_to_vector(F.array(F.col("_score")[j])).alias("_s"), t.alias("_t"))
-            both = soft.select("_s", F.lit(1.0).alias("_y"), F.col("_t").alias("_w")).unionByName(
-                soft.select("_s", F.lit(0.0).alias("_y"), (1 - F.col("_t")).alias("_w")))
-            models.append(LogisticRegression(featuresCol="_s", labelCol="_y", weightCol="_w", regParam=0.0,
-                                             standardization=False).fit(both))
-        oof.unpersist()
-        return models
+        counts = {int(r[0]): r[1] for r in oof.groupBy("_label").count().collect()}  # one row per class
+        # (position in _platt, positive class, classes whose rows it is fitted on)
+        if k == 2:
+            wanted = [(0, 1, (0, 1))]
+        elif isinstance(self.model_, list):
+            wanted = [(x, i, (i, j)) for x, (i, j) in enumerate(self.pairs_)]
+        else:
+            wanted = [(j, j, tuple(range(k))) for j in range(k)]
+        try:
+            return fit_sigmoids(oof.select(F.col("_platt").cast("array<double>"), F.col("_label").cast("double")), wanted, counts)
+        finally:
+            oof.unpersist()
+            if folded is not None:
+                folded.unpersist()
 
     def _scores(self, mapped: DataFrame) -> DataFrame:
-        """Adds ``_score`` (array of per-class decision values) and ``_pred`` (index)."""
+        """Adds ``_score`` (array of per-class decision values), ``_pred`` (index) and
+        ``_platt`` (what the sigmoids are fitted on: the margin, pair margins or scores)."""
         if len(self.classes_) == 2:
             out = self.model_.transform(mapped)
             raw = vector_to_array("rawPrediction")
-            return out.withColumn("_score", F.array(-raw[1], raw[1])).withColumn("_pred", F.col("prediction"))
+            return out.withColumn("_score", F.array(-raw[1], raw[1])).withColumn("_pred", F.col("prediction")).withColumn(
+                "_platt", F.array(raw[1]))
         vec = vector_to_array("_vec")
 
         def margin(m):
@@ -283,10 +382,11 @@ class SVC:
             varr = F.array(*votes)
             best = F.array_position(varr, F.array_max(varr)) - 1
             score = F.array(*[v + cf / (3 * (F.abs(cf) + 1)) for v, cf in zip(votes, conf)])
-            return mapped.withColumn("_score", score).withColumn("_pred", best.cast("double"))
+            return mapped.withColumn("_score", score).withColumn("_pred", best.cast("double")).withColumn(
+                "_platt", F.array(*dec.values()))
         arr = F.array(*[margin(m) for m in self.model_.models])
         best = F.array_position(arr, F.array_max(arr)) - 1
-        return mapped.withColumn("_score", arr).withColumn("_pred", best.cast("double"))
+        return mapped.withColumn("_score", arr).withColumn("_pred", best.cast("double")).withColumn("_platt", arr)
 
     def decision_function(self, df: DataFrame) -> DataFrame:
         """Input plus ``decision`` (binary: the signed margin of the larger
@@ -305,23 +405,108 @@ class SVC:
 
     def _proba_col(self):
         def sig(m, x):
-            c = float(m.coefficients[0])
-            return 1.0 / (1.0 + F.exp(-(F.lit(c) * x + F.lit(float(m.intercept)))))
+            return 1.0 / (1.0 + F.exp(-(F.lit(m[0]) * x + F.lit(m[1]))))
+        ps = [sig(m, F.col("_platt")[j]) for j, m in enumerate(self.platt_)]
         if len(self.classes_) == 2:
-            p1 = sig(self.platt_[0], F.col("_score")[1])
-            return F.array(1 - p1, p1)
-        ps = [sig(m, F.col("_score")[j]) for j, m in enumerate(self.platt_)]
-        tot = sum(ps[1:], ps[0])
-        return F.array(*[p / tot for p in ps])
+            return F.array(1 - ps[0], ps[0])
+        if not isinstance(self.model_, list):
+            tot = sum(ps[1:], ps[0])
+            return F.array(*[p / tot for p in ps])
+        k, pairs = len(self.classes_), self.pairs_
+
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def coupled(r: pd.Series) -> pd.Series:
+            return pd.Series(list(couple(np.array(r.tolist(), dtype=np.float64).reshape(len(r), len(pairs)), pairs, k)))
+
+        return coupled(F.array(*ps))
+
+
+def fit_sigmoids(rows: DataFrame, wanted: list[tuple[int, int, tuple[int, ...]]], counts: dict[int, int],
+                 max_iter: int = 50) -> list[tuple[float, float]]:
+    """(slope, intercept) of Platt's sigmoid for every (position, positive class,
+    classes) over rows (scores, class index): damped Newton steps, all sigmoids in
+    the same pass. The smoothed targets keep separable scores finite."""
+    width, tasks = len(rows.first()[0]), rows.rdd.getNumPartitions()
+    at = np.array([w[0] for w in wanted])
+    member = np.zeros((max(counts) + 1, len(wanted)), dtype=bool)
+    target = np.zeros(member.shape)
+    for x, (_, c, classes) in enumerate(wanted):
+        pos = counts.get(c, 0)
+        neg = sum(counts.get(o, 0) for o in classes) - pos
+        for o in classes:
+            if o < len(member):
+                member[o, x], target[o, x] = True, (pos + 1.0) / (pos + 2.0) if o == c else 1.0 / (neg + 2.0)
+
+    def measure(theta: np.ndarray) -> np.ndarray:
+        def partial(batches):
+            total = np.zeros((6, len(wanted)))
+            for b in batches:
+                s, c = matrix(b.column(0), width)[:, at], b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                z = theta[:, 0] * s + theta[:, 1]
+                p, t, m = 1 / (1 + np.exp(-np.clip(z, -500, 500))), target[c], member[c]
+                off, bend = (p - t) * m, p * (1 - p) * m
+                total += [((np.logaddexp(0, z) - t * z) * m).sum(axis=0), (off * s).sum(axis=0), off.sum(axis=0),
+                          (bend * s * s).sum(axis=0), (bend * s).sum(axis=0), bend.sum(axis=0)]
+            return total.ravel()
+
+        return sum_over(rows, partial, tasks).reshape(6, -1)
+
+    theta = np.zeros((len(wanted), 2))
+    best = measure(theta)
+    step, size = None, np.ones(len(wanted))
+    for _ in range(max_iter):
+        if step is None:
+            _, gs, g1, hss, hs1, h11 = best
+            hss, h11 = hss + 1e-12, h11 + 1e-12
+            det = hss * h11 - hs1 * hs1
+            det = np.where(det > 1e-12 * hss * h11, det, hss * h11)
+            step = -np.stack([h11 * gs - hs1 * g1, hss * g1 - hs1 * gs], axis=1) / det[:, None]
+            size = np.ones(len(wanted))
+        new = measure(theta + size[:, None] * step)
+        worse = ~(new[0] <= best[0] + 1e-12 * np.abs(best[0]))
+        if worse.any() and size[worse].max() > 1e-6:
+            size[worse] /= 4
+            continue
+        size[worse] = 0.0
+        theta, best = theta + size[:, None] * step, np.where(worse, best, new)
+        if np.abs(size[:, None] * step).max() <= 1e-8 * (1 + np.abs(theta).max()):
+            break
+        step = None
+    return [(float(a), float(b)) for a, b in theta]
+
+
+def couple(r: np.ndarray, pairs: list[tuple[int, int]], k: int) -> np.ndarray:
+    """Class probabilities (rows, k) from pair probabilities (rows, pairs): r is that
+    of the pair's first class. Minimises sum over i != j of (r_ji p_i - r_ij p_j)^2
+    with p summing to 1, a linear system per row, all rows solved at once."""
+    each = np.zeros((len(r), k, k))
+    for x, (i, j) in enumerate(pairs):
+        each[:, i, j] = np.clip(r[:, x], 1e-7, 1 - 1e-7)
+        each[:, j, i] = 1 - each[:, i, j]
+    system = np.ones((len(r), k + 1, k + 1))
+    system[:, :k, :k] = -each * np.swapaxes(each, 1, 2)
+    system[:, range(k), range(k)] = (each ** 2).sum(axis=1)
+    system[:, k, k] = 0.0
+    right = np.zeros((len(r), k + 1, 1))
+    right[:, k] = 1.0
+    p = np.maximum(np.linalg.solve(system, right)[:, :k, 0], 0.0)
+    return p / p.sum(axis=1, keepdims=True)
+
+
+LOSSES = ("epsilon_insensitive", "squared_epsilon_insensitive")
 
 
 class SVR:
+    """``max_iter`` bounds the passes of the absolute and the steps of the squared loss."""
+
     def __init__(self, C: float = 1.0, epsilon: float = 0.1, kernel: str = "rbf", gamma="scale", degree: int = 3,
-                 coef0: float = 0.0, max_iter: int = 50, tol: float = 1e-8, n_landmarks: int = 200,
-                 seed: int = 42):
+                 coef0: float = 0.0, max_iter: int = 300, tol: float = 1e-5, n_landmarks: int = MAX_LANDMARKS,
+                 seed: int = 42, loss: str = "epsilon_insensitive", landmark_tol: float = LANDMARK_TOL):
+        if loss not in LOSSES:
+            raise ValueError(f"loss must be one of {LOSSES}")
         self.C, self.epsilon, self.kernel, self.gamma = C, epsilon, kernel, gamma
         self.degree, self.coef0, self.max_iter, self.tol = degree, coef0, max_iter, tol
-        self.n_landmarks, self.seed = n_landmarks, seed
+        self.n_landmarks, self.seed, self.loss, self.landmark_tol = n_landmarks, seed, loss, landmark_tol
 
     def _map(self, df: DataFrame, features: str) -> DataFrame:
         if self.kernel == "linear":
@@ -332,68 +517,69 @@ class SVR:
         self.label, self.features = label, features
         if self.kernel != "linear":
             if key is None:
-                raise ValueError("a kernel SVR needs key= (landmarks are chosen by a seeded hash of the key)")
+                raise ValueError("a kernel SVR needs key= (landmark ties are broken by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
-                                 self.seed).fit(df, key, features)
+                                 self.seed, self.landmark_tol).fit(df, key, features)
         mapped = self._map(df, features).select("_z", F.col(label).cast("double").alias("_y"))
-        data = spread(mapped, rows=df.count()).cache()
-        d = len(data.first()["_z"])
+        data = spread(mapped, rows=df.count()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            dim, tasks = len(data.first()["_z"]), data.rdd.getNumPartitions()
+            C, eps = float(self.C), float(self.epsilon)
+            if self.loss == "epsilon_insensitive":
+                f = fit_tube(data, dim, C, eps, self.tol, self.max_iter, tasks)
+                self.coef_, self.intercept_, self.objective_ = f.coef, f.intercept, f.objective
+                self.gap_, self.converged_, self.n_iter_ = f.gap, f.converged, f.passes
+            else:
+                self._fit_squared(data, dim, C, eps, tasks)
+        finally:
+            data.unpersist()
+        return self
+
+    def _fit_squared(self, data: DataFrame, d: int, C: float, eps: float, tasks: int) -> None:
         theta = np.zeros(d + 1)
-        C, eps = float(self.C), float(self.epsilon)
         reg = np.eye(d + 1)
         reg[d, d] = 0.0
-        best, best_obj = None, None
-        self.n_iter_ = 0
-        for _ in range(self.max_iter):
+        best, best_obj = theta, None
+        self.n_iter_, self.converged_ = 0, False
+        while self.n_iter_ < self.max_iter and not self.converged_:
             self.n_iter_ += 1
-            g, r, loss = self._pass(data, theta, d, eps)
+            g, r, loss = self._pass(data, theta, d, eps, tasks)
             obj = 0.5 * float(theta[:d] @ theta[:d]) + C * loss
             if best_obj is not None and obj > best_obj * (1 + 1e-12) + 1e-12:
                 # the full step overshot: back off halfway toward the last accepted point
                 theta = best + 0.5 * (theta - best)
-                if float(np.max(np.abs(theta - best))) <= 1e-10 * (1.0 + float(np.max(np.abs(best)))):
-                    theta = best
-                    break
+                self.converged_ = float(np.max(np.abs(theta - best))) <= 1e-10 * (1.0 + float(np.max(np.abs(best))))
                 continue
             best, best_obj = theta, obj
             new = np.linalg.solve(reg + 2 * C * g + 1e-12 * np.eye(d + 1), 2 * C * r)
             # a Newton step on an unchanged active set lands on the exact minimum
-            if float(np.max(np.abs(new - theta))) <= 1e-9 * (1.0 + float(np.max(np.abs(theta)))):
-                break
+            self.converged_ = float(np.max(np.abs(new - theta))) <= 1e-9 * (1.0 + float(np.max(np.abs(theta))))
             theta = new
-        if best is not None:
-            theta = best  # the last evaluated, accepted point
-        data.unpersist()
-        self.coef_, self.intercept_ = theta[:d], float(theta[d])
-        return self
+        if not self.converged_:
+            warnings.warn(f"squared epsilon-insensitive fit: not converged after {self.n_iter_} steps")
+        self.coef_, self.intercept_, self.objective_, self.gap_ = best[:d], float(best[d]), best_obj, None
 
     @staticmethod
-    def _pass(data: DataFrame, th: np.ndarray, d: int, eps: float):
+    def _pass(data: DataFrame, th: np.ndarray, d: int, eps: float, tasks: int):
         """One distributed pass: ``Z^T Z`` and ``Z^T t`` over the rows outside
-        the tube, and the tube loss, from per-partition NumPy partial sums."""
+        the tube, and the tube loss."""
 
-        def partial(it):
+        def partial(batches):
             g = np.zeros((d + 1, d + 1))
             r = np.zeros(d + 1)
             loss = 0.0
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                z = np.hstack([np.stack(pdf["_z"].to_numpy()), np.ones((len(pdf), 1))])
-                y = pdf["_y"].to_numpy()
+            for b in batches:
+                z = np.column_stack([matrix(b.column(0), d), np.ones(b.num_rows)])
+                y = b.column(1).to_numpy(zero_copy_only=False)
                 res = y - z @ th
                 act = np.abs(res) > eps
                 za, ta = z[act], y[act] - np.sign(res[act]) * eps
                 g += za.T @ za
                 r += za.T @ ta
                 loss += float(((np.abs(res[act]) - eps) ** 2).sum())
-            yield pd.DataFrame({"g": [np.concatenate([g.ravel(), r, [loss]]).tolist()]})
+            return np.concatenate([g.ravel(), r, [loss]])
 
-        parts = data.mapInPandas(partial, "g array<double>")
-        cells = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
-        vec = np.zeros((d + 1) * (d + 1) + d + 2)
-        for row in cells:
-            vec[row["i"]] = row["v"]
+        vec = sum_over(data, partial, tasks)
         return (vec[:(d + 1) ** 2].reshape(d + 1, d + 1), vec[(d + 1) ** 2:(d + 1) ** 2 + d + 1],
                 float(vec[-1]))
 

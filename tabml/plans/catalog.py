@@ -979,6 +979,30 @@ def q_svr_rbf(spark, sf):
     return _svr(spark, sf, "rbf")
 
 
+@query("svr_objective", f"""WITH {sq.tube_scan("SELECT CAST(p_size AS DOUBLE) / 10 AS z, CAST(p_retailprice AS DOUBLE) / 10 + p_partkey * 37 % 11 AS y FROM part", 1.0, 0.5)}
+SELECT (SELECT count(*) FROM d) AS n, round(f / (SELECT count(*) FROM d), 6) AS objective_per_row, round(w, 4) AS coef, true AS converged
+FROM best""")
+def q_svr_objective(spark, sf):
+    """The optimum of the absolute epsilon-insensitive loss on one feature: the
+    oracle scans the coefficient, with the best intercept (a median) for each."""
+    d = fx.table(spark, sf, "part").select(
+        "p_partkey", F.array(F.col("p_size").cast("double") / 10).alias("z"),
+        (F.col("p_retailprice").cast("double") / 10 + F.col("p_partkey") * 37 % 11).alias("y"))
+    m = svm_op.SVR(C=1.0, epsilon=0.5, kernel="linear", tol=1e-9).fit(d, "y", "z")
+    n = d.count()
+    row = (n, round(float(m.objective_) / n, 6), round(float(m.coef_[0]), 4), m.converged_)
+    return spark.createDataFrame([row], "n long, objective_per_row double, coef double, converged boolean")
+
+
+@query("svc_proba_coupled")
+def q_svc_proba_coupled(spark, sf):
+    """Pairwise coupled probabilities of three classes, held-out rows."""
+    pm, x = _p1_split(spark, sf)
+    m = svm_op.SVC(C=1.0, kernel="linear", probability=True).fit(x.where(~F.col("is_test")), "y", key="p_partkey")
+    return m.predict(x.where(F.col("is_test"))).select(
+        "p_partkey", "y", "prediction", *[F.col("probability")[i].alias(f"p_{c}") for i, c in enumerate(m.classes_)])
+
+
 @query("save_load_roundtrip", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM part")
 def q_save_load_roundtrip(spark, sf):
     """Predictions of a saved-then-loaded bundle against the in-memory one:

@@ -150,3 +150,16 @@ _spr AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p
                 CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rc FROM _spl),
 _sf AS (SELECT *, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END AS f1 FROM _spr),
 _sc AS (SELECT g, sum(tp) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS f1_weighted FROM _sf GROUP BY g)"""
+
+
+def tube_scan(src: str, C: float, eps: float, half_width: float = 100.0, levels: int = 11) -> str:
+    """CTEs ending in relation ``best`` (w, f): the least of w^2 / 2 + C * sum(max(0, |y - w z - b| - eps))
+    over w and b for ``src`` (z, y). Each level measures 21 values of w around the best
+    of the last; the best b for a w is the median of all residuals plus and minus eps."""
+    out, at, step = [f"d AS ({src})"], "0.0", half_width / 10
+    for k in range(levels):
+        out.append(f"""g{k} AS (SELECT {at} + (i - 10) * CAST({step!r} AS DOUBLE) AS w FROM range(21) t(i)),
+m{k} AS (SELECT w, median(y - w * z + e) AS b FROM d, g{k}, (SELECT unnest([CAST({eps} AS DOUBLE), CAST({-eps} AS DOUBLE)]) AS e) GROUP BY w),
+o{k} AS (SELECT w, w * w / 2 + {C} * sum(greatest(abs(y - w * z - b) - {eps}, 0)) AS f FROM d, m{k} GROUP BY w, b)""")
+        at, step = f"(SELECT arg_min(w, f) FROM o{k})", step / 10
+    return ",\n".join([*out, f"best AS (SELECT arg_min(w, f) AS w, min(f) AS f FROM o{levels - 1})"])

@@ -25,7 +25,7 @@ def _svm_state(m) -> dict:
     st = {"kind": type(m).__name__, "params": {k: v for k, v in vars(m).items()
                                                if k in ("C", "kernel", "gamma", "degree", "coef0", "class_weight",
                                                         "tol", "max_iter", "probability", "n_landmarks", "seed",
-                                                        "epsilon", "platt_cv", "multiclass")}}
+                                                        "epsilon", "platt_cv", "multiclass", "loss", "landmark_tol")}}
     if getattr(m, "nys_", None) is not None:
         st["nys"] = {"gamma_": m.nys_.gamma_, "landmarks": m.nys_.landmarks_.tolist(), "norm": m.nys_.norm_.tolist()}
     if type(m).__name__ == "SVR":
@@ -54,11 +54,8 @@ def save_model(bundle, path: str) -> None:
                 st["pairs"] = [list(pr) for pr in m.pairs_]
             elif st["kind"] == "SVC":
                 m.model_.write().overwrite().save(f"{path}/model_{i}")
-            if st["kind"] == "SVC":
-                if getattr(m, "platt_", None):
-                    for j, pm in enumerate(m.platt_):
-                        pm.write().overwrite().save(f"{path}/platt_{i}_{j}")
-                    st["n_platt"] = len(m.platt_)
+            if st["kind"] == "SVC" and getattr(m, "platt_", None):
+                st["platt"] = [list(x) for x in m.platt_]
             models[t] = st
     if bundle.family == "knn":
         bundle.knn_train.write.mode("overwrite").parquet(f"{path}/train")
@@ -74,8 +71,7 @@ def save_model(bundle, path: str) -> None:
 
 
 def load_model(path: str):
-    from pyspark.ml.classification import (DecisionTreeClassificationModel, LinearSVCModel,
-                                           LogisticRegressionModel, OneVsRestModel,
+    from pyspark.ml.classification import (DecisionTreeClassificationModel, LinearSVCModel, OneVsRestModel,
                                            RandomForestClassificationModel)
     from pyspark.ml.regression import DecisionTreeRegressionModel, RandomForestRegressionModel
     import numpy as np
@@ -119,8 +115,8 @@ def load_model(path: str):
             else:
                 loader = LinearSVCModel if len(m.classes_) == 2 else OneVsRestModel
                 m.model_ = loader.load(f"{path}/model_{i}")
-            if st.get("n_platt"):
-                m.platt_ = [LogisticRegressionModel.load(f"{path}/platt_{i}_{j}") for j in range(st["n_platt"])]
+            if st.get("platt"):
+                m.platt_ = [tuple(x) for x in st["platt"]]
         b.models[t] = m
     return b
 
