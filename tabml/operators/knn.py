@@ -1,18 +1,24 @@
-"""Exact k-nearest neighbours as a blocked Spark join.
-
-Plan (no cross join, no pair rows, no unbounded broadcast):
-
-1. Train rows get a train block ``tb = hash(key) % T`` and test rows a query
-   block ``qb = hash(key) % Q`` where ``T, Q = ceil(rows / block_rows)``.  A
-   block therefore holds about ``block_rows`` rows whatever the data size or
-   label skew (the block key is a hash of the unique row key, not the label).
-2. Each train row is sent to the ``Q`` query blocks and each test row to the
-   ``T`` train blocks (``explode(sequence)``), and the two sides meet in
-   ``cogroup((qb, tb)).applyInPandas``.  Inside a group NumPy computes the
-   distance matrix chunk by chunk and emits only the k best train rows per
-   test row (ties: smaller train key).
-3. With ``T > 1`` the per-block lists are merged by ``row_number() <= k`` per
-   test key (Spark plans a ``WindowGroupLimit`` before the shuffle).
+"""Exact k-nearest neighbours as a pruned Spark join.
+
+Two large sides (no cross join, no pair rows, no unbounded broadcast):
+
+1. Pivots are training rows of lowest seeded hash, a bounded number. Every training
+   row belongs to the cell of its nearest pivot. Per cell one summary: rows, least and
+   largest distance to the pivot, and the k least.
+2. Every test row gets an upper bound of its k-th distance from the summaries
+   (distance to a pivot plus the pivot's own k least), and is sent only to cells that
+   the triangle inequality doesn't rule out: by the cell's ring around its pivot,
+   and by the half-way plane between the nearest pivot and the cell's.
+3. Cells of more than ``block_rows`` training or test rows are cut by a hash of the
+   keys, and each pair of cuts meets in ``cogroup(...).applyInPandas``, so memory is
+   bounded whatever the data's skew. NumPy emits only the k best per test row
+   (ties: smaller train key), and the lists are merged by ``row_number() <= k``
+   (Spark plans a ``WindowGroupLimit`` before the shuffle).
+
+How many cells a row visits depends on how clustered the data are, not on their
+number; without any structure it is all of them.  With ``group`` (grid search:
+other features per group) blocks of ``block_rows`` rows by key hash meet
+all blocks of the other side instead.
 
 Small training side: when ``n_train * (d + 2) * 8`` bytes is within
 ``broadcast_bytes`` (checked from the counted rows and the vector length
@@ -36,10 +42,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabml.functions.hashing import order_hash
+from tabml.functions.sums import matrix
+from tabml.session import written
+
 DIST_DIGITS = 10  # significant
 _CHUNK_CELLS = 4_000_000  # distance-matrix cells computed per NumPy step
 
@@ -102,7 +113,7 @@ def _block_topk(k: int, p: float):
     def fn(train: pd.DataFrame, test: pd.DataFrame) -> pd.DataFrame:
         cols = ["_g", "qk", "tk", "dist", "y"]
         if train.empty or test.empty:
-            return pd.DataFrame({c: [] for c in cols})
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in cols})
         g = train["_g"].iloc[0]
         train = train.sort_values("_tk", kind="stable").reset_index(drop=True)
         x = np.stack(train["_x"].to_numpy()).astype(np.float64)
@@ -173,6 +184,141 @@ def _broadcast_neighbors(train: DataFrame, test: DataFrame, key: str, test_key:
     return q.mapInPandas(part, schema)
 
 
+#: pivots at most, and bytes of their matrix at most (it goes to every task)
+_PIVOTS, _PIVOT_BYTES = 4096, 64 << 20
+#: nearest pivots from whose rows the k-th distance is bounded
+_NEAREST = 8
+
+
+class _Cells:
+    """Pivots, and what is known about the training rows of each pivot's cell."""
+
+    def __init__(self, pivots: np.ndarray, p: float) -> None:
+        self.centre = pivots.mean(axis=0)
+        self.pivots, self.p = pivots - self.centre, p
+        self.squares = np.einsum("ij,ij->i", self.pivots, self.pivots)
+
+    def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, pivots) distances, and per row what they may be wrong by."""
+        x = x - self.centre
+        if self.p != 2:
+            step = max(1, _CHUNK_CELLS // max(1, self.pivots.size))
+            d = np.concatenate([_minkowski(x[a:a + step], self.pivots, self.p) for a in range(0, len(x), step)])
+            return d, 1e-12 * d.max(axis=1)
+        own = np.einsum("ij,ij->i", x, x)
+        d2 = own[:, None] + self.squares[None, :] - 2.0 * (x @ self.pivots.T)
+        return np.sqrt(np.maximum(d2, 0.0)), 1e-7 * np.sqrt(own + self.squares.max())
+
+    def summarise(self, rows: list, k: int) -> None:
+        """Takes (cell, n, lo, hi, near) of each cell that has rows."""
+        m = len(self.pivots)
+        self.n = np.zeros(m, dtype=np.int64)
+        self.lo, self.hi = np.full(m, np.inf), np.full(m, -np.inf)
+        self.near = np.full((m, k), np.inf)
+        for r in rows:
+            self.n[r["cell"]], self.lo[r["cell"]], self.hi[r["cell"]] = r["n"], r["lo"], r["hi"]
+            self.near[r["cell"], :len(r["near"])] = r["near"]
+
+    def visits(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) pairs: the cells that may hold one of a row's k nearest."""
+        d, wrong = self.distances(x)
+        some = np.argpartition(d, min(_NEAREST, d.shape[1]) - 1, axis=1)[:, :_NEAREST]
+        reach = (np.take_along_axis(d, some, axis=1)[:, :, None] + self.near[some]).reshape(len(x), -1)
+        bound = np.partition(reach, k - 1, axis=1)[:, k - 1] if reach.shape[1] >= k else np.full(len(x), np.inf)
+        for i in np.flatnonzero(np.isinf(bound)).tolist():  # too few rows near by: all cells
+            reach = (d[i][:, None] + self.near).ravel()
+            bound[i] = np.partition(reach, k - 1)[k - 1] if len(reach) >= k else np.inf
+        # distances that round to the same 10 digits are ties
+        limit = bound * (1 + 4e-9) + 4 * wrong
+        least = np.maximum(d - self.hi, self.lo - d)
+        least = np.maximum(least, (d - d.min(axis=1, keepdims=True)) / 2)
+        return np.nonzero((self.n > 0) & (least <= limit[:, None]))
+
+
+def _pruned_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str, features: str, label: str | None,
+                      k: int, p: float, n_train: int, block_rows: int, seed: int = 42) -> DataFrame:
+    spark = train.sparkSession
+    lab = F.col(label) if label else F.lit(None).cast("double")
+    x = F.col(features).cast("array<double>").alias("_x")
+    tr = train.select(F.xxhash64(key).alias("_s"), F.col(key).alias("_tk"), x, lab.alias("_y"))
+    te = test.select(F.xxhash64(test_key).alias("_s"), F.col(test_key).alias("_qk"), x)
+    dim = len(tr.select("_x").first()[0])
+    most = int(min(_PIVOTS, max(16, 4 * n_train // block_rows), max(1, _PIVOT_BYTES // (8 * max(1, dim)))))
+    rows = tr.select(order_hash(seed, ["_tk"]).alias("_h"), "_x").orderBy("_h").limit(most).collect()  # bounded by ``most``
+    cells = _Cells(np.unique(np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), dim), axis=0), p)
+    k_ = min(k, n_train)
+
+    def summary(batches):
+        n = np.zeros(len(cells.pivots), dtype=np.int64)
+        lo, hi, near = np.full(len(n), np.inf), np.full(len(n), -np.inf), [np.zeros(0)] * len(n)
+        for b in batches:
+            if b.num_rows:
+                d, _ = cells.distances(matrix(b.column("_x"), dim))
+                cell = d.argmin(axis=1)
+                own = d[np.arange(len(d)), cell]
+                n += np.bincount(cell, minlength=len(n))
+                np.minimum.at(lo, cell, own)
+                np.maximum.at(hi, cell, own)
+                for c in np.unique(cell).tolist():
+                    near[c] = np.sort(np.concatenate([near[c], own[cell == c]]))[:k_]
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(lo[at]), pa.array(hi[at]),
+                                          pa.array([near[c].tolist() for c in at.tolist()], pa.list_(pa.float64()))], ["cell", "n", "lo", "hi", "near"])
+
+    parts = tr.select("_x").mapInArrow(summary, "cell long, n long, lo double, hi double, near array<double>")
+    cells.summarise(parts.groupBy("cell").agg(  # one row per pivot
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k_).alias("near")).collect(), k_)
+
+    def arrivals(batches):
+        n = np.zeros(len(cells.pivots), dtype=np.int64)
+        for b in batches:
+            if b.num_rows:
+                n += np.bincount(cells.visits(matrix(b.column("_x"), dim), k_)[1], minlength=len(n))
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], ["cell", "n"])
+
+    asked = np.zeros(len(cells.pivots), dtype=np.int64)
+    for c, n in te.select("_x").mapInArrow(arrivals, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # one row per pivot
+        asked[c] = n
+    t_cuts, q_cuts = np.maximum(1, -(-cells.n // block_rows)), np.maximum(1, -(-asked // block_rows))
+
+    def deal(own_cuts: np.ndarray, other_cuts: np.ndarray, route, flip: bool):
+        """Rows to (cell, train cut, test cut): one cut of their own side, all of the other's."""
+        def run(batches):
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                row, cell = route(matrix(b.column("_x"), dim))
+                mine = b.column("_s").to_numpy()[row] % own_cuts[cell]
+                times = other_cuts[cell]
+                row, cell, mine = np.repeat(row, times), np.repeat(cell, times), np.repeat(mine, times)
+                other = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                for a in range(0, len(row), 1 << 14):
+                    z = slice(a, a + (1 << 14))
+                    cuts = (other[z], mine[z]) if flip else (mine[z], other[z])
+                    some = pa.RecordBatch.from_arrays([pa.array(v, pa.int32()) for v in (cell[z], *cuts)], ["_c", "_tc", "_qc"])
+                    kept = b.take(pa.array(row[z]))
+                    yield pa.RecordBatch.from_arrays([*some.columns, *(kept.column(c) for c in kept.schema.names if c != "_s")],
+                                                     [*some.schema.names, *(c for c in kept.schema.names if c != "_s")])
+        return run
+
+    def own_cell(v):
+        return np.arange(len(v)), cells.distances(v)[0].argmin(axis=1)
+
+    def schema_of(df):
+        return T.StructType([T.StructField(c, T.IntegerType()) for c in ("_c", "_tc", "_qc")] + [f for f in df.schema.fields if f.name != "_s"])
+
+    left = tr.mapInArrow(deal(t_cuts, q_cuts, own_cell, False), schema_of(tr)).withColumn("_g", F.lit(0))
+    right = te.mapInArrow(deal(q_cuts, t_cuts, lambda v: cells.visits(v, k_), True), schema_of(te))
+    schema = T.StructType([
+        T.StructField("_g", T.IntegerType()), T.StructField("qk", test.schema[test_key].dataType),
+        T.StructField("tk", train.schema[key].dataType), T.StructField("dist", T.DoubleType()), T.StructField("y", tr.schema["_y"].dataType)])
+    on = ("_c", "_tc", "_qc")
+    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(_block_topk(k, p), schema)
+    ranked = found.withColumn("nn_rank", F.row_number().over(Window.partitionBy("qk").orderBy("dist", "tk"))).where(F.col("nn_rank") <= k)
+    return ranked.select(F.col("qk").alias(test_key), "nn_rank", F.col("tk").alias("nn_key"), "dist", F.col("y").alias("nn_label"))
+
+
 def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "features",
               label: str | None = None, k: int = 5, p: float = 2, block_rows: int = 4096,
               test_key: str | None = None, group: str | None = None,
@@ -200,6 +346,8 @@ def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "feat
         dim = train.select(F.size(F.col(features))).first()[0] or 0
         if n_train * (dim + 2) * 8 <= broadcast_bytes:
             return _broadcast_neighbors(train, test, key, test_key, features, label, k, p, n_train)
+    if group is None:
+        return _pruned_neighbors(train, test, key, test_key, features, label, k, p, n_train, block_rows)
     t_blocks = max(1, math.ceil(n_train / block_rows))
     q_blocks = max(1, math.ceil(n_test / block_rows))
     key_type = train.schema[key].dataType
@@ -366,7 +514,8 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
         # a scored table may repeat a key: a point is its key and its features
         out = test.withColumn("_point", F.concat_ws(":", F.col(key).cast("string"), F.xxhash64(features)))
         points = out.select("_point", features).dropDuplicates(["_point"])
-        nb = neighbors(train, points, key, features, None, k, p, block_rows, test_key="_point", broadcast_bytes=0)
+        nb = written(neighbors(train, points, key, features, None, k, p, block_rows, test_key="_point", broadcast_bytes=0),
+                     "neighbours")  # once for all targets
         labels = train.select(F.col(key).alias("nn_key"), *targets)
         nbl = nb.drop("nn_label").join(labels, "nn_key")
         for t in targets:
