@@ -11,12 +11,9 @@ Two primitives serve splits, folds and curves:
     ``h <= cutoff`` column: the split itself is map-only, with no shuffle of
     the data, and is identical on recomputation after an executor loss.
 
-``cumulative_sums``
-    Running sums of value columns in a total order of ``order_col``.  Bucket
-    bounds are quantiles computed once and frozen as literals (so a recomputed
-    partition lands in the same bucket), per-bucket totals give exclusive
-    offsets (a table of at most ``buckets`` rows, broadcast), and each bucket
-    is summed by a window partitioned by the bucket.
+``running_sums``
+    Running sums of value columns in a total order: range partitions written
+    once, one total per partition (broadcast as offsets), and a window in each.
 """
 
 from __future__ import annotations
@@ -25,12 +22,15 @@ import math
 from collections import defaultdict
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabml.session import written
+
 _DIGITS = 3  # at most 3 hex digits added per refinement level (4096 sub-buckets)
 _HASH_DIGITS = 32  # of the hex hash: no prefix is longer
 _DRIVER_ROWS = 1_000_000  # bound on the bucket counts a refinement level returns
+_DRIVER_GROUPS = 10_000  # groups whose totals come to the driver
 
 
 class HashOrder:
@@ -59,11 +59,20 @@ class HashOrder:
             lv: dict = defaultdict(list)
             for r in rows:
                 lv[r["_g"]].append((r["_p"], int(r["_n"])))
+            if len(lv) > _DRIVER_GROUPS:
+                self._totals = None
+                return
             self._level1 = {(g, ""): sorted(v) for g, v in lv.items()}
             self._totals = {g: sum(n for _, n in v) for g, v in lv.items()}
             return
-        rows = self.df.groupBy(gcol.alias("_g")).agg(F.count(F.lit(1)).alias("_n")).collect()
-        self._totals = {r["_g"]: int(r["_n"]) for r in rows}
+        rows = (self.df.groupBy(gcol.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+                .limit(_DRIVER_GROUPS + 1).collect())
+        self._totals = {r["_g"]: int(r["_n"]) for r in rows} if len(rows) <= _DRIVER_GROUPS else None
+
+    @property
+    def many(self) -> bool:
+        """Too many groups for the driver: ``group_cutoffs`` is for those."""
+        return self._totals is None
 
     def totals(self) -> dict:
         return dict(self._totals)
@@ -159,55 +168,58 @@ class HashOrder:
         return out
 
 
-def _frozen_buckets(df: DataFrame, order_col: str, descending: bool, buckets: int, rel_error: float) -> DataFrame:
-    """Adds ``_b``: a bucket id monotone in ``order_col`` (ascending, or
-    descending when asked) from quantile bounds computed once and frozen as
-    literals, so a recomputed partition lands in the same bucket."""
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = df.approxQuantile(order_col, probs, rel_error) if buckets > 1 else []
-    bounds = sorted(set(float(q) for q in qs))
-    splits = [float("-inf")] + bounds + [float("inf")]
-    if len(splits) < 3:
-        b = df.withColumn("_b", F.lit(0.0))
-    else:
-        # binary search over the frozen bounds, JVM side
-        b = Bucketizer(splits=splits, inputCol="_ord", outputCol="_b").transform(
-            df.withColumn("_ord", F.col(order_col).cast("double"))
-        ).drop("_ord")
-    return b.withColumn("_b", -F.col("_b")) if descending else b
+def group_cutoffs(df: DataFrame, h_col: str, group_col: str, wanted: DataFrame, leaf_rows: int = 2_000_000) -> DataFrame:
+    """(group, ``_at``): the hash of the row at each wanted position of a group's
+    hash order, as a map from position to hash.  ``wanted`` has (group, ``n``,
+    ``positions``), n being the group's rows and positions an array.
 
+    Groups of up to ``leaf_rows`` rows are ranked by a window each.  Larger ones,
+    of which there can be few, go through ``HashOrder``, which never ranks a whole group."""
+    rows = df.select(group_col, h_col)
+    w = Window.partitionBy(group_col).orderBy(h_col)
+    small = rows.join(wanted.where(F.col("n") <= leaf_rows).select(group_col, "positions"), group_col)
+    small = small.withColumn("_r", F.row_number().over(w).cast("long")).where(F.array_contains("positions", F.col("_r")))
+    found = small.groupBy(group_col).agg(F.map_from_entries(F.collect_list(F.struct("_r", h_col))).alias("_at"))
+    hot = {r[0]: list(r[1]) for r in wanted.where(F.col("n") > leaf_rows).select(group_col, "positions").collect()}
+    if hot:
+        order = HashOrder(df.where(F.col(group_col).isin(list(hot))), h_col, group_col, leaf_rows)
+        cuts = order.cutoffs(hot)
+        values = [(g, {p: cuts[(g, p)] for p in ps}) for g, ps in hot.items()]
+        found = found.unionAll(df.sparkSession.createDataFrame(values, found.schema))
+    return found
 
-def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
-                    buckets: int | None = None, rel_error: float = 1e-3, with_next: bool = False,
-                    bucket_rows: int = 1_000_000) -> DataFrame:
-    """Add ``cum_<v>`` = running sum of each value column over rows ordered by
-    ``order_col`` (ascending or descending), inclusive; with ``with_next`` also
-    ``next_<v>`` = the value of the following row (null for the last row).
-    ``order_col`` must be unique per row (pre-aggregate by it first) and not
-    null.  Without ``buckets`` the count is chosen so a bucket (one window
-    task) holds about ``bucket_rows`` rows: ``clamp(n / bucket_rows, 64,
-    100000)``; the offset table has one row per bucket."""
-    if buckets is None:
-        n = df.count()
-        buckets = int(min(100_000, max(64, math.ceil(n / bucket_rows))))
-    b = _frozen_buckets(df, order_col, descending, buckets, min(rel_error, 0.1 / buckets))
+
+def ordered_parts(df: DataFrame, order: list[Column], parts: int) -> DataFrame:
+    """A written copy, range-partitioned by ``order``, with ``_b``, the number of
+    the row's partition in that order (written, so it is the same for every reader)."""
+    return written(df.repartitionByRange(parts, *order).withColumn("_b", F.spark_partition_id()), "ordered")
+
+
+def running_sums(df: DataFrame, order: list[Column], value_cols: list[str], parts: int | None = None,
+                 with_next: bool = False, part_rows: int = 1_000_000) -> DataFrame:
+    """Add ``cum_<v>`` = running sum of each value column over rows in ``order``,
+    inclusive; with ``with_next`` also ``next_<v>`` = the value of the following row (null
+    for the last row).  ``order`` must be unique per row.
+
+    Two levels: a range partition of about ``part_rows`` rows is summed by a window of
+    its own, and one total per partition gives what lies before it."""
+    if parts is None:
+        parts = max(1, math.ceil(df.count() / part_rows))
+    b = ordered_parts(df, order, parts)
     totals = b.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets rows
+    wt = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = totals.select(
         "_b", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in value_cols]
     )
-    oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    w = Window.partitionBy("_b").orderBy(oc).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     res = b.join(F.broadcast(offsets), "_b")
     for v in value_cols:
         res = res.withColumn(f"cum_{v}", F.sum(v).over(w) + F.col(f"_o_{v}"))
     if with_next:
-        wn = Window.partitionBy("_b").orderBy(oc)
-        # first row of every bucket (<= buckets rows), shifted to the bucket before it
-        firsts = (b.groupBy("_b").agg(F.min_by(F.struct(*value_cols), F.col(order_col) * (-1 if descending else 1))
-                                      .alias("_f"))
-                   .select(F.lead("_b").over(Window.orderBy("_b")).alias("_bn"), "_b", "_f"))
-        nxt = (firsts.select(F.col("_b"), F.lead("_f").over(Window.orderBy("_b")).alias("_nf")))
+        wn = Window.partitionBy("_b").orderBy(*order)
+        # first row of every partition, shifted to the one before it
+        firsts = b.withColumn("_r", F.row_number().over(wn)).where("_r = 1").select("_b", F.struct(*value_cols).alias("_f"))
+        nxt = firsts.select("_b", F.lead("_f").over(Window.orderBy("_b")).alias("_nf"))
         res = res.join(F.broadcast(nxt), "_b", "left")
         for v in value_cols:
             res = res.withColumn(f"next_{v}", F.coalesce(F.lead(v).over(wn), F.col("_nf")[v]))
@@ -215,6 +227,14 @@ def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descen
     return res.drop("_b", *[f"_o_{v}" for v in value_cols])
 
 
+def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
+                    buckets: int | None = None, with_next: bool = False) -> DataFrame:
+    """``running_sums`` in the order of one column, ascending or descending.
+    ``order_col`` must be unique per row (pre-aggregate by it first) and not null."""
+    oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    return running_sums(df, [oc], value_cols, buckets, with_next)
+
+
 def kth_smallest(df: DataFrame, col: str, ranks: list[int], buckets: int = 256,
                  leaf_rows: int = 1_000_000, rel_error: float = 1e-3) -> dict:
     """Exact values at 0-based ``ranks`` of the non-null values of ``col``.

@@ -2,7 +2,7 @@
 
 Rows are first pre-aggregated to one row per distinct score (positives and
 negatives counted map-side), then running sums over the distinct scores come
-from ``functions.rank.cumulative_sums`` (frozen quantile buckets + broadcast
+from ``functions.rank.cumulative_sums`` (range partitions + broadcast
 offsets; no window over all rows, no unbounded task).  AUCs are sums of per-score
 trapezoids, each computable from the row's own running sums, so they are one
 more aggregate.
@@ -37,7 +37,7 @@ def score_counts(df: DataFrame, y: str, score: str, positive=None) -> tuple[Data
 
 def _cum(df: DataFrame, y: str, score: str, positive=None, with_next: bool = False) -> DataFrame:
     agg, _ = score_counts(df, y, score, positive)
-    # the per-score table feeds the frozen bounds, the totals and the running
+    # the per-score table feeds the range partitions, the totals and the running
     # sums: materialise it once in the checkpoint folder (the input is scanned
     # once, and the lineage is cut)
     from tabml.session import checkpoint_dir

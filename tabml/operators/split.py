@@ -15,7 +15,8 @@ Semantics follow the public scikit-learn functions the reference calls:
 
 Row order is ``md5('<seed>:<key>')`` (``functions.hashing``).  Cutoff hashes
 come from ``HashOrder``; the output is the input plus one column computed by a
-comparison, so no shuffle of the data is needed.
+comparison, so no shuffle of the data is needed.  Above 10,000 classes nothing
+per class reaches the driver: quotas and cutoffs are Spark tables, joined back by class.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.functions.hashing import order_hash
-from tabml.functions.rank import HashOrder
+from tabml.functions.rank import HashOrder, group_cutoffs, running_sums
+from tabml.session import written
 
 _H = "_tabml_h"
 
@@ -81,6 +83,8 @@ def train_test_split(df: DataFrame, key_cols: Sequence[str], test_size=0.2, seed
     h = order_hash(seed, key_cols)
     base = df.withColumn(_H, h)
     order = HashOrder(base, _H, stratify)
+    if order.many:
+        return _split_many(base, test_size, stratify, out_col, order.leaf_rows)
     totals = order.totals()
     if stratify is not None and None in totals:
         raise ValueError(f"stratify column {stratify!r} has nulls")
@@ -99,6 +103,56 @@ def train_test_split(df: DataFrame, key_cols: Sequence[str], test_size=0.2, seed
     return _with_group_value(base, cut_by_g, stratify, "_cut", "string").withColumn(out_col, F.col(_H) <= cut).drop(_H, "_cut")
 
 
+def _class_counts(base: DataFrame, stratify: str):
+    """The table (class, n), written, and its (rows, smallest class, largest class, null classes)."""
+    classes = written(base.groupBy(stratify).agg(F.count(F.lit(1)).alias("n")), "classes")
+    return classes, classes.agg(F.sum("n"), F.min("n"), F.max("n"), F.count(F.when(F.col(stratify).isNull(), 1))).first()
+
+
+def _split_many(base: DataFrame, test_size, stratify: str, out_col: str, leaf_rows: int) -> DataFrame:
+    """The stratified split with the quotas and cutoffs as Spark tables: largest
+    remainders by a running count over the classes, cutoffs joined back by class."""
+    classes, (n, least, _, nulls) = _class_counts(base, stratify)
+    if nulls:
+        raise ValueError(f"stratify column {stratify!r} has nulls")
+    n_train = n - _n_test(test_size, n)
+    if least < 2:
+        raise ValueError("the least populated class has fewer than 2 members; cannot stratify")
+    exact = F.col("n").cast("double") / F.lit(float(n)) * F.lit(float(n_train))
+    quota = written(classes.withColumn("_exact", exact).withColumn("_floor", F.floor("_exact")).withColumn("_one", F.lit(1)), "quotas")
+    need = n_train - quota.agg(F.sum("_floor")).first()[0]
+    quota = running_sums(quota, [(F.col("_exact") - F.col("_floor")).desc(), F.col(stratify).asc()], ["_one"])
+    take = F.col("n") - F.col("_floor") - (F.col("cum__one") <= need).cast("long")
+    wanted = written(quota.select(stratify, "n", F.array(take).alias("positions")).where(F.col("positions")[0] > 0), "wanted")
+    found = group_cutoffs(base, _H, stratify, wanted, leaf_rows).select(F.col(stratify).alias("_class"), F.map_values("_at")[0].alias("_cut"))
+    out = base.join(found, F.col(stratify) == F.col("_class"), "left")
+    return out.withColumn(out_col, F.col(_H) <= F.coalesce("_cut", F.lit(""))).drop(_H, "_class", "_cut")
+
+
+def _kfold_many(base: DataFrame, k: int, stratify: str, out_col: str, leaf_rows: int) -> DataFrame:
+    """Stratified folds with class offsets and cutoffs as Spark tables."""
+    classes, (_, _, most, _) = _class_counts(base, stratify)
+    if most < k:
+        raise ValueError(f"k={k} exceeds the members of every class")
+    classes = running_sums(classes, [F.col(stratify).asc()], ["n"])
+
+    def upto(x, i):
+        return F.greatest(F.lit(0), F.ceil((x - i) / F.lit(float(k)))).cast("long")
+
+    off = F.col("cum_n") - F.col("n")
+    ends, acc = [], F.lit(0).cast("long")
+    for i in range(k - 1):
+        acc = acc + upto(F.col("cum_n"), i) - upto(off, i)
+        ends.append(acc)
+    wanted = classes.select(stratify, "n", F.array(*ends).alias("_ends"))
+    wanted = written(wanted.withColumn("positions", F.array_distinct(F.filter("_ends", lambda e: e > 0))), "wanted")
+    found = wanted.select(stratify, "_ends").join(group_cutoffs(base, _H, stratify, wanted, leaf_rows), stratify, "left")
+    cuts = F.transform("_ends", lambda e: F.coalesce(F.element_at("_at", e), F.lit("")))
+    out = base.join(found.select(F.col(stratify).alias("_class"), cuts.alias("_cuts")), F.col(stratify).eqNullSafe(F.col("_class")), "left")
+    fold = F.size(F.filter("_cuts", lambda c: c < F.col(_H))).cast("int")
+    return out.withColumn(out_col, fold).drop(_H, "_class", "_cuts")
+
+
 def kfold_sizes(n: int, k: int) -> list[int]:
     return [n // k + (1 if i < n % k else 0) for i in range(k)]
 
@@ -125,6 +179,8 @@ def kfold(df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int = 42,
         raise ValueError("k must be at least 2")
     base = df.withColumn(_H, order_hash(seed, key_cols))
     order = HashOrder(base, _H, stratify)
+    if order.many:
+        return _kfold_many(base, k, stratify, out_col, order.leaf_rows)
     totals = order.totals()
     if stratify is None:
         sizes = {0: kfold_sizes(totals[0], k)}

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tabml.session import active_spark
 
 from tabml.operators.prep import PreprocessModel
+from tabml.operators.target import LabelTable
 
 
 def _svm_state(m) -> dict:
@@ -59,9 +60,14 @@ def save_model(bundle, path: str) -> None:
             models[t] = st
     if bundle.family == "knn":
         bundle.knn_train.write.mode("overwrite").parquet(f"{path}/train")
+    label_maps = dict(bundle.label_maps)
+    for i, (t, labels) in enumerate(bundle.label_maps.items()):
+        if isinstance(labels, LabelTable):
+            labels.table.write.mode("overwrite").parquet(f"{path}/labels_{i}")
+            label_maps[t] = {"table": f"labels_{i}", "size": labels.size}
     meta = {
         "model_name": bundle.model_name, "key": bundle.key, "targets": bundle.targets,
-        "features": bundle.features, "prep": bundle.prep.to_json(), "label_maps": bundle.label_maps,
+        "features": bundle.features, "prep": bundle.prep.to_json(), "label_maps": label_maps,
         "params": bundle.params, "models": models,
         "saved_at": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ"),
     }
@@ -81,8 +87,10 @@ def load_model(path: str):
 
     spark = active_spark()
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
+    label_maps = {t: LabelTable(spark.read.parquet(f"{path}/{x['table']}"), x["size"]) if isinstance(x, dict) else x
+                  for t, x in meta["label_maps"].items()}
     b = Bundle(meta["model_name"], meta["key"], meta["targets"], meta["features"],
-               PreprocessModel.from_json(meta["prep"]), meta["label_maps"], meta["params"])
+               PreprocessModel.from_json(meta["prep"]), label_maps, meta["params"])
     if b.family == "knn":
         b.knn_train = spark.read.parquet(f"{path}/train")
         return b
