@@ -21,7 +21,8 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -235,82 +236,100 @@ def cumulative_sums(df: DataFrame, order_col: str, value_cols: list[str], descen
     return running_sums(df, [oc], value_cols, buckets, with_next)
 
 
-def kth_smallest(df: DataFrame, col: str, ranks: list[int], buckets: int = 256,
-                 leaf_rows: int = 1_000_000, rel_error: float = 1e-3) -> dict:
-    """Exact values at 0-based ``ranks`` of the non-null values of ``col``.
-
-    Each level cuts the current value range at frozen approximate quantiles.
-    Every cut value is its own bucket (so a value held by a third of the rows
-    is resolved at once, from min == max), open buckets between cuts shrink by
-    about ``buckets`` per level, and a bucket with at most ``leaf_rows`` rows is
-    ranked by one window task.  Nothing but bucket counts reaches the driver.
-    """
-    x = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    out: dict = {}
-    # pending: (rank inside the current range, lo, hi, lo_open) ranges are (lo, hi) open or [lo..]
-    pending = [(r, r, None, None) for r in sorted(set(ranks))]
-    while pending:
-        groups: dict = defaultdict(list)
-        for r_orig, r, lo, hi in pending:
-            groups[(lo, hi)].append((r_orig, r))
-        nxt = []
-        for (lo, hi), items in groups.items():
-            sub = x
-            if lo is not None:
-                sub = sub.where(F.col("_v") > F.lit(lo))
-            if hi is not None:
-                sub = sub.where(F.col("_v") < F.lit(hi))
-            qs = sub.approxQuantile("_v", [i / buckets for i in range(1, buckets)], rel_error)
-            cuts = sorted(set(float(q) for q in qs))
-            if cuts:
-                bz = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol="_v",
-                                outputCol="_b").transform(sub)
-                # value == cut b-1  -> key 2b-1 ; strictly between cuts -> key 2b
-                lower = F.element_at(F.array(*[F.lit(c) for c in [float("-inf")] + cuts]),
-                                     F.col("_b").cast("int") + 1)
-                keyed = bz.withColumn("_k", F.col("_b").cast("int") * 2 - (F.col("_v") == lower).cast("int"))
-            else:
-                keyed = sub.withColumn("_k", F.lit(0))
-            stats = sorted((r["_k"], r["n"], r["lo"], r["hi"]) for r in keyed.groupBy("_k").agg(
-                F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect())
-            leaf_req = []
-            for r_orig, r in items:
-                acc = 0
-                for k, n, vmin, vmax in stats:
-                    if acc + n > r:
-                        rr = r - acc
-                        if vmin == vmax:
-                            out[r_orig] = vmin
-                        elif n <= leaf_rows:
-                            leaf_req.append((r_orig, k, rr))
-                        else:
-                            # open range strictly inside (prev cut, next cut): refine on its bounds
-                            nxt.append((r_orig, rr, _prev(vmin), _next(vmax)))
-                        break
-                    acc += n
-                else:
-                    raise ValueError(f"rank {r} outside the data")
-            if leaf_req:
-                spark = df.sparkSession
-                want = spark.createDataFrame([(int(k), int(rr) + 1, int(ro)) for ro, k, rr in leaf_req],
-                                             "_k int, _rn long, _ro long")
-                ks = [int(k) for _, k, _ in leaf_req]
-                w = Window.partitionBy("_k").orderBy("_v")
-                rows = (keyed.where(F.col("_k").isin(ks))
-                        .withColumn("_rn", F.row_number().over(w).cast("long"))
-                        .join(F.broadcast(want), ["_k", "_rn"]).select("_ro", "_v").collect())
-                for r in rows:
-                    out[r["_ro"]] = r["_v"]
-        pending = nxt
-    return {r: out[r] for r in ranks}
+def _ordered_long(v: np.ndarray) -> np.ndarray:
+    """Doubles as longs in the same order; NaN is above all, -0.0 is 0.0."""
+    v = np.where(np.isnan(v), np.nan, v + 0.0)
+    i = v.view(np.int64)
+    return i ^ ((i >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))
+
 
+def _from_long(i: int) -> float:
+    x = np.array([i], dtype=np.int64)
+    return float((x ^ ((x >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))).view(np.float64)[0])
 
-def _prev(v: float) -> float:
-    return math.nextafter(v, float("-inf"))
+
+def select_ranks(df: DataFrame, need: dict, bounds: dict, cells: int = 1_000_000, leaf_rows: int = 200_000) -> dict:
+    """Exact values at 0-based ranks of the non-null values of several columns:
+    ``{column: {rank: value}}`` for ``need`` = {column: ranks} and ``bounds`` =
+    {column: (least, largest value)}.
+
+    All columns and ranks share every scan.  A scan cuts each interval that holds a
+    wanted rank into equal ranges of the doubles' ordered bit patterns and counts
+    them, so an interval shrinks by the same factor whatever the distribution and six scans are
+    the most for 4,096 ranges; a value that a third of the rows hold ends as a range
+    of one pattern.  Intervals whose rows fit ``leaf_rows`` together are read out in the next
+    scan.  At most ``cells`` counts and ``leaf_rows`` values reach the driver a scan."""
+    cols = list(need)
+    data = df.select([F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    out: dict = {c: {} for c in cols}
+    # an interval: (column, lo, hi, ((rank, rank inside),...), rows or None while not counted)
+    todo = []
+    for i, c in enumerate(cols):
+        lo, hi = (int(_ordered_long(np.array([v], dtype=np.float64))[0]) for v in bounds[c])
+        todo.append((i, lo, hi, tuple((r, r) for r in sorted(set(need[c]))), None))
+    while todo:
+        for i, lo, _, wanted, _ in [x for x in todo if x[1] == x[2]]:
+            out[cols[i]] |= {r: _from_long(lo) for r, _ in wanted}
+        todo = [x for x in todo if x[1] < x[2]]
+        if not todo:
+            break
+        leaf, room = set(), leaf_rows
+        for x, t in sorted(enumerate(todo), key=lambda y: y[1][4] if y[1][4] is not None else math.inf):
+            if t[4] is not None and t[4] <= room:
+                leaf.add(x)
+                room -= t[4]
+        ranges = max(16, min(4096, cells // max(1, len(todo) - len(leaf))))
+        nodes = [(i, lo, hi, -(-(hi - lo + 1) // ranges), x in leaf) for x, (i, lo, hi, _, _) in enumerate(todo)]
+
+        def scan(batches, nodes=nodes, ranges=ranges):
+            counts = {x: np.zeros(ranges, dtype=np.int64) for x, t in enumerate(nodes) if not t[4]}
+            for b in batches:
+                found, values = [], {}
+                for x, (i, lo, hi, step, whole) in enumerate(nodes):
+                    if i not in values:
+                        values[i] = _ordered_long(b.column(i).drop_null().to_numpy(zero_copy_only=False).astype(np.float64))
+                    v = values[i]
+                    v = v[(v >= lo) & (v <= hi)]
+                    if whole:
+                        found.append((x, v))
+                    elif len(v):
+                        at = (v.view(np.uint64) - np.uint64(lo & 0xFFFFFFFFFFFFFFFF)) // np.uint64(step)
+                        counts[x] += np.bincount(at.astype(np.int64), minlength=ranges)
+                x = np.concatenate([np.full(len(v), x) for x, v in found]) if found else np.zeros(0, np.int64)
+                v = np.concatenate([v for _, v in found]) if found else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32()), pa.array(v, pa.int64()), pa.array(np.ones(len(v), np.int64))], ["x", "at", "n"])
+            for x, n in counts.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), x), pa.int32()), pa.array(at, pa.int64()), pa.array(n[at])], ["x", "at", "n"])
+
+        rows: dict = defaultdict(list)
+        for r in data.mapInArrow(scan, "x int, at long, n long").groupBy("x", "at").agg(F.sum("n").alias("n")).collect():
+            rows[r["x"]].append((r["at"], r["n"]))
+        later = []
+        for x, (i, lo, hi, step, whole) in enumerate(nodes):
+            into: dict = defaultdict(list)
+            upto, at = 0, iter(sorted(rows[x]))
+            where, n = next(at)
+            for r, inside in todo[x][3]:
+                while upto + n <= inside:
+                    upto += n
+                    where, n = next(at)
+                into[where, n].append((r, inside - upto))
+            for (where, n), wanted in into.items():
+                if whole:
+                    out[cols[i]] |= {r: _from_long(where) for r, _ in wanted}
+                else:
+                    later.append((i, lo + where * step, min(hi, lo + (where + 1) * step - 1), tuple(wanted), n))
+        todo = later
+    return out
 
 
-def _next(v: float) -> float:
-    return math.nextafter(v, float("inf"))
+def kth_smallest(df: DataFrame, col: str, ranks: list[int], cells: int = 1_000_000, leaf_rows: int = 200_000) -> dict:
+    """Exact values at 0-based ``ranks`` of the non-null values of ``col``."""
+    n, lo, hi = df.agg(F.count(col), F.min(F.col(col).cast("double")), F.max(F.col(col).cast("double"))).first()
+    if any(not 0 <= r < n for r in ranks):
+        raise ValueError(f"ranks must be in 0..{n - 1}")
+    return select_ranks(df, {col: ranks}, {col: (lo, hi)}, cells, leaf_rows)[col] if ranks else {}
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
@@ -324,10 +343,11 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
     """``exact_quantiles`` for several columns with few jobs: one aggregate
     counts the non-null values of every column; columns with at most
     ``leaf_rows`` values (a checked bound) are ranked together by one window
-    partitioned by column; larger columns go through ``kth_smallest``."""
+    partitioned by column; larger ones together by ``select_ranks``."""
     if not cols:
         return {}
-    counts = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    counts = df.agg(*[f(F.col(c).cast("double")).alias(f"_{n}{i}") for i, c in enumerate(cols)
+                      for f, n in ((F.count, "n"), (F.min, "lo"), (F.max, "hi"))]).first()
     need: dict = {}
     pos: dict = {}
     for i, c in enumerate(cols):
@@ -348,9 +368,10 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float],
                     .select("_c", "_rn", "_v").collect())
         for r in rows:
             vals[small[r["_c"]]][r["_rn"] - 1] = r["_v"]
-    for c in need:
-        if c not in small:
-            vals[c] = kth_smallest(df, c, need[c], leaf_rows=leaf_rows)
+    large = {c: need[c] for c in need if c not in small}
+    if large:
+        at = {c: cols.index(c) for c in large}
+        vals |= select_ranks(df, large, {c: (counts[f"_lo{i}"], counts[f"_hi{i}"]) for c, i in at.items()})
     out = {}
     for c in cols:
         if pos[c] is None:

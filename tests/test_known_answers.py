@@ -130,7 +130,7 @@ def test_exact_quantiles_with_hot_value_and_refinement(spark):
     assert np.allclose(got, np.percentile(vals, [p * 100 for p in probs]), rtol=0, atol=1e-12)
     srt = np.sort(vals)
     ranks = [0, 17, 2999, 4500, 5999]
-    got = kth_smallest(df, "v", ranks, buckets=8, leaf_rows=50)  # forces refinement levels
+    got = kth_smallest(df, "v", ranks, cells=16, leaf_rows=50)  # forces refinement levels
     assert [got[r] for r in ranks] == [srt[r] for r in ranks]
 
 

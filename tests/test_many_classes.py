@@ -3,6 +3,8 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +114,29 @@ def test_a_model_with_a_label_table_round_trips(spark, tmp_path, monkeypatch):
     from tabml.operators import score
     out = score.predict(store.load_model(str(tmp_path / "m")), df.drop("y")).join(df, "id")
     assert Counter((r.y, r.pred_y) for r in out.collect()) == Counter({(c, c): 20 for c in "abcdef"})
+
+
+def test_selection_of_many_columns_shares_its_scans(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    n = 4000
+    x = {"normal": rng.normal(size=n), "heavy": np.exp(20 * rng.normal(size=n)), "hot": np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n)),
+         "one": np.full(n, 3.5), "signs": rng.choice([-0.0, 0.0, 1e-300, -1e-300, np.inf, -np.inf], n)}
+    pdf = pd.DataFrame(x)
+    pdf.loc[::17, "normal"] = None
+    df = spark.createDataFrame([tuple(None if pd.isna(v) else float(v) for v in r) for r in pdf.itertuples(index=False)],
+                               ", ".join(f"{c} double" for c in x)).repartition(3)
+    scans = []
+    plain = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: scans.append(1) or plain(self, *a, **k))
+    for cells, leaf, most in ((1_000_000, 500, 6), (64, 10, 18), (1_000_000, 0, 6)):
+        scans.clear()
+        need = {c: [0, 1, 1000, 1999, 3000, int(pdf[c].notna().sum()) - 1] for c in x}
+        got = rank.select_ranks(df, need, {c: (pdf[c].min(), pdf[c].max()) for c in x}, cells, leaf)
+        for c in x:
+            v = np.sort(pdf[c].dropna().to_numpy())
+            assert got[c] == {r: v[r] for r in need[c]}, c
+        assert len(scans) <= most
+    want = pdf.quantile([0.25, 0.5, 0.75])
+    for leaf in (10, 1_000_000):
+        got = rank.exact_quantiles_multi(df, ["normal", "heavy", "hot", "one"], [0.25, 0.5, 0.75], leaf_rows=leaf)
+        assert all(np.allclose(got[c], want[c]) for c in got)
