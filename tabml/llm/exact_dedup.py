@@ -215,13 +215,15 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The input's kept rows with all their columns, one per group of equal texts.
 
     Kept rows are found again by id and hash of their text; a row that the
-    input repeats (same id, same text) comes back once.
+    input repeats (same id, same text) comes back once. Any column names are
+    fine: the input's row travels as one struct. An empty table gives no rows.
     """
     found = shared_table(exact_dedup(df, id_col, text_col), "groups")
-    kept = found.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("row_hash").alias("_kept_hash"))
-    rows = df.withColumn("_row_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_row_hash") == F.col("_kept_hash"))
-    back = rows.join(kept, same, "left_semi")
+    kept = found.where("kept").select("doc_id", "row_hash")
+    rows = df.select(F.struct("*").alias("row"))
+    rows = rows.select("row", F.col("row").getField(id_col).cast("long").alias("id"),
+                       F.xxhash64(F.coalesce(F.col("row").getField(text_col), F.lit(""))).alias("hash"))
+    back = rows.join(kept, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("row_hash")), "left_semi")
     if not found.groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():
-        back = back.dropDuplicates([id_col, "_row_hash"])
-    return back.drop("_row_hash")
+        back = back.dropDuplicates(["id", "hash"])
+    return back.select("row.*")

@@ -105,10 +105,12 @@ def mix_sizes(df: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: s
 def mix(df: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """The mix itself: the input's rows with all their columns, each as often
-    as it is taken. The rows aren't shuffled while the rates are broadcast."""
-    text, ident = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
-    sizes = df.groupBy(F.col(f"`{source_col}`").alias("source")).agg(F.sum(word_count(text)).alias("source_size"))
+    as it is taken. The rows aren't shuffled while the rates are broadcast. Any
+    column names are fine: the input's row travels as one struct. Nulls, repeated rows
+    and an empty table are as in ``mix_sizes``."""
+    text, ident, source = F.col(f"`{text_col}`"), F.col(f"`{id_col}`"), F.col(f"`{source_col}`")
+    sizes = df.groupBy(source.alias("source")).agg(F.sum(word_count(text)).alias("source_size"))
     rates = shared_table(targets(sizes, weights, share, cap), "rates")
-    n = copies(F.col("_rate"), uniform(ident, text, seed)).cast("int")
-    rows = with_rates(df, rates, source_col)
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(F.array_repeat(F.lit(0), n)).alias("_copy")).drop("_copy")
+    rows = df.select(F.struct("*").alias("row"), source.alias("source"), uniform(ident, text, seed).alias("draw"))
+    n = copies(F.col("_rate"), F.col("draw")).cast("int")
+    return with_rates(rows, rates, "source").select("row", F.explode(F.array_repeat(F.lit(0), n)).alias("copy")).select("row.*")

@@ -58,13 +58,13 @@ def fingerprint(text: bytes, words: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) of every row of (doc_id, text); null text has no words."""
+    """(doc_id, row_hash, fp) of every row of (doc_id, row_hash, text); null text has no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, words, seed) for t in texts_of(b.column("text"))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(signed(fp))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row_hash"), pa.array(signed(fp))], ["doc_id", "row_hash", "fp"])
 
-    return docs.mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(run, "doc_id long, row_hash long, fp long")
 
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,6 +169,21 @@ def _pairs(probes: DataFrame, chunk: int) -> DataFrame:
     return rows.select("bucket", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "probe", "fp", "node")
 
 
+def _found(df: DataFrame, id_col: str, text_col: str, words: int, distance: int, seed: int) -> DataFrame:
+    """(doc_id, row_hash, fp, component, component_id) of every row; ``component`` is
+    the component's smallest fingerprint, also for rows without an id."""
+    docs = only(df, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = docs.withColumn("row_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    fps = shared_table(fingerprints(docs, words, seed), "fingerprints")
+    # fingerprints are the nodes: an id may have several of them
+    nodes = shared_table(fps.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
+    comp = components(link(nodes.select(F.col("fp").alias("node"), "fp"), distance))
+    of = nodes.join(comp, nodes["fp"] == comp["node"], "left").select("fp", "id", F.coalesce("component", "fp").alias("component"))
+    of = shared_table(of, "components")
+    least = of.groupBy("component").agg(F.min("id").alias("component_id"))
+    return fps.join(of.join(least, "component").select("fp", "component", "component_id"), "fp")
+
+
 def simhash(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int = 3,
             seed: int = 42) -> DataFrame:
     """One row per input row: doc_id, fp (signed long), fingerprint (16 hex
@@ -177,31 +192,29 @@ def simhash(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
 
     Words are what lies between spaces and U+0009 to U+000D, A-Z lower-cased. Null and
     empty texts have fingerprint 0 and link like others. Repeated rows share a
-    fingerprint. Rows without an id get component null when nothing with an id
+    fingerprint; rows with one id and unlike texts each have their own component.
+    Rows without an id get component null when nothing with an id
     has a linked fingerprint, and never lend their id. An empty table gives no
     rows. Other columns are ignored.
     """
-    docs = only(df, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    fps = shared_table(fingerprints(docs, words, seed), "fingerprints")
-    # a fingerprint's node is its smallest id; one without any id takes part by a stand-in above all ids
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("id"))
-    nodes = shared_table(nodes.select("fp", F.coalesce("id", F.lit(1 << 62) + F.abs(F.xxhash64("fp") % (1 << 61))).alias("node")), "nodes")
-    comp = components(link(nodes.select("node", "fp"), distance))
-    of = nodes.join(comp, "node", "left").select("fp", F.coalesce("component", "node").alias("c"))
-    of = of.select("fp", F.when(F.col("c") < (1 << 62), F.col("c")).alias("component_id"))
-    return fps.join(of, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return _found(df, id_col, text_col, words, distance, seed).select(
+        "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int = 3) -> DataFrame:
     """The input's rows that stay, with all their columns: of each component the
-    row whose id is the component's. Rows without an id stay (nothing names
-    them), and so does a repeated row only once."""
-    found = shared_table(simhash(df, id_col, text_col, words, distance), "components")
-    stay = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    stay = stay.select(F.col("doc_id").alias("_stay"), "_n")
-    rows = df.join(stay, F.col(f"`{id_col}`").cast("long") == F.col("_stay"), "left")
-    kept = rows.where(F.col("_stay").isNotNull() | F.col(f"`{id_col}`").isNull())
-    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        again = kept.where("_n > 1").dropDuplicates([id_col])
-        kept = kept.where("coalesce(_n, 1) = 1").unionAll(again)
-    return kept.drop("_stay", "_n")
+    row with the smallest id. Of several rows with that id in one component the one with the
+    smallest fingerprint stays, then the smallest hash of the text, and a repeated row
+    only once; rows with one id in different components don't affect each
+    other. Rows without an id stay (nothing names them). Any column names are fine: the
+    input's row travels as one struct. An empty table gives no rows."""
+    found = shared_table(_found(df, id_col, text_col, words, distance, 42), "near_copies")
+    stay = found.where("doc_id is not null").groupBy("component").agg(F.min(F.struct("doc_id", "fp", "row_hash")).alias("s"))
+    stay = stay.select("s.doc_id", "s.row_hash")
+    rows = df.select(F.struct("*").alias("row"))
+    rows = rows.select("row", F.col("row").getField(id_col).cast("long").alias("id"),
+                       F.xxhash64(F.coalesce(F.col("row").getField(text_col), F.lit(""))).alias("hash"))
+    kept = rows.where("id is not null").join(stay, (F.col("id") == F.col("doc_id")) & (F.col("hash") == F.col("row_hash")), "left_semi")
+    if not found.where("doc_id is not null").groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["id", "hash"])
+    return kept.unionAll(rows.where("id is null")).select("row.*")

@@ -137,10 +137,12 @@ def _significant(counts: DataFrame, most: int | None, n_pos: int, n_neg: int, le
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
     """(text, label) of at most ``max_rows`` labelled rows, those with the
-    smallest seeded hash of their id, none of them held out. The picked ids are
-    that many at most, so they are broadcast and the documents aren't shuffled."""
+    smallest seeded hash of their id, none of them held out. An id that has
+    both labels counts as 1. The picked ids are that many at most, so they are
+    broadcast and the documents aren't shuffled."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    known = labels.where("doc_id is not null and label in (0, 1)").where(crc % 5 != 0).dropDuplicates(["doc_id"])
+    known = labels.where("doc_id is not null and label in (0, 1)").where(crc % 5 != 0)
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_rows)
     return docs.join(F.broadcast(picked), "doc_id").select("text", "label")
 
@@ -240,7 +242,9 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
 
 def drop_toxic(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The input's rows that score below 0.5, with all their columns."""
+    """The input's rows that score below 0.5, with all their columns, whatever
+    their names. Null and empty texts score as the intercept does, repeated rows
+    alike; an empty table gives no rows."""
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("boolean")
