@@ -148,11 +148,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), max_rows: int = 12000, smooth: float = 1.0,
-        significance: float = 16.0, max_features: int = 4096, reg: float = 1e-3) -> Model:
+        significance: float = 16.0, max_features: int | None = None, reg: float = 1e-3) -> Model:
     """A classifier of (doc_id, text) learned from (doc_id, label).
 
-    Bounds, which don't depend on the corpus: ``max_rows`` labelled rows and
-    ``max_features`` n-grams. With labels of one class only, or none, every score is the
+    At most ``max_rows`` labelled rows, whatever the corpus; every n-gram of theirs whose
+    ratio is significant is a feature. With labels of one class only, or none, every score is the
     share of label 1 (0 without labels).
     """
     from pyspark.ml.classification import LogisticRegression
