@@ -1274,7 +1274,7 @@ def q_forest_lineitem(spark, sf):
 @query("svc_ovo_lineitem")
 def q_svc_ovo_lineitem(spark, sf):
     """One-vs-one linear SVC (the library's multi-class scheme), three classes
-    (l_returnflag), 20 iterations per pair machine: trained on 80% of lineitem,
+    (l_returnflag), machines run until they converge: trained on 80% of lineitem,
     scored on the other 20%."""
     s = _lineitem_split(spark, sf)
     pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _LI_FEATS)
@@ -1285,7 +1285,7 @@ def q_svc_ovo_lineitem(spark, sf):
 
 @query("svc_ovr_lineitem")
 def q_svc_ovr_lineitem(spark, sf):
-    """One-vs-rest linear SVC, three classes (l_returnflag), 20 iterations:
+    """One-vs-rest linear SVC, three classes (l_returnflag), run until it converges:
     trained on 80% of lineitem, scored on the other 20%."""
     s = _lineitem_split(spark, sf)
     pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _LI_FEATS)
