@@ -39,6 +39,7 @@ entries), ``"auto"`` = 1 / d, or a number; ``degree`` and ``coef0`` as usual.
 from __future__ import annotations
 
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -285,7 +286,6 @@ class SVC:
         """One binary machine per class pair (i < j), positive = class i, each
         on the rows of its two classes with regParam = 1 / (C * their weight);
         the pairs are fitted as concurrent Spark jobs."""
-        from concurrent.futures import ThreadPoolExecutor
         wsum = {r[0]: float(r[1]) for r in data.groupBy("_label").agg(
             F.sum(F.col(wcol)) if wcol else F.count(F.lit(1))).collect()}
         pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
@@ -313,15 +313,19 @@ class SVC:
                 raise ValueError("probability=True needs key= for the internal folds (or platt_cv=None)")
             from tabml.operators.split import kfold
             folded = kfold(df, [key], self.platt_cv, self.seed, stratify=label).cache()
-            parts = []
-            for g in range(self.platt_cv):
+
+            def held_out(g):
                 sub = SVC(C=self.C, kernel=self.kernel, gamma=self.gamma, degree=self.degree, coef0=self.coef0,
                           class_weight=self.class_weight, tol=self.tol, max_iter=self.max_iter, probability=False,
                           n_landmarks=self.n_landmarks, seed=self.seed, multiclass=self.multiclass,
                           landmark_tol=self.landmark_tol)
                 sub.fit(folded.where(F.col("fold") != g), label, features, key)
                 held = folded.where(F.col("fold") == g)
-                parts.append(sub._scores(sub._map(held, features)).select(label, "_platt"))
+                return sub._scores(sub._map(held, features)).select(label, "_platt")
+
+            # the folds' machines are concurrent Spark jobs
+            with ThreadPoolExecutor(max_workers=min(4, self.platt_cv)) as ex:
+                parts = list(ex.map(held_out, range(self.platt_cv)))
             oof = parts[0]
             for p in parts[1:]:
                 oof = oof.unionByName(p)

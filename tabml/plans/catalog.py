@@ -997,7 +997,9 @@ def q_svr_objective(spark, sf):
 @query("svc_proba_coupled")
 def q_svc_proba_coupled(spark, sf):
     """Pairwise coupled probabilities of three classes, held-out rows."""
-    pm, x = _p1_split(spark, sf)
+    s = split.train_test_split(fx.fixture(spark, sf, fx.P1, "part"), ["p_partkey"], 0.2, 42, stratify="y")
+    pm = prep.Preprocess(scaler="standard").fit(s.where(~F.col("is_test")), _P1_FEATS)
+    x = pm.transform(s, keep=["p_partkey", "is_test", "y"])
     m = svm_op.SVC(C=1.0, kernel="linear", probability=True).fit(x.where(~F.col("is_test")), "y", key="p_partkey")
     return m.predict(x.where(F.col("is_test"))).select(
         "p_partkey", "y", "prediction", *[F.col("probability")[i].alias(f"p_{c}") for i, c in enumerate(m.classes_)])
