@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,10 @@ _UNRESERVED = (_SIX < 64) | np.isin(np.arange(256), list(b".~"))
 _GAP = 0xFF
 #: bytes that decompression gives at once
 _OUT = 1 << 16
+#: places in a text or layer (Spark's strings end at 2 GiB)
+_PLACE = np.int32
+#: base64 characters that are decoded at once
+_BLOCK = 1 << 20
 _BROKEN = zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError
 #: decompressed data over this is searched piece by piece, by steps of _STEP bytes
 _WHOLE = 4 << 20
@@ -115,7 +120,7 @@ class Layer:
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
         if isinstance(self.start, int):
             n = len(self.data)
-            return np.full(n, self.start), np.full(n, self.end)
+            return np.full(n, self.start, _PLACE), np.full(n, self.end, _PLACE)
         return self.start, self.end
 
 
@@ -240,7 +245,7 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode, run: np.ndarray | None)
         # parts are copied and decoded in turns
         sizes = np.array([len(x) for x in parts])
         copied = np.repeat(np.arange(len(parts)) % 2 == 0, sizes)
-        cuts = np.flatnonzero(copied & ~run[np.frombuffer(data, np.uint8)])
+        cuts = np.flatnonzero(copied & ~run[np.frombuffer(data, np.uint8)]).astype(_PLACE)
     return Layer(data, np.concatenate(starts), np.concatenate(ends), layer.depth + 1, cuts)
 
 
@@ -259,14 +264,19 @@ def _groups(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of bytes: the places of the base64 characters that stand in runs of _RUN or
     more (line breaks inside of a run left out), each one's place in its run, and
     whether the next one belongs to the same run."""
-    kept = np.flatnonzero((chars != 10) & (chars != 13))
-    inside = _SIX[chars[kept]] < 64
+    breaks = (chars == 10) | (chars == 13)
+    kept = np.flatnonzero(~breaks).astype(_PLACE) if breaks.any() else None
+    inside = _SIX[chars if kept is None else chars[kept]] < 64
     edge = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
     first, size = edge[::2], edge[1::2] - edge[::2]
-    first, size = first[size >= _RUN], size[size >= _RUN]
-    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    last = within == np.repeat(size, size) - 1
-    return kept[np.repeat(first, size) + within], within, ~last
+    first, size = first[size >= _RUN].astype(_PLACE), size[size >= _RUN]
+    ends = np.cumsum(size)
+    within = np.arange(int(size.sum()), dtype=_PLACE)
+    within -= np.repeat((ends - size).astype(_PLACE), size)
+    place = within + np.repeat(first, size)
+    more = np.ones(len(within), bool)
+    more[ends - 1] = False
+    return place if kept is None else kept[place], within, more
 
 
 def _aligned(chars: np.ndarray, goes_on: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -276,15 +286,25 @@ def _aligned(chars: np.ndarray, goes_on: bool = False) -> Iterator[tuple[np.ndar
     place, within, more = _groups(chars)
     if not len(place):
         return
-    six = _SIX[chars[place]].astype(np.uint16)
-    pair = np.append(six[:-1] << 6 | six[1:], 0)
-    rest = np.cumsum(within == 0) == 1 if goes_on else np.zeros(len(within), bool)
+    six = _SIX[chars[place]]
+    rest = 0
+    if goes_on:
+        begins = np.flatnonzero(within == 0)
+        rest = int(begins[1]) if len(begins) > 1 else len(within)
     for shift in range(4):
-        # the k-th character of a group and its neighbour make the k-th byte
-        k = (within - shift) & 3
-        make = np.flatnonzero(more & (k != 3) & ((within >= shift) | rest))
-        byte = (pair[make] >> (4 - 2 * k[make]).astype(np.uint16)).astype(np.uint8)
-        yield byte, np.flatnonzero(within[make][1:] < within[make][:-1]) + 1, place[make], place[make + 1]
+        parts = []
+        for at in range(0, len(place), _BLOCK):
+            w = within[at:at + _BLOCK]
+            # the k-th character of a group and its neighbour make the k-th byte
+            k = (w - shift) & 3
+            begun = w >= shift
+            begun[:max(0, rest - at)] = True
+            make = np.flatnonzero(more[at:at + _BLOCK] & (k != 3) & begun)
+            pair = six[make + at].astype(np.uint16) << 6 | six[make + (at + 1)]
+            byte = (pair >> (4 - 2 * k[make]).astype(np.uint16)).astype(np.uint8)
+            parts.append((byte, w[make], place[make + at], place[make + (at + 1)]))
+        byte, w, low, high = (np.concatenate(x) for x in zip(*parts))
+        yield byte, np.flatnonzero(w[1:] < w[:-1]) + 1, low, high
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -326,14 +346,19 @@ class Stream:
 
     Carried from step to step are: the beginning of a match, the characters of
     an open base64 run (its bytes go on to four streams), an open escape, two
-    bytes for UTF-16, and the decompressors of open members."""
+    bytes for UTF-16, and the decompressors of open members.
 
-    def __init__(self, work: Work, depth: int) -> None:
+    The stream of the same data with its escapes undone begins with the layer or not
+    at all: where the first escape only shows after the first step, the stream's ``path``
+    is noted in ``late``, and Work reads the data again with that stream from the start."""
+
+    def __init__(self, work: Work, depth: int, late: set[tuple], path: tuple = ()) -> None:
         self.work, self.depth, self.found = work, depth, set()
+        self.late, self.path, self.first = late, path, True
         self.buffer, self.size = [], 0
         self.tail, self.assign = b"", b""
         self.run, self.goes_on, self.aligned = b"", False, []
-        self.held, self.before, self.plain = b"", b"", None
+        self.held, self.plain = b"", None
         self.pair, self.wide, self.next_wide = b"\xff\xff", None, 0
         self.members, self.magic, self.at = [], b"", 0
 
@@ -360,8 +385,8 @@ class Stream:
         self._second(data, final)
         self._members(data, final)
 
-    def _inner(self) -> Stream:
-        return Stream(self.work, self.depth + 1)
+    def _inner(self, step: tuple) -> Stream:
+        return Stream(self.work, self.depth + 1, self.late, (*self.path, step))
 
     def _find(self, data: bytes) -> None:
         # how many blanks there are doesn't matter to the rule
@@ -401,7 +426,7 @@ class Stream:
             chars = np.frombuffer(data, np.uint8)
         for k, (byte, ends, *_) in enumerate(_aligned(chars, goes_on)):
             if len(self.aligned) <= k:
-                self.aligned.append(self._inner())
+                self.aligned.append(self._inner(("base64", k)))
             self.aligned[k].feed(np.insert(byte, ends, _GAP).tobytes())
         if not self.goes_on and len(data):
             for inner in self.aligned:
@@ -415,13 +440,13 @@ class Stream:
         text = data
         if b"%" in data or b"\\" in data or b"&#" in data:
             text = _ANY_ESCAPE.sub(lambda m: ((_percent if m.group()[:1] == b"%" else _escape)(m) or (m.group(),))[0], data)
-        if self.plain is None and text != data:
-            self.plain = self._inner()
-            self.plain.feed(self.before)
+        if self.first and (text != data or self.path in self.late):
+            self.plain = self._inner(("escapes", 0))
+        self.first = False
         if self.plain is not None:
             self.plain.feed(text)
-        else:
-            self.before = data
+        elif text != data:
+            self.late.add(self.path)
 
     def _second(self, data: bytes, final: bool) -> None:
         data = self.pair + data + (b"\xff" if final else b"")
@@ -432,7 +457,7 @@ class Stream:
         if len(place):
             new = (np.diff(place, prepend=self.next_wide - 2) != 2) | (chars[place - 1] != 0)
             if self.wide is None:
-                self.wide = self._inner()
+                self.wide = self._inner(("wide", 0))
             self.wide.feed(np.insert(chars[place], np.flatnonzero(new), _GAP).tobytes())
         self.next_wide = (int(place[-1]) + 2 if len(place) else 0) - (len(data) - 2)
 
@@ -457,7 +482,7 @@ class Member:
 
     def __init__(self, outer: Stream, first: int) -> None:
         self.outer, self.first, self.chain = outer, first, Members()
-        self.sink, self.closed = Sink(outer.work, outer.depth + 1), False
+        self.sink, self.closed = Sink(outer.work, outer.depth + 1, outer.late, (*outer.path, ("member", first))), False
 
     def feed(self, data: bytes, final: bool) -> None:
         for out in self.chain.feed(data, final):
@@ -474,8 +499,9 @@ class Member:
 class Sink:
     """Takes decompressed data: kept in ``parts`` up to _WHOLE bytes, from there on in a stream."""
 
-    def __init__(self, work: Work, depth: int) -> None:
+    def __init__(self, work: Work, depth: int, late: set[tuple], path: tuple = ()) -> None:
         self.work, self.depth, self.parts, self.size, self.stream = work, depth, [], 0, None
+        self.late, self.path = late, path
 
     def feed(self, out: bytes) -> None:
         was, self.size = self.size, self.size + len(out)
@@ -483,7 +509,7 @@ class Sink:
         if self.stream is None:
             self.parts.append(out)
             if self.size > min(_WHOLE, self.work.limit):
-                self.stream = Stream(self.work, self.depth)
+                self.stream = Stream(self.work, self.depth, self.late, self.path)
                 for x in self.parts:
                     self.stream.feed(x)
                 self.parts = []
@@ -509,15 +535,20 @@ class Work:
             start, at = m.start(), m.start() + 1
             # to the end of its run; behind it only if that makes it whole
             stops, tries = [*cuts[(k := np.searchsorted(cuts, start)):k + 1].tolist(), len(data)], []
-            oversize = self.oversize
+            oversize, layers = self.oversize, self.layers
             for stop in stops:
-                self.oversize = oversize
-                chain, sink, sizes = Members(), Sink(self, layer.depth + 1), []
-                for out in chain.feed(data[start:stop], True):
-                    sizes += [0] * (len(chain.bounds) - len(sizes))
-                    sizes[-1] += len(out)
-                    sink.feed(out)
-                tries.append((stop, chain, sink, sizes, sink.close()))
+                late, known = set(), -1
+                # again while escapes turn up in streams that weren't undone from their start:
+                # as often as late escapes are nested
+                while known < len(late):
+                    self.oversize, self.layers, known = oversize, layers, len(late)
+                    chain, sink, sizes = Members(), Sink(self, layer.depth + 1, late), []
+                    for out in chain.feed(data[start:stop], True):
+                        sizes += [0] * (len(chain.bounds) - len(sizes))
+                        sizes[-1] += len(out)
+                        sink.feed(out)
+                    found = sink.close()
+                tries.append((stop, chain, sink, sizes, found))
                 if chain.end:
                     break
             stop, chain, sink, sizes, found = tries[-1] if tries[-1][1].end else tries[0]
@@ -535,11 +566,10 @@ class Work:
                 yield Layer(b"".join(sink.parts), low[0] if one else np.repeat(low, sizes), high[0] if one else np.repeat(high, sizes), layer.depth + 1)
 
     def unwrap(self, layer: Layer) -> Iterator[Layer | tuple[int, int, int, int]]:
-        """The layers inside a layer (or the spans found there)."""
+        """The layers inside a layer (or the spans found there) but those of base64."""
         for pattern, decode, run in ((_PERCENT, _percent, _UNRESERVED), (_ESCAPE, _escape, None)):
             if (inner := _replaced(layer, pattern, decode, run)) is not None:
                 yield inner
-        yield from _base64(layer)
         if layer.depth:
             if (inner := _wide(layer)) is not None:
                 yield inner
@@ -562,12 +592,25 @@ class Work:
             if layer.depth and new(layer):
                 yield from spans(layer)
         while todo:
-            for inner in self.unwrap(todo.pop()):
+            item = todo.pop()
+            if isinstance(item, Layer):
+                # of the alignments one is held at a time: their iterator waits on the worklist
+                inside, waiting = self.unwrap(item), _base64(item)
+            else:
+                inside, waiting = islice(item, 1), item
+            fresh, got = [], False
+            for inner in inside:
+                got = True
                 if isinstance(inner, tuple):
                     yield inner
                 elif inner.data and new(inner):
-                    todo.append(inner)
+                    fresh.append(inner)
                     yield from spans(inner)
+            # a layer's alignments come before its other layers, so that it isn't held for long
+            if isinstance(item, Layer):
+                todo += [*fresh, waiting]
+            elif got:
+                todo += [waiting, *fresh]
         self.layers += len(seen)
 
 
@@ -577,12 +620,12 @@ def scan(text: str, limit: int, kinds=(0, 1, 2), layers: bool = True):
     base = sorted(find(text, kinds))
     if not layers:
         return base, [], 0, 0
-    known, added, work = set(base), [], Work(limit)
-    positions = np.arange(len(text) + 1)
+    known, depths, work = set(base), {}, Work(limit)
+    positions = np.arange(len(text) + 1, dtype=_PLACE)
     for span in work.run([Layer(text.encode("latin-1", "replace"), positions[:-1], positions[1:], 0)]):
         if span[:3] not in known:
-            known.add(span[:3])
-            added.append(span)
+            depths[span[:3]] = min(span[3], depths.get(span[:3], span[3]))
+    added = [(*span, depth) for span, depth in depths.items()]
     # data that is stored rather than compressed also shows as it is: once is enough
     whole = {(a, kind, b) for a, kind, b, _ in added if (a, b) in work.streams}
     added = [x for x in added if not any(a <= x[0] and x[2] <= b and kind == x[1] and (a, b) != (x[0], x[2]) for a, kind, b in whole)]

@@ -6,10 +6,12 @@ import gzip
 import hashlib
 import lzma
 import re
+import tracemalloc
 import urllib.parse
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import zstandard
@@ -165,6 +167,48 @@ def test_piece_by_piece_finds_what_the_whole_has(name, monkeypatch):
     assert bool(whole) == (name not in ("dropped", "short", "23"))
 
 
+NOISE = b"".join(hashlib.sha512(b"%d" % i).digest() for i in range(40))
+
+
+@pytest.mark.parametrize("late", [
+    b64(NOISE + gzip.compress(NOISE + SECRET.encode())).replace("+", "%2B"),
+    "&#112;assword=hunter2hunter2", b64(b"z" * 2000 + b"password%3Dhunter2hunter2"),
+    urllib.parse.quote(urllib.parse.quote("password=" + "h" * 30)), b64(b"q" * 900 + b64(b"r" * 900 + b"token%3Dabcdefgh").encode()),
+    "\\u0070assword=" + "x" * 30, "AKIA%42" + "B" * 20, "f" * 20 + "%66" * 9,
+], ids=["gzip", "html", "base64", "percent twice", "base64 twice", "unicode", "access", "hex"])
+def test_an_escape_that_comes_late_is_undone_from_the_start(late, monkeypatch):
+    for lead in (0, 65, 700, 3001):
+        text = b64(gzip.compress(b"," * lead + b" " + late.encode() + b" " + b"," * 900))
+        whole = {(a, k, b) for a, k, b, _ in secrets.scan(text, 1 << 30)[1]}
+        assert whole
+        with monkeypatch.context() as m:
+            m.setattr(secrets, "_WHOLE", 256)
+            m.setattr(secrets, "_STEP", 64)
+            m.setattr(secrets, "_OUT", 100)
+            assert {(a, k, b) for a, k, b, _ in secrets.scan(text, 1 << 30)[1]} == whole
+
+
+def test_a_layer_over_the_whole_size_keeps_its_late_escapes():
+    noise = np.random.default_rng(5).bytes(500_000)
+    inner = base64.b64encode(gzip.compress(noise + SECRET.encode()))
+    plus = inner.index(b"+", 400_000)
+    inner = inner[:plus] + b"%2B" + inner[plus + 1:]
+    for pad in (0, 5_000_000):
+        found = secrets.scan(b64(gzip.compress(inner + b" " + b"," * pad)), 64 << 20)[1]
+        assert {k for _, k, *_ in found} == {0}
+
+
+def test_memory_of_long_encoded_texts():
+    text = b64(np.random.default_rng(6).bytes(1_500_000) + b"\n" + SECRET.encode())
+    tracemalloc.start()
+    try:
+        found = secrets.scan(text, 64 << 20)[1]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert 0 in {k for _, k, *_ in found} and peak < 75 * len(text)
+
+
 def brute_base(text):
     kinds = [(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m.group(2)) >= 6),
              (r"AKIA[A-Z0-9]+", lambda m: len(m.group()) >= 20), (r"[0-9a-f]+", lambda m: len(m.group()) >= 24)]
