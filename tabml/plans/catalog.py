@@ -1265,6 +1265,54 @@ def q_tree_lineitem(spark, sf):
     return m.predict(s.where(F.col("is_test"))).select("l_orderkey", "l_linenumber", "y", "prediction")
 
 
+_LI_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _int_sql(c: str) -> str:
+    """A row key's part for an integer that isn't negative."""
+    return f"'18' || lpad(to_hex(CAST({c} AS BIGINT)), 15, '0')"
+
+
+def _text_sql(c: str) -> str:
+    return f"'1' || hex(encode(CAST({c} AS VARCHAR)))"
+
+
+def _stump_train_sql(src: str) -> str:
+    """CTEs ending in ``pr``: rows of ``src`` (which has rk) with is_test and the prediction of
+    the best Gini stump of the training rows."""
+    scan = _stump_sql("gini", "y").split("FROM p),", 1)[1].split("SELECT CAST(feature")[0]
+    return f"""{sq.split_stratified(src, 'rk', 'y')},
+pt AS (SELECT l_discount, l_tax, CAST(y AS DOUBLE) AS t FROM s WHERE NOT is_test),{scan},
+pr AS (SELECT s.*, CAST(CASE WHEN CASE WHEN feature = 0 THEN l_discount ELSE l_tax END <= thr THEN 2 * sl > nl ELSE 2 * sr > nr END AS INTEGER) AS h
+       FROM s, best)"""
+
+
+@query("train_composite_key", f"""WITH {_stump_train_sql(
+    f"SELECT *, concat_ws('/', {', '.join(map(_int_sql, _LI_KEY))}) AS rk FROM (SELECT li.l_orderkey, li.l_linenumber, li.l_partkey, li.l_suppkey, l_discount, l_tax, "
+    "CAST((l_discount > 0.045) <> (l_linenumber = 1) AS INT) AS y FROM lineitem li)")}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, is_test, y, h AS pred_y FROM pr""")
+def q_train_composite_key(spark, sf):
+    """Train entry on whole lineitem, whose rows four columns identify together."""
+    li = fx.table(spark, sf, "lineitem").select(
+        *_LI_KEY, "l_discount", "l_tax", ((F.col("l_discount") > 0.045) != (F.col("l_linenumber") == 1)).cast("int").alias("y"))
+    r = train_entry(li, _LI_KEY, "y", ["l_discount", "l_tax"], "tree_classifier", max_depth=1)
+    return r.predictions.select(*_LI_KEY, "is_test", "y", "pred_y")
+
+
+@query("train_without_key", f"""WITH {_stump_train_sql(
+    f"SELECT l_discount, l_tax, y, sha256(concat_ws('/', {_text_sql('l_discount')}, {_text_sql('l_tax')}, {_int_sql('y')})) || '/' || "
+    f"{_int_sql('row_number() OVER (PARTITION BY l_discount, l_tax, y) - 1')} AS rk FROM ({fx.P7})")},
+{sq.scores_by('pr', "CASE WHEN is_test THEN 'test' ELSE 'train' END", 'y', 'h')}
+SELECT 'y' AS target, g AS split, 'accuracy' AS metric, round(accuracy, 6) AS value FROM _sc
+UNION ALL SELECT 'y', g, 'f1_weighted', round(f1_weighted, 6) FROM _sc""")
+def q_train_without_key(spark, sf):
+    """Train entry on lineitem without its key columns: equal rows are numbered, and
+    a row's place in the split follows from its values and its number."""
+    rows = fx.fixture(spark, sf, fx.P7, "lineitem").select("l_discount", "l_tax", "y")
+    r = train_entry(rows, None, "y", ["l_discount", "l_tax"], "tree_classifier", max_depth=1)
+    return r.evaluation.select("target", "split", "metric", r6("value"))
+
+
 @query("forest_lineitem")
 def q_forest_lineitem(spark, sf):
     """Random forest, 100 trees, depth 5: trained on 80% of lineitem, scored on the other 20%."""

@@ -11,11 +11,13 @@ reference); the split is stratified for a single classification target.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabml.functions.hashing import ROW_KEY, identified
 from tabml.operators import knn as knn_op
 from tabml.operators import metrics, svm, target, trees, tuning
 from tabml.operators.prep import Preprocess, PreprocessModel
@@ -41,7 +43,7 @@ class Bundle:
     """Everything needed to score new rows: raw input names, preprocessing,
     label maps and one fitted model per target."""
     model_name: str
-    key: str
+    key: str | list | None                         # the identifying column(s); None: the table has none
     targets: list
     features: list
     prep: PreprocessModel
@@ -59,6 +61,15 @@ class Bundle:
     def task(self) -> str:
         return MODELS[self.model_name][1]
 
+    @property
+    def row_key(self) -> str:
+        """The one column that identifies a row of the preprocessed tables."""
+        return self.key if isinstance(self.key, str) else ROW_KEY
+
+    @property
+    def keys(self) -> list[str]:
+        return [self.key] if isinstance(self.key, str) else list(self.key or [])
+
     def feature_names(self) -> list[str]:
         return self.prep.feature_names()
 
@@ -96,10 +107,10 @@ def fit_models(family: str, task: str, train: DataFrame, key: str, targets: list
 
 
 def predict_matrix(bundle: Bundle, x: DataFrame, proba: bool = False) -> DataFrame:
-    """``x`` has ``key`` and ``features`` (preprocessed); adds ``pred_<target>``
+    """``x`` has the bundle's ``row_key`` and ``features`` (preprocessed); adds ``pred_<target>``
     (encoded classes for encoded targets) and, with ``proba`` for classifiers,
     ``proba_<target>`` (class probabilities in sorted class order)."""
-    key = bundle.key
+    key = bundle.row_key
     if bundle.family == "knn":
         p = bundle.params
         k, w, pp = int(p.get("n_neighbors", 5)), p.get("weights", "uniform"), float(p.get("p", 2))
@@ -123,15 +134,28 @@ def predict_matrix(bundle: Bundle, x: DataFrame, proba: bool = False) -> DataFra
     return out
 
 
-def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_classifier",
+def train(df: DataFrame, key: str | Sequence[str] | None, targets, features=None, model: str = "knn_classifier",
           test_size=0.2, seed: int = 42, use_cv: bool = False, folds: int = 5, scoring: str | None = None,
           grid: dict | None = None, **params) -> TrainResult:
+    """``key`` names the column that identifies a row, or several that do so
+    together, or is None for a table without any: equal rows are then numbered,
+    and a row's place in splits and folds follows from its values and that number.
+    The predictions carry the key columns, if there are any."""
     if model not in MODELS:
         raise ValueError(f"unknown model {model!r}; choose one of {sorted(MODELS)}")
     family, task = MODELS[model]
     roles = ColumnRoles.resolve(df, targets, features, key=key)
     ts = roles.targets
-    data = df.select(key, *roles.features, *ts)
+    keys = [key] if isinstance(key, str) else list(key or [])
+    if isinstance(key, str):
+        data = df.select(key, *roles.features, *ts)
+    else:
+        if key is not None and not keys:
+            raise ValueError("no key column given (None for a table without a key)")
+        if clash := [c for c in keys if c in ts]:
+            raise ValueError(f"key columns are targets: {clash}")
+        data = identified(df.select(*dict.fromkeys([*keys, *roles.features, *ts])), keys if key is not None else None)
+        key = ROW_KEY
     cond = None
     for t in ts:
         cond = F.col(t).isNull() if cond is None else (cond | F.col(t).isNull())
@@ -175,9 +199,9 @@ def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_cla
             params.update(json.loads(best["params"]))
     pre = Preprocess(cat_encoder=params.get("cat_encoder", "ohe"), scaler=params.get("scaler"),
                      pca=params.get("pca")).fit(tr, roles.features)
-    x = pre.transform(s, keep=[key, "is_test", *ts])
+    x = pre.transform(s, keep=[*dict.fromkeys([key, *keys]), "is_test", *ts])
     xtr = x.where(~F.col("is_test"))
-    bundle = Bundle(model, key, ts, roles.features, pre, maps, params)
+    bundle = Bundle(model, key if key in keys else keys or None, ts, roles.features, pre, maps, params)
     if family == "knn":
         bundle.knn_train = xtr.select(key, "features", *ts)
     else:
@@ -192,7 +216,7 @@ def train(df: DataFrame, key: str, targets, features=None, model: str = "knn_cla
         ev = ev.unionByName(e)
     if len(ts) > 1:
         ev = metrics.eval_multi(ev)
-    return TrainResult(bundle, pred, ev, cv, dropped)
+    return TrainResult(bundle, pred if key in keys else pred.drop(ROW_KEY), ev, cv, dropped)
 
 
 class _Single:
