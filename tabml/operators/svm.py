@@ -596,34 +596,38 @@ class SVR:
 
 
 def svm_insight(model: SVC, df: DataFrame, key: str, n_ids: int = 20) -> DataFrame:
-    """Per class of a linear-map machine, binary or one-vs-one: support-vector
+    """Per class of a linear-map machine, binary, one-vs-one or one-vs-rest: support-vector
     count (training rows on or inside a margin, ``y * f(x) <= 1``, of any machine
     of their class), the first ``n_ids`` support keys in key order, the machines
-    of the class, their intercepts, and the coefficients of one.  ``intercept``
-    is the single machine's, null with several."""
+    of the class (of one-vs-rest: the one that tells it from the rest), their
+    intercepts, and the coefficients of one.  ``intercept`` is the single
+    machine's, null with several."""
+    every = range(len(model.classes_))
+    # (positive classes, negative classes, machine)
     if isinstance(model.model_, list):
-        machines = list(zip(model.pairs_, model.model_))
+        machines = [([a], [b], m) for (a, b), m in zip(model.pairs_, model.model_)]
     elif len(model.classes_) == 2:
-        machines = [((1, 0), model.model_)]  # a positive margin is the second class
+        machines = [([1], [0], model.model_)]  # a positive margin is the second class
     else:
-        raise ValueError("svm_insight covers binary and one-vs-one machines")
+        machines = [([c], [x for x in every if x != c], m) for c, m in zip(every, model.model_.models)]
+    rest = len(model.classes_) > 2 and not isinstance(model.model_, list)
     mapped = model._map(df, model.features)
     vec = vector_to_array("_vec")
     inside = F.lit(False)
-    for (pos, neg), m in machines:
+    for pos, neg, m in machines:
         w = F.array(*[F.lit(float(v)) for v in m.coefficients.toArray()])
         margin = F.aggregate(F.zip_with(vec, w, lambda a, b: a * b), F.lit(float(m.intercept)), lambda acc, v: acc + v)
-        for c, sign in ((pos, 1.0), (neg, -1.0)):
-            inside = inside | ((F.col(model.label) == F.lit(model.classes_[c])) & (sign * margin <= 1.0 + 1e-9))
+        for classes, sign in ((pos, 1.0), (neg, -1.0)):
+            inside = inside | (F.col(model.label).isin([model.classes_[c] for c in classes]) & (sign * margin <= 1.0 + 1e-9))
     sv = mapped.where(inside).select(F.col(model.label).alias("label"), key)
     counts = sv.groupBy("label").agg(F.count(F.lit(1)).alias("n_support"))
     # first ids: a per-class top-n (WindowGroupLimit), never a whole class in one list
     w = Window.partitionBy("label").orderBy(key)
     first = (sv.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n_ids)
                .groupBy("label").agg(F.array_sort(F.collect_list(key)).alias("first_support_ids")))
-    own = {c: [float(m.intercept) for pair, m in machines if c in pair] for c in range(len(model.classes_))}
+    own = {c: [float(m.intercept) for pos, neg, m in machines if c in pos or (c in neg and not rest)] for c in every}
     info = F.create_map(*sum(([F.lit(model.classes_[c]), F.array(*[F.lit(x) for x in v])] for c, v in own.items()), []))
-    one = machines[0][1]
+    one = machines[0][2]
     return counts.join(first, "label").select(
         "label", "n_support", "first_support_ids",
         F.lit(float(one.intercept) if len(machines) == 1 else None).cast("double").alias("intercept"),

@@ -1206,7 +1206,8 @@ def q_report_sinks(spark, sf):
 
 @query("insight_sink")
 def q_insight_sink(spark, sf):
-    """The report sinks of a tree search, a tree's evaluation and an SVM insight, rows per sink."""
+    """A tree search's report, a tree's evaluation and an SVM insight written
+    through the sinks and read back, value by value."""
     import uuid
     from tabml.session import checkpoint_dir
     from tabml.sources import store
@@ -1215,13 +1216,16 @@ def q_insight_sink(spark, sf):
     cv_path = store.write_cv_report(rep, base)
     p = fx.fixture(spark, sf, fx.P1, "part")
     r = train_entry(p, "p_partkey", "y", _P1_FEATS, "tree_classifier", max_depth=3)
-    store.write_evaluation(r.evaluation, f"{base}/evaluation", "json", "tree_classifier")
+    for _ in range(2):  # a run written again replaces itself
+        store.write_evaluation(r.evaluation, f"{base}/evaluation", "json", "tree_classifier", run="1")
     store.write_insight(q_svm_insight(spark, sf), f"{base}/insight")
     cv = spark.read.option("header", "true").csv(cv_path)
     ev = spark.read.json(f"{base}/evaluation")
     ins = spark.read.json(f"{base}/insight")
-    return spark.createDataFrame([("cv_report", cv.count()), ("evaluation", ev.count()),
-                                  ("insight", ins.count())], "sink string, rows long")
+    return (ev.select(F.lit("evaluation").alias("sink"), F.concat_ws(" ", "split", "metric").alias("name"), r6("value"))
+              .unionAll(cv.select(F.lit("cv_report"), F.col("params"), r6(F.col("mean_test_score").cast("double"), "value")))
+              .unionAll(ins.select(F.lit("insight"), F.concat(F.lit("n_support "), F.col("label").cast("string")),
+                                   F.col("n_support").cast("double"))))
 
 
 @query("roc_curve_labels", """WITH _a AS (SELECT CAST(doc_id AS DOUBLE) AS threshold, sum(quality) AS tp, sum(1 - quality) AS fp

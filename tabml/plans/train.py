@@ -12,6 +12,7 @@ reference); the split is stratified for a single classification target.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tabml.functions.hashing import ROW_KEY, identified
 from tabml.operators import knn as knn_op
-from tabml.operators import metrics, svm, target, trees, tuning
+from tabml.operators import metrics, svm, trees, tuning
+from tabml.operators import target as target_op
 from tabml.operators.prep import Preprocess, PreprocessModel
 from tabml.operators.roles import ColumnRoles
 from tabml.operators.split import train_test_split
@@ -161,8 +163,8 @@ def train(df: DataFrame, key: str | Sequence[str] | None, targets, features=None
         cond = F.col(t).isNull() if cond is None else (cond | F.col(t).isNull())
     dropped = data.where(cond).count()
     data = data.where(~cond)
-    maps = target.fit_label_map(data, ts) if task == "classification" else {}
-    data = target.encode_labels(data, maps)
+    maps = target_op.fit_label_map(data, ts) if task == "classification" else {}
+    data = target_op.encode_labels(data, maps)
     strat = ts[0] if (task == "classification" and len(ts) == 1) else None
     s = train_test_split(data, [key], test_size, seed, stratify=strat)
     tr = s.where(~F.col("is_test"))
@@ -219,6 +221,31 @@ def train(df: DataFrame, key: str | Sequence[str] | None, targets, features=None
     return TrainResult(bundle, pred if key in keys else pred.drop(ROW_KEY), ev, cv, dropped)
 
 
+def insight(bundle: Bundle, df: DataFrame, target: str | None = None, n_ids: int = 20) -> DataFrame:
+    """``svm_insight`` of an SVM classifier's bundle over raw rows with their
+    labels, for one of its targets (the only one if none is named); labels as in
+    ``df``. Rows without a label are left out. Several key columns show as a
+    struct; a bundle without a key has no ids to show."""
+    if bundle.model_name != "svm_classifier":
+        raise ValueError(f"insight is for svm_classifier, not {bundle.model_name}")
+    if target is None and len(bundle.targets) > 1:
+        raise ValueError(f"choose a target: {bundle.targets}")
+    target = target or bundle.targets[0]
+    if target not in bundle.targets:
+        raise ValueError(f"unknown target {target!r}; choose one of {bundle.targets}")
+    if not bundle.keys:
+        raise ValueError("insight shows row ids: train with key=")
+    rows = df.where(F.col(target).isNotNull())
+    ids = F.col(bundle.key) if isinstance(bundle.key, str) else F.struct(*bundle.keys)
+    rows = rows.select(ids.alias("_id"), *bundle.features, F.col(target).alias("_y"))
+    maps = {"_y": bundle.label_maps[target]} if target in bundle.label_maps else {}
+    rows = target_op.encode_labels(rows, maps)
+    model = copy(bundle.models[target])
+    model.label = "_y"
+    out = svm.svm_insight(model, bundle.prep.transform(rows, keep=["_id", "_y"]), "_id", n_ids)
+    return target_op.decode_labels(out, maps, {"label": "_y"}).withColumn("target", F.lit(target))
+
+
 class _Single:
     """One-target model with the fit/predict protocol of ``fold_grid_search``."""
 

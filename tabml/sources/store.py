@@ -149,10 +149,16 @@ def write_cv_report(cv: DataFrame, path: str, top: int = 5) -> str:
     return out
 
 
-def write_evaluation(ev: DataFrame, path: str, fmt: str = "json", model_name: str | None = None) -> None:
-    """Evaluation rows (long form), partitioned by model name."""
+def write_evaluation(ev: DataFrame, path: str, fmt: str = "json", model_name: str | None = None,
+                     run: str | None = None) -> None:
+    """Evaluation rows (long form), partitioned by model name, and by ``run``
+    if it is named: writing a run again replaces its rows and leaves the others."""
     out = ev.withColumn("model", F.lit(model_name or "model"))
-    out.write.mode("append").partitionBy("model").format(fmt).save(path)
+    if run is None:
+        out.write.mode("append").partitionBy("model").format(fmt).save(path)
+    else:
+        (out.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("model", "run").format(fmt).save(path))
 
 
 def write_insight(df: DataFrame, path: str, fmt: str = "json") -> None:
