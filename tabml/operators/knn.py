@@ -16,13 +16,19 @@ Two large sides (no cross join, no pair rows, no unbounded broadcast):
    (Spark plans a ``WindowGroupLimit`` before the shuffle).
 
 How many cells a row visits depends on how clustered the data are, not on their
-number; without any structure it is all of them.  With ``group`` (grid search:
-other features per group) blocks of ``block_rows`` rows by key hash meet
-all blocks of the other side instead.
+number; without any structure it is all of them, so there are few large cells
+rather than many small ones.  With ``group`` (grid search: other features per
+group) every group has pivots and cells of its own, in the same jobs.
+
+Where rows meet, the training rows lie in leaves with bounding boxes
+(``_Index``): test rows that lie close together meet only the leaves that may
+hold one of their nearest, or, where boxes spare less than half, all rows,
+screened by one float product (p=2) or 16-bit sums (p=1) against the k-th
+distance so far.
 
 Small training side: when ``n_train * (d + 2) * 8`` bytes is within
 ``broadcast_bytes`` (checked from the counted rows and the vector length
-before anything is collected), the training matrix is broadcast once per
+before anything is collected), the indexed training rows are broadcast once per
 executor and every test partition computes its neighbours in place with
 ``mapInPandas``: no shuffle of the (possibly huge) scoring side at all.  This
 is the batch-scoring case: a bounded model, an unbounded table to score.
@@ -37,7 +43,6 @@ The neighbour list (``neighbors``) is the shared intermediate: one list of
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,6 +57,8 @@ from tabml.functions.sums import matrix
 from tabml.session import written
 
 DIST_DIGITS = 10  # significant
+#: bytes of a training side that goes to every Python worker (each holds a copy of its own)
+_BROADCAST = 128 << 20
 _CHUNK_CELLS = 4_000_000  # distance-matrix cells computed per NumPy step
 
 
@@ -109,6 +116,184 @@ def _topk_chunk(q: np.ndarray, x: np.ndarray, x2: np.ndarray, kk: int, p: float)
     return rows[take], cols[take], d[take]
 
 
+#: training rows of a leaf, test rows searched together, training rows met at once where pruning doesn't help
+_LEAF, _TEAM, _SLAB = 128, 32, 8192
+#: candidate pairs measured at once, and columns up to which 16 bits tell Manhattan distances apart
+_SOME, _SHORT_DIMS = 1 << 16, 1000
+
+
+def _pieces(x: np.ndarray, most: int) -> list[np.ndarray]:
+    """Row numbers, ascending, of pieces of at most ``most`` rows that lie close together:
+    halved at a value of the widest column, so equal rows stay in one piece, however many."""
+    todo, out = [np.arange(len(x))], []
+    while todo:
+        rows = todo.pop()
+        part = x[rows]
+        width = np.ptp(part, axis=0) if part.size else np.zeros(1)
+        if len(rows) <= most or not width.max() > 0:
+            out.append(rows)
+            continue
+        v = part[:, width.argmax()]
+        low = v < np.partition(v, len(v) // 2)[len(v) // 2]
+        if not low.any():
+            low = v <= v.min()
+        todo += [rows[~low], rows[low]]
+    return out
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every run."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+class _Index:
+    """Training rows (in the order that breaks ties) in leaves with bounding boxes.
+
+    ``search`` meets teams of test rows that lie close together with the leaves that
+    may hold one of their nearest. Of a leaf whose rows are all equal only the first k
+    can. Teams that the boxes spare less than half of the rows meet them all, slab by
+    slab, against the distance of the k-th found so far."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        if not np.isfinite(x).all():
+            raise ValueError("features hold nulls or values that are not finite")
+        leaves = _pieces(x, _LEAF)
+        self.place = np.concatenate(leaves)
+        self.x = x[self.place]
+        self.sizes = np.array([len(i) for i in leaves])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.lo, self.hi = (f.reduceat(self.x, self.starts, axis=0) for f in (np.minimum, np.maximum))
+        self.equal = (self.lo == self.hi).all(axis=1)
+
+    def __len__(self) -> int:
+        return len(self.x)
+
+    def search(self, q: np.ndarray, k: int, p: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of q, training row, distance) of the k nearest of each row, in order."""
+        if not np.isfinite(q).all():
+            raise ValueError("features hold nulls or values that are not finite")
+        kk = min(k, len(self.x))
+        if q.shape[1] == 0 or not len(q):
+            c = np.tile(np.sort(self.place)[:kk], len(q))
+            return np.repeat(np.arange(len(q)), kk), c, np.zeros(len(c))
+        cols, dist = np.empty((len(q), kk), dtype=np.int64), np.empty((len(q), kk))
+        sizes = np.where(self.equal, np.minimum(self.sizes, kk), self.sizes)
+        wide, vain = [], 0
+        for team in _pieces(q, _TEAM):
+            one = len(team) > _TEAM  # equal rows have the same neighbours
+            found = self._near(q[team[:1]] if one else q[team], kk, p, sizes) if vain < 8 else None
+            if found is None:
+                vain += 1
+                wide.append(team[:1] if one else team)
+                if one:
+                    wide.append(team)  # filled in from its first row below
+            else:
+                vain = 0
+                cols[team], dist[team] = found
+        rows = [t for t in wide if len(t) <= _TEAM]
+        if rows:
+            rows = np.concatenate(rows)
+            step = max(1, min(512, _CHUNK_CELLS // _SLAB))
+            for a in range(0, len(rows), step):
+                cols[rows[a:a + step]], dist[rows[a:a + step]] = self._all(q[rows[a:a + step]], kk, p)
+            for t in wide:
+                if len(t) > _TEAM:
+                    cols[t], dist[t] = cols[t[0]], dist[t[0]]
+        return np.repeat(np.arange(len(q)), kk), cols.ravel(), dist.ravel()
+
+    def _near(self, q: np.ndarray, kk: int, p: float, sizes: np.ndarray):
+        """(k places, k distances) for each row of a team, or None where the boxes don't prune."""
+        gap = np.maximum(0.0, np.maximum(self.lo - q.max(axis=0), q.min(axis=0) - self.hi))
+        least = (np.sqrt(np.einsum("ij,ij->i", gap, gap)) if p == 2 else gap.sum(axis=1) if p == 1
+                 else np.power(np.power(gap, p).sum(axis=1), 1.0 / p)) * (1 - 1e-12)
+        m = min(len(least), 4 * (kk // _LEAF + 1))
+        near = np.argpartition(least, m - 1)[:m]
+        if sizes[near].sum() < kk:
+            by = np.argsort(least)
+            near = by[:np.searchsorted(np.cumsum(sizes[by]), kk) + 1]
+        _, d = self._topk(q, near, kk, p, sizes)
+        reach = d[:, -1].max() * (1 + 4e-9)
+        near = np.flatnonzero(least <= reach)
+        if len(self.x) > 2 * _SLAB and 2 * sizes[near].sum() > len(self.x):
+            return None
+        return self._topk(q, near, kk, p, sizes)
+
+    def _topk(self, q: np.ndarray, leaves: np.ndarray, kk: int, p: float, sizes: np.ndarray):
+        return self._best(q, _runs(self.starts[leaves], sizes[leaves]), kk, p)
+
+    def _best(self, q: np.ndarray, at: np.ndarray, kk: int, p: float):
+        """(k places, k distances) for each row of ``q`` among the rows ``at``."""
+        at = at[np.argsort(self.place[at])]
+        x = self.x[at]
+        x2 = np.einsum("ij,ij->i", x, x)
+        step = max(1, _CHUNK_CELLS // (len(x) * (1 if p == 2 else x.shape[1])))
+        found = [_topk_chunk(q[a:a + step], x, x2, kk, p) for a in range(0, len(q), step)]
+        return (np.concatenate([self.place[at[c]] for _, c, _ in found]).reshape(-1, kk),
+                np.concatenate([d for _, _, d in found]).reshape(-1, kk))
+
+    def _all(self, q: np.ndarray, kk: int, p: float):
+        """(k places, k distances) for each row of ``q`` among all rows."""
+        first = min(len(self.x), max(kk, _SLAB // 4))
+        place, d = self._best(q, np.arange(first), kk, p)
+        row = np.repeat(np.arange(len(q)), kk)
+        place, d = place.ravel(), d.ravel()
+        near = self._screen(q, p)
+        for a in range(first, len(self.x), _SLAB):
+            b = min(a + _SLAB, len(self.x))
+            kth = d[kk - 1::kk]
+            r, c = near(a, b, kth * (1 + 4e-9))
+            if not len(r):
+                continue
+            new = np.concatenate([_significant(_exact_rows(q, self.x[a:b], r[z:z + _SOME], c[z:z + _SOME], p)) for z in range(0, len(r), _SOME)])
+            r, c, new = (v[new <= kth[r]] for v in (r, c, new))
+            row, place, d = np.concatenate([row, r]), np.concatenate([place, self.place[a + c]]), np.concatenate([d, new])
+            order = np.lexsort((place, d, row))
+            row, place, d = row[order], place[order], d[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < kk
+            row, place, d = row[keep], place[keep], d[keep]
+        return place.reshape(-1, kk), d.reshape(-1, kk)
+
+    def _screen(self, q: np.ndarray, p: float):
+        """``near(a, b, limit)``: (row, column) of rows a to b that may be within each row's limit."""
+        dim = q.shape[1]
+        if p == 2:  # one product: q.x - |x|^2 / 2 is at least (|q|^2 - limit^2) / 2
+            mid = (self.lo.min(axis=0) + self.hi.max(axis=0)) / 2
+            wide = np.hstack([q - mid, np.ones((len(q), 1))])
+            q2 = np.einsum("ij,ij->i", wide, wide) - 1
+            most = (np.maximum(np.abs(self.lo - mid), np.abs(self.hi - mid)) ** 2).sum(axis=1).max()
+            wrong = (dim + 4) * (np.sqrt(q2 * most) + most / 2)
+            def near(a, b, limit):
+                x = self.x[a:b] - mid
+                kind, eps = (np.float32, 1.2e-7) if 1.2e-7 * np.median(wrong) < 1e-3 * np.median(limit) ** 2 else (np.float64, 1e-14)
+                other = np.hstack([x, -0.5 * np.einsum("ij,ij->i", x, x)[:, None]]).astype(kind)
+                floor = ((q2 - limit ** 2) / 2 - eps * (wrong + q2)).astype(kind)
+                return np.divmod(np.flatnonzero(wide.astype(kind) @ other.T >= floor[:, None]), b - a)
+        elif p == 1 and dim <= _SHORT_DIMS:  # whole steps of each column in 16 bits, each wrong by half a step at most
+            lo, hi = self.lo.min(axis=0), self.hi.max(axis=0)
+            step = (hi - lo).max() / (32000 // dim)
+            inside = np.clip(q, lo, hi)
+            own = np.round((inside - lo) / step).astype(np.int16)
+            beyond = np.abs(q - inside).sum(axis=1)
+            def near(a, b, limit):
+                x = np.ascontiguousarray(np.round((self.x[a:b] - lo) / step).astype(np.int16).T)
+                most = np.minimum((limit - beyond) / step + dim + 1, 32766).astype(np.int64)
+                out = []
+                for s in range(0, len(q), 16):
+                    sums, gap = np.zeros((2, min(16, len(q) - s), b - a), dtype=np.int16)
+                    for j in range(dim):
+                        np.subtract(x[j][None, :], own[s:s + 16, j, None], out=gap)
+                        np.absolute(gap, out=gap)
+                        np.add(sums, gap, out=sums)
+                    out.append(np.flatnonzero(sums <= np.maximum(most[s:s + 16], -1).astype(np.int16)[:, None]) + s * (b - a))
+                return np.divmod(np.concatenate(out), b - a)
+        else:
+            def near(a, b, limit):
+                step = max(1, _CHUNK_CELLS // ((b - a) * dim))
+                out = [np.flatnonzero(_minkowski(q[s:s + step], self.x[a:b], p) <= limit[s:s + step, None]) + s * (b - a) for s in range(0, len(q), step)]
+                return np.divmod(np.concatenate(out), b - a)
+        return near
+
+
 def _block_topk(k: int, p: float):
     def fn(train: pd.DataFrame, test: pd.DataFrame) -> pd.DataFrame:
         cols = ["_g", "qk", "tk", "dist", "y"]
@@ -116,40 +301,38 @@ def _block_topk(k: int, p: float):
             return pd.DataFrame({c: pd.Series([], dtype=object) for c in cols})
         g = train["_g"].iloc[0]
         train = train.sort_values("_tk", kind="stable").reset_index(drop=True)
-        x = np.stack(train["_x"].to_numpy()).astype(np.float64)
-        q = np.stack(test["_x"].to_numpy()).astype(np.float64)
-        x2 = np.einsum("ij,ij->i", x, x)
-        tk = train["_tk"].to_numpy()
-        ty = train["_y"].to_numpy()
-        qk = test["_qk"].to_numpy()
-        kk = min(k, len(train))
-        per_row = x.shape[0] * (max(1, x.shape[1]) if p != 2 else 1)
-        step = max(1, _CHUNK_CELLS // max(1, per_row))
-        out_q, out_t, out_d, out_y = [], [], [], []
-        for s in range(0, q.shape[0], step):
-            r, c, d = _topk_chunk(q[s:s + step], x, x2, kk, p)
-            out_q.append(qk[s:s + step][r])
-            out_t.append(tk[c])
-            out_d.append(d)
-            out_y.append(ty[c])
-        qcat = np.concatenate(out_q)
+        index = _Index(np.stack(train["_x"].to_numpy()).astype(np.float64))
+        r, c, d = index.search(np.stack(test["_x"].to_numpy()).astype(np.float64), k, p)
         return pd.DataFrame({
-            "_g": np.full(len(qcat), g), "qk": qcat, "tk": np.concatenate(out_t),
-            "dist": np.concatenate(out_d), "y": np.concatenate(out_y),
+            "_g": np.full(len(r), g), "qk": test["_qk"].to_numpy()[r], "tk": train["_tk"].to_numpy()[c],
+            "dist": d, "y": train["_y"].to_numpy()[c],
         })
     return fn
 
 
+def _rows(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    if column.null_count:
+        raise ValueError("feature vectors are null")
+    return matrix(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, dim)
+
+
+def _values(column: pa.ChunkedArray) -> np.ndarray:
+    """A column as an array, of Python objects where NumPy has no type for it."""
+    if not column.null_count and (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)):
+        return column.to_numpy()
+    out = np.empty(len(column), dtype=object)
+    out[:] = column.to_pylist()
+    return out
+
+
 def _broadcast_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str, features: str,
                          label: str | None, k: int, p: float, n_train: int) -> DataFrame:
     spark = train.sparkSession
     lab = F.col(label) if label else F.lit(None).cast("double")
-    rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"),
-                         lab.alias("_y")).orderBy("_tk").collect())  # bounded: checked by the caller
-    x = np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    bc = spark.sparkContext.broadcast({"x": x, "x2": np.einsum("ij,ij->i", x, x),
-                                       "tk": np.array([r["_tk"] for r in rows], dtype=object),
-                                       "ty": np.array([r["_y"] for r in rows], dtype=object)})
+    rows = train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"),
+                        lab.alias("_y")).orderBy("_tk").toArrow()  # bounded: checked by the caller
+    x = _rows(rows.column("_x"), len(rows.column("_x")[0]))
+    bc = spark.sparkContext.broadcast({"index": _Index(x), "tk": _values(rows.column("_tk")), "ty": _values(rows.column("_y"))})
     kk = min(k, n_train)
     schema = T.StructType([
         T.StructField(test_key, test.schema[test_key].dataType),
@@ -161,19 +344,12 @@ def _broadcast_neighbors(train: DataFrame, test: DataFrame, key: str, test_key:
 
     def part(it):
         b = bc.value
-        x, x2, tk, ty = b["x"], b["x2"], b["tk"], b["ty"]
-        per_row = x.shape[0] * (max(1, x.shape[1]) if p != 2 else 1)
-        step = max(1, _CHUNK_CELLS // max(1, per_row))
         for pdf in it:
             if pdf.empty:
                 continue
-            q_all = np.stack(pdf["_x"].to_numpy()).astype(np.float64)
-            qk_all = pdf["_qk"].to_numpy()
-            for s0 in range(0, len(pdf), step):
-                r, c, d = _topk_chunk(q_all[s0:s0 + step], x, x2, kk, p)
-                yield pd.DataFrame({test_key: qk_all[s0:s0 + step][r],
-                                    "nn_rank": np.tile(np.arange(1, kk + 1), len(r) // kk),
-                                    "nn_key": tk[c], "dist": d, "nn_label": ty[c]})
+            r, c, d = b["index"].search(np.stack(pdf["_x"].to_numpy()).astype(np.float64), k, p)
+            yield pd.DataFrame({test_key: pdf["_qk"].to_numpy()[r], "nn_rank": np.tile(np.arange(1, kk + 1), len(pdf)),
+                                "nn_key": b["tk"][c], "dist": d, "nn_label": b["ty"][c]})
 
     q = test.select(F.col(test_key).alias("_qk"), F.col(features).cast("array<double>").alias("_x"))
     par = spark.sparkContext.defaultParallelism
@@ -235,52 +411,94 @@ class _Cells:
         return np.nonzero((self.n > 0) & (least <= limit[:, None]))
 
 
+#: cells that the rows of data without structure go to, about, and bytes of a cell's cut at most
+_CELLS, _CUT_BYTES = 48, 32 << 20
+
+
 def _pruned_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str, features: str, label: str | None,
-                      k: int, p: float, n_train: int, block_rows: int, seed: int = 42) -> DataFrame:
-    spark = train.sparkSession
+                      k: int, p: float, sizes: dict, block_rows: int, group: str | None = None, seed: int = 42) -> DataFrame:
+    """``sizes`` has the training rows of every group (of 0 without ``group``)."""
     lab = F.col(label) if label else F.lit(None).cast("double")
-    x = F.col(features).cast("array<double>").alias("_x")
-    tr = train.select(F.xxhash64(key).alias("_s"), F.col(key).alias("_tk"), x, lab.alias("_y"))
-    te = test.select(F.xxhash64(test_key).alias("_s"), F.col(test_key).alias("_qk"), x)
-    dim = len(tr.select("_x").first()[0])
-    most = int(min(_PIVOTS, max(16, 4 * n_train // block_rows), max(1, _PIVOT_BYTES // (8 * max(1, dim)))))
-    rows = tr.select(order_hash(seed, ["_tk"]).alias("_h"), "_x").orderBy("_h").limit(most).collect()  # bounded by ``most``
-    cells = _Cells(np.unique(np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), dim), axis=0), p)
-    k_ = min(k, n_train)
+    x, own_group = F.col(features).cast("array<double>").alias("_x"), (F.col(group) if group else F.lit(0)).alias("_g")
+    tr = train.select(own_group, F.xxhash64(key).alias("_s"), F.col(key).alias("_tk"), x, lab.alias("_y"))
+    te = test.select(own_group, F.xxhash64(test_key).alias("_s"), F.col(test_key).alias("_qk"), x)
+    dim = tr.select(F.max(F.size("_x"))).first()[0]  # groups may differ
+    # many small blocks would send every row of data without structure to each of them
+    largest, of_bytes = max(sizes.values()), max(1, _CUT_BYTES // (8 * (dim + 2)))
+    block = max(block_rows, min(of_bytes, -(-2 * largest * len(sizes) // _CELLS)))
+    q_block = max(block, min(2 * of_bytes, 4 * block))
+    most = int(min(_PIVOTS, max(16 if len(sizes) == 1 else 4, 2 * largest // block), max(1, _PIVOT_BYTES // (8 * max(1, dim) * len(sizes)))))
+    hashed = tr.select("_g", order_hash(seed, ["_tk"]).alias("_h"), "_x")
+    first = F.row_number().over(Window.partitionBy("_g").orderBy("_h"))
+    hashed = hashed.withColumn("_i", first).where(F.col("_i") <= most) if group else hashed.orderBy("_h").limit(most)
+    pivots: dict = {}
+    for r in hashed.select("_g", "_x").collect():  # bounded by ``most`` for each group
+        pivots.setdefault(r["_g"], []).append(r["_x"])
+    cells = {g: _Cells(np.unique(np.array(v, dtype=np.float64).reshape(len(v), -1), axis=0), p) for g, v in pivots.items()}
+    base, total = {}, 0
+    for g, c in cells.items():
+        base[g], total = total, total + len(c.pivots)
+    near_of = {g: min(k, sizes[g]) for g in cells}
+
+    def routed(b, route):
+        """(rows, cells, extra) of a batch: each group's rows by ``route(cells, x, group)`` over its own cells."""
+        x, gs = b.column("_x"), np.array(b.column("_g").to_pylist(), dtype=object)
+        found = []
+        for g, own in cells.items():
+            at = np.flatnonzero(gs == g)
+            if len(at):
+                v = _rows(x if len(at) == len(x) else x.take(pa.array(at)), own.pivots.shape[1])
+                row, cell, extra = route(own, v, g)
+                found.append((at[row], cell + base[g], extra))
+        if not found:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+        return tuple(np.concatenate(z) for z in zip(*found))
+
+    def own_cell(c, v, g):
+        d, _ = c.distances(v)
+        cell = d.argmin(axis=1)
+        return np.arange(len(v)), cell, d[np.arange(len(v)), cell]
+
+    def visited(c, v, g):
+        row, cell = c.visits(v, near_of[g])
+        return row, cell, np.zeros(len(row))
 
     def summary(batches):
-        n = np.zeros(len(cells.pivots), dtype=np.int64)
-        lo, hi, near = np.full(len(n), np.inf), np.full(len(n), -np.inf), [np.zeros(0)] * len(n)
+        n = np.zeros(total, dtype=np.int64)
+        lo, hi, near = np.full(total, np.inf), np.full(total, -np.inf), [np.zeros(0)] * total
         for b in batches:
             if b.num_rows:
-                d, _ = cells.distances(matrix(b.column("_x"), dim))
-                cell = d.argmin(axis=1)
-                own = d[np.arange(len(d)), cell]
-                n += np.bincount(cell, minlength=len(n))
+                _, cell, own = routed(b, own_cell)
+                n += np.bincount(cell, minlength=total)
                 np.minimum.at(lo, cell, own)
                 np.maximum.at(hi, cell, own)
                 for c in np.unique(cell).tolist():
-                    near[c] = np.sort(np.concatenate([near[c], own[cell == c]]))[:k_]
+                    near[c] = np.sort(np.concatenate([near[c], own[cell == c]]))[:k]
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(lo[at]), pa.array(hi[at]),
                                           pa.array([near[c].tolist() for c in at.tolist()], pa.list_(pa.float64()))], ["cell", "n", "lo", "hi", "near"])
 
-    parts = tr.select("_x").mapInArrow(summary, "cell long, n long, lo double, hi double, near array<double>")
-    cells.summarise(parts.groupBy("cell").agg(  # one row per pivot
+    parts = tr.select("_g", "_x").mapInArrow(summary, "cell long, n long, lo double, hi double, near array<double>")
+    known = [r.asDict() for r in parts.groupBy("cell").agg(  # one row per pivot
         F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-        F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k_).alias("near")).collect(), k_)
+        F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k).alias("near")).collect()]
+    held = np.zeros(total, dtype=np.int64)
+    for g, c in cells.items():
+        mine = [r | {"cell": r["cell"] - base[g], "near": r["near"][:near_of[g]]} for r in known if 0 <= r["cell"] - base[g] < len(c.pivots)]
+        c.summarise(mine, near_of[g])
+        held[base[g]:base[g] + len(c.pivots)] = c.n
 
     def arrivals(batches):
-        n = np.zeros(len(cells.pivots), dtype=np.int64)
+        n = np.zeros(total, dtype=np.int64)
         for b in batches:
             if b.num_rows:
-                n += np.bincount(cells.visits(matrix(b.column("_x"), dim), k_)[1], minlength=len(n))
+                n += np.bincount(routed(b, visited)[1], minlength=total)
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], ["cell", "n"])
 
-    asked = np.zeros(len(cells.pivots), dtype=np.int64)
-    for c, n in te.select("_x").mapInArrow(arrivals, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # one row per pivot
+    asked = np.zeros(total, dtype=np.int64)
+    for c, n in te.select("_g", "_x").mapInArrow(arrivals, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # one row per pivot
         asked[c] = n
-    t_cuts, q_cuts = np.maximum(1, -(-cells.n // block_rows)), np.maximum(1, -(-asked // block_rows))
+    t_cuts, q_cuts = np.maximum(1, -(-held // block)), np.maximum(1, -(-asked // q_block))
 
     def deal(own_cuts: np.ndarray, other_cuts: np.ndarray, route, flip: bool):
         """Rows to (cell, train cut, test cut): one cut of their own side, all of the other's."""
@@ -288,7 +506,7 @@ def _pruned_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str
             for b in batches:
                 if not b.num_rows:
                     continue
-                row, cell = route(matrix(b.column("_x"), dim))
+                row, cell, _ = routed(b, route)
                 mine = b.column("_s").to_numpy()[row] % own_cuts[cell]
                 times = other_cuts[cell]
                 row, cell, mine = np.repeat(row, times), np.repeat(cell, times), np.repeat(mine, times)
@@ -302,27 +520,25 @@ def _pruned_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str
                                                      [*some.schema.names, *(c for c in kept.schema.names if c != "_s")])
         return run
 
-    def own_cell(v):
-        return np.arange(len(v)), cells.distances(v)[0].argmin(axis=1)
-
     def schema_of(df):
         return T.StructType([T.StructField(c, T.IntegerType()) for c in ("_c", "_tc", "_qc")] + [f for f in df.schema.fields if f.name != "_s"])
 
-    left = tr.mapInArrow(deal(t_cuts, q_cuts, own_cell, False), schema_of(tr)).withColumn("_g", F.lit(0))
-    right = te.mapInArrow(deal(q_cuts, t_cuts, lambda v: cells.visits(v, k_), True), schema_of(te))
+    left = tr.mapInArrow(deal(t_cuts, q_cuts, own_cell, False), schema_of(tr))
+    right = te.mapInArrow(deal(q_cuts, t_cuts, visited, True), schema_of(te))
     schema = T.StructType([
-        T.StructField("_g", T.IntegerType()), T.StructField("qk", test.schema[test_key].dataType),
+        T.StructField("_g", tr.schema["_g"].dataType), T.StructField("qk", test.schema[test_key].dataType),
         T.StructField("tk", train.schema[key].dataType), T.StructField("dist", T.DoubleType()), T.StructField("y", tr.schema["_y"].dataType)])
     on = ("_c", "_tc", "_qc")
     found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(_block_topk(k, p), schema)
-    ranked = found.withColumn("nn_rank", F.row_number().over(Window.partitionBy("qk").orderBy("dist", "tk"))).where(F.col("nn_rank") <= k)
-    return ranked.select(F.col("qk").alias(test_key), "nn_rank", F.col("tk").alias("nn_key"), "dist", F.col("y").alias("nn_label"))
+    ranked = found.withColumn("nn_rank", F.row_number().over(Window.partitionBy("_g", "qk").orderBy("dist", "tk"))).where(F.col("nn_rank") <= k)
+    out = [F.col("_g").alias(group)] if group else []
+    return ranked.select(*out, F.col("qk").alias(test_key), "nn_rank", F.col("tk").alias("nn_key"), "dist", F.col("y").alias("nn_label"))
 
 
 def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "features",
               label: str | None = None, k: int = 5, p: float = 2, block_rows: int = 4096,
               test_key: str | None = None, group: str | None = None,
-              broadcast_bytes: int = 256 * 1024 * 1024) -> DataFrame:
+              broadcast_bytes: int = _BROADCAST) -> DataFrame:
     """``([group,] <test key>, nn_rank, nn_key, dist, nn_label)`` with the k
     nearest train rows of every test row (``nn_rank`` 1..k).  With ``group``,
     test rows only meet train rows of the same group (one join serves, e.g.,
@@ -332,54 +548,15 @@ def neighbors(train: DataFrame, test: DataFrame, key: str, features: str = "feat
     if p < 1:
         raise ValueError("p must be >= 1")
     test_key = test_key or key
-    # block sizes from one aggregate over both sides; with groups, blocks are cut
-    # per group, so the largest group decides (one row per side and group)
-    g_ = F.col(group) if group else F.lit(0)
-    sizes = (train.select(F.lit(0).alias("_side"), g_.alias("_gg"))
-             .unionByName(test.select(F.lit(1).alias("_side"), g_.alias("_gg")))
-             .groupBy("_side", "_gg").count().groupBy("_side").agg(F.max("count").alias("m")).collect())
-    by_side = {r["_side"]: int(r["m"]) for r in sizes}
-    n_train, n_test = by_side.get(0, 0), by_side.get(1, 0)
-    if n_train == 0:
+    own_group = (F.col(group) if group else F.lit(0)).alias("_gg")
+    sizes = {r["_gg"]: int(r["count"]) for r in train.groupBy(own_group).count().collect()}  # one row per group
+    if not sizes:
         raise ValueError("empty train set")
     if group is None and broadcast_bytes:
         dim = train.select(F.size(F.col(features))).first()[0] or 0
-        if n_train * (dim + 2) * 8 <= broadcast_bytes:
-            return _broadcast_neighbors(train, test, key, test_key, features, label, k, p, n_train)
-    if group is None:
-        return _pruned_neighbors(train, test, key, test_key, features, label, k, p, n_train, block_rows)
-    t_blocks = max(1, math.ceil(n_train / block_rows))
-    q_blocks = max(1, math.ceil(n_test / block_rows))
-    key_type = train.schema[key].dataType
-    lab = F.col(label) if label else F.lit(None).cast("double")
-    gcol = F.col(group) if group else F.lit(0)
-    tr = train.select(
-        F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), lab.alias("_y"),
-        gcol.alias("_g"))
-    label_type = tr.schema["_y"].dataType
-    tr = (tr.withColumn("_tb", F.pmod(F.xxhash64("_tk"), F.lit(t_blocks)).cast("int"))
-            .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))))
-    te = (test.select(F.col(test_key).alias("_qk"), F.col(features).cast("array<double>").alias("_x"),
-                      gcol.alias("_g"))
-              .withColumn("_qb", F.pmod(F.xxhash64("_qk"), F.lit(q_blocks)).cast("int"))
-              .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(t_blocks - 1)))))
-    schema = T.StructType([
-        T.StructField("_g", tr.schema["_g"].dataType),
-        T.StructField("qk", test.schema[test_key].dataType),
-        T.StructField("tk", key_type),
-        T.StructField("dist", T.DoubleType()),
-        T.StructField("y", label_type),
-    ])
-    cand = (tr.groupBy("_g", "_qb", "_tb").cogroup(te.groupBy("_g", "_qb", "_tb"))
-              .applyInPandas(_block_topk(k, p), schema))
-    w = Window.partitionBy("_g", "qk").orderBy("dist", "tk")
-    ranked = cand.withColumn("nn_rank", F.row_number().over(w))
-    if t_blocks > 1:
-        ranked = ranked.where(F.col("nn_rank") <= k)
-    out = [F.col("_g").alias(group)] if group else []
-    return ranked.select(
-        *out, F.col("qk").alias(test_key), "nn_rank", F.col("tk").alias("nn_key"), "dist",
-        F.col("y").alias("nn_label"))
+        if sizes[0] * (dim + 2) * 8 <= broadcast_bytes:
+            return _broadcast_neighbors(train, test, key, test_key, features, label, k, p, sizes[0])
+    return _pruned_neighbors(train, test, key, test_key, features, label, k, p, sizes, block_rows, group)
 
 
 def _weights(nb: DataFrame, test_key: str, weights: str) -> DataFrame:
@@ -468,7 +645,7 @@ class Prepared:
 
 
 def prepare(train: DataFrame, key: str, features: str, targets: list, task: str,
-            broadcast_bytes: int = 256 * 1024 * 1024) -> Prepared:
+            broadcast_bytes: int = _BROADCAST) -> Prepared:
     n_train = train.count()
     if n_train == 0:
         raise ValueError("empty train set")
@@ -476,24 +653,23 @@ def prepare(train: DataFrame, key: str, features: str, targets: list, task: str,
     if n_train * (dim + 1 + len(targets)) * 8 > broadcast_bytes:
         return Prepared(n_train)
     rows = (train.select(F.col(key).alias("_tk"), F.col(features).cast("array<double>").alias("_x"), *targets)
-                 .orderBy("_tk").collect())  # bounded: checked above
-    x = np.array([r["_x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+                 .orderBy("_tk").toArrow())  # bounded: checked above
+    index = _Index(_rows(rows.column("_x"), dim))
     info = {}
     for t in targets:
-        vals = [r[t] for r in rows]
+        vals = rows.column(t).to_pylist()
         if task == "classification":
             classes = np.array(sorted(set(vals)), dtype=object)
             pos = {v: i for i, v in enumerate(classes)}
             info[t] = {"classes": classes, "codes": np.array([pos[v] for v in vals], dtype=np.int64)}
         else:
             info[t] = {"classes": None, "values": np.array(vals, dtype=np.float64)}
-    matrix = train.sparkSession.sparkContext.broadcast({"x": x, "x2": np.einsum("ij,ij->i", x, x), "info": info})
-    return Prepared(n_train, matrix)
+    return Prepared(n_train, train.sparkSession.sparkContext.broadcast({"index": index, "info": info}))
 
 
 def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets: list, task: str,
             k: int = 5, p: float = 2, weights: str = "uniform", block_rows: int = 4096,
-            broadcast_bytes: int = 256 * 1024 * 1024, prefix: str = "pred_", proba: bool = False,
+            broadcast_bytes: int = _BROADCAST, prefix: str = "pred_", proba: bool = False,
             prepared: Prepared | None = None) -> DataFrame:
     """``test`` plus ``<prefix><target>`` for every target, and with ``proba``
     (classification) ``proba_<target>``: the vote shares over the target's
@@ -542,22 +718,15 @@ def predict(train: DataFrame, test: DataFrame, key: str, features: str, targets:
 
     def part(it):
         b = bc.value
-        xx, x2, inf = b["x"], b["x2"], b["info"]
-        per_row = xx.shape[0] * (max(1, xx.shape[1]) if p != 2 else 1)
-        step = max(1, _CHUNK_CELLS // max(1, per_row))
         for pdf in it:
             if pdf.empty:
                 continue
-            q_all = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            preds: dict = {}
-            for s0 in range(0, len(pdf), step):
-                _, c, d = _topk_chunk(q_all[s0:s0 + step], xx, x2, kk, p)
-                for t, v in _in_task_predict(d, c, kk, weights, targets, inf).items():
-                    preds.setdefault(t, []).append(v)
+            _, c, d = b["index"].search(np.stack(pdf[features].to_numpy()).astype(np.float64), kk, p)
+            preds = _in_task_predict(d, c, kk, weights, targets, b["info"])
             for t in targets:
-                pdf[f"{prefix}{t}"] = np.concatenate(preds[t])
+                pdf[f"{prefix}{t}"] = preds[t]
                 if with_proba:
-                    pdf[f"proba_{t}"] = list(np.concatenate(preds[("proba", t)]))
+                    pdf[f"proba_{t}"] = list(preds[("proba", t)])
             yield pdf
 
     par = spark.sparkContext.defaultParallelism
