@@ -26,8 +26,10 @@ def order_hash(seed: int, key_cols: Sequence[str]) -> Column:
 
 #: the one-column row identity that several key columns (or none) are turned into
 ROW_KEY = "_row_key"
-#: equal rows that one task numbers at most
-_COPIES = 1 << 16
+#: equal rows that a block numbers at most, and those that need none
+_COPIES, _FEW = 1 << 16, 1 << 4
+#: rows that a task makes from blocks, about, and tasks at most
+_TASK_ROWS, _MOST_TASKS = 1 << 20, 10_000
 
 
 def _part(df: DataFrame, name: str) -> Column:
@@ -59,14 +61,19 @@ def number_copies(df: DataFrame, out_col: str) -> DataFrame:
 
     Rows are counted per value (with partial sums before the shuffle) and made
     again from the counts, so no window ever holds a group of copies; counts over
-    2^16 are cut into blocks that different tasks write."""
+    2^4 are cut into blocks of up to 2^16, dealt to a number of tasks that follows
+    from the rows they make (the blocks themselves are too small to tell)."""
     groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    few = groups.where(F.col("_copies") <= _COPIES).select(
+    few = groups.where(F.col("_copies") <= _FEW).select(
         *df.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias(out_col))
-    blocks = groups.where(F.col("_copies") > _COPIES).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {_COPIES}"))))
+    copied = groups.where(F.col("_copies") > _FEW)
+    rows = copied.agg(F.sum("_copies")).first()[0] or 0
+    if not rows:
+        return few
+    blocks = copied.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {_COPIES}"))))
     first = F.col("_block") * _COPIES
-    many = blocks.repartition("_block", *df.columns).select(
+    tasks = min(_MOST_TASKS, -(-rows // _TASK_ROWS))
+    many = blocks.repartition(tasks, "_block", *df.columns).select(
         *df.columns, F.explode(F.sequence(first, F.least(first + (_COPIES - 1), F.col("_copies") - 1))).alias(out_col))
     return few.unionByName(many)
 

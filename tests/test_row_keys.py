@@ -85,3 +85,12 @@ def test_keys_that_cannot_be(spark):
         train(_table(spark), ["a", "y"], "y", ["x"], "tree_classifier")
     with pytest.raises(ValueError, match="no key"):
         train(_table(spark), [], "y", ["x"], "tree_classifier")
+
+
+def test_a_group_of_copies_is_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(hashing, "_COPIES", 500)
+    monkeypatch.setattr(hashing, "_TASK_ROWS", 1000, raising=False)
+    df = hashing.number_copies(spark.range(20000).select(F.lit("x").alias("a")), "n")
+    made = df.groupBy(F.spark_partition_id().alias("t")).agg(F.count(F.lit(1)).alias("c")).collect()
+    assert sum(r.c for r in made) == df.select("n").distinct().count() == 20000
+    assert max(r.c for r in made) <= 5000  # all in one task before: the blocks are few bytes
