@@ -39,6 +39,10 @@ from tabml.operators.target import MAX_CLASSES
 from tabml.session import active_spark, spread
 
 MAX_DEPTH = 30
+#: what MLlib keeps of a task's rows between the levels, about
+TASK_BYTES = 256 * 1024 * 1024
+#: trees deeper than this look up a row's node in a kept array instead of walking down from the root
+WALK_DEPTH = 10
 
 
 def _depth(max_depth):
@@ -148,11 +152,12 @@ def make_estimator(kind: str, task: str, *, criterion=None, max_depth=None, min_
                    min_samples_leaf=1, n_estimators=100, random_state=42, max_bins=32,
                    weight_col=None, label="label", prediction="prediction"):
     _check_split(min_samples_split)
-    # 1 GB of split statistics per pass (fewer passes per level) and cached node
-    # ids (no re-walk of the trees for deep levels)
+    # 1 GB of split statistics per pass (fewer passes per level) and, for deep
+    # trees, cached node ids (no re-walk of the trees, but an id per row and tree)
+    depth = _depth(max_depth)
     common = dict(featuresCol="_vec", labelCol=label, predictionCol=prediction,
-                  maxDepth=_depth(max_depth), minInstancesPerNode=int(min_samples_leaf),
-                  maxBins=int(max_bins), seed=int(random_state), maxMemoryInMB=1024, cacheNodeIds=True)
+                  maxDepth=depth, minInstancesPerNode=int(min_samples_leaf),
+                  maxBins=int(max_bins), seed=int(random_state), maxMemoryInMB=1024, cacheNodeIds=depth > WALK_DEPTH)
     if task == "classification":
         common["impurity"] = _impurity(criterion or "gini", task)
         if weight_col:
@@ -186,10 +191,19 @@ class TreeModel:
                 rows = sum(r["count"] for r in counts)
             else:
                 counts, rows = [], base.count()
-            return self._fit(spread(base, rows=rows), label, features, counts)
+            first = base.select(F.size(features)).first()
+            data = spread(base, rows=rows, task_rows=TASK_BYTES // self._row_bytes(first[0] if first else 0))
+            return self._fit(data, label, features, counts)
         finally:
             base.unpersist()
 
+    def _row_bytes(self, dim: int) -> int:
+        """What MLlib keeps of a row while it grows the trees, about: the bins of the
+        features and, per tree, how often the row was drawn and (deep trees) its node."""
+        trees = int(self.params.get("n_estimators", 100)) if self.kind == "forest" else 1
+        deep = _depth(self.params.get("max_depth")) > WALK_DEPTH
+        return 128 + 4 * max(dim, 0) + 4 * trees * (2 if deep else 1)
+
     def _fit(self, df: DataFrame, label: str, features: str, counts: list) -> "TreeModel":
         data = _vec(df, features)
         self.label = label

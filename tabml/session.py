@@ -76,21 +76,25 @@ def active_spark() -> SparkSession:
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
-def spread(df, rows: int | None = None, min_rows: int = 50_000, min_bytes: int = 4 * 1024 * 1024):
+def spread(df, rows: int | None = None, min_rows: int = 50_000, min_bytes: int = 4 * 1024 * 1024,
+           task_rows: int | None = None):
     """Give an iterative fit every core: an input with fewer partitions than
     the default parallelism (a table read as one or a few splits) is
     repartitioned round-robin.  Inputs that already have enough partitions,
     and small inputs (fewer than ``min_rows`` rows when the caller knows the
     count, else a Catalyst size estimate below ``min_bytes``), where more tasks
-    only add per-iteration overhead, are left alone."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    only add per-iteration overhead, are left alone.  With ``task_rows`` (and
+    ``rows``) a partition also gets no more than about so many rows."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None and task_rows:
+        want = max(want, -(-rows // task_rows))
+    if df.rdd.getNumPartitions() >= want:
         return df
     if rows is not None:
         big = rows >= min_rows
     else:
         big = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= min_bytes
-    return df.repartition(par) if big else df
+    return df.repartition(want) if big else df
 
 
 _SHIPPED: set = set()
