@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 
 #: task arrays that the driver adds itself
 _DIRECT = 64
+#: size of a block of rows that a task computes at once, for one matrix
+_BLOCK_BYTES = 8 * 1024 * 1024
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -19,6 +21,13 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, dim)
 
 
+def blocks(n: int, width: int) -> Iterator[slice]:
+    """0..n in slices whose rows, ``width`` doubles each, take about 8 MB: what a task
+    computes from a batch follows from the block, not from the batch."""
+    step = max(64, _BLOCK_BYTES // (8 * max(1, width)))
+    return (slice(i, min(i + step, n)) for i in range(0, n, step))
+
+
 def sum_over(df: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray], tasks: int) -> np.ndarray:
     """The sum of ``partial`` (a 1-d float array of fixed length) over the tasks of
     ``df``, of which there are ``tasks``. Up to 64 arrays go to the driver; of more,

@@ -39,6 +39,7 @@ entries), ``"auto"`` = 1 / d, or a number; ``degree`` and ``coef0`` as usual.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -119,11 +120,12 @@ class Nystroem:
         self.kernel, self.gamma, self.degree, self.coef0 = kernel, gamma, degree, coef0
         self.n_landmarks, self.seed, self.landmark_tol = n_landmarks, seed, landmark_tol
 
-    def fit(self, df: DataFrame, key: str, features: str = "features") -> "Nystroem":
-        """One pass per batch of landmarks; ties are broken by a seeded hash of the key."""
+    def fit(self, df: DataFrame, key: str, features: str = "features", n_rows: int | None = None) -> "Nystroem":
+        """One pass per batch of landmarks; ties are broken by a seeded hash of the key.
+        ``n_rows``, where known, spreads a table of few splits over all cores."""
         self.gamma_ = resolve_gamma(df, features, self.gamma)
         rows = df.select(order_hash(self.seed, [key]).alias("h"), F.col(features).cast("array<double>").alias("x"))
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = (rows if n_rows is None else spread(rows, rows=n_rows)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             dim = len(rows.first()["x"])
             self.landmarks_, self.norm_ = np.zeros((0, dim)), np.zeros((0, 0))
@@ -152,12 +154,18 @@ class Nystroem:
                     continue
                 x = matrix(b.column("x"), dim)
                 diagonal = _diagonal(x, *args)
-                left = diagonal - ((_kernel(x, lm, *args) @ norm) ** 2).sum(axis=1) if len(lm) else diagonal
+                left = diagonal.copy()
+                if len(lm):
+                    for part in blocks(len(x), len(lm)):
+                        left[part] -= ((_kernel(x[part], lm, *args) @ norm) ** 2).sum(axis=1)
                 total += np.abs(diagonal).sum()
                 rest += np.maximum(left, 0.0).sum()
-                h = b.column("h").to_pylist()
-                top = np.argsort(-left, kind="stable")[:max(2 * batch, 1)] if len(left) > 2 * batch and np.ptp(left) > 0 else range(len(left))
-                best = sorted(best + [(-float(left[i]), h[i], x[i].tolist()) for i in top])[:2 * batch]
+                h, top = b.column("h"), np.arange(len(left))
+                if len(left) > 2 * batch:
+                    # of equal residuals, the least hashes
+                    order = np.argsort(-left, kind="stable") if np.ptp(left) > 0 else np.argsort(h.to_numpy(zero_copy_only=False), kind="stable")
+                    top = order[:2 * batch]
+                best = sorted(best + [(-float(left[i]), k, x[i].tolist()) for i, k in zip(top, h.take(pa.array(top)).to_pylist())])[:2 * batch]
             out = [(None, None, None, total, rest)] + [(-v, k, x, None, None) for v, k, x in best]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], pa.float64()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.list_(pa.float64())),
@@ -196,15 +204,34 @@ class Nystroem:
         kernel, gamma, degree, coef0 = self.kernel, self.gamma_, self.degree, self.coef0
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def phi(x: pd.Series) -> pd.Series:
-            if len(x) == 0:
-                return pd.Series([], dtype=object)
-            a = np.stack(x.to_numpy()).astype(np.float64)
-            z = _kernel(a, lm, kernel, gamma, degree, coef0) @ norm
-            return pd.Series(list(z))
+        def phi(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for x in batches:
+                if len(x) == 0:
+                    yield pd.Series([], dtype=object)
+                for part in blocks(len(x), len(lm)):
+                    a = np.stack(x.iloc[part].to_numpy()).astype(np.float64)
+                    yield pd.Series(list(_kernel(a, lm, kernel, gamma, degree, coef0) @ norm))
 
         return df.withColumn(out_col, phi(F.col(features).cast("array<double>")))
 
+    def values(self, x: np.ndarray) -> np.ndarray:
+        """Kernel of rows and landmarks: the features are these values times ``norm_``."""
+        return _kernel(x, self.landmarks_, self.kernel, self.gamma_, self.degree, self.coef0)
+
+    def linear(self, df: DataFrame, features: str, coef: np.ndarray, intercept: float, out_col: str) -> DataFrame:
+        """Adds a linear function of the mapped features, which are not made."""
+        w, values, width = self.norm_ @ coef, self.values, len(self.landmarks_)
+
+        @F.pandas_udf(T.DoubleType())
+        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for x in batches:
+                out = np.zeros(len(x))
+                for part in blocks(len(x), width):
+                    out[part] = values(np.stack(x.iloc[part].to_numpy()).astype(np.float64)) @ w + intercept
+                yield pd.Series(out)
+
+        return df.withColumn(out_col, score(F.col(features).cast("array<double>")))
+
 
 class SVC:
     def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma="scale", degree: int = 3, coef0: float = 0.0,
@@ -241,7 +268,7 @@ class SVC:
             if key is None:
                 raise ValueError("a kernel SVC needs key= (landmarks are chosen by a seeded hash of the key)")
             self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
-                                 self.seed, self.landmark_tol).fit(df, key, features)
+                                 self.seed, self.landmark_tol).fit(df, key, features, n_rows)
         # only what the machines read is kept in memory
         data = spread(self._map(data, features).select("_label", "_vec"), rows=n_rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
