@@ -54,9 +54,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.functions.hashing import order_hash
-from tabml.functions.sums import matrix, sum_over
+from tabml.functions.sums import blocks, matrix, sum_over
 from tabml.operators.target import MAX_CLASSES
-from tabml.operators.tube import fit_tube
+from tabml.operators.tube import FeatureMap, fit_tube
 from tabml.session import spread
 
 #: landmarks of a kernel map at most, and the share of the kernel's trace that may be left
@@ -222,15 +222,16 @@ class Nystroem:
         """Adds a linear function of the mapped features, which are not made."""
         w, values, width = self.norm_ @ coef, self.values, len(self.landmarks_)
 
-        @F.pandas_udf(T.DoubleType())
+        # one-element arrays: a NaN by itself would come back as null
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for x in batches:
-                out = np.zeros(len(x))
+                out = np.zeros((len(x), 1))
                 for part in blocks(len(x), width):
-                    out[part] = values(np.stack(x.iloc[part].to_numpy()).astype(np.float64)) @ w + intercept
-                yield pd.Series(out)
+                    out[part, 0] = values(np.stack(x.iloc[part].to_numpy()).astype(np.float64)) @ w + intercept
+                yield pd.Series(list(out))
 
-        return df.withColumn(out_col, score(F.col(features).cast("array<double>")))
+        return df.withColumn(out_col, score(F.col(features).cast("array<double>"))[0])
 
 
 class SVC:
@@ -546,25 +547,39 @@ class SVR:
 
     def fit(self, df: DataFrame, label: str, features: str = "features", key: str | None = None) -> "SVR":
         self.label, self.features = label, features
-        if self.kernel != "linear":
-            if key is None:
-                raise ValueError("a kernel SVR needs key= (landmark ties are broken by a seeded hash of the key)")
-            self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
-                                 self.seed, self.landmark_tol).fit(df, key, features)
-        mapped = self._map(df, features).select("_z", F.col(label).cast("double").alias("_y"))
-        data = spread(mapped, rows=df.count()).persist(StorageLevel.MEMORY_AND_DISK)
+        if self.kernel != "linear" and key is None:
+            raise ValueError("a kernel SVR needs key= (landmark ties are broken by a seeded hash of the key)")
+        # the input is read once: landmarks and machine take the kept rows
+        cols = [F.col(features).cast("array<double>").alias("_x"), F.col(label).cast("double").alias("_y")]
+        base = df.select(*cols, *([] if self.kernel == "linear" else [F.col(key).alias("_k")])).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            dim, tasks = len(data.first()["_z"]), data.rdd.getNumPartitions()
-            C, eps = float(self.C), float(self.epsilon)
-            if self.loss == "epsilon_insensitive":
-                f = fit_tube(data, dim, C, eps, self.tol, self.max_iter, tasks)
-                self.coef_, self.intercept_, self.objective_ = f.coef, f.intercept, f.objective
-                self.gap_, self.converged_, self.n_iter_ = f.gap, f.converged, f.passes
+            n = base.count()
+            if self.kernel != "linear":
+                self.nys_ = Nystroem(self.kernel, self.gamma, self.degree, self.coef0, self.n_landmarks,
+                                     self.seed, self.landmark_tol).fit(base, "_k", "_x", n)
+            self._fit_machine(spread(base.select("_x", "_y"), rows=n))
+        finally:
+            base.unpersist()
+        return self
+
+    def _fit_machine(self, rows: DataFrame) -> None:
+        """Fit on rows (_x, _y)."""
+        C, eps, tasks = float(self.C), float(self.epsilon), rows.rdd.getNumPartitions()
+        if self.loss == "epsilon_insensitive":
+            dim, made = 0, None
+            if self.kernel == "linear":
+                dim = len(rows.first()["_x"])
             else:
-                self._fit_squared(data, dim, C, eps, tasks)
+                dim, made = self.nys_.norm_.shape[1], FeatureMap(self.nys_.landmarks_.shape[1], self.nys_.values, self.nys_.norm_)
+            f = fit_tube(rows, dim, C, eps, self.tol, self.max_iter, tasks, made)
+            self.coef_, self.intercept_, self.objective_ = f.coef, f.intercept, f.objective
+            self.gap_, self.converged_, self.n_iter_ = f.gap, f.converged, f.passes
+            return
+        data = self._map(rows, "_x").select("_z", "_y").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._fit_squared(data, len(data.first()["_z"]), C, eps, tasks)
         finally:
             data.unpersist()
-        return self
 
     def _fit_squared(self, data: DataFrame, d: int, C: float, eps: float, tasks: int) -> None:
         theta = np.zeros(d + 1)
@@ -599,9 +614,10 @@ class SVR:
             g = np.zeros((d + 1, d + 1))
             r = np.zeros(d + 1)
             loss = 0.0
-            for b in batches:
-                z = np.column_stack([matrix(b.column(0), d), np.ones(b.num_rows)])
-                y = b.column(1).to_numpy(zero_copy_only=False)
+            for b, part in ((b, part) for b in batches for part in blocks(b.num_rows, d + 1)):
+                z = matrix(b.column(0), d)[part]
+                z = np.column_stack([z, np.ones(len(z))])
+                y = b.column(1).to_numpy(zero_copy_only=False)[part]
                 res = y - z @ th
                 act = np.abs(res) > eps
                 za, ta = z[act], y[act] - np.sign(res[act]) * eps
@@ -615,6 +631,8 @@ class SVR:
                 float(vec[-1]))
 
     def predict(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
+        if self.kernel != "linear":
+            return self.nys_.linear(df, self.features, self.coef_, self.intercept_, "_p").select(*df.columns, F.col("_p").alias(out_col))
         mapped = self._map(df, self.features)
         w = F.array(*[F.lit(float(v)) for v in self.coef_])
         dot = F.aggregate(F.zip_with(F.col("_z"), w, lambda a, b: a * b), F.lit(self.intercept_),
