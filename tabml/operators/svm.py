@@ -222,16 +222,19 @@ class Nystroem:
         """Adds a linear function of the mapped features, which are not made."""
         w, values, width = self.norm_ @ coef, self.values, len(self.landmarks_)
 
-        # one-element arrays: a NaN by itself would come back as null
-        @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        dim, lost = self.landmarks_.shape[1], bool(np.isnan(self.norm_).any())
+
+        # Arrow, where NaN (a machine without finite coefficients) isn't null (a row without features)
+        @F.arrow_udf(T.DoubleType())
+        def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for x in batches:
-                out = np.zeros((len(x), 1))
+                rows, out, null = matrix(x, dim), np.zeros(len(x)), np.zeros(len(x), dtype=bool)
                 for part in blocks(len(x), width):
-                    out[part, 0] = values(np.stack(x.iloc[part].to_numpy()).astype(np.float64)) @ w + intercept
-                yield pd.Series(list(out))
+                    k = values(rows[part])
+                    out[part], null[part] = k @ w + intercept, np.isnan(k).any(axis=1) | lost
+                yield pa.array(out, pa.float64(), mask=null)
 
-        return df.withColumn(out_col, score(F.col(features).cast("array<double>"))[0])
+        return df.withColumn(out_col, score(F.col(features).cast("array<double>")))
 
 
 class SVC:
