@@ -10,10 +10,12 @@ Two large sides (no cross join, no pair rows, no unbounded broadcast):
    the triangle inequality doesn't rule out: by the cell's ring around its pivot,
    and by the half-way plane between the nearest pivot and the cell's.
 3. Cells of more than ``block_rows`` training or test rows are cut by a hash of the
-   keys, and each pair of cuts meets in ``cogroup(...).applyInPandas``, so memory is
-   bounded whatever the data's skew. NumPy emits only the k best per test row
-   (ties: smaller train key), and the lists are merged by ``row_number() <= k``
-   (Spark plans a ``WindowGroupLimit`` before the shuffle).
+   keys, and each pair of cuts meets in ``cogroup(...).applyInPandas``. Cuts grow with
+   the table only up to what their rows and neighbour lists may take in a Python
+   worker (``_cut_rows``), so memory is bounded whatever the rows' number and skew.
+   NumPy emits only the k best per test row (ties: smaller train key), and the lists
+   are merged by ``row_number() <= k`` (Spark plans a ``WindowGroupLimit`` before the
+   shuffle).
 
 How many cells a row visits depends on how clustered the data are, not on their
 number; without any structure it is all of them, so there are few large cells
@@ -411,8 +413,18 @@ class _Cells:
         return np.nonzero((self.n > 0) & (least <= limit[:, None]))
 
 
-#: cells that the rows of data without structure go to, about, and bytes of a cell's cut at most
-_CELLS, _CUT_BYTES = 48, 32 << 20
+#: cells that the rows of data without structure go to, about, and what a cut may take in a Python worker, each side
+_CELLS, _CUT_BYTES = 48, 48 << 20
+#: distances to pivots that a task holds at once
+_ROUTE_CELLS = 1 << 20
+
+
+def _cut_rows(dim: int, k: int, text: float) -> tuple[int, int]:
+    """(training, test) rows of a cut that take about ``_CUT_BYTES``, as measured: their
+    vectors three times over, an object for each vector, and the k rows made of a test
+    row.  ``text``: characters of a training row's key and label."""
+    return (max(1, int(_CUT_BYTES / (24 * dim + 440 + 2 * text))),
+            max(1, int(_CUT_BYTES / (24 * dim + 100 + k * (60 + 2 * text)))))
 
 
 def _pruned_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str, features: str, label: str | None,
@@ -422,11 +434,12 @@ def _pruned_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str
     x, own_group = F.col(features).cast("array<double>").alias("_x"), (F.col(group) if group else F.lit(0)).alias("_g")
     tr = train.select(own_group, F.xxhash64(key).alias("_s"), F.col(key).alias("_tk"), x, lab.alias("_y"))
     te = test.select(own_group, F.xxhash64(test_key).alias("_s"), F.col(test_key).alias("_qk"), x)
-    dim = tr.select(F.max(F.size("_x"))).first()[0]  # groups may differ
+    text = [F.coalesce(F.length(c), F.lit(0)) for c in ("_tk", "_y") if isinstance(tr.schema[c].dataType, T.StringType)]
+    dim, text = tr.agg(F.max(F.size("_x")), F.avg(sum(text, F.lit(0)))).first()  # groups may differ
     # many small blocks would send every row of data without structure to each of them
-    largest, of_bytes = max(sizes.values()), max(1, _CUT_BYTES // (8 * (dim + 2)))
-    block = max(block_rows, min(of_bytes, -(-2 * largest * len(sizes) // _CELLS)))
-    q_block = max(block, min(2 * of_bytes, 4 * block))
+    largest, (t_most, q_most) = max(sizes.values()), _cut_rows(dim, k, text)
+    block = max(block_rows, min(t_most, -(-2 * largest * len(sizes) // _CELLS)))
+    q_block = max(block_rows, min(q_most, 4 * block))
     most = int(min(_PIVOTS, max(16 if len(sizes) == 1 else 4, 2 * largest // block), max(1, _PIVOT_BYTES // (8 * max(1, dim) * len(sizes)))))
     hashed = tr.select("_g", order_hash(seed, ["_tk"]).alias("_h"), "_x")
     first = F.row_number().over(Window.partitionBy("_g").orderBy("_h"))
@@ -445,8 +458,10 @@ def _pruned_neighbors(train: DataFrame, test: DataFrame, key: str, test_key: str
         x, gs = b.column("_x"), np.array(b.column("_g").to_pylist(), dtype=object)
         found = []
         for g, own in cells.items():
-            at = np.flatnonzero(gs == g)
-            if len(at):
+            of_group = np.flatnonzero(gs == g)
+            step = max(1, _ROUTE_CELLS // max(len(own.pivots), _NEAREST * near_of[g]))
+            for a in range(0, len(of_group), step):
+                at = of_group[a:a + step]
                 v = _rows(x if len(at) == len(x) else x.take(pa.array(at)), own.pivots.shape[1])
                 row, cell, extra = route(own, v, g)
                 found.append((at[row], cell + base[g], extra))

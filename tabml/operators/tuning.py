@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from tabml.operators import knn, metrics
 from tabml.operators.prep import Preprocess, fit_scaler, normalize_scaler
 from tabml.operators.split import kfold
+from tabml.session import written
 
 # The default search grids of the reference, one per model
 # (candidate counts 320, 320, 96, 144, 90, 135, 216, 108).  With PCA on, the
@@ -181,9 +182,27 @@ def _scaled(x, g, stats: dict | None):
     return F.transform(x.cast("array<double>"), lambda v, i: (v - F.element_at(c, i + 1)) / F.element_at(s, i + 1))
 
 
-def _candidates(ks, weights):
-    return F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("weights"))
-                               for k in ks for w in weights])).alias("_c")
+def _prediction(k: int, weights: str, name: str, task: str):
+    """What the first k of a row's neighbours, ``_near`` in order, predict for a label:
+    the rules of ``knn.vote`` and ``knn.regress``."""
+    near = F.slice("_near", 1, k)
+    zero = F.col("_near")[0]["dist"] == 0  # the nearest's: then only those at distance 0 count
+
+    def w(n):
+        if weights == "uniform":
+            return F.lit(1.0)
+        return F.when(zero, (n["dist"] == 0).cast("double")).otherwise(1.0 / n["dist"])
+
+    def total(of, value):
+        return F.aggregate(of, F.lit(0.0), lambda acc, n: acc + value(n))
+
+    if task == "classification":
+        classes = F.array_distinct(F.transform(near, lambda n: n["_y"][name]))
+        votes = F.transform(classes, lambda y: F.struct(
+            (-total(F.filter(near, lambda n: n["_y"][name].eqNullSafe(y)), w)).alias("a"), y.alias("b")))
+        return F.array_min(votes)["b"]
+    known = F.filter(near, lambda n: n["_y"][name].isNotNull())
+    return F.when(F.size(known) > 0, total(known, lambda n: w(n) * n["_y"][name])) / total(near, w)
 
 
 def _raw_sides(f: DataFrame, key: str, raw: list, labels: list, combos: list, folds: int, cat_encoder: str):
@@ -267,25 +286,18 @@ def knn_grid_search(df: DataFrame, key: str, features: str | list[str], label: s
     parts = []
     for p in g["p"]:
         nb = knn.neighbors(t, q, key, "_xs", "_packed", k=max(ks), p=p, block_rows=block_rows, group="_g")
-        c = nb.select("*", _candidates(ks, ws)).where(F.col("nn_rank") <= F.col("_c.k"))
-        zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("_c", "_g", key))
-        w = (F.when(F.col("_c.weights") == "uniform", F.lit(1.0))
-              .when(zero == 1, (F.col("dist") == 0).cast("double"))
-              .otherwise(1.0 / F.col("dist")))
-        c = c.withColumn("_w", w)
+        own = F.from_json("nn_label", as_struct) if len(labels) > 1 else F.struct(F.col("nn_label").alias(labels[0]))
+        near = nb.select("_g", key, F.struct("nn_rank", "dist", own.alias("_y")).alias("_n"))
+        near = near.groupBy("_g", key).agg(F.sort_array(F.collect_list("_n")).alias("_near"))  # k at most
+        made = near.select("_g", key, *[F.array(*[
+            F.struct(F.struct(F.lit(k).alias("k"), F.lit(w).alias("weights")).alias("_c"), _prediction(k, w, name, task).alias("prediction"))
+            for k in ks for w in ws]).alias(f"_made{i}") for i, name in enumerate(labels)])
+        scored = made.join(q.select(key, "_g", *labels), ["_g", key])
         if len(labels) > 1:
-            c = c.withColumn("_labels", F.from_json("nn_label", as_struct))
-        for name in labels:
-            own = c.withColumn("nn_label", F.col("_labels")[name]) if len(labels) > 1 else c
-            if task == "classification":
-                votes = own.groupBy("_c", "_g", key, "nn_label").agg(F.sum("_w").alias("_s"))
-                best = F.min(F.struct((-F.col("_s")).alias("a"), F.col("nn_label").alias("b")))["b"]
-                pred = votes.groupBy("_c", "_g", key).agg(best.alias("prediction"))
-            else:
-                pred = own.groupBy("_c", "_g", key).agg(
-                    (F.sum(F.col("_w") * F.col("nn_label")) / F.sum("_w")).alias("prediction"))
-            scored = pred.join(q.select(key, "_g", name), ["_g", key])
-            s = metrics.score_by(scored, name, "prediction", scoring, ["_c", "_g"], positive[name])
+            scored = written(scored, "predictions")  # each label's scores read them
+        for i, name in enumerate(labels):
+            each = scored.select("_g", name, F.explode(f"_made{i}").alias("_e")).select("_g", name, "_e._c", "_e.prediction")
+            s = metrics.score_by(each, name, "prediction", scoring, ["_c", "_g"], positive[name])
             parts.append(s.select(names.alias("scaler"), pca_col.alias("pca"), F.lit(float(p)).alias("p"),
                                   F.col("_c.k").alias("n_neighbors"), F.col("_c.weights").alias("weights"),
                                   (F.col("_g") % folds).alias("fold"), "score"))
