@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tabml.operators.target import MAX_CLASSES
 
-from tabml.session import active_spark, spread
+from tabml.session import active_spark, at_most, spread
 
 MAX_DEPTH = 30
 #: what MLlib keeps of a task's rows between the levels, about
@@ -192,7 +192,7 @@ class TreeModel:
             else:
                 counts, rows = [], base.count()
             first = base.select(F.size(features)).first()
-            data = spread(base, rows=rows, task_rows=TASK_BYTES // self._row_bytes(first[0] if first else 0))
+            data = at_most(spread(base, rows=rows), rows, TASK_BYTES // self._row_bytes(first[0] if first else 0))
             return self._fit(data, label, features, counts)
         finally:
             base.unpersist()

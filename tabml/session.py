@@ -76,18 +76,18 @@ def active_spark() -> SparkSession:
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
-def spread(df, rows: int | None = None, min_rows: int = 50_000, min_bytes: int = 4 * 1024 * 1024,
-           task_rows: int | None = None):
+#: rows below which more tasks only add overhead to each iteration
+_SPREAD_ROWS = 50_000
+
+
+def spread(df, rows: int | None = None, min_rows: int = _SPREAD_ROWS, min_bytes: int = 4 * 1024 * 1024):
     """Give an iterative fit every core: an input with fewer partitions than
     the default parallelism (a table read as one or a few splits) is
     repartitioned round-robin.  Inputs that already have enough partitions,
     and small inputs (fewer than ``min_rows`` rows when the caller knows the
     count, else a Catalyst size estimate below ``min_bytes``), where more tasks
-    only add per-iteration overhead, are left alone.  With ``task_rows`` (and
-    ``rows``) a partition also gets no more than about so many rows."""
+    only add per-iteration overhead, are left alone."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    if rows is not None and task_rows:
-        want = max(want, -(-rows // task_rows))
     if df.rdd.getNumPartitions() >= want:
         return df
     if rows is not None:
@@ -97,6 +97,13 @@ def spread(df, rows: int | None = None, min_rows: int = 50_000, min_bytes: int =
     return df.repartition(want) if big else df
 
 
+def at_most(df, rows: int, task_rows: int):
+    """``df``, of ``rows`` rows, in partitions of no more than about ``task_rows``;
+    small inputs are left alone."""
+    want = -(-rows // max(1, task_rows))
+    return df if rows < _SPREAD_ROWS or df.rdd.getNumPartitions() >= want else df.repartition(want)
+
+
 _SHIPPED: set = set()
 
 
